@@ -37,13 +37,14 @@ def file_name_of(path: ColumnOrName) -> Column:
     return F.regexp_extract(col_(path), r"([^/]*)$", 1)
 
 
-def release_year(path_or_name: ColumnOrName, pattern: str = RELEASE_YEAR_PATTERN) -> Column:
+def release_year(path: ColumnOrName, pattern: str = RELEASE_YEAR_PATTERN) -> Column:
     """Release year taken from a file name: first ``_YYYY``; no match gives ``''``.
 
-    Applied to the file *name* only, so a directory such as ``run_2020/`` is
-    never mistaken for a release.
+    Only the file's own name is searched (a directory such as ``run_2020/`` is
+    never mistaken for a release); when the file is a Spark part file inside a
+    ``name_YYYY.parquet/`` folder, that folder's name is the file name.
     """
-    return F.regexp_extract(file_name_of(path_or_name), pattern, 1)
+    return F.regexp_extract(col_(path), pattern + r"[^/]*(?:/part-[^/]*)?$", 1)
 
 
 # --- X02 / X07 / X17 / X18 text normalisation ------------------------------
