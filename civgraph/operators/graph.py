@@ -87,9 +87,12 @@ def edge_typed(df: DataFrame, key: str, dim: DataFrame, dim_key: str, type_col:
 
 # --- J08 -------------------------------------------------------------------
 def dangling(df: DataFrame, key: str, nodes: DataFrame, node_key: str) -> DataFrame:
-    """Rows of ``df`` whose ``key`` has no node (NULL keys count as dangling)."""
+    """Rows of ``df`` whose ``key`` has no node (NULL keys count as dangling).
+    NULL keys are spread over many reducers (they can never match)."""
+    from civgraph.operators.relational import spread_null_key
     keys = nodes.select(F.col(node_key).alias("__nk")).filter(F.col("__nk").isNotNull())
-    return df.join(keys, F.col(key) == F.col("__nk"), "left_anti")
+    left = spread_null_key(df, key, "__dk")
+    return left.join(keys, F.col("__dk") == F.col("__nk"), "left_anti").drop("__dk")
 
 
 def integrity_report(relationships: Mapping[str, DataFrame],

@@ -23,6 +23,29 @@ def _maybe_broadcast(df: DataFrame, bounded: bool) -> DataFrame:
     return F.broadcast(df) if bounded else df
 
 
+# Salt buckets for NULL join keys (see ``spread_null_key``).
+NULL_KEY_BUCKETS = 4096
+
+
+def spread_null_key(df: DataFrame, key: str, out: str) -> DataFrame:
+    """Copy ``key`` to ``out`` with NULLs replaced by a value that can never
+    match, spread over ``NULL_KEY_BUCKETS`` distinct values.
+
+    A NULL key never matches in an outer or anti join, but a hash shuffle
+    still sends every NULL to one reducer — in this data (unknown SIRET,
+    missing commune) NULL is the hottest key.  String keys get a marker
+    starting with U+0000 (no identifier starts with it); numeric keys are
+    left as they are (AQE's skew-join split covers them).  The bucket comes
+    from a hash of the row, so it is deterministic under task retries.
+    """
+    if not isinstance(df.schema[key].dataType, T.StringType):
+        return df.withColumn(out, F.col(key))
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    bucket = F.pmod(F.xxhash64(*hashable), F.lit(NULL_KEY_BUCKETS))
+    marker = F.concat(F.lit("\u0000null:"), bucket.cast("string"))
+    return df.withColumn(out, F.coalesce(F.col(key), marker))
+
+
 # --- A01 / F11 ---------------------------------------------------------------
 def latest_release(df: DataFrame, release_col: str = "release_year",
                    by: Sequence[str] | None = None) -> DataFrame:
@@ -91,10 +114,16 @@ def lookup_label(df: DataFrame, dim: DataFrame, on: Mapping[str, str],
     right = dim.select(*[F.col(r).alias(f"__k{i}") for i, (_, r) in enumerate(keys)],
                        *[F.col(src).alias(dst) for src, dst in labels.items()])
     right = _maybe_broadcast(right, bounded)
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(l) == right[f"__k{i}"] for i, (l, _) in enumerate(keys)])
-    out = df.join(right, cond, "left")
-    return out.drop(*[f"__k{i}" for i in range(len(keys))])
+    left, lkeys = df, []
+    for i, (l, _) in enumerate(keys):
+        if bounded:  # broadcast: no shuffle, NULL keys cost nothing
+            lkeys.append(F.col(l))
+        else:
+            left = spread_null_key(left, l, f"__l{i}")
+            lkeys.append(F.col(f"__l{i}"))
+    cond = reduce(lambda a, b: a & b, [lk == right[f"__k{i}"] for i, lk in enumerate(lkeys)])
+    out = left.join(right, cond, "left")
+    return out.drop(*[f"__k{i}" for i in range(len(keys))], *[f"__l{i}" for i in range(len(keys))])
 
 
 # --- J04 / V16 / V20 ---------------------------------------------------------
@@ -112,8 +141,10 @@ def fill_from_primary(df: DataFrame, sites: DataFrame, df_key: str, site_key: st
     s = sites
     if primary is not None:
         s = s.filter(col_(primary))
-    s = s.select(F.col(site_key).alias("__pkey"), F.col(site_value).alias("__pval"))
-    joined = df.join(s, df[df_key] == s["__pkey"], "left")
+    s = s.select(F.col(site_key).alias("__pkey"), F.col(site_value).alias("__pval")) \
+         .filter(F.col("__pkey").isNotNull())
+    left = spread_null_key(df, df_key, "__lkey")
+    joined = left.join(s, F.col("__lkey") == F.col("__pkey"), "left").drop("__lkey")
     filled = (F.coalesce(col_(own_value).cast("string"), F.col("__pval").cast("string"))
               if own_value is not None else F.col("__pval").cast("string"))
     return joined.withColumn(out, filled).drop("__pkey", "__pval")

@@ -125,7 +125,7 @@ def list_to_text(spark, sf_dir):
     the line items (partial collect before the shuffle)."""
     li = table(spark, sf_dir, "lineitem")
     item = X.concat_strict(F.col("l_linenumber").cast("string"), F.lit(":"), F.col("l_returnflag"))
-    lists = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    lists = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item)).alias("items"))
     return lists.select("l_orderkey", X.list_to_text("items").alias("flags"))
 
 

@@ -30,6 +30,7 @@ def build_session(app: str = "civgraph", master: str | None = None,
         builder = builder.master(master)
     conf = dict(RUNTIME_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.session.timeZone"] = "UTC"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -69,21 +69,31 @@ _LINES_SCHEMA = T.StructType([
 def _number_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Line number within each (file, block); rows of one block arrive in file
     order and contiguously inside a partition, so a running counter that
-    restarts when the block changes is exact — no shuffle, no sort."""
-    current, n = None, 0
+    restarts when the block changes is exact — no shuffle, no sort.
+    Vectorised per Arrow batch (run boundaries found with numpy)."""
+    import numpy as np
+    prev_key, carried = None, 0
+    out_schema = pa.schema([("value", pa.string()), ("file_path", pa.string()),
+                            ("block_start", pa.int64()), ("line_no", pa.int64())])
     for b in batches:
-        paths = b.column("file_path").to_pylist()
-        starts = b.column("block_start").to_pylist()
-        nums = []
-        for p, s in zip(paths, starts):
-            if (p, s) != current:
-                current, n = (p, s), 0
-            n += 1
-            nums.append(n)
+        n = b.num_rows
+        if n == 0:
+            continue
+        paths = np.asarray(b.column("file_path").to_numpy(zero_copy_only=False), dtype=object)
+        starts = b.column("block_start").to_numpy(zero_copy_only=False)
+        new_run = np.empty(n, dtype=bool)
+        new_run[0] = (paths[0], int(starts[0])) != prev_key
+        new_run[1:] = (paths[1:] != paths[:-1]) | (starts[1:] != starts[:-1])
+        run_start = np.maximum.accumulate(np.where(new_run, np.arange(n), 0))
+        nums = np.arange(n) - run_start + 1
+        if not new_run[0]:  # first run continues the previous batch's block
+            first_run = run_start == 0
+            nums[first_run] += carried
+        prev_key = (paths[-1], int(starts[-1]))
+        carried = int(nums[-1])
         yield pa.RecordBatch.from_arrays(
             [b.column("value"), b.column("file_path"), b.column("block_start"), pa.array(nums, pa.int64())],
-            schema=pa.schema([("value", pa.string()), ("file_path", pa.string()),
-                              ("block_start", pa.int64()), ("line_no", pa.int64())]))
+            schema=out_schema)
 
 
 def numbered_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
@@ -91,22 +101,42 @@ def numbered_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> D
     raw = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"))
-    if encoding.upper() not in ("UTF-8", "UTF8"):
-        # the text source keeps the file's bytes; decode them with the charset
-        raw = raw.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
+    raw = raw.withColumn("value", _decoded(F.col("value"), encoding))
     return raw.mapInArrow(_number_lines, _LINES_SCHEMA)
 
 
+def _decoded(col, encoding: str):
+    if encoding.upper() in ("UTF-8", "UTF8"):
+        return col
+    # the text source keeps the file's bytes; decode them with the charset
+    return F.decode(col.cast("binary"), encoding)
+
+
+def _first_lines(spark: SparkSession, path: str, encoding: str, n: int) -> list[str]:
+    """The first ``n`` lines of a file, without scanning it whole.
+
+    The text scan is limited; the block-0 split of a file sorts first among
+    its equal-size splits, so the limit is normally met by the first
+    partition.  If not (tiny odd splits), fall back to the numbered scan.
+    """
+    head = (spark.read.text(path)
+            .select(_decoded(F.col("value"), encoding).alias("value"),
+                    F.col("_metadata.file_block_start").alias("block_start"))
+            .limit(n * 4 + 16).collect())
+    lines = [r.value for r in head if r.block_start == 0][:n]
+    if len(lines) < n:
+        lines = [r.value for r in numbered_lines(spark, path, encoding)
+                 .filter((F.col("block_start") == 0) & (F.col("line_no") <= n)).orderBy("line_no").collect()]
+    return lines
+
+
 def _header(spark: SparkSession, c: Contract, path: str) -> tuple[list[str], int]:
-    """Header columns of one file and the header's line number, from the
-    file's first few lines only."""
-    first = (numbered_lines(spark, path, c.encoding)
-             .filter((F.col("block_start") == 0) & (F.col("line_no") <= c.skip_lines + 2))
-             .orderBy("line_no").collect())
+    """Header columns of one file and the header's line number."""
+    first = _first_lines(spark, path, c.encoding, c.skip_lines + 2)
     line_no = c.skip_lines + 1
-    if c.prep and len(first) > c.skip_lines and set(first[c.skip_lines].value.strip()) == {";"}:
+    if c.prep and len(first) > c.skip_lines and set(first[c.skip_lines].strip()) == {";"}:
         line_no += 1
-    header = first[line_no - 1].value
+    header = first[line_no - 1]
     if c.prep:
         header = header.replace('"""', '"')
     return next(csv.reader(io.StringIO(header), delimiter=c.sep)), line_no

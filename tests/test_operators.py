@@ -168,3 +168,21 @@ def test_history_roundtrip_and_header_check(spark, tmp_path):
     worse.write_text(",".join(C.HISTORY_COLUMNS) + "\ns,d,c,p,2026,u,u,csv,2026-01-02T03:04:05,slow\n")
     with pytest.raises(Exception):
         C.read_history(spark, str(worse)).collect()
+
+
+def test_numbered_lines_and_null_key_spread(spark, tmp_path):
+    from civgraph.sources.readers import numbered_lines
+    p = tmp_path / "f.txt"
+    p.write_text("\n".join(f"line{i}" for i in range(1, 5001)) + "\n")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # counter must carry across batches
+    try:
+        got = {r.value: r.line_no for r in numbered_lines(spark, str(p)).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert all(got[f"line{i}"] == i for i in range(1, 5001)) and len(got) == 5000
+    df = spark.createDataFrame([(None, i) for i in range(50)] + [("a", 99)], "k string, v int")
+    dim = spark.createDataFrame([("a", "A")], "k2 string, lab string")
+    out = R.lookup_label(df, dim, {"k": "k2"}, {"lab": "lab"})
+    assert out.columns == ["k", "v", "lab"]
+    assert out.filter("lab = 'A'").count() == 1 and out.filter("lab IS NULL").count() == 50
