@@ -64,4 +64,8 @@ _ORACLE = {
     "dq_unique": r"""SELECT k, count(*) AS n FROM (SELECT CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR) AS k FROM lineitem) t WHERE k IS NOT NULL GROUP BY k HAVING count(*)>1""",
     "catalog_validate": r"""WITH c AS (SELECT p_partkey, CASE WHEN p_size%5=0 THEN 'CSV' ELSE 'csv' END AS fmt, CASE WHEN p_size%4=0 THEN NULL WHEN p_size%4=1 THEN '2024' WHEN p_size%4=2 THEN '2024-2026' ELSE '24' END AS yr, CASE WHEN p_size%3=0 THEN 15 END AS refresh_days FROM part) SELECT p_partkey, CASE WHEN yr IS NOT NULL AND NOT regexp_matches(yr,'^\d{4}(-\d{4})?$') THEN 'bad_year' WHEN fmt NOT IN ('parquet','json','xlsx','csv','zip') THEN 'bad_format' WHEN yr IS NULL AND refresh_days IS NULL THEN 'missing_refresh' WHEN yr IS NOT NULL AND refresh_days IS NOT NULL THEN 'conflicting_refresh' ELSE 'ok' END AS verdict FROM c""",
     "refresh_plan": r"""WITH cat AS (SELECT c_custkey AS user_id, 5+c_custkey%30 AS refresh_days FROM customer), h AS (SELECT user_id, max(ts) AS last_ts FROM events GROUP BY user_id) SELECT cat.user_id, CASE WHEN h.last_ts IS NULL THEN 'NEW' ELSE 'UPDATE' END AS status FROM cat LEFT JOIN h USING (user_id) WHERE h.last_ts IS NULL OR h.last_ts + to_days(CAST(refresh_days AS INTEGER)) < TIMESTAMP '2024-01-20'""",
+    "latest_release_by": r"""WITH b AS (SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS VARCHAR) AS release_year FROM orders), m AS (SELECT o_custkey, max(release_year) AS newest FROM b GROUP BY o_custkey) SELECT b.o_orderkey, b.o_custkey, b.release_year FROM b JOIN m ON b.o_custkey=m.o_custkey AND b.release_year=m.newest""",
+    "catalog_duplicates": r"""WITH c AS (SELECT p_brand AS name, CASE WHEN p_size%3=0 THEN NULL ELSE CAST(2020+p_size%4 AS VARCHAR) END AS year FROM part) SELECT name, year, 'duplicate' AS problem FROM c GROUP BY name, year HAVING count(*)>1""",
+    "dq_checks": r"""WITH t AS (SELECT l_orderkey, l_linenumber, nullif(l_returnflag,'R') AS flag, nullif(l_linestatus,'O') AS status FROM lineitem) SELECT 'lineitem' AS model, 'not_null' AS test, 'flag' AS col, count(*) FILTER (WHERE flag IS NULL) AS failures FROM t UNION ALL SELECT 'lineitem', 'not_null', 'status', count(*) FILTER (WHERE status IS NULL) FROM t UNION ALL SELECT 'lineitem', 'unique', 'l_orderkey', count(*) FROM (SELECT l_orderkey FROM t WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey HAVING count(*)>1) d UNION ALL SELECT 'lineitem', 'unique', 'order_line', count(*) FROM (SELECT k FROM (SELECT CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR) AS k FROM t) WHERE k IS NOT NULL GROUP BY k HAVING count(*)>1) e""",
+    "graph_integrity": r"""WITH cn AS (SELECT c_custkey AS id FROM customer WHERE c_nationkey<20), onode AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus='F'), pn AS (SELECT p_partkey AS id FROM part WHERE p_size>5) SELECT 'places' AS relationship, 'start' AS side, 'Customer' AS id_space, count(*) AS dangling FROM orders WHERE NOT EXISTS (SELECT 1 FROM cn WHERE cn.id=o_custkey) UNION ALL SELECT 'places', 'end', 'Order', count(*) FROM orders WHERE NOT EXISTS (SELECT 1 FROM onode WHERE onode.id=o_orderkey) UNION ALL SELECT 'contains', 'start', 'Order', count(*) FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM onode WHERE onode.id=l_orderkey) UNION ALL SELECT 'contains', 'end', 'Part', count(*) FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM pn WHERE pn.id=l_partkey)""",
 }

@@ -83,9 +83,14 @@ def validate_catalog(catalog: DataFrame) -> DataFrame:
                                  .alias("problems"))
                          .select("name", "year", F.explode(F.filter("problems", lambda p: p.isNotNull()))
                                  .alias("problem")))
-    dups = (catalog.groupBy("name", "year").agg(F.count(F.lit(1)).alias("n"))
-                   .filter(F.col("n") > 1).select("name", "year", F.lit("duplicate").alias("problem")))
-    return per_record.unionByName(dups)
+    return per_record.unionByName(duplicate_sources(catalog))
+
+
+def duplicate_sources(catalog: DataFrame, keys=("name", "year")) -> DataFrame:
+    """(name, year) pairs present more than once; a NULL year is a key
+    value of its own.  Partial aggregation keeps a hot name cheap."""
+    return (catalog.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+                   .filter(F.col("n") > 1).select(*keys, F.lit("duplicate").alias("problem")))
 
 
 def lookup_source(catalog: DataFrame, name: str, year: str | None) -> DataFrame:

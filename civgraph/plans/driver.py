@@ -305,6 +305,46 @@ def refresh_plan(spark, sf_dir):
     return C.refresh_plan(cat, hist, now, keys=["user_id"], year=None).select("user_id", "status")
 
 
+def latest_release_by(spark, sf_dir):
+    """A01 per group: each customer's orders of its newest order year."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", _year_text("o_orderdate").alias("release_year"))
+    return R.latest_release(o, "release_year", by=["o_custkey"])
+
+
+def catalog_duplicates(spark, sf_dir):
+    """Duplicate (name, year) catalog keys, NULL year counted as a value."""
+    p = table(spark, sf_dir, "part")
+    cat = p.select(F.col("p_brand").alias("name"),
+                   F.when(F.col("p_size") % 3 == 0, F.lit(None))
+                    .otherwise((2020 + F.col("p_size") % 4).cast("string")).alias("year"))
+    return C.duplicate_sources(cat)
+
+
+def dq_checks(spark, sf_dir):
+    """Q01-Q03: several not_null and unique checks of one model in one report."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", X.null_if("l_returnflag", "R").alias("flag"),
+        X.null_if("l_linestatus", "O").alias("status"))
+    checks = [Q.not_null("flag"), Q.not_null("status"), Q.unique("l_orderkey"),
+              Q.unique("order_line", "cast(l_orderkey as string) || '-' || cast(l_linenumber as string)")]
+    return Q.run_checks(li, checks, "lineitem")
+
+
+def graph_integrity(spark, sf_dir):
+    """Dangling endpoints per relationship and side against the node files."""
+    c = table(spark, sf_dir, "customer")
+    o = table(spark, sf_dir, "orders")
+    p = table(spark, sf_dir, "part")
+    li = table(spark, sf_dir, "lineitem")
+    nodes = {"Customer": G.node(c.filter(F.col("c_nationkey") < 20), "c_custkey", "Customer"),
+             "Order": G.node(o.filter(F.col("o_orderstatus") == "F"), "o_orderkey", "Order"),
+             "Part": G.node(p.filter(F.col("p_size") > 5), "p_partkey", "Part")}
+    rels = {"places": G.edge(o, "o_custkey", "Customer", "o_orderkey", "Order"),
+            "contains": G.edge(li, "l_orderkey", "Order", "l_partkey", "Part")}
+    return G.integrity_report(rels, nodes)
+
+
 QUERIES = {
     "ingest_metadata": ingest_metadata,
     "latest_release": latest_release,
@@ -339,4 +379,8 @@ QUERIES = {
     "dq_unique": dq_unique,
     "catalog_validate": catalog_validate,
     "refresh_plan": refresh_plan,
+    "latest_release_by": latest_release_by,
+    "catalog_duplicates": catalog_duplicates,
+    "dq_checks": dq_checks,
+    "graph_integrity": graph_integrity,
 }
