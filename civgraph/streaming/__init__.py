@@ -1,0 +1,10 @@
+"""Streaming.
+
+The pipeline this library rebuilds is batch only: there is no watermark,
+window, state or late-data handling anywhere in it, and refresh is decided by
+the age of the last download (``operators.catalog.refresh_plan``), not by a
+stream.  No streaming operator is therefore provided; every operator is a
+plain ``DataFrame -> DataFrame`` function and works unchanged on a streaming
+DataFrame where its semantics allow (all the per-row column helpers and the
+bronze ``to_bronze`` step do).
+"""
