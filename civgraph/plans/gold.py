@@ -13,6 +13,9 @@ from civgraph.functions.columns import normalize_label
 from civgraph.operators import graph as G
 
 COM, COMMUNE_DELEGUEE, ARM = ["COM"], ["COMD", "COMA"], ["ARM"]
+# The commune table is the national administrative list (tens of thousands of
+# rows, fixed by law, not by data volume): a proven bound, so the located-in
+# joins broadcast it and never shuffle the establishment table.
 
 
 def nodes(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -71,13 +74,13 @@ def relationships(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
                                           "SubventionPublique", eta, "siret"),                      # E07
         "etablissement_located_in_commune": G.edge_typed(
             eta, "code_commune_etablissement", com, "code_commune", "type_commune", COM,
-            "siret", "Etablissement", "Commune"),                                                   # E08
+            "siret", "Etablissement", "Commune", bounded=True),                                                   # E08
         "etablissement_located_in_commune_deleguee": G.edge_typed(
             eta, "code_commune_etablissement", com, "code_commune", "type_commune", COMMUNE_DELEGUEE,
-            "siret", "Etablissement", "CommuneDeleguee"),                                           # E09
+            "siret", "Etablissement", "CommuneDeleguee", bounded=True),                                           # E09
         "etablissement_located_in_arrondissement": G.edge_typed(
             eta, "code_commune_etablissement", com, "code_commune", "type_commune", ARM,
-            "siret", "Etablissement", "Arrondissement"),                                            # E10
+            "siret", "Etablissement", "Arrondissement", bounded=True),                                            # E10
         "has_departement": G.edge(s["france_departements"], "code_reg", "Region", "code_dep",
                                   "Departement"),                                                   # E11
         "has_commune": G.edge(com.filter(F.col("type_commune").isin(COM)), "code_dep", "Departement",

@@ -16,7 +16,6 @@
 from __future__ import annotations
 
 import csv
-import glob as _glob
 import io
 import os
 from collections.abc import Iterator
@@ -33,9 +32,20 @@ from civgraph.sources.prep import prepare
 PATH_COL = "source_file_path"
 
 
-def list_files(raw_dir: str, pattern: str) -> list[str]:
-    """Files of one source, sorted (local / mounted paths)."""
-    return sorted(_glob.glob(os.path.join(raw_dir, pattern)))
+def list_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Files matching a glob on any Hadoop filesystem, sorted.
+
+    Listed through Spark's ``binaryFile`` source with only the ``path`` column
+    selected, so no file content is read; the result is one row per file of
+    one source (a handful of yearly files), never data.
+    """
+    try:
+        rows = spark.read.format("binaryFile").load(pattern).select("path").collect()
+    except Exception as exc:  # PATH_NOT_FOUND when nothing matches
+        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+            return []
+        raise
+    return sorted(r.path for r in rows)
 
 
 def _with_path(df: DataFrame) -> DataFrame:
@@ -171,7 +181,7 @@ def read_parquet_releases(spark: SparkSession, pattern: str) -> DataFrame:
     except Exception as exc:  # CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE
         if "MERGE" not in str(exc).upper():
             raise
-    files = sorted(_glob.glob(pattern))
+    files = list_files(spark, pattern)
     frames = [spark.read.parquet(f) for f in files]
     types: dict[str, set] = {}
     for f in frames:
@@ -189,7 +199,7 @@ def read_raw(spark: SparkSession, raw_dir: str, name: str) -> DataFrame:
     c = CONTRACTS[name]
     if c.format == "parquet":
         return read_parquet_releases(spark, os.path.join(raw_dir, c.pattern))
-    files = list_files(raw_dir, c.pattern)
+    files = list_files(spark, os.path.join(raw_dir, c.pattern))
     if not files:
         raise FileNotFoundError(f"no file for source {name}: {os.path.join(raw_dir, c.pattern)}")
     return read_csv(spark, c, files)
