@@ -194,12 +194,12 @@ def explode_parties(df: DataFrame, list_col: str, keep: Sequence[str] | None = N
 
     One row per list element; every leaf field of the (possibly nested) element
     struct becomes a top-level column named after the leaf (``rename`` maps
-    leaf -> output name).  NULL and empty lists drop the row; a NULL element
+    leaf -> output name, case-insensitively).  NULL and empty lists drop the row; a NULL element
     yields a row of NULL leaves.  ``count_as`` adds the number of non-NULL
     elements of the original list.  Runs per row (``explode`` is a generator
     inside the same stage): no shuffle.
     """
-    rename = dict(rename or {})
+    rename = {k.lower(): v for k, v in (rename or {}).items()}
     keep = list(keep) if keep is not None else [c for c in df.columns if c != list_col]
     elem_type = df.schema[list_col].dataType.elementType
     pre = [F.col(c) for c in keep]
@@ -210,7 +210,7 @@ def explode_parties(df: DataFrame, list_col: str, keep: Sequence[str] | None = N
     leaves = _leaf_paths(elem_type, "__el")
     passthrough = keep + ([count_as] if count_as else [])
     return exploded.select(*[F.col(c) for c in passthrough],
-                           *[F.col(path).alias(rename.get(name, name)) for path, name in leaves])
+                           *[F.col(path).alias(rename.get(name.lower(), name)) for path, name in leaves])
 
 
 # --- X14 ---------------------------------------------------------------------------

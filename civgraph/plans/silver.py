@@ -213,7 +213,7 @@ def commande_publique_marche(brz: DataFrame) -> DataFrame:   # V07 (all releases
         "source", F.col("marcheinnovant").alias("marche_innovant"),
         F.col("attributionavance").alias("attribution_avance"),
         F.col("soustraitancedeclaree").alias("sous_traitance_declaree"),
-        F.col("idaccordcadre").alias("id_accord_cadre"), "release_year", "source_file_path")
+        F.col("idaccordcadre").alias("id_accord_cadre"), "release_year")
     out = R.explode_parties(flat, "titulaires", count_as="nb_titulaires",
                             rename={"id": "titulaire_id", "typeIdentifiant": "titulaire_type_identifiant"})
     return out.withColumnRenamed("marche_id", "id")
@@ -234,7 +234,7 @@ def commande_publique_concession(brz: DataFrame) -> DataFrame:  # V08 (all relea
         X.parse_date("datedebutexecution").alias("date_debut_execution"),
         F.col("valeurglobale").cast("double").alias("valeur_globale"),
         F.col("montantsubventionpublique").cast("double").alias("montant_subvention_publique"),
-        "concessionnaires", "release_year", "source_file_path")
+        "concessionnaires", "release_year")
     out = R.explode_parties(flat, "concessionnaires",
                             rename={"id": "concesionnaire_id",
                                     "typeIdentifiant": "concesionnaire_type_identifiant"})
@@ -403,7 +403,7 @@ def subvention_caisse_depots(brz: DataFrame) -> DataFrame:   # V14
         pick(brz, "ReferenceDecision").alias("reference_decision"),
         pick(brz, "IdBeneficiaire").cast("string").alias("id_beneficiaire"),
         pick(brz, "NomBeneficiaire").alias("nom_beneficiaire"), pick(brz, "Objet").alias("objet"),
-        pick(brz, "Montant").alias("montant"), pick(brz, "Nature").alias("nature"),
+        pick(brz, "Montant").cast("double").alias("montant"), pick(brz, "Nature").alias("nature"),
         pick(brz, "ConditionsVersement").alias("conditions_versement"),
         pick(brz, "DatesVersement_debut").alias("dates_versement_debut"),
         pick(brz, "DatesVersement_fin").alias("dates_versement_fin"),
@@ -426,7 +426,7 @@ def idf_subvention_association(brz: DataFrame) -> DataFrame:  # V15
         X.null_if(pick(brz, "idBeneficiaire").cast("string"), na).alias("id_beneficiaire"),
         pick(brz, "nomBeneficiaire").alias("nom_beneficiaire"),
         X.null_if(pick(brz, "objet"), na).alias("objet"),
-        pick(brz, "montant").alias("montant"),
+        pick(brz, "montant").cast("double").alias("montant"),
         pick(brz, "datesPeriodeVersement").alias("dates_periode_versement"),
         pick(brz, "delegation").cast("boolean").alias("delegation"),
         pick(brz, "gestionFondsEuropeens").cast("boolean").alias("gestion_fonds_europeens"),
