@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from civgraph.plans import driver_models
 from civgraph.plans.driver import QUERIES, graph_summary
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -23,11 +24,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {**QUERIES, **driver_models.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    return {**_ORACLE, **driver_models.ORACLE}
 
 
 _ORACLE = {

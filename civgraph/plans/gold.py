@@ -51,15 +51,14 @@ def nodes(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def relationships(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    eta, com = s["ent_sirene_etablissement"], s["france_communes"]
-    cp, sub = s["ent_commande_publique"], s["ent_subvention_publique"]
+def contract_relationships(cp: DataFrame, eta: DataFrame) -> dict[str, DataFrame]:
+    """Buyer / grantor and awardee edges of the contract table; the
+    establishment must exist, awardees only when identified by SIRET."""
     marche = cp.filter(F.col("type_contrat") == "marche")
     concession = cp.filter(F.col("type_contrat") == "concession")
     siret_typed = F.col("type_identifiant_titulaire") == "SIRET"
     E = G.edge_existing
     return {
-        "has_etablissement": G.edge(eta, "siren", "UniteLegale", "siret", "Etablissement"),          # E01
         "has_publique_marche": E(marche, "siret_autorite", "Etablissement", "id",
                                  "CommandePubliqueMarche", eta, "siret"),                           # E02
         "has_publique_concession": E(concession, "siret_autorite", "Etablissement", "id",
@@ -68,6 +67,16 @@ def relationships(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
                                    "CommandePubliqueMarche", eta, "siret"),                         # E04
         "gives_publique_concession": E(concession.filter(siret_typed), "id_titulaire", "Etablissement",
                                        "id", "CommandePubliqueConcession", eta, "siret"),           # E05
+    }
+
+
+def relationships(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    eta, com = s["ent_sirene_etablissement"], s["france_communes"]
+    cp, sub = s["ent_commande_publique"], s["ent_subvention_publique"]
+    E = G.edge_existing
+    return {
+        "has_etablissement": G.edge(eta, "siren", "UniteLegale", "siret", "Etablissement"),          # E01
+        **contract_relationships(cp, eta),
         "provides_subvention_publique": E(sub, "siret_crediteur", "Etablissement", "id",
                                           "SubventionPublique", eta, "siret"),                      # E06
         "receives_subvention_publique": E(sub, "siret_beneficiaire", "Etablissement", "id",
