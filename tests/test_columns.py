@@ -91,3 +91,9 @@ def test_surrogate_key_nulls(spark):
 
 def test_int_rounding(spark):
     assert one(spark, X.int_rounding("v"), "1.6") == 2
+
+
+@pytest.mark.parametrize("bad", ["2024-02-30", "2024-3-7T10", " 2024-3-7", "2024", "7/3/2024"])
+def test_parse_date_is_strict(spark, bad):
+    with pytest.raises(Exception):
+        spark.createDataFrame([(bad,)], "v string").select(X.parse_date("v")).collect()
