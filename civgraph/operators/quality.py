@@ -25,9 +25,20 @@ def not_null_failures(df: DataFrame, cols: Sequence[str], test: str = "not_null"
                   .select(F.lit(test).alias("test"), "col", F.col("failures").cast("bigint")))
 
 
-def duplicate_keys(df: DataFrame, key: Column | str, name: str = "k", count_as: str = "n") -> DataFrame:
+def duplicate_keys(df: DataFrame, key: Column | str, name: str = "k", count_as: str = "n",
+                   group_by: list[str] | None = None) -> DataFrame:
     """Key values seen more than once, with their count; NULL keys ignored.
-    Partial aggregation before the shuffle keeps a hot key to one row per task."""
+    Partial aggregation before the shuffle keeps a hot key to one row per task.
+
+    ``group_by``: when ``key`` is an injective, NULL-propagating rendering of
+    these typed columns (e.g. two integers joined by ``-``), group on the
+    columns themselves and render the key only for the duplicated groups —
+    cheaper hashing and a smaller shuffle than grouping on the rendered text.
+    """
+    if group_by:
+        keep = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in group_by])
+        return (df.filter(keep).groupBy(*group_by).agg(F.count(F.lit(1)).alias(count_as))
+                  .filter(F.col(count_as) > 1).select(col_(key).alias(name), count_as))
     return (df.select(col_(key).alias(name)).filter(F.col(name).isNotNull())
               .groupBy(name).agg(F.count(F.lit(1)).alias(count_as))
               .filter(F.col(count_as) > 1))

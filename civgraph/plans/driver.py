@@ -281,7 +281,7 @@ def dq_not_null(spark, sf_dir):
 def dq_unique(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     key = X.concat_strict(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
-    return Q.duplicate_keys(li, key, "k", "n")
+    return Q.duplicate_keys(li, key, "k", "n", group_by=["l_orderkey", "l_linenumber"])
 
 
 def catalog_validate(spark, sf_dir):

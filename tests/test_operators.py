@@ -186,3 +186,11 @@ def test_numbered_lines_and_null_key_spread(spark, tmp_path):
     out = R.lookup_label(df, dim, {"k": "k2"}, {"lab": "lab"})
     assert out.columns == ["k", "v", "lab"]
     assert out.filter("lab = 'A'").count() == 1 and out.filter("lab IS NULL").count() == 50
+
+
+def test_duplicate_keys_typed_grouping_matches_text(spark):
+    df = spark.createDataFrame([(1, 2), (1, 2), (12, 3), (1, 23), (None, 1), (None, 1)], "a bigint, b int")
+    key = F.concat(F.col("a").cast("string"), F.lit("-"), F.col("b").cast("string"))
+    typed = Q.duplicate_keys(df, key, group_by=["a", "b"])
+    text = Q.duplicate_keys(df, key)
+    assert rows(typed, "k", "n") == rows(text, "k", "n") == [("1-2", 2)]
