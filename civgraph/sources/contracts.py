@@ -24,7 +24,7 @@ class Contract:
     skip_lines: int = 0          # preamble lines before the header
     drifting_header: bool = False  # yearly files may reorder / rename columns
     prep: str | None = None      # named preparation step (P03)
-    multiline: bool = True       # quoted fields may hold newlines
+    multiline: bool = True       # quoted fields may hold newlines (file read by one task)
     options: dict = field(default_factory=dict)
 
 
@@ -34,9 +34,10 @@ CONTRACTS: dict[str, Contract] = {c.name: c for c in [
     Contract("commande_publique_concession", "commande-publique-concession_*.parquet", "parquet"),
     Contract("sirene_unite_legale", "sirene-unite-legal_*.parquet", "parquet"),
     Contract("sirene_etablissement", "sirene-etablissement_*.parquet", "parquet"),
-    Contract("france_communes", "communes-france_*.csv"),
-    Contract("france_departements", "departements-france_*.csv"),
-    Contract("france_regions", "regions-france_*.csv"),
+    # code lists without free text: splittable reads
+    Contract("france_communes", "communes-france_*.csv", multiline=False),
+    Contract("france_departements", "departements-france_*.csv", multiline=False),
+    Contract("france_regions", "regions-france_*.csv", multiline=False),
     Contract("culture_convention_subvention", "culture-convention-subvention_*.csv", sep=";",
              encoding="ISO-8859-1"),
     Contract("agriculture_subvention", "agriculture-subvention_*.csv", sep=";",
