@@ -11,7 +11,10 @@ by ``type_contrat`` so the market / concession filters prune files.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from civgraph.operators import quality as Q
 from civgraph.operators.graph import integrity_report, manifest, write_graph
@@ -56,15 +59,17 @@ class Silver:
     """Writes each silver model once and hands back the re-read table."""
 
     def __init__(self, spark: SparkSession, out_dir: str):
-        self.spark, self.root, self.tables = spark, f"{out_dir.rstrip('/')}/silver", {}
+        self.spark, self.root, self.tables, self.seconds = spark, f"{out_dir.rstrip('/')}/silver", {}, {}
 
     def put(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+        t0 = time.perf_counter()
         path = f"{self.root}/{name}.parquet"
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(partition_by)
         w.parquet(path)
         self.tables[name] = self.spark.read.parquet(path)
+        self.seconds[name] = round(time.perf_counter() - t0, 3)
         return self.tables[name]
 
 
@@ -102,7 +107,7 @@ def build_silver(spark: SparkSession, raw_dir: str, seeds_dir: str, out_dir: str
         t["subvention_ministere_agriculture"], t["subvention_anct_ville"],
         t["subvention_ademe_aide_financiere"], t["dotation_soutien_territoire"],
         t["subvention_caisse_depots"], t["idf_subvention_association"], t["fonds_vert_subvention"], ent_eta))
-    return sv.tables
+    return sv
 
 
 def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
@@ -112,20 +117,36 @@ def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def build_all(spark: SparkSession, raw_dir: str, seeds_dir: str, out_dir: str) -> dict:
-    """Run the whole pipeline; returns paths and the failing checks."""
+    """Run the whole pipeline; returns the silver models, output paths, the
+    failing checks and the seconds spent per step."""
     out_dir = out_dir.rstrip("/")
-    silver = build_silver(spark, raw_dir, seeds_dir, out_dir)
+    seconds: dict[str, float] = {}
+    t0 = time.perf_counter()
+    sv = build_silver(spark, raw_dir, seeds_dir, out_dir)
+    silver = sv.tables
+    seconds["silver"] = round(time.perf_counter() - t0, 3)
+    t0 = time.perf_counter()
     report = quality_report(silver)
     report.write.mode("overwrite").parquet(f"{out_dir}/quality/checks.parquet")
     failures = [r.asDict() for r in spark.read.parquet(f"{out_dir}/quality/checks.parquet")
                 .filter("failures > 0").collect()]  # at most one row per check
+    seconds["checks"] = round(time.perf_counter() - t0, 3)
+    t0 = time.perf_counter()
     nodes, rels = gold.nodes(silver), gold.relationships(silver)
     paths = write_graph(nodes, rels, f"{out_dir}/gold/graph", single_file=gold.SINGLE_FILE_NODES)
-    written_nodes = {k: spark.read.option("header", True).csv(p) for k, p in paths["node"].items()}
+    seconds["gold"] = round(time.perf_counter() - t0, 3)
+    t0 = time.perf_counter()
+    def reread(frames: dict, kind: str) -> dict:
+        # the files are re-read as written (text) with their known header: no inference job
+        return {k: spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in frames[k].columns]))
+                .option("header", True).option("escape", '"').csv(p) for k, p in paths[kind].items()}
+    written_nodes = reread(nodes, "node")
     by_label = {next(c for c in df.columns if ":ID(" in c).split("(")[1][:-1]: df
                 for df in written_nodes.values()}
-    written_rels = {k: spark.read.option("header", True).csv(p) for k, p in paths["relationship"].items()}
+    written_rels = reread(rels, "relationship")
     integrity_report(written_rels, by_label).write.mode("overwrite").parquet(f"{out_dir}/quality/integrity.parquet")
     man = manifest(spark, paths["node"], paths["relationship"])
     man.coalesce(1).write.mode("overwrite").json(f"{out_dir}/gold/manifest")
-    return {"silver": sorted(silver), "paths": paths, "failed_checks": failures}
+    seconds["integrity_and_manifest"] = round(time.perf_counter() - t0, 3)
+    return {"silver": sorted(silver), "paths": paths, "failed_checks": failures,
+            "seconds": seconds, "silver_seconds": sv.seconds}
