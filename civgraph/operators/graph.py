@@ -154,14 +154,16 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def write_graph(nodes: Mapping[str, DataFrame], relationships: Mapping[str, DataFrame],
-                out_dir: str, single_file: Sequence[str] = ()) -> dict[str, dict[str, str]]:
-    paths = {"node": {}, "relationship": {}}
-    for label, df in nodes.items():
-        p = f"{out_dir.rstrip('/')}/node/{label}.csv"
-        write_csv(df, p, single_file=label in single_file)
-        paths["node"][label] = p
-    for name, df in relationships.items():
-        p = f"{out_dir.rstrip('/')}/relationship/{name}.csv"
-        write_csv(df, p)
-        paths["relationship"][name] = p
+                out_dir: str, single_file: Sequence[str] = (), max_workers: int = 4) -> dict[str, dict[str, str]]:
+    """Write every node and relationship file; independent writes are
+    submitted concurrently from a few driver threads."""
+    from concurrent.futures import ThreadPoolExecutor
+    base = out_dir.rstrip("/")
+    paths = {"node": {k: f"{base}/node/{k}.csv" for k in nodes},
+             "relationship": {k: f"{base}/relationship/{k}.csv" for k in relationships}}
+    jobs = [(df, paths["node"][k], k in single_file) for k, df in nodes.items()]
+    jobs += [(df, paths["relationship"][k], False) for k, df in relationships.items()]
+    with ThreadPoolExecutor(max_workers=max_workers) as pool:
+        for f in [pool.submit(write_csv, df, p, single) for df, p, single in jobs]:
+            f.result()
     return paths

@@ -55,6 +55,21 @@ CHECKS: dict[str, list[Q.Check]] = {
 }
 
 
+def run_concurrently(tasks: dict, max_workers: int = 4) -> dict:
+    """Run independent Spark actions from a few driver threads.
+
+    Each task submits its own job(s); the scheduler interleaves them on the
+    executors, so small independent models fill cores a single large one
+    leaves idle and per-job latency overlaps.  Results keep the task names.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    if len(tasks) <= 1 or max_workers <= 1:
+        return {k: fn() for k, fn in tasks.items()}
+    with ThreadPoolExecutor(max_workers=max_workers) as pool:
+        futures = {k: pool.submit(fn) for k, fn in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 class Silver:
     """Writes each silver model once and hands back the re-read table."""
 
@@ -72,41 +87,54 @@ class Silver:
         self.seconds[name] = round(time.perf_counter() - t0, 3)
         return self.tables[name]
 
+    def put_many(self, models: dict, partition_by: dict | None = None) -> dict[str, DataFrame]:
+        """Write independent models concurrently (lazy DataFrames or thunks)."""
+        partition_by = partition_by or {}
+        tasks = {k: (lambda k=k, v=v: self.put(k, v() if callable(v) else v, partition_by.get(k)))
+                 for k, v in models.items()}
+        return run_concurrently(tasks)
+
 
 def build_silver(spark: SparkSession, raw_dir: str, seeds_dir: str, out_dir: str) -> dict[str, DataFrame]:
     ensure_pipeline_conf(spark)
     b = lambda n: bronze(spark, raw_dir, n)
     seed = lambda n: read_seed(spark, seeds_dir, n)
     sv = Silver(spark, out_dir)
-    sv.put("france_communes", S.france_communes(b("france_communes")))
-    sv.put("france_departements", S.france_departements(b("france_departements")))
-    sv.put("france_regions", S.france_regions(b("france_regions")))
-    catj = sv.put("insee_categorie_juridique", S.categorie_juridique(seed("insee_sirene_cat_juridique")))
-    ul = sv.put("sirene_unite_legale", S.sirene_unite_legale(b("sirene_unite_legale")))
-    eta = sv.put("sirene_etablissement", S.sirene_etablissement(b("sirene_etablissement")))
-    sv.put("ent_sirene_unite_legale", S.ent_sirene_unite_legale(ul, seed("insee_sirene_naf"), catj))
-    ent_eta = sv.put("ent_sirene_etablissement",
-                     S.ent_sirene_etablissement(eta, seed("nom_activite_artisanat")))
-    m = sv.put("commande_publique_marche", S.commande_publique_marche(b("commande_publique_marche")))
-    c = sv.put("commande_publique_concession",
-               S.commande_publique_concession(b("commande_publique_concession")))
-    sv.put("ent_commande_publique", S.ent_commande_publique(m, c), partition_by="type_contrat")
-    subs = {
-        "subvention_ministere_culture": S.subvention_ministere_culture(b("culture_convention_subvention")),
-        "subvention_ministere_agriculture": S.subvention_ministere_agriculture(b("agriculture_subvention")),
-        "subvention_anct_ville": S.subvention_anct_ville(b("anct_subvention_ville")),
-        "subvention_ademe_aide_financiere": S.subvention_ademe(b("ademe_aide_financiere")),
-        "dotation_soutien_territoire": S.dotation_soutien_territoire(b("dotation_soutien_territoire")),
-        "subvention_caisse_depots": S.subvention_caisse_depots(b("caisse_depots_subvention")),
-        "idf_subvention_association": S.idf_subvention_association(b("idf_subvention_association")),
-        "fonds_vert_subvention": S.fonds_vert_subvention(b("fonds_vert_subvention"), ent_eta),
-    }
-    t = {k: sv.put(k, v) for k, v in subs.items()}
+    # wave 1: models that read raw files and seeds only
+    w1 = sv.put_many({
+        "france_communes": lambda: S.france_communes(b("france_communes")),
+        "france_departements": lambda: S.france_departements(b("france_departements")),
+        "france_regions": lambda: S.france_regions(b("france_regions")),
+        "insee_categorie_juridique": lambda: S.categorie_juridique(seed("insee_sirene_cat_juridique")),
+        "sirene_unite_legale": lambda: S.sirene_unite_legale(b("sirene_unite_legale")),
+        "sirene_etablissement": lambda: S.sirene_etablissement(b("sirene_etablissement")),
+        "commande_publique_marche": lambda: S.commande_publique_marche(b("commande_publique_marche")),
+        "commande_publique_concession": lambda: S.commande_publique_concession(b("commande_publique_concession")),
+        "subvention_ministere_culture": lambda: S.subvention_ministere_culture(b("culture_convention_subvention")),
+        "subvention_ministere_agriculture": lambda: S.subvention_ministere_agriculture(b("agriculture_subvention")),
+        "subvention_anct_ville": lambda: S.subvention_anct_ville(b("anct_subvention_ville")),
+        "subvention_ademe_aide_financiere": lambda: S.subvention_ademe(b("ademe_aide_financiere")),
+        "dotation_soutien_territoire": lambda: S.dotation_soutien_territoire(b("dotation_soutien_territoire")),
+        "subvention_caisse_depots": lambda: S.subvention_caisse_depots(b("caisse_depots_subvention")),
+        "idf_subvention_association": lambda: S.idf_subvention_association(b("idf_subvention_association")),
+    })
+    # wave 2: enrichment and the contract union
+    w2 = sv.put_many({
+        "ent_sirene_unite_legale": lambda: S.ent_sirene_unite_legale(
+            w1["sirene_unite_legale"], seed("insee_sirene_naf"), w1["insee_categorie_juridique"]),
+        "ent_sirene_etablissement": lambda: S.ent_sirene_etablissement(
+            w1["sirene_etablissement"], seed("nom_activite_artisanat")),
+        "ent_commande_publique": lambda: S.ent_commande_publique(
+            w1["commande_publique_marche"], w1["commande_publique_concession"]),
+    }, partition_by={"ent_commande_publique": "type_contrat"})
+    ent_eta = w2["ent_sirene_etablissement"]
+    # wave 3: head-office fill, then the subsidy union
+    fv = sv.put("fonds_vert_subvention", S.fonds_vert_subvention(b("fonds_vert_subvention"), ent_eta))
     sv.put("ent_subvention_publique", S.ent_subvention_publique(
-        t["subvention_ministere_culture"], seed("ministere_culture_division"),
-        t["subvention_ministere_agriculture"], t["subvention_anct_ville"],
-        t["subvention_ademe_aide_financiere"], t["dotation_soutien_territoire"],
-        t["subvention_caisse_depots"], t["idf_subvention_association"], t["fonds_vert_subvention"], ent_eta))
+        w1["subvention_ministere_culture"], seed("ministere_culture_division"),
+        w1["subvention_ministere_agriculture"], w1["subvention_anct_ville"],
+        w1["subvention_ademe_aide_financiere"], w1["dotation_soutien_territoire"],
+        w1["subvention_caisse_depots"], w1["idf_subvention_association"], fv, ent_eta))
     return sv
 
 
@@ -126,16 +154,22 @@ def build_all(spark: SparkSession, raw_dir: str, seeds_dir: str, out_dir: str) -
     silver = sv.tables
     seconds["silver"] = round(time.perf_counter() - t0, 3)
     t0 = time.perf_counter()
-    report = quality_report(silver)
-    report.write.mode("overwrite").parquet(f"{out_dir}/quality/checks.parquet")
-    failures = [r.asDict() for r in spark.read.parquet(f"{out_dir}/quality/checks.parquet")
+
+    def checks() -> list[dict]:
+        quality_report(silver).write.mode("overwrite").parquet(f"{out_dir}/quality/checks.parquet")
+        return [r.asDict() for r in spark.read.parquet(f"{out_dir}/quality/checks.parquet")
                 .filter("failures > 0").collect()]  # at most one row per check
-    seconds["checks"] = round(time.perf_counter() - t0, 3)
-    t0 = time.perf_counter()
+
     nodes, rels = gold.nodes(silver), gold.relationships(silver)
-    paths = write_graph(nodes, rels, f"{out_dir}/gold/graph", single_file=gold.SINGLE_FILE_NODES)
-    seconds["gold"] = round(time.perf_counter() - t0, 3)
+    # the checks read silver only: they run while the graph files are written
+    done = run_concurrently({
+        "checks": checks,
+        "gold": lambda: write_graph(nodes, rels, f"{out_dir}/gold/graph", single_file=gold.SINGLE_FILE_NODES)},
+        max_workers=2)
+    failures, paths = done["checks"], done["gold"]
+    seconds["checks_and_gold"] = round(time.perf_counter() - t0, 3)
     t0 = time.perf_counter()
+
     def reread(frames: dict, kind: str) -> dict:
         # the files are re-read as written (text) with their known header: no inference job
         return {k: spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in frames[k].columns]))
