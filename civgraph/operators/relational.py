@@ -48,19 +48,28 @@ def spread_null_key(df: DataFrame, key: str, out: str) -> DataFrame:
 
 # --- A01 / F11 ---------------------------------------------------------------
 def latest_release(df: DataFrame, release_col: str = "release_year",
-                   by: Sequence[str] | None = None) -> DataFrame:
+                   by: Sequence[str] | None = None, prune_files: bool = False) -> DataFrame:
     """Keep rows of the newest release.
 
     Without ``by``: ``release = (SELECT max(release) FROM df)`` — an
     uncorrelated scalar subquery computed once with partial + final
     aggregation and pushed into the scan as a data filter.
 
+    ``prune_files=True`` (release derived from the file name): the newest
+    release is fetched first as one value — for Parquet answered from file
+    metadata without reading any column — and applied as a literal, which
+    Spark evaluates while listing files, so older releases are never read.
+    Same result as the subquery form; never more I/O.
+
     With ``by``: newest release per group (e.g. per source file stem), done as
     a grouped max joined back on the group key; the grouped side holds one
     row per group, so a hot group only needs AQE's skew-join split of the big
     side, never a whole group in one task.
     """
     if not by:
+        if prune_files:
+            newest = df.agg(F.max(release_col)).first()[0]
+            return df.filter(F.col(release_col) == F.lit(newest))
         newest = df.agg(F.max(release_col)).scalar()
         return df.filter(F.col(release_col) == newest)
     newest = df.groupBy(*by).agg(F.max(release_col).alias("__newest"))

@@ -46,7 +46,7 @@ REGION_COLUMNS = {
 
 
 def _renamed_latest(brz: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    return R.latest_release(brz.select(*renamed(brz, mapping), "release_year"))
+    return R.latest_release(brz.select(*renamed(brz, mapping), "release_year"), prune_files=True)
 
 
 def france_communes(brz: DataFrame) -> DataFrame:            # V01
@@ -121,7 +121,7 @@ ETABLISSEMENT_DOUBLE = {"coordonneeLambertAbscisseEtablissement", "coordonneeLam
 
 def sirene_unite_legale(brz: DataFrame) -> DataFrame:        # V05
     cols = [pick(brz, c).alias(camel_to_snake(c)) for c in UNITE_LEGALE_RAW]
-    return R.latest_release(brz.select(*cols, "release_year"))
+    return R.latest_release(brz.select(*cols, "release_year"), prune_files=True)
 
 
 def sirene_etablissement(brz: DataFrame) -> DataFrame:       # V06
@@ -133,7 +133,7 @@ def sirene_etablissement(brz: DataFrame) -> DataFrame:       # V06
         if c in ETABLISSEMENT_DOUBLE:
             v = v.cast("double")
         cols.append(v.alias(camel_to_snake(c)))
-    return R.latest_release(brz.select(*cols, "release_year"))
+    return R.latest_release(brz.select(*cols, "release_year"), prune_files=True)
 
 
 def ent_sirene_unite_legale(ul: DataFrame, naf: DataFrame, catj: DataFrame) -> DataFrame:  # V17
@@ -314,7 +314,7 @@ def subvention_ministere_culture(brz: DataFrame) -> DataFrame:  # V09
     for head, name in CULTURE_OP_COLUMNS.items():
         variants = [head + CULTURE_OP_SUFFIX.format(q=q) for q in ("'", "''")]
         cols.append(pick(brz, *variants).alias(f"{name}_unite_patrimoniale_concernee_par_lop_fin"))
-    return R.latest_release(brz.select(*cols, "release_year"))
+    return R.latest_release(brz.select(*cols, "release_year"), prune_files=True)
 
 
 def subvention_ministere_agriculture(brz: DataFrame) -> DataFrame:  # V10
@@ -338,7 +338,7 @@ def subvention_ministere_agriculture(brz: DataFrame) -> DataFrame:  # V10
         .alias("pourcentage_montant_attribue_beneficiaire"),
         "release_year")
     # rows whose payer starts with "Généré" are export footers; NULL payers drop too
-    return R.latest_release(out).filter(~F.col("nom_attributaire").like("Généré%"))
+    return R.latest_release(out, prune_files=True).filter(~F.col("nom_attributaire").like("Généré%"))
 
 
 def subvention_anct_ville(brz: DataFrame) -> DataFrame:      # V11
@@ -359,7 +359,7 @@ def subvention_anct_ville(brz: DataFrame) -> DataFrame:      # V11
         pick(brz, "RAE").alias("rae"), pick(brz, "notificationUE").alias("notification_ue"),
         pick(brz, "PourcentageSubvention").cast("double").alias("pourcentage_subvention"),
         "release_year")
-    return R.latest_release(out).filter(F.col("identification_attributaire").isNotNull())
+    return R.latest_release(out, prune_files=True).filter(F.col("identification_attributaire").isNotNull())
 
 
 def subvention_ademe(brz: DataFrame) -> DataFrame:           # V12
@@ -376,7 +376,7 @@ def subvention_ademe(brz: DataFrame) -> DataFrame:           # V12
         pick(brz, "datesPeriodeVersement").alias("dates_periode_versement"),
         pick(brz, "idRAE").alias("id_rae"), pick(brz, "notificationUE").alias("notification_ue"),
         "release_year")
-    return R.latest_release(out)
+    return R.latest_release(out, prune_files=True)
 
 
 def dotation_soutien_territoire(brz: DataFrame) -> DataFrame:  # V13
@@ -392,7 +392,7 @@ def dotation_soutien_territoire(brz: DataFrame) -> DataFrame:  # V13
         X.decimal_comma(pick(brz, "subvention")).alias("subvention"),
         X.decimal_comma(pick(brz, "taux")).alias("taux"),
         "release_year")
-    return R.latest_release(out).filter(F.col("subvention").isNotNull())
+    return R.latest_release(out, prune_files=True).filter(F.col("subvention").isNotNull())
 
 
 def subvention_caisse_depots(brz: DataFrame) -> DataFrame:   # V14
@@ -411,7 +411,7 @@ def subvention_caisse_depots(brz: DataFrame) -> DataFrame:   # V14
         pick(brz, "NotificationUE").alias("notification_ue"),
         pick(brz, "PourcentageSubvention").cast("double").alias("pourcentage_subvention"),
         "release_year")
-    return R.latest_release(out)
+    return R.latest_release(out, prune_files=True)
 
 
 def idf_subvention_association(brz: DataFrame) -> DataFrame:  # V15
@@ -433,11 +433,11 @@ def idf_subvention_association(brz: DataFrame) -> DataFrame:  # V15
         pick(brz, "pourcentageSubvention").cast("double").alias("pourcentage_subvention"),
         pick(brz, "dispositifAide").alias("dispositif_aide"),
         "release_year")
-    return R.latest_release(out)
+    return R.latest_release(out, prune_files=True)
 
 
 def fonds_vert_subvention(brz: DataFrame, etablissements: DataFrame) -> DataFrame:  # V16
-    newest = R.latest_release(brz)
+    newest = R.latest_release(brz, prune_files=True)
     filled = R.fill_from_primary(newest, head_offices(etablissements), "siren", "siren", "siret",
                                  "__siret", own_value=pick(brz, "siret_beneficiaire"))
     keep = ["nom_region", "code_departement", "nom_departement", "code_commune", "nom_commune",

@@ -194,3 +194,14 @@ def test_duplicate_keys_typed_grouping_matches_text(spark):
     typed = Q.duplicate_keys(df, key, group_by=["a", "b"])
     text = Q.duplicate_keys(df, key)
     assert rows(typed, "k", "n") == rows(text, "k", "n") == [("1-2", 2)]
+
+
+def test_latest_release_prunes_older_release_files(spark, tmp_path):
+    from civgraph.functions.columns import release_year
+    for y in (2024, 2026):
+        spark.range(10).withColumn("y", F.lit(y)).write.parquet(str(tmp_path / f"src_{y}.parquet"))
+    df = (spark.read.parquet(str(tmp_path / "src_*.parquet"))
+          .withColumn("release_year", release_year(F.col("_metadata.file_path"))))
+    out = R.latest_release(df, prune_files=True)
+    assert {r.y for r in out.collect()} == {2026} and out.count() == 10
+    assert rows(R.latest_release(df), "y") == rows(out, "y")
