@@ -100,25 +100,36 @@ def integrity_report(relationships: Mapping[str, DataFrame],
     """Dangling endpoint count per relationship and side.
 
     ``nodes`` maps an id space (label) to its node frame; the label of each
-    endpoint is read from the relationship header.  One anti join per
-    (relationship, side), each aggregated to a single row before the union.
+    endpoint is read from the relationship header.  Each relationship is
+    scanned once: every endpoint gets an ``EXISTS`` flag (an existence join,
+    which never duplicates rows even if a node id repeats) and one aggregate
+    counts the misses of both sides.  NULL endpoints count as dangling and
+    are spread over many reducers first.
     """
+    from civgraph.operators.relational import spread_null_key
+
     def id_column(frame: DataFrame) -> str:
         return next(c for c in frame.columns if ":ID(" in c)
 
     parts = []
     for rel_name, rel in relationships.items():
-        for col_name in rel.columns:
-            if not (col_name.startswith(":START_ID(") or col_name.startswith(":END_ID(")):
-                continue
+        ends = [c for c in rel.columns if c.startswith(":START_ID(") or c.startswith(":END_ID(")]
+        keyed = rel
+        flags, meta = [], []
+        for i, col_name in enumerate(ends):
             label = col_name[col_name.index("(") + 1:-1]
             side = "start" if col_name.startswith(":START") else "end"
-            node_df = nodes[label]
-            bad = dangling(rel.select(F.col(f"`{col_name}`").alias("__ep")), "__ep",
-                           node_df, f"`{id_column(node_df)}`")
-            parts.append(bad.agg(F.count(F.lit(1)).alias("dangling"))
-                            .select(F.lit(rel_name).alias("relationship"), F.lit(side).alias("side"),
-                                    F.lit(label).alias("id_space"), "dangling"))
+            keyed = spread_null_key(keyed, col_name, f"__ep{i}")
+            ids = nodes[label].select(F.col(f"`{id_column(nodes[label])}`").alias(f"__id{i}"))
+            flags.append(ids.where(F.col(f"__id{i}") == F.col(f"__ep{i}").outer()).exists().alias(f"__ok{i}"))
+            meta.append((i, side, label))
+        counts = keyed.select(*flags).agg(*[F.count_if(~F.col(f"__ok{i}")).alias(f"__n{i}") for i, _, _ in meta])
+        # one aggregate row -> one row per side (a union of two selects over
+        # the same aggregate would be pruned into two scans)
+        per_side = F.explode(F.array(*[F.struct(F.lit(side).alias("side"), F.lit(label).alias("id_space"),
+                                                F.col(f"__n{i}").alias("dangling")) for i, side, label in meta]))
+        parts.append(counts.select(F.lit(rel_name).alias("relationship"), per_side.alias("__r"))
+                           .select("relationship", "__r.side", "__r.id_space", "__r.dangling"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
