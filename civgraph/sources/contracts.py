@@ -23,7 +23,7 @@ class Contract:
     encoding: str = "UTF-8"
     skip_lines: int = 0          # preamble lines before the header
     drifting_header: bool = False  # yearly files may reorder / rename columns
-    prep: str | None = None      # named preparation step (P03)
+    prep: dict = field(default_factory=dict)  # file-name glob -> named preparation step (P03)
     multiline: bool = True       # quoted fields may hold newlines (file read by one task)
     options: dict = field(default_factory=dict)
 
@@ -43,7 +43,8 @@ CONTRACTS: dict[str, Contract] = {c.name: c for c in [
     Contract("agriculture_subvention", "agriculture-subvention_*.csv", sep=";",
              encoding="windows-1252", skip_lines=2),
     Contract("anct_subvention_ville", "anct-subvention-ville-*.csv", sep=";",
-             encoding="windows-1252", drifting_header=True),
+             encoding="windows-1252", drifting_header=True,
+             prep={"anct-subvention-ville-2019_*.csv": "anct_subvention_ville_2019"}),
     Contract("ademe_aide_financiere", "ademe-aide-financiere_*.csv"),
     Contract("dotation_soutien_territoire", "dotation-soutien-territoire-*.csv", sep=";",
              drifting_header=True),

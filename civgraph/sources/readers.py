@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 import csv
+import fnmatch
 import io
 import os
 from collections.abc import Iterator
@@ -62,11 +63,22 @@ def _csv_reader(spark: SparkSession, c: Contract):
     return r
 
 
+def prep_step(c: Contract, path: str) -> str | None:
+    """The preparation step a contract attaches to this file, if any."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    return next((step for pattern, step in c.prep.items() if fnmatch.fnmatch(name, pattern)), None)
+
+
 def read_csv(spark: SparkSession, c: Contract, files: list[str]) -> DataFrame:
-    if c.skip_lines or c.prep:
-        return union_by_name([read_csv_lines(spark, c, f) for f in files])
-    if c.drifting_header:
-        return union_by_name([_with_path(_csv_reader(spark, c).csv(f)) for f in files])
+    if c.skip_lines or c.prep or c.drifting_header:
+        frames = []
+        for f in files:
+            step = prep_step(c, f)
+            if c.skip_lines or step:
+                frames.append(read_csv_lines(spark, c, f, step))
+            else:
+                frames.append(_with_path(_csv_reader(spark, c).csv(f)))
+        return union_by_name(frames)
     return _with_path(_csv_reader(spark, c).option("enforceSchema", False).csv(files))
 
 
@@ -140,24 +152,25 @@ def _first_lines(spark: SparkSession, path: str, encoding: str, n: int) -> list[
     return lines
 
 
-def _header(spark: SparkSession, c: Contract, path: str) -> tuple[list[str], int]:
+def _header(spark: SparkSession, c: Contract, path: str, step: str | None) -> tuple[list[str], int]:
     """Header columns of one file and the header's line number."""
     first = _first_lines(spark, path, c.encoding, c.skip_lines + 2)
     line_no = c.skip_lines + 1
-    if c.prep and len(first) > c.skip_lines and set(first[c.skip_lines].strip()) == {";"}:
+    if step and len(first) > c.skip_lines and set(first[c.skip_lines].strip()) == {";"}:
         line_no += 1
     header = first[line_no - 1]
-    if c.prep:
+    if step:
         header = header.replace('"""', '"')
     return next(csv.reader(io.StringIO(header), delimiter=c.sep)), line_no
 
 
-def read_csv_lines(spark: SparkSession, c: Contract, path: str) -> DataFrame:
-    """One CSV file through the line route (preamble skip and/or line repair)."""
-    header, header_no = _header(spark, c, path)
+def read_csv_lines(spark: SparkSession, c: Contract, path: str, step: str | None = None) -> DataFrame:
+    """One CSV file through the line route (preamble skip and/or a line
+    preparation step such as the separator-line / tripled-quote repair)."""
+    header, header_no = _header(spark, c, path, step)
     lines = numbered_lines(spark, path, c.encoding)
-    if c.prep:
-        lines = prepare(c.prep, lines)  # drops a separator-only first line, repairs quotes
+    if step:
+        lines = prepare(step, lines)  # e.g. drops a separator-only first line, repairs quotes
     body = lines.filter(~((F.col("block_start") == 0) & (F.col("line_no") <= header_no)))
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
     parsed = body.filter(F.length("value") > 0).select(

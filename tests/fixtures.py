@@ -165,6 +165,11 @@ def write_subsidies(raw: str) -> None:
               "Identification du bénéficiaire", "Nom du bénéficiaire", "Date de versement"]
     _csv(f"{raw}/anct-subvention-ville-2023_2026.csv", anct_b, [
         ["01234567800011", "ANCT", "10,5", "11111111100015", "Club", "03/02/2023"]], sep=";", encoding="cp1252")
+    # the 2019 file needs the line repair: a separator-only first line and tripled quotes
+    with open(f"{raw}/anct-subvention-ville-2019_2026.csv", "w", encoding="cp1252", newline="") as fh:
+        fh.write(";;;;;;\n")
+        fh.write(";".join(anct_b) + "\n")
+        fh.write('01234567800011;ANCT;"""7,5""";22222222200012;"""Ville de Paris""";01/02/2019\n')
     _csv(f"{raw}/ademe-aide-financiere_2026.csv",
          ["Nom de l attribuant", "idAttribuant", "dateConvention", "referenceDecision", "nomBeneficiaire",
           "idBeneficiaire", "objet", "dispositifAide", "montant", "nature", "conditionsVersement",

@@ -110,7 +110,8 @@ def test_agriculture_preamble_encoding_and_amount(spark, built):
 
 def test_anct_union_by_name_and_dates(spark, built):
     a = by(silver(spark, built, "subvention_anct_ville"), "nom_beneficiaire")
-    assert set(a) == {"Asso", "n", "Club"}  # NULL payer dropped, both yearly files kept
+    assert set(a) == {"Asso", "n", "Club", "Ville de Paris"}  # NULL payer dropped, all yearly files kept
+    assert a["Ville de Paris"]["montant_total_subvention"] == 7.5  # 2019 file repaired before parsing
     assert a["Asso"]["date_versement"] == dt.date(2024, 1, 5)
     assert a["Asso"]["date_convention_subvention"] == dt.date(2024, 1, 5)
     assert a["Asso"]["montant_total_subvention"] == 1234.56 and a["Asso"]["reference_decision"] == "R1"
@@ -131,7 +132,7 @@ def test_culture_and_fonds_vert(spark, built):
 
 def test_subsidy_union(spark, built):
     s = silver(spark, built, "ent_subvention_publique")
-    assert s.count() == 11 and s.select("id").distinct().count() == 11
+    assert s.count() == 12 and s.select("id").distinct().count() == 12
     per = {r["origine_data"]: r for r in s.collect()}
     cul = per["Ministère de la culture"]
     assert (cul["siret_crediteur"], cul["nom_projet"], cul["code_commune"]) == ("01234567800011", "Culture - ", "75056")
