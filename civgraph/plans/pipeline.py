@@ -22,7 +22,11 @@ from civgraph.plans import gold
 from civgraph.plans import silver as S
 from civgraph.plans.bronze import bronze
 from civgraph.session import ensure_pipeline_conf
-from civgraph.sources.readers import read_seed
+from civgraph.sources.prep import write_contract_document
+from civgraph.sources.readers import list_files, read_contract_document, read_seed
+
+# Fixed value: landing name of the consolidated procurement document.
+CONTRACT_DOCUMENT_PATTERN = "commande-publique-france_*.json"
 
 # Q01-Q03: the silver data tests (model -> checks).
 CHECKS: dict[str, list[Q.Check]] = {
@@ -144,12 +148,25 @@ def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def build_all(spark: SparkSession, raw_dir: str, seeds_dir: str, out_dir: str) -> dict:
+def prepare_raw(spark: SparkSession, raw_dir: str) -> list[str]:
+    """Raw preparation (P01/K03): split every landed procurement document into
+    the market and concession datasets named by the document's year."""
+    docs = list_files(spark, f"{raw_dir.rstrip('/')}/{CONTRACT_DOCUMENT_PATTERN}")
+    for doc in docs:
+        write_contract_document(read_contract_document(spark, doc), doc, raw_dir)
+    return docs
+
+
+def build_all(spark: SparkSession, raw_dir: str, seeds_dir: str, out_dir: str, prepare: bool = True) -> dict:
     """Run the whole pipeline; returns the silver models, output paths, the
     failing checks and the seconds spent per step."""
     out_dir = out_dir.rstrip("/")
     seconds: dict[str, float] = {}
     t0 = time.perf_counter()
+    if prepare:
+        prepare_raw(spark, raw_dir)
+        seconds["prepare_raw"] = round(time.perf_counter() - t0, 3)
+    t0 = time.perf_counter()
     sv = build_silver(spark, raw_dir, seeds_dir, out_dir)
     silver = sv.tables
     seconds["silver"] = round(time.perf_counter() - t0, 3)

@@ -221,8 +221,7 @@ def write_seeds(seeds: str) -> None:
 
 
 def write_all(root: str, spark=None) -> tuple[str, str]:
-    """Write every raw source and seed under ``root``; the procurement document
-    goes through the P01 split (needs ``spark``)."""
+    """Write every raw source and seed under ``root``."""
     raw, seeds = os.path.join(root, "raw"), os.path.join(root, "seeds")
     os.makedirs(raw, exist_ok=True)
     os.makedirs(seeds, exist_ok=True)
@@ -230,11 +229,7 @@ def write_all(root: str, spark=None) -> tuple[str, str]:
     write_sirene(raw)
     write_subsidies(raw)
     write_seeds(seeds)
-    doc = os.path.join(root, "commande-publique-france_2026.json")
-    with open(doc, "w", encoding="utf-8") as fh:
+    # the procurement document lands as JSON; the pipeline's preparation step splits it
+    with open(os.path.join(raw, "commande-publique-france_2026.json"), "w", encoding="utf-8") as fh:
         json.dump(contract_document(), fh, ensure_ascii=False, indent=1)
-    if spark is not None:
-        from civgraph.sources.prep import write_contract_document
-        from civgraph.sources.readers import read_contract_document
-        write_contract_document(read_contract_document(spark, doc), doc, raw)
     return raw, seeds

@@ -205,3 +205,30 @@ def test_latest_release_prunes_older_release_files(spark, tmp_path):
     out = R.latest_release(df, prune_files=True)
     assert {r.y for r in out.collect()} == {2026} and out.count() == 10
     assert rows(R.latest_release(df), "y") == rows(out, "y")
+
+
+def test_prep_steps(spark):
+    from civgraph.sources import prep as P
+    assert P.document_year("s3://b/raw/commande-publique-france_2026.json") == "2026"
+    with pytest.raises(ValueError):
+        P.document_year("/raw/commande-publique-france.json")
+    with pytest.raises(ValueError):
+        P.prepare("no_such_step", spark.range(1))
+    lines = spark.createDataFrame([(";;;;", 1), ('a;"""b""";c', 2), (";;", 3)], "value string, line_no long")
+    out = sorted((r.line_no, r.value) for r in P.repair_lines(lines).collect())
+    assert out == [(2, 'a;"b";c'), (3, ";;")]  # only a separator-only FIRST line is dropped
+
+
+def test_split_contract_document_mixed_scalars(spark, tmp_path):
+    import json
+    from civgraph.sources import prep as P
+    from civgraph.sources.readers import read_contract_document
+    doc = {"marches": {"marche": [{"id": "1", "offresRecues": 3}, {"id": "2", "offresRecues": "NC"}],
+                       "contrat-concession": [{"id": "c"}]}}
+    path = tmp_path / "commande-publique-france_2025.json"
+    path.write_text(json.dumps(doc))
+    parts = P.split_contract_document(read_contract_document(spark, str(path)))
+    assert sorted(r.offresRecues for r in parts["marche"].collect()) == ["3", "NC"]
+    assert parts["concession"].count() == 1
+    paths = P.write_contract_document(read_contract_document(spark, str(path)), str(path), str(tmp_path))
+    assert paths["marche"].endswith("commande-publique-marche_2025.parquet")
