@@ -51,21 +51,18 @@ def ensure_pipeline_conf(spark: SparkSession) -> None:
             pass
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is always used as-is.
-    Only when it is unset (local tests) do we create a private folder.
+    On a cluster this setting names shared storage and is used as-is; it is
+    never replaced by a machine-local folder.  Only a local-mode session with
+    the setting unset (tests) gets a private temporary folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            return None
         path = tempfile.mkdtemp(prefix="civgraph-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path
-
-
-def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder (for materialised intermediates)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([base, *parts])
