@@ -24,6 +24,7 @@ from civgraph.plans import gold
 from civgraph.plans import silver as S
 from civgraph.plans.driver import table
 from civgraph.sources.contracts import CONCESSION_SCHEMA, MARCHE_SCHEMA
+from civgraph.sources.readers import ensure_parallelism
 
 _RELEASE = [T.StructField("release_year", T.StringType())]
 BRONZE_MARCHE = T.StructType(MARCHE_SCHEMA.fields + _RELEASE)
@@ -45,7 +46,9 @@ def _party(wrapper: str, kind: F.Column | str, ident: F.Column) -> F.Column:
 
 
 def bronze_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    # every line item becomes a nested record and is then unnested: heavy
+    # per-row work, so make sure the scan is spread over the cores
+    li = ensure_parallelism(table(spark, sf_dir, "lineitem"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     both = F.array(_party("titulaire", "SIRET", supplier_siret("l_suppkey")),
