@@ -227,10 +227,11 @@ def with_surrogate_key(df: DataFrame, out: str, cols: Sequence[Column | str],
                        lineage: bool = False, sep: str = "|") -> DataFrame:
     """Add a deterministic md5 key over ``cols``.
 
-    ``lineage=True`` adds the row's own position (input file and row index from
-    the scan metadata when present, else a partition-stable row number) so
-    exact duplicate rows still get distinct ids without any shuffle or
-    window.  Materialise the result before several outputs read it.
+    ``lineage=True`` adds the row's position (``monotonically_increasing_id``:
+    partition index and row number within it, a function of the input splits,
+    so a retried task reproduces it) so exact duplicate rows still get
+    distinct ids without any shuffle or window.  Materialise the result before
+    several outputs read it (the pipeline writes it as a silver table).
     """
     parts = list(cols)
     if lineage:
