@@ -135,3 +135,142 @@ UNION ALL SELECT 'has_publique_concession', count(*) FROM c WHERE grantor IN (SE
 UNION ALL SELECT 'gives_publique_marche', count(*) FROM mu WHERE typ='SIRET' AND tit IN (SELECT siret FROM eta)
 UNION ALL SELECT 'gives_publique_concession', count(*) FROM c WHERE typ='SIRET' AND tit IN (SELECT siret FROM eta)""",
 }
+
+
+# ---------------------------------------------------------------- subsidies
+# One subsidy per line item, the source chosen by the line number (1..7), and
+# one territorial grant per order.  Release '2025' for every tenth order, so
+# the newest-release filter has something to drop.
+def _release(key: str, modulo: int = 10) -> F.Column:
+    return F.when(F.col(key) % modulo == 0, F.lit("2025")).otherwise(F.lit("2026"))
+
+
+def _commune(c) -> F.Column:
+    return F.lpad((c % 1000).cast("string"), 5, "0")
+
+
+def _ref(prefix: str = "R") -> F.Column:
+    return F.concat(F.lit(prefix), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+
+
+def bronze_subsidies(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    li = ensure_parallelism(table(spark, sf_dir, "lineitem"))  # heavy per-row derivation follows
+    o = table(spark, sf_dir, "orders")
+    l2 = li.join(o.select("o_orderkey", "o_custkey"), li["l_orderkey"] == o["o_orderkey"], "inner")
+    line = lambda k: l2.filter(F.col("l_linenumber") == k)
+    benef = customer_siret("o_custkey")
+    payer = supplier_siret("l_suppkey")
+    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    price = F.col("l_extendedprice").cast("string")
+    op = "unité patrimoniale concernée par l'op. fin."
+    orderkey = F.col("l_orderkey")
+    out = {
+        "culture": line(1).select(
+            F.year("l_shipdate").cast("string").alias("Année"), F.lit("DRAC").alias("Origine des crédits"),
+            F.when(orderkey % 3 == 0, "ALGERIA").when(orderkey % 3 == 1, "BRAZIL").otherwise("NOWHERE")
+             .alias("Détail origine des crédits"),
+            price.alias("Montant engagé"), F.lit("Benef").alias("Nom du bénéficiaire"),
+            benef.alias("N° SIRET du bénéficiaire"), _ref("EJ").alias("N° EJ"), F.lit("Culture").alias("Mission"),
+            F.when(orderkey % 2 == 1, F.col("l_linestatus")).alias("Programme"),
+            F.concat(F.lit("Activité "), F.col("l_returnflag")).alias("Activité libellé long"),
+            _commune(F.col("o_custkey")).alias("Code commune du bénéficiaire"),
+            F.when(orderkey % 4 == 0, _commune(F.col("l_suppkey"))).alias(f"Code commune {op}"),
+            _release("l_orderkey").alias("release_year")),
+        "agriculture": line(2).select(
+            F.when(orderkey % 50 == 0, "Généré le 01/01/2026").when(orderkey % 51 == 0, F.lit(None))
+             .otherwise("Ministère").alias("Nom attributaire*"),
+            F.concat(F.substring(payer, 1, 3), F.lit(" "), F.substring(payer, 4, 11))
+             .alias("Identification de l'attributaire*"),
+            day.alias("Date de convention*"), _ref("D ").alias("Référence de la décision"),
+            benef.alias("Identification du bénéficiaire*"), F.lit("Ferme").alias("Nom du bénéficiaire*"),
+            F.lit("Objet").alias("Objet de la convention"),
+            F.concat(((orderkey % 100000 + 1000) / 1000).cast("int").cast("string"), F.lit(" "),
+                     F.lpad(((orderkey % 100000 + 1000) % 1000).cast("string"), 3, "0"))
+             .alias("Montant total de la subvention*"),
+            _release("l_orderkey").alias("release_year")),
+        "anct": line(3).select(
+            F.lit("ANCT").alias("Nom de l'attribuant"),
+            F.when(orderkey % 20 != 0, payer).alias("Identification de l'attributaire"),
+            _ref("R ").alias("Référence de la décision"), benef.alias("Identification du bénéficiaire"),
+            F.lit("Asso").alias("Nom du bénéficiaire"), F.lit("Objet").alias("Objet de la subvention"),
+            F.replace(price, F.lit("."), F.lit(",")).alias("Montant total de la subvention"),
+            F.when(orderkey % 3 == 0, "garbage").when(orderkey % 3 == 1, F.date_format("l_shipdate", "yyyy/M/d"))
+             .otherwise(F.date_format("l_shipdate", "dd/MM/yyyy")).alias("Date de versement"),
+            F.date_format("l_shipdate", "d/M/yyyy").alias("Date de la convention de subvention"),
+            _release("l_orderkey").alias("release_year")),
+        "ademe": line(4).select(
+            F.lit("ADEME").alias("Nom de l attribuant"), payer.alias("idAttribuant"), day.alias("dateConvention"),
+            _ref().alias("referenceDecision"), F.lit("B").alias("nomBeneficiaire"), benef.alias("idBeneficiaire"),
+            F.lit("Objet").alias("objet"), price.alias("montant"), _release("l_orderkey").alias("release_year")),
+        "caisse": line(5).select(
+            F.lit("CDC").alias("nomAttribuant"), payer.alias("IdAttribuant"),
+            F.date_format("l_shipdate", "yyyy-MM").alias("DateConvention"), _ref().alias("ReferenceDecision"),
+            benef.alias("IdBeneficiaire"), F.lit("B").alias("NomBeneficiaire"), F.lit("Objet").alias("Objet"),
+            price.alias("Montant"), _release("l_orderkey").alias("release_year")),
+        "idf": line(6).select(
+            payer.alias("idAttribuant"), F.lit("IDF").alias("nomAttribuant"), day.alias("dateConvention"),
+            F.when(orderkey % 3 == 0, "#N/A").otherwise(_ref()).alias("referenceDecision"),
+            F.when(orderkey % 5 == 0, "#N/A").otherwise(benef).alias("idBeneficiaire"),
+            F.lit("B").alias("nomBeneficiaire"), F.when(orderkey % 7 == 0, "#N/A").otherwise("Objet").alias("objet"),
+            price.alias("montant"), _release("l_orderkey").alias("release_year")),
+        "fonds_vert": line(7).select(
+            _commune(F.col("o_custkey")).alias("code_commune"), F.concat(F.lit("DS"), _ref("")).alias("numero_dossier_ds"),
+            F.lit("Projet").alias("nom_du_projet"), F.lit("Ville").alias("nom_beneficiaire_principal"),
+            F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("siren"), price.alias("montant_engage"),
+            F.lit("Résumé").alias("resume_du_projet"), F.when(orderkey % 2 == 1, _ref("EJ")).alias("numero_ej"),
+            F.lit("Op").alias("opérateur"), F.when(orderkey % 3 != 0, benef).alias("siret_beneficiaire"),
+            F.year("l_shipdate").cast("string").alias("exercice"), _release("l_orderkey").alias("release_year")),
+        "dotation": o.select(
+            F.year("o_orderdate").cast("string").alias("exercice"), F.lit("DETR").alias("dispositif"),
+            F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("beneficiaire_siren"),
+            F.lit("Commune").alias("beneficiaire_nom"), _commune(F.col("o_custkey")).alias("beneficiaire_code_insee"),
+            F.col("o_orderpriority").alias("intitule"),
+            F.when(F.col("o_orderkey") % 10 != 0,
+                   F.replace(F.col("o_totalprice").cast("string"), F.lit("."), F.lit(","))).alias("subvention"),
+            _release("o_orderkey", 7).alias("release_year")),
+    }
+    return out
+
+
+def subsidy_reference(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Culture divisions (one per nation, a bounded list) and establishments:
+    one per customer, head office unless the key is a multiple of 4."""
+    n = table(spark, sf_dir, "nation")
+    divisions = n.select(F.lit("DRAC").alias("type_division"), F.col("n_name").alias("nom_division"),
+                         customer_siret(F.col("n_nationkey") + 1).alias("siret"))
+    c = table(spark, sf_dir, "customer")
+    eta = c.select(F.lpad(F.col("c_custkey").cast("string"), 9, "0").alias("siren"),
+                   customer_siret("c_custkey").alias("siret"),
+                   (F.col("c_custkey") % 4 != 0).alias("etablissement_siege"))
+    return divisions, eta
+
+
+def model_subsidy_union(spark, sf_dir):
+    """Eight subsidy sources cleaned and conformed into one shape."""
+    b = bronze_subsidies(spark, sf_dir)
+    divisions, eta = subsidy_reference(spark, sf_dir)
+    # the release is a computed column here, not a file name: scalar-subquery form
+    kw = {"prune_files": False}
+    v20 = S.ent_subvention_publique(
+        S.subvention_ministere_culture(b["culture"], **kw), divisions,
+        S.subvention_ministere_agriculture(b["agriculture"], **kw), S.subvention_anct_ville(b["anct"], **kw),
+        S.subvention_ademe(b["ademe"], **kw), S.dotation_soutien_territoire(b["dotation"], **kw),
+        S.subvention_caisse_depots(b["caisse"], **kw), S.idf_subvention_association(b["idf"], **kw),
+        S.fonds_vert_subvention(b["fonds_vert"], eta, **kw), eta)
+    return v20.drop("id")
+
+
+QUERIES["model_subsidy_union"] = model_subsidy_union
+
+ORACLE["model_subsidy_union"] = r"""WITH l2 AS (SELECT l.*, o_custkey, lpad(CAST(o_custkey AS VARCHAR),14,'0') AS benef, '9'||lpad(CAST(l_suppkey AS VARCHAR),13,'0') AS payer, lpad(CAST(o_custkey % 1000 AS VARCHAR),5,'0') AS commune FROM lineitem l JOIN orders ON l_orderkey=o_orderkey WHERE l_orderkey % 10 <> 0),
+eta AS (SELECT lpad(CAST(c_custkey AS VARCHAR),9,'0') AS siren, lpad(CAST(c_custkey AS VARCHAR),14,'0') AS siret FROM customer WHERE c_custkey % 4 <> 0),
+div AS (SELECT 'DRAC' AS type_division, n_name AS nom_division, lpad(CAST(n_nationkey+1 AS VARCHAR),14,'0') AS siret FROM nation),
+culture AS (SELECT make_date(year(l_shipdate),1,1) AS date_subvention, coalesce(CASE WHEN l_orderkey%4=0 THEN lpad(CAST(l_suppkey % 1000 AS VARCHAR),5,'0') END, commune) AS code_commune, concat('Culture',' - ',CASE WHEN l_orderkey%2=1 THEN l_linestatus END) AS nom_projet, 'Activité '||l_returnflag AS description_projet, 'EJ'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR) AS reference_decision, 'Benef' AS nom_beneficiaire, benef AS siret_beneficiaire, div.siret AS siret_crediteur, CAST(CAST(l_extendedprice AS VARCHAR) AS DOUBLE) AS montant, 'culture' AS domaine, 'Ministère de la culture' AS origine_data FROM l2 LEFT JOIN div ON div.type_division='DRAC' AND div.nom_division = CASE WHEN l_orderkey%3=0 THEN 'ALGERIA' WHEN l_orderkey%3=1 THEN 'BRAZIL' ELSE 'NOWHERE' END WHERE l_linenumber=1),
+agri AS (SELECT CAST(l_shipdate AS DATE), NULL, NULL, 'Objet', 'D'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR), 'Ferme', benef, payer, CAST(l_orderkey % 100000 + 1000 AS DOUBLE), 'agriculture', 'Ministère de l''agriculture' FROM l2 WHERE l_linenumber=2 AND l_orderkey%50<>0 AND l_orderkey%51<>0),
+anct AS (SELECT CAST(l_shipdate AS DATE), NULL, NULL, 'Objet', 'R'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR), 'Asso', benef, payer, l_extendedprice, 'territoires', 'Agence nationale de la cohésion des territoires' FROM l2 WHERE l_linenumber=3 AND l_orderkey%20<>0),
+ademe AS (SELECT CAST(l_shipdate AS DATE), NULL, NULL, 'Objet', 'R'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR), 'B', benef, payer, l_extendedprice, 'environnement', 'Agence de l''environnement et de la maîtrise de l''énergie' FROM l2 WHERE l_linenumber=4),
+dot AS (SELECT make_date(year(o_orderdate),1,1), lpad(CAST(o_custkey % 1000 AS VARCHAR),5,'0'), o_orderpriority, o_orderpriority, NULL, 'Commune', eta.siret, NULL, o_totalprice, 'territoires', 'Direction générale des collectivités territoriales' FROM orders LEFT JOIN eta ON lpad(CAST(o_custkey AS VARCHAR),9,'0')=eta.siren WHERE o_orderkey % 7 <> 0 AND o_orderkey % 10 <> 0),
+caisse AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE), NULL, NULL, 'Objet', 'R'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR), 'B', benef, payer, l_extendedprice, 'developpement', 'Caisse des Dépôts' FROM l2 WHERE l_linenumber=5),
+idf AS (SELECT CAST(l_shipdate AS DATE), NULL, NULL, CASE WHEN l_orderkey%7=0 THEN NULL ELSE 'Objet' END, CASE WHEN l_orderkey%3=0 THEN NULL ELSE 'R'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR) END, 'B', CASE WHEN l_orderkey%5=0 THEN NULL ELSE benef END, payer, l_extendedprice, 'association', 'Région Île-de-France' FROM l2 WHERE l_linenumber=6),
+fv AS (SELECT make_date(year(l_shipdate),1,1), commune, 'Projet', 'Résumé', coalesce(CASE WHEN l_orderkey%2=1 THEN 'EJ'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR) END, 'DS'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR)), 'Ville', coalesce(CASE WHEN l_orderkey%3<>0 THEN benef END, eta.siret), '11006801200050', l_extendedprice, 'environnement', 'Ministère de la Transition écologique' FROM l2 LEFT JOIN eta ON lpad(CAST(o_custkey AS VARCHAR),9,'0')=eta.siren WHERE l_linenumber=7)
+SELECT * FROM culture UNION ALL SELECT * FROM agri UNION ALL SELECT * FROM anct UNION ALL SELECT * FROM ademe UNION ALL SELECT * FROM dot UNION ALL SELECT * FROM caisse UNION ALL SELECT * FROM idf UNION ALL SELECT * FROM fv"""

@@ -1,6 +1,11 @@
 """Silver models (V01-V20): rename, clean, cast, latest release, unnest,
 enrich and conform — declarative select lists over the bronze frames using
-the column helpers and relational operators."""
+the column helpers and relational operators.
+
+``prune_files`` (default on): the release year comes from the raw file names,
+so the newest release is applied as a literal and older release files are
+skipped at listing; pass ``False`` for frames whose release is a computed
+column (the scalar-subquery form then needs no extra pass)."""
 
 from __future__ import annotations
 
@@ -45,20 +50,20 @@ REGION_COLUMNS = {
 }
 
 
-def _renamed_latest(brz: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    return R.latest_release(brz.select(*renamed(brz, mapping), "release_year"), prune_files=True)
+def _renamed_latest(brz: DataFrame, mapping: dict[str, str], prune_files: bool = True) -> DataFrame:
+    return R.latest_release(brz.select(*renamed(brz, mapping), "release_year"), prune_files=prune_files)
 
 
-def france_communes(brz: DataFrame) -> DataFrame:            # V01
-    return _renamed_latest(brz, COMMUNE_COLUMNS)
+def france_communes(brz: DataFrame, prune_files: bool = True) -> DataFrame:            # V01
+    return _renamed_latest(brz, COMMUNE_COLUMNS, prune_files)
 
 
-def france_departements(brz: DataFrame) -> DataFrame:        # V02
-    return _renamed_latest(brz, DEPARTEMENT_COLUMNS)
+def france_departements(brz: DataFrame, prune_files: bool = True) -> DataFrame:        # V02
+    return _renamed_latest(brz, DEPARTEMENT_COLUMNS, prune_files)
 
 
-def france_regions(brz: DataFrame) -> DataFrame:             # V03
-    return _renamed_latest(brz, REGION_COLUMNS)
+def france_regions(brz: DataFrame, prune_files: bool = True) -> DataFrame:             # V03
+    return _renamed_latest(brz, REGION_COLUMNS, prune_files)
 
 
 # ---------------------------------------------------------------- registry
@@ -119,12 +124,12 @@ ETABLISSEMENT_PLAIN = {
 ETABLISSEMENT_DOUBLE = {"coordonneeLambertAbscisseEtablissement", "coordonneeLambertOrdonneeEtablissement"}
 
 
-def sirene_unite_legale(brz: DataFrame) -> DataFrame:        # V05
+def sirene_unite_legale(brz: DataFrame, prune_files: bool = True) -> DataFrame:        # V05
     cols = [pick(brz, c).alias(camel_to_snake(c)) for c in UNITE_LEGALE_RAW]
-    return R.latest_release(brz.select(*cols, "release_year"), prune_files=True)
+    return R.latest_release(brz.select(*cols, "release_year"), prune_files=prune_files)
 
 
-def sirene_etablissement(brz: DataFrame) -> DataFrame:       # V06
+def sirene_etablissement(brz: DataFrame, prune_files: bool = True) -> DataFrame:       # V06
     cols = []
     for c in ETABLISSEMENT_RAW:
         v = pick(brz, c)
@@ -133,7 +138,7 @@ def sirene_etablissement(brz: DataFrame) -> DataFrame:       # V06
         if c in ETABLISSEMENT_DOUBLE:
             v = v.cast("double")
         cols.append(v.alias(camel_to_snake(c)))
-    return R.latest_release(brz.select(*cols, "release_year"), prune_files=True)
+    return R.latest_release(brz.select(*cols, "release_year"), prune_files=prune_files)
 
 
 def ent_sirene_unite_legale(ul: DataFrame, naf: DataFrame, catj: DataFrame) -> DataFrame:  # V17
@@ -306,7 +311,7 @@ CULTURE_OP_COLUMNS = {
 CULTURE_OP_SUFFIX = " unité patrimoniale concernée par l{q}op. fin."
 
 
-def subvention_ministere_culture(brz: DataFrame) -> DataFrame:  # V09
+def subvention_ministere_culture(brz: DataFrame, prune_files: bool = True) -> DataFrame:  # V09
     cols = [pick(brz, "Année").cast("int").alias("annee")]
     cols += renamed(brz, {k: v for k, v in list(CULTURE_COLUMNS.items())[:3]})
     cols.append(pick(brz, "Montant engagé").cast("double").alias("montant_engage"))
@@ -314,10 +319,10 @@ def subvention_ministere_culture(brz: DataFrame) -> DataFrame:  # V09
     for head, name in CULTURE_OP_COLUMNS.items():
         variants = [head + CULTURE_OP_SUFFIX.format(q=q) for q in ("'", "''")]
         cols.append(pick(brz, *variants).alias(f"{name}_unite_patrimoniale_concernee_par_lop_fin"))
-    return R.latest_release(brz.select(*cols, "release_year"), prune_files=True)
+    return R.latest_release(brz.select(*cols, "release_year"), prune_files=prune_files)
 
 
-def subvention_ministere_agriculture(brz: DataFrame) -> DataFrame:  # V10
+def subvention_ministere_agriculture(brz: DataFrame, prune_files: bool = True) -> DataFrame:  # V10
     payer = pick(brz, "Nom attributaire*")
     out = brz.select(
         payer.alias("nom_attributaire"),
@@ -338,10 +343,10 @@ def subvention_ministere_agriculture(brz: DataFrame) -> DataFrame:  # V10
         .alias("pourcentage_montant_attribue_beneficiaire"),
         "release_year")
     # rows whose payer starts with "Généré" are export footers; NULL payers drop too
-    return R.latest_release(out, prune_files=True).filter(~F.col("nom_attributaire").like("Généré%"))
+    return R.latest_release(out, prune_files=prune_files).filter(~F.col("nom_attributaire").like("Généré%"))
 
 
-def subvention_anct_ville(brz: DataFrame) -> DataFrame:      # V11
+def subvention_anct_ville(brz: DataFrame, prune_files: bool = True) -> DataFrame:      # V11
     out = brz.select(
         pick(brz, "Nom de l'attribuant").alias("nom_attribuant"),
         pick(brz, "Identification de l'attributaire").alias("identification_attributaire"),
@@ -359,10 +364,10 @@ def subvention_anct_ville(brz: DataFrame) -> DataFrame:      # V11
         pick(brz, "RAE").alias("rae"), pick(brz, "notificationUE").alias("notification_ue"),
         pick(brz, "PourcentageSubvention").cast("double").alias("pourcentage_subvention"),
         "release_year")
-    return R.latest_release(out, prune_files=True).filter(F.col("identification_attributaire").isNotNull())
+    return R.latest_release(out, prune_files=prune_files).filter(F.col("identification_attributaire").isNotNull())
 
 
-def subvention_ademe(brz: DataFrame) -> DataFrame:           # V12
+def subvention_ademe(brz: DataFrame, prune_files: bool = True) -> DataFrame:           # V12
     out = brz.select(
         pick(brz, "Nom de l attribuant").alias("nom_attribuant"),
         pick(brz, "idAttribuant").cast("string").alias("id_attribuant"),
@@ -376,10 +381,10 @@ def subvention_ademe(brz: DataFrame) -> DataFrame:           # V12
         pick(brz, "datesPeriodeVersement").alias("dates_periode_versement"),
         pick(brz, "idRAE").alias("id_rae"), pick(brz, "notificationUE").alias("notification_ue"),
         "release_year")
-    return R.latest_release(out, prune_files=True)
+    return R.latest_release(out, prune_files=prune_files)
 
 
-def dotation_soutien_territoire(brz: DataFrame) -> DataFrame:  # V13
+def dotation_soutien_territoire(brz: DataFrame, prune_files: bool = True) -> DataFrame:  # V13
     out = brz.select(
         pick(brz, "exercice").cast("int").alias("exercice"), pick(brz, "dispositif").alias("dispositif"),
         pick(brz, "programme").alias("programme"), pick(brz, "beneficiaire_type").alias("beneficiaire_type"),
@@ -392,10 +397,10 @@ def dotation_soutien_territoire(brz: DataFrame) -> DataFrame:  # V13
         X.decimal_comma(pick(brz, "subvention")).alias("subvention"),
         X.decimal_comma(pick(brz, "taux")).alias("taux"),
         "release_year")
-    return R.latest_release(out, prune_files=True).filter(F.col("subvention").isNotNull())
+    return R.latest_release(out, prune_files=prune_files).filter(F.col("subvention").isNotNull())
 
 
-def subvention_caisse_depots(brz: DataFrame) -> DataFrame:   # V14
+def subvention_caisse_depots(brz: DataFrame, prune_files: bool = True) -> DataFrame:   # V14
     out = brz.select(
         pick(brz, "nomAttribuant").alias("nom_attribuant"),
         pick(brz, "IdAttribuant").cast("string").alias("id_attribuant"),
@@ -411,10 +416,10 @@ def subvention_caisse_depots(brz: DataFrame) -> DataFrame:   # V14
         pick(brz, "NotificationUE").alias("notification_ue"),
         pick(brz, "PourcentageSubvention").cast("double").alias("pourcentage_subvention"),
         "release_year")
-    return R.latest_release(out, prune_files=True)
+    return R.latest_release(out, prune_files=prune_files)
 
 
-def idf_subvention_association(brz: DataFrame) -> DataFrame:  # V15
+def idf_subvention_association(brz: DataFrame, prune_files: bool = True) -> DataFrame:  # V15
     na = X.NOT_AVAILABLE
     out = brz.select(
         pick(brz, "idAttribuant").cast("string").alias("id_attribuant"),
@@ -433,11 +438,11 @@ def idf_subvention_association(brz: DataFrame) -> DataFrame:  # V15
         pick(brz, "pourcentageSubvention").cast("double").alias("pourcentage_subvention"),
         pick(brz, "dispositifAide").alias("dispositif_aide"),
         "release_year")
-    return R.latest_release(out, prune_files=True)
+    return R.latest_release(out, prune_files=prune_files)
 
 
-def fonds_vert_subvention(brz: DataFrame, etablissements: DataFrame) -> DataFrame:  # V16
-    newest = R.latest_release(brz, prune_files=True)
+def fonds_vert_subvention(brz: DataFrame, etablissements: DataFrame, prune_files: bool = True) -> DataFrame:  # V16
+    newest = R.latest_release(brz, prune_files=prune_files)
     filled = R.fill_from_primary(newest, head_offices(etablissements), "siren", "siren", "siret",
                                  "__siret", own_value=pick(brz, "siret_beneficiaire"))
     keep = ["nom_region", "code_departement", "nom_departement", "code_commune", "nom_commune",
