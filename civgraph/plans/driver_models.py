@@ -274,3 +274,87 @@ caisse AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE), NULL, NULL, 'Ob
 idf AS (SELECT CAST(l_shipdate AS DATE), NULL, NULL, CASE WHEN l_orderkey%7=0 THEN NULL ELSE 'Objet' END, CASE WHEN l_orderkey%3=0 THEN NULL ELSE 'R'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR) END, 'B', CASE WHEN l_orderkey%5=0 THEN NULL ELSE benef END, payer, l_extendedprice, 'association', 'Région Île-de-France' FROM l2 WHERE l_linenumber=6),
 fv AS (SELECT make_date(year(l_shipdate),1,1), commune, 'Projet', 'Résumé', coalesce(CASE WHEN l_orderkey%2=1 THEN 'EJ'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR) END, 'DS'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR)), 'Ville', coalesce(CASE WHEN l_orderkey%3<>0 THEN benef END, eta.siret), '11006801200050', l_extendedprice, 'environnement', 'Ministère de la Transition écologique' FROM l2 LEFT JOIN eta ON lpad(CAST(o_custkey AS VARCHAR),9,'0')=eta.siren WHERE l_linenumber=7)
 SELECT * FROM culture UNION ALL SELECT * FROM agri UNION ALL SELECT * FROM anct UNION ALL SELECT * FROM ademe UNION ALL SELECT * FROM dot UNION ALL SELECT * FROM caisse UNION ALL SELECT * FROM idf UNION ALL SELECT * FROM fv"""
+
+
+# ---------------------------------------------------------------- registry and geography
+def _raw_frame(df: DataFrame, raw_columns: list[str], values: dict) -> DataFrame:
+    """A raw registry record: every contract column, NULL unless given."""
+    return df.select(*[(values[c] if c in values else F.lit(None).cast("string")).alias(c) for c in raw_columns],
+                     values["release_year"].alias("release_year"))
+
+
+def bronze_legal_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    return _raw_frame(c, S.UNITE_LEGALE_RAW, {
+        "siren": F.lpad(key.cast("string"), 9, "0"),
+        "denominationUniteLegale": F.when(key % 7 == 0, F.lit("[ND]")).otherwise(F.col("c_name")),
+        "prenomUsuelUniteLegale": F.when(key % 3 == 0, F.lit("[ND]")).otherwise(F.lit("Jean")),
+        "nomUniteLegale": F.col("c_mktsegment"),
+        "categorieJuridiqueUniteLegale": (100 + key % 900).cast("string"),
+        "activitePrincipaleUniteLegale": F.lpad(F.col("c_nationkey").cast("string"), 2, "0"),
+        "release_year": _release("c_custkey")})
+
+
+def model_legal_units(spark, sf_dir):
+    """V04 + V05 + V17: legal units with display name, activity label (codes
+    of even nations are sub-classes) and the three legal-category levels."""
+    p = table(spark, sf_dir, "part")
+    codes = p.select(F.col("p_partkey").cast("string").alias("code"), F.col("p_name").alias("libelle")) \
+             .withColumn("type", F.length("code"))
+    naf = table(spark, sf_dir, "nation").select(
+        F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("code"),
+        F.concat(F.lit("NAF "), F.col("n_name")).alias("libelle"),
+        F.when(F.col("n_nationkey") % 2 == 0, "sousclasse").otherwise("classe").alias("niveau"))
+    ul = S.sirene_unite_legale(bronze_legal_units(spark, sf_dir), prune_files=False)
+    v17 = S.ent_sirene_unite_legale(ul, naf, S.categorie_juridique(codes))
+    return v17.select("siren", "denomination_unite_legale", "activite_principale_unite_legale_libelle",
+                      "categorie_juridique_unite_legale_libelle_iii", "categorie_juridique_unite_legale_libelle_ii",
+                      "categorie_juridique_unite_legale_libelle_i", "release_year")
+
+
+def model_located_in(spark, sf_dir):
+    """V01 + V06 + V18 -> E08-E10: establishments located in communes,
+    delegated communes and districts; a code listed under two types gives
+    two edges.  Row count per relationship."""
+    c = table(spark, sf_dir, "customer")
+    s = table(spark, sf_dir, "supplier")
+    kind = (F.when(F.col("c_custkey") % 10 == 1, "COMD").when(F.col("c_custkey") % 10 == 2, "ARM")
+             .when(F.col("c_custkey") % 10 == 3, "COMA").otherwise("COM"))
+    code = lambda k: F.lpad((k % 3000).cast("string"), 5, "0")
+    communes = S.france_communes(c.select(
+        kind.alias("TYPECOM"), code(F.col("c_custkey")).alias("COM"), F.col("c_name").alias("LIBELLE"),
+        _release("c_custkey", 9).alias("release_year")), prune_files=False)
+    eta_c = _raw_frame(c, S.ETABLISSEMENT_RAW, {
+        "siren": F.lpad(F.col("c_custkey").cast("string"), 9, "0"), "siret": customer_siret("c_custkey"),
+        "etablissementSiege": F.lit("true"),
+        "codeCommuneEtablissement": F.when(F.col("c_custkey") % 6 != 0, code(F.col("c_custkey") * 7)),
+        "release_year": F.lit("2026")})
+    eta_s = _raw_frame(s, S.ETABLISSEMENT_RAW, {
+        "siren": F.concat(F.lit("9"), F.lpad(F.col("s_suppkey").cast("string"), 8, "0")),
+        "siret": supplier_siret("s_suppkey"), "etablissementSiege": F.lit("false"),
+        "codeCommuneEtablissement": F.when(F.col("s_suppkey") % 5 == 0, F.lit("[ND]"))
+                                     .otherwise(code(F.col("s_suppkey") * 11)),
+        "release_year": F.lit("2026")})
+    artisanat = table(spark, sf_dir, "nation").select(F.col("n_name").alias("code"), F.col("n_name").alias("libelle"))
+    eta = S.ent_sirene_etablissement(S.sirene_etablissement(eta_c.unionByName(eta_s), prune_files=False), artisanat)
+    rels = gold.located_in_relationships(eta, communes)
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("relationship"), "rows")
+             for name, df in rels.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+QUERIES["model_legal_units"] = model_legal_units
+QUERIES["model_located_in"] = model_located_in
+
+ORACLE["model_legal_units"] = r"""WITH ul AS (SELECT lpad(CAST(c_custkey AS VARCHAR),9,'0') AS siren, CASE WHEN c_custkey%7=0 THEN '[ND]' ELSE c_name END AS denom, CASE WHEN c_custkey%3=0 THEN '[ND]' ELSE 'Jean' END AS prenom, c_mktsegment AS nom, CAST(100 + c_custkey%900 AS VARCHAR) AS cat, lpad(CAST(c_nationkey AS VARCHAR),2,'0') AS naf FROM customer WHERE c_custkey%10<>0),
+s AS (SELECT CAST(p_partkey AS VARCHAR) code, p_name libelle, length(CAST(p_partkey AS VARCHAR)) AS type FROM part),
+catj AS (SELECT a.code AS code_iii, a.libelle AS libelle_iii, b.libelle AS libelle_ii, c.libelle AS libelle_i FROM s a LEFT JOIN s b ON b.type=2 AND b.code=left(a.code,2) LEFT JOIN s c ON c.type=1 AND c.code=left(b.code,1) WHERE a.type=3),
+naf AS (SELECT lpad(CAST(n_nationkey AS VARCHAR),2,'0') AS code, 'NAF '||n_name AS libelle FROM nation WHERE n_nationkey%2=0)
+SELECT siren, coalesce(nullif(denom,'[ND]'), nullif(trim(concat(coalesce(nullif(prenom,'[ND]'),''),' ',coalesce(nullif(nom,'[ND]'),''))),'')) AS denomination_unite_legale, naf.libelle AS activite_principale_unite_legale_libelle, catj.libelle_iii AS categorie_juridique_unite_legale_libelle_iii, catj.libelle_ii AS categorie_juridique_unite_legale_libelle_ii, catj.libelle_i AS categorie_juridique_unite_legale_libelle_i, '2026' AS release_year FROM ul LEFT JOIN naf ON ul.naf=naf.code LEFT JOIN catj ON ul.cat=catj.code_iii"""
+
+ORACLE["model_located_in"] = r"""WITH com AS (SELECT CASE c_custkey%10 WHEN 1 THEN 'COMD' WHEN 2 THEN 'ARM' WHEN 3 THEN 'COMA' ELSE 'COM' END AS type_commune, lpad(CAST(c_custkey%3000 AS VARCHAR),5,'0') AS code_commune FROM customer WHERE c_custkey%9<>0),
+eta AS (SELECT CASE WHEN c_custkey%6<>0 THEN lpad(CAST((c_custkey*7)%3000 AS VARCHAR),5,'0') END AS code FROM customer UNION ALL SELECT CASE WHEN s_suppkey%5=0 THEN NULL ELSE lpad(CAST((s_suppkey*11)%3000 AS VARCHAR),5,'0') END FROM supplier)
+SELECT 'etablissement_located_in_commune' AS relationship, count(*) AS rows FROM eta JOIN com ON eta.code=com.code_commune WHERE com.type_commune='COM'
+UNION ALL SELECT 'etablissement_located_in_commune_deleguee', count(*) FROM eta JOIN com ON eta.code=com.code_commune WHERE com.type_commune IN ('COMD','COMA')
+UNION ALL SELECT 'etablissement_located_in_arrondissement', count(*) FROM eta JOIN com ON eta.code=com.code_commune WHERE com.type_commune='ARM'"""

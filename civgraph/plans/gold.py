@@ -70,6 +70,19 @@ def contract_relationships(cp: DataFrame, eta: DataFrame) -> dict[str, DataFrame
     }
 
 
+def located_in_relationships(eta: DataFrame, com: DataFrame) -> dict[str, DataFrame]:
+    """Establishment -> commune / delegated commune / district by the
+    establishment's commune code; one edge per matching commune row."""
+    def located(types, label):
+        return G.edge_typed(eta, "code_commune_etablissement", com, "code_commune", "type_commune", types,
+                            "siret", "Etablissement", label, bounded=True)
+    return {
+        "etablissement_located_in_commune": located(COM, "Commune"),                                # E08
+        "etablissement_located_in_commune_deleguee": located(COMMUNE_DELEGUEE, "CommuneDeleguee"),  # E09
+        "etablissement_located_in_arrondissement": located(ARM, "Arrondissement"),                  # E10
+    }
+
+
 def relationships(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
     eta, com = s["ent_sirene_etablissement"], s["france_communes"]
     cp, sub = s["ent_commande_publique"], s["ent_subvention_publique"]
@@ -81,15 +94,7 @@ def relationships(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
                                           "SubventionPublique", eta, "siret"),                      # E06
         "receives_subvention_publique": E(sub, "siret_beneficiaire", "Etablissement", "id",
                                           "SubventionPublique", eta, "siret"),                      # E07
-        "etablissement_located_in_commune": G.edge_typed(
-            eta, "code_commune_etablissement", com, "code_commune", "type_commune", COM,
-            "siret", "Etablissement", "Commune", bounded=True),                                                   # E08
-        "etablissement_located_in_commune_deleguee": G.edge_typed(
-            eta, "code_commune_etablissement", com, "code_commune", "type_commune", COMMUNE_DELEGUEE,
-            "siret", "Etablissement", "CommuneDeleguee", bounded=True),                                           # E09
-        "etablissement_located_in_arrondissement": G.edge_typed(
-            eta, "code_commune_etablissement", com, "code_commune", "type_commune", ARM,
-            "siret", "Etablissement", "Arrondissement", bounded=True),                                            # E10
+        **located_in_relationships(eta, com),
         "has_departement": G.edge(s["france_departements"], "code_reg", "Region", "code_dep",
                                   "Departement"),                                                   # E11
         "has_commune": G.edge(com.filter(F.col("type_commune").isin(COM)), "code_dep", "Departement",
