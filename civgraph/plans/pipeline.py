@@ -201,3 +201,27 @@ def build_all(spark: SparkSession, raw_dir: str, seeds_dir: str, out_dir: str, p
     seconds["integrity_and_manifest"] = round(time.perf_counter() - t0, 3)
     return {"silver": sorted(silver), "paths": paths, "failed_checks": failures,
             "seconds": seconds, "silver_seconds": sv.seconds}
+
+
+def refresh_report(spark: SparkSession, catalog_path: str, history_path: str | None = None,
+                   now=None) -> DataFrame:
+    """Entry point A as a plan: validate the source catalog (any problem is
+    an error, as in the reference), read the download history if there is
+    one, and list the sources due for download with their status and the raw
+    file name they will land under."""
+    from pyspark.sql import functions as F
+
+    from civgraph.operators import catalog as C
+
+    catalog = C.read_catalog(spark, catalog_path)
+    problems = C.validate_catalog(catalog).limit(20).collect()  # a handful of rows at most
+    if problems:
+        raise ValueError(f"invalid source catalog: {[r.asDict() for r in problems]}")
+    if history_path and list_files(spark, history_path):
+        history = C.read_history(spark, history_path)
+    else:
+        history = spark.createDataFrame([], C.HISTORY_SCHEMA)
+    now = now if now is not None else F.localtimestamp()
+    plan = C.refresh_plan(catalog, history, now)
+    return plan.select("name", "year", "file_year", "format", "refresh_days", "last_ts", "status",
+                       C.raw_file_name("name", "file_year", "format", now).alias("file_name"))

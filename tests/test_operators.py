@@ -232,3 +232,28 @@ def test_split_contract_document_mixed_scalars(spark, tmp_path):
     assert parts["concession"].count() == 1
     paths = P.write_contract_document(read_contract_document(spark, str(path)), str(path), str(tmp_path))
     assert paths["marche"].endswith("commande-publique-marche_2025.parquet")
+
+
+def test_refresh_report(spark, tmp_path):
+    import json
+    from civgraph.plans.pipeline import refresh_report
+    base = dict(description="d", category="c", provider="p", page_url="u", download_url="u")
+    cat = [dict(name="communes-france", year="2026", format="csv", **base),
+           dict(name="sirene", format="parquet", refresh_days=15, **base),
+           dict(name="anct-2024", format="csv", refresh_days=15, **base),
+           dict(name="range", year="2024-2026", format="csv", **base)]
+    (tmp_path / "sources.json").write_text(json.dumps(cat))
+    hist = spark.createDataFrame(
+        [("sirene", "d", "c", "p", "2026", "u", "u", "parquet", dt.datetime(2026, 3, 1), 1.0),
+         ("communes-france", "d", "c", "p", "2026", "u", "u", "csv", dt.datetime(2026, 1, 1), 1.0)],
+        C.HISTORY_SCHEMA)
+    C.append_history(hist, str(tmp_path / "history"))
+    now = F.lit("2026-05-01 00:00:00").cast("timestamp_ntz")
+    out = refresh_report(spark, str(tmp_path / "sources.json"), str(tmp_path / "history"), now)
+    assert rows(out, "name", "status", "file_name") == [
+        ("anct-2024", "NEW", "anct-2024_2026.csv"), ("range", "NEW", "range_2024_2026.csv"),
+        ("sirene", "UPDATE", "sirene_2026.parquet")]
+    bad = cat + [dict(name="sirene", format="parquet", refresh_days=15, **base)]
+    (tmp_path / "bad.json").write_text(json.dumps(bad))
+    with pytest.raises(ValueError):
+        refresh_report(spark, str(tmp_path / "bad.json"), None, now)
