@@ -192,7 +192,12 @@ def head_offices(eta: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- procurement
-def commande_publique_marche(brz: DataFrame) -> DataFrame:   # V07 (all releases kept)
+def commande_publique_marche(brz: DataFrame, latest_only: bool = False) -> DataFrame:  # V07
+    """Markets, one row per awardee.  All releases are kept, as in the
+    reference (a contract republished in a later release appears twice);
+    ``latest_only=True`` keeps the newest release only."""
+    if latest_only:
+        brz = R.latest_release(brz, prune_files=True)
     flat = brz.select(
         F.col("id").alias("marche_id"), F.col("acheteur.id").alias("acheteur_siret"), "nature", "objet",
         F.col("codecpv").alias("code_cpv"),
@@ -224,7 +229,10 @@ def commande_publique_marche(brz: DataFrame) -> DataFrame:   # V07 (all releases
     return out.withColumnRenamed("marche_id", "id")
 
 
-def commande_publique_concession(brz: DataFrame) -> DataFrame:  # V08 (all releases kept)
+def commande_publique_concession(brz: DataFrame, latest_only: bool = False) -> DataFrame:  # V08
+    """Concessions, one row per awardee; all releases kept unless ``latest_only``."""
+    if latest_only:
+        brz = R.latest_release(brz, prune_files=True)
     flat = brz.select(
         F.col("id").alias("concession_id"), "nature", "objet",
         F.col("tauxavance").cast("double").alias("taux_avance"), "procedure",
