@@ -313,31 +313,51 @@ def model_legal_units(spark, sf_dir):
                       "categorie_juridique_unite_legale_libelle_i", "release_year")
 
 
-def model_located_in(spark, sf_dir):
-    """V01 + V06 + V18 -> E08-E10: establishments located in communes,
-    delegated communes and districts; a code listed under two types gives
-    two edges.  Row count per relationship."""
+def _commune_code(k) -> F.Column:
+    return F.lpad((k % 3000).cast("string"), 5, "0")
+
+
+def bronze_communes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One commune row per customer: type by key (COM, COMD, COMA, ARM), code
+    by key modulo 3000, so one code appears under several types."""
     c = table(spark, sf_dir, "customer")
-    s = table(spark, sf_dir, "supplier")
     kind = (F.when(F.col("c_custkey") % 10 == 1, "COMD").when(F.col("c_custkey") % 10 == 2, "ARM")
              .when(F.col("c_custkey") % 10 == 3, "COMA").otherwise("COM"))
-    code = lambda k: F.lpad((k % 3000).cast("string"), 5, "0")
-    communes = S.france_communes(c.select(
-        kind.alias("TYPECOM"), code(F.col("c_custkey")).alias("COM"), F.col("c_name").alias("LIBELLE"),
-        _release("c_custkey", 9).alias("release_year")), prune_files=False)
+    return c.select(kind.alias("TYPECOM"), _commune_code(F.col("c_custkey")).alias("COM"),
+                    F.col("c_nationkey").cast("string").alias("REG"),
+                    F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("DEP"),
+                    F.col("c_name").alias("LIBELLE"),
+                    F.when(kind != "COM", _commune_code(F.col("c_custkey") + 3)).alias("COMPARENT"),
+                    _release("c_custkey", 9).alias("release_year"))
+
+
+def bronze_establishments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One head-office establishment per customer, one secondary per supplier;
+    some commune codes missing or masked."""
+    c = table(spark, sf_dir, "customer")
+    s = table(spark, sf_dir, "supplier")
     eta_c = _raw_frame(c, S.ETABLISSEMENT_RAW, {
         "siren": F.lpad(F.col("c_custkey").cast("string"), 9, "0"), "siret": customer_siret("c_custkey"),
-        "etablissementSiege": F.lit("true"),
-        "codeCommuneEtablissement": F.when(F.col("c_custkey") % 6 != 0, code(F.col("c_custkey") * 7)),
+        "nic": F.lit("00011"), "etablissementSiege": F.lit("true"),
+        "codeCommuneEtablissement": F.when(F.col("c_custkey") % 6 != 0, _commune_code(F.col("c_custkey") * 7)),
         "release_year": F.lit("2026")})
     eta_s = _raw_frame(s, S.ETABLISSEMENT_RAW, {
         "siren": F.concat(F.lit("9"), F.lpad(F.col("s_suppkey").cast("string"), 8, "0")),
-        "siret": supplier_siret("s_suppkey"), "etablissementSiege": F.lit("false"),
+        "siret": supplier_siret("s_suppkey"), "nic": F.lit("00029"), "etablissementSiege": F.lit("false"),
         "codeCommuneEtablissement": F.when(F.col("s_suppkey") % 5 == 0, F.lit("[ND]"))
-                                     .otherwise(code(F.col("s_suppkey") * 11)),
+                                     .otherwise(_commune_code(F.col("s_suppkey") * 11)),
         "release_year": F.lit("2026")})
+    return eta_c.unionByName(eta_s)
+
+
+def model_located_in(spark, sf_dir):
+    """V01 + V06 + V18 -> E08-E10: establishments located in communes,
+    delegated communes and districts; a code listed under two types gives
+    two edges.  Row count per relationship."""
+    communes = S.france_communes(bronze_communes(spark, sf_dir), prune_files=False)
     artisanat = table(spark, sf_dir, "nation").select(F.col("n_name").alias("code"), F.col("n_name").alias("libelle"))
-    eta = S.ent_sirene_etablissement(S.sirene_etablissement(eta_c.unionByName(eta_s), prune_files=False), artisanat)
+    eta = S.ent_sirene_etablissement(S.sirene_etablissement(bronze_establishments(spark, sf_dir),
+                                                            prune_files=False), artisanat)
     rels = gold.located_in_relationships(eta, communes)
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("relationship"), "rows")
              for name, df in rels.items()]

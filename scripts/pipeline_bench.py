@@ -1,17 +1,16 @@
 """End-to-end pipeline benchmark over raw files that Spark derives from the
-benchmark tables (so the work grows with them):
-
-* registry: one legal unit per customer and supplier, one establishment per
-  customer (head office) and per supplier, commune = a customer-derived code;
-* geography: communes from customers, departments from nations, regions;
-* procurement: one market per line item, one concession per order (nested
-  Parquet, one file per release year);
-* subsidies: the eight CSV sources in their delimiters and encodings, with the
-  agriculture preamble, two drifting yearly anct files and two fonds-vert
-  spellings, derived from line items / orders / parts;
-* seeds: code lists derived from parts, suppliers and nations.
-
-Then ``build_all`` runs once (warm-up) and is timed; prints one JSON line.
+benchmark tables, so the work grows with them.
+
+The records are the ones the model-level driver queries check against DuckDB
+(`civgraph.plans.driver_models`): legal units and establishments from
+customers and suppliers, communes from customers, markets per line item,
+concessions per order, the eight subsidy sources per line item / order.  Each
+is landed under its contract's file pattern, one file per release year, in
+the contract's delimiter and encoding (the agriculture file with its two
+preamble lines, a second anct file with a reordered header).  Departments,
+regions and the seeds come from nation / region / part.
+
+`build_all` then runs twice (the second run is reported); prints one JSON line.
 usage: python scripts/pipeline_bench.py [sf_dir] [scratch_dir]
 """
 
@@ -31,145 +30,82 @@ from pyspark.sql import functions as F  # noqa: E402
 from civgraph.plans import driver_models as DM  # noqa: E402
 from civgraph.plans.driver import table  # noqa: E402
 from civgraph.plans.pipeline import build_all  # noqa: E402
-from civgraph.plans.silver import ETABLISSEMENT_RAW, UNITE_LEGALE_RAW  # noqa: E402
 from civgraph.session import build_session  # noqa: E402
+from civgraph.sources.contracts import CONTRACTS  # noqa: E402
 
 
-def csv_out(df: DataFrame, path: str, sep: str = ",", encoding: str = "UTF-8", single: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, sep: str = ",", encoding: str = "UTF-8", single: bool = False) -> None:
     out = df.coalesce(1) if single else df
     (out.write.mode("overwrite").option("header", True).option("sep", sep).option("encoding", encoding)
         .option("escape", '"').csv(path))
 
 
+def land(df: DataFrame, raw: str, contract: str, stem: str | None = None) -> None:
+    """One file per release year under the contract's pattern and dialect."""
+    c = CONTRACTS[contract]
+    stem = stem or c.pattern.split("*")[0].rstrip("_")
+    ext = c.pattern.rsplit(".", 1)[1]
+    for (year,) in df.select("release_year").distinct().collect():  # a few release years
+        part = df.filter(F.col("release_year") == year).drop("release_year")
+        path = f"{raw}/{stem}_{year}.{ext}"
+        if c.format == "parquet":
+            part.write.mode("overwrite").parquet(path)
+        elif c.skip_lines:
+            # preamble lines, header and rows as ready-made lines in one file; the
+            # text sink only writes UTF-8, so they go through the CSV sink as one
+            # unquoted column in the contract's encoding
+            spark = part.sparkSession
+            lead = [(0, i, f"Export {i}") for i in range(c.skip_lines)] + [(1, 0, c.sep.join(part.columns))]
+            head = spark.createDataFrame(lead, "k int, i int, v string")
+            rows = part.select(F.lit(2).alias("k"), F.lit(0).alias("i"),
+                               F.concat_ws(c.sep, *[F.coalesce(F.col(f"`{x}`"), F.lit("")) for x in part.columns])
+                               .alias("v"))
+            # one file: preamble, then header, then rows (order made explicit; a
+            # union followed by coalesce does not keep it)
+            (head.unionByName(rows).repartition(1).sortWithinPartitions("k", "i").select("v")
+                 .write.mode("overwrite").option("header", False).option("sep", "\u0001").option("quote", "")
+                 .option("encoding", c.encoding).csv(path))
+        else:
+            write_csv(part, path, c.sep, c.encoding)
+
+
 def derive(spark, sf: str, raw: str, seeds: str) -> None:
-    c, s, o, li, p, n, r = (table(spark, sf, t) for t in
-                            ("customer", "supplier", "orders", "lineitem", "part", "nation", "region"))
-    commune = lambda k: F.lpad((k % 30000).cast("string"), 5, "0")
-    # geography (two releases of communes)
-    typecom = F.when(F.col("c_custkey") % 10 == 1, "COMD").when(F.col("c_custkey") % 10 == 2, "ARM").otherwise("COM")
-    com = c.select(typecom.alias("TYPECOM"), commune(F.col("c_custkey")).alias("COM"),
-                   F.col("c_nationkey").cast("string").alias("REG"),
-                   F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("DEP"),
-                   F.lit("").alias("CTCD"), F.lit("").alias("ARR"), F.lit("0").alias("TNCC"),
-                   F.upper("c_name").alias("NCC"), F.col("c_name").alias("NCCENR"), F.col("c_name").alias("LIBELLE"),
-                   F.lit("").alias("CAN"),
-                   F.when(typecom != "COM", commune(F.col("c_custkey") + 3)).alias("COMPARENT"))
-    csv_out(com, f"{raw}/communes-france_2025.csv")
-    csv_out(com, f"{raw}/communes-france_2026.csv")
-    csv_out(n.select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("DEP"),
-                     F.col("n_regionkey").cast("string").alias("REG"), F.lit("00001").alias("CHEFLIEU"),
-                     F.lit("0").alias("TNCC"), F.upper("n_name").alias("NCC"), F.col("n_name").alias("NCCENR"),
-                     F.col("n_name").alias("LIBELLE")), f"{raw}/departements-france_2026.csv")
-    csv_out(r.select(F.col("r_regionkey").cast("string").alias("REG"), F.lit("00001").alias("CHEFLIEU"),
-                     F.lit("0").alias("TNCC"), F.upper("r_name").alias("NCC"), F.col("r_name").alias("NCCENR"),
-                     F.col("r_name").alias("LIBELLE")), f"{raw}/regions-france_2026.csv")
-    # registry
-    siren_c = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
-    siren_s = F.concat(F.lit("9"), F.lpad(F.col("s_suppkey").cast("string"), 8, "0"))
-    ul_cols = {x: F.lit(None).cast("string") for x in UNITE_LEGALE_RAW}
-    ul = c.select(*[(siren_c if k == "siren" else F.when(F.col("c_custkey") % 7 == 0, "[ND]").otherwise(F.col("c_name"))
-                     if k == "denominationUniteLegale" else F.lit("Jean") if k == "prenomUsuelUniteLegale"
-                     else F.col("c_mktsegment") if k == "nomUniteLegale"
-                     else (F.col("c_nationkey") * 100 + 1000).cast("string") if k == "categorieJuridiqueUniteLegale"
-                     else v).alias(k) for k, v in ul_cols.items()])
-    ul = ul.unionByName(s.select(*[(siren_s if k == "siren" else F.col("s_name") if k == "denominationUniteLegale"
-                                   else v).alias(k) for k, v in ul_cols.items()]))
-    ul.write.mode("overwrite").parquet(f"{raw}/sirene-unite-legal_2026.parquet")
-    eta_cols = {x: F.lit(None).cast("string") for x in ETABLISSEMENT_RAW}
-
-    def eta(df, siren, siret, siege, code):
-        vals = {"siren": siren, "nic": F.substring(siret, 10, 5), "siret": siret, "etablissementSiege": siege,
-                "codeCommuneEtablissement": code, "enseigne1Etablissement": F.lit("[ND]"),
-                "coordonneeLambertAbscisseEtablissement": F.lit("651000.5")}
-        return df.select(*[(vals[k] if k in vals else v).alias(k) for k, v in eta_cols.items()])
-    eta(c, siren_c, DM.customer_siret("c_custkey"), F.lit(True),
-        F.when(F.col("c_custkey") % 5 != 0, commune(F.col("c_custkey") * 7))) \
-        .unionByName(eta(s, siren_s, DM.supplier_siret("s_suppkey"), F.lit(False), commune(F.col("s_suppkey")))) \
-        .write.mode("overwrite").parquet(f"{raw}/sirene-etablissement_2026.parquet")
-    # procurement, one file per release year (7 years: bounded list)
-    for kind, df in (("marche", DM.bronze_markets(spark, sf)), ("concession", DM.bronze_concessions(spark, sf))):
-        years = [x[0] for x in df.select("release_year").distinct().collect()]
-        for y in years:
-            df.filter(F.col("release_year") == y).drop("release_year") \
-              .write.mode("overwrite").parquet(f"{raw}/commande-publique-{kind}_{y}.parquet")
-    # subsidies
-    l2 = li.join(o.select("o_orderkey", "o_custkey"), li["l_orderkey"] == o["o_orderkey"])
-    benef = DM.customer_siret("o_custkey")
-    payer = DM.supplier_siret("l_suppkey")
-    money = F.replace(F.format_number("l_extendedprice", 2), F.lit(","), F.lit(" "))  # "1 234.56"
-    comma = F.replace(F.col("l_extendedprice").cast("string"), F.lit("."), F.lit(","))
-    day = F.date_format("l_shipdate", "yyyy-MM-dd")
-    text = F.concat(F.lit("Projet "), F.col("l_linenumber").cast("string"), F.lit("\nligne "), F.col("l_returnflag"))
-    part = lambda k: (F.col("l_linenumber") == k)
-    culture = l2.filter(part(1)).select(
-        F.year("l_shipdate").cast("string").alias("Année"), F.lit("DRAC").alias("Origine des crédits"),
-        F.col("l_returnflag").alias("Détail origine des crédits"), F.col("l_extendedprice").cast("string").alias("Montant engagé"),
-        F.lit("Théâtre").alias("Nom du bénéficiaire"), benef.alias("N° SIRET du bénéficiaire"),
-        F.concat(F.lit("EJ"), F.col("l_orderkey").cast("string")).alias("N° EJ"), F.lit("Culture").alias("Mission"),
-        F.col("l_linestatus").alias("Programme"),
-        text.alias("Activité libellé long"),
-        commune(F.col("o_custkey")).alias("Code commune unité patrimoniale concernée par l'op. fin."))
-    csv_out(culture, f"{raw}/culture-convention-subvention_2026.csv", ";", "ISO-8859-1")
-    agri_h = ["Nom attributaire*", "Identification de l'attributaire*", "Date de convention*", "Référence de la décision",
-              "Identification du bénéficiaire*", "Nom du bénéficiaire*", "Objet de la convention",
-              "Montant total de la subvention*", "Nature de la subvention*"]
-    agri = l2.filter(part(2)).select(F.lit("Ministère œuvre"), payer, day, F.concat(F.lit("D "), F.col("l_orderkey").cast("string")),
-                                     benef, F.lit("Ferme"), F.lit("Objet €"), money, F.lit("Aide"))
-    pre = spark.createDataFrame([("Export des subventions",), ("Ministère",), tuple([None])], "a string")
-    head = spark.createDataFrame([tuple(agri_h)], ",".join(f"c{i} string" for i in range(len(agri_h))))
-    lines = (pre.select(F.col("a").alias("v"))
-             .unionByName(head.select(F.concat_ws(";", *head.columns).alias("v")))
-             .unionByName(agri.select(F.concat_ws(";", *agri.columns).alias("v"))))
-    lines = lines.filter(F.col("v").isNotNull())
-    # preamble + header + rows as ready-made lines in one file; the text sink only
-    # writes UTF-8, so the lines go through the CSV sink (one column, no quoting)
-    (lines.coalesce(1).write.mode("overwrite").option("header", False).option("sep", "\u0001")
-          .option("quote", "").option("encoding", "windows-1252").csv(f"{raw}/agriculture-subvention_2026.csv"))
-    anct = l2.filter(part(3)).select(
-        F.lit("ANCT").alias("Nom de l'attribuant"), payer.alias("Identification de l'attributaire"),
-        F.concat(F.lit("R "), F.col("l_orderkey").cast("string")).alias("Référence de la décision"),
-        benef.alias("Identification du bénéficiaire"), F.lit("Asso").alias("Nom du bénéficiaire"),
-        text.alias("Objet de la subvention"), comma.alias("Montant total de la subvention"),
-        F.date_format("l_shipdate", "yyyy/M/d").alias("Date de versement"),
-        F.date_format("l_shipdate", "dd/MM/yyyy").alias("Date de la convention de subvention"))
-    csv_out(anct, f"{raw}/anct-subvention-ville-2024_2026.csv", ";", "windows-1252")
-    csv_out(anct.select(anct.columns[::-1][:6]), f"{raw}/anct-subvention-ville-2023_2026.csv", ";", "windows-1252")
-    csv_out(l2.filter(part(4)).select(
-        F.lit("ADEME").alias("Nom de l attribuant"), payer.alias("idAttribuant"), day.alias("dateConvention"),
-        F.col("l_orderkey").cast("string").alias("referenceDecision"), F.lit("B").alias("nomBeneficiaire"),
-        benef.alias("idBeneficiaire"), text.alias("objet"), F.col("l_extendedprice").cast("string").alias("montant")),
-        f"{raw}/ademe-aide-financiere_2026.csv")
-    csv_out(o.select(F.year("o_orderdate").cast("string").alias("exercice"), F.lit("DETR").alias("dispositif"),
-                     F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("beneficiaire_siren"),
-                     F.lit("Commune").alias("beneficiaire_nom"), commune(F.col("o_custkey")).alias("beneficiaire_code_insee"),
-                     F.col("o_orderpriority").alias("intitule"),
-                     F.replace(F.col("o_totalprice").cast("string"), F.lit("."), F.lit(",")).alias("subvention")),
-            f"{raw}/dotation-soutien-territoire-2024_2026.csv", ";")
-    csv_out(l2.filter(part(5)).select(
-        F.lit("CDC").alias("nomAttribuant"), payer.alias("IdAttribuant"), F.date_format("l_shipdate", "yyyy-MM").alias("DateConvention"),
-        benef.alias("IdBeneficiaire"), F.lit("B").alias("NomBeneficiaire"), text.alias("Objet"),
-        F.col("l_extendedprice").cast("string").alias("Montant")), f"{raw}/subvention-caisse-depots_2026.csv")
-    csv_out(l2.filter(part(6)).select(
-        payer.alias("idAttribuant"), F.lit("IDF").alias("nomAttribuant"), day.alias("dateConvention"),
-        F.when(F.col("l_orderkey") % 3 == 0, "#N/A").otherwise(F.col("l_orderkey").cast("string")).alias("referenceDecision"),
-        benef.alias("idBeneficiaire"), text.alias("objet"), F.col("l_extendedprice").cast("string").alias("montant"),
-        F.lit("true").alias("delegation")), f"{raw}/idf-subvention-association_2026.csv")
-    fv = l2.filter(part(7)).select(
-        commune(F.col("o_custkey")).alias("code_commune"), F.col("l_orderkey").cast("string").alias("numero_dossier_ds"),
-        text.alias("nom_du_projet"), F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("siren"),
-        F.col("l_extendedprice").cast("string").alias("montant_engage"), F.lit("Op").alias("opérateur"))
-    csv_out(fv.filter(F.col("numero_dossier_ds").cast("long") % 2 == 0), f"{raw}/fonds-vert-subvention-2023_2026.csv")
-    csv_out(fv.filter(F.col("numero_dossier_ds").cast("long") % 2 == 1).withColumnRenamed("opérateur", "operateur"),
-            f"{raw}/fonds-vert-subvention-2024_2026.csv")
-    # seeds
-    codes = p.select(F.col("p_partkey").cast("string").alias("code"), F.col("p_name").alias("libelle"))
-    csv_out(codes.withColumn("type", F.length("code")).filter("type <= 4"), f"{seeds}/insee_sirene_cat_juridique.csv", single=True)
-    csv_out(p.select(F.col("p_type").alias("code"), F.col("p_name").alias("libelle"), F.lit("sousclasse").alias("niveau"))
-            .dropDuplicates(["code"]), f"{seeds}/insee_sirene_naf.csv", single=True)
-    csv_out(s.select(F.col("s_suppkey").cast("string").alias("code"), F.col("s_name").alias("libelle")).limit(500),
-            f"{seeds}/nom_activite_artisanat.csv", single=True)
-    csv_out(n.select(F.lit("DRAC").alias("type_division"), F.col("n_name").alias("nom_division"),
-                     DM.customer_siret(F.col("n_nationkey") + 1).alias("siret")), f"{seeds}/ministere_culture_division.csv", single=True)
+    n, r, p = (table(spark, sf, t) for t in ("nation", "region", "part"))
+    land(DM.bronze_communes(spark, sf), raw, "france_communes")
+    dep = n.select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("DEP"),
+                   F.col("n_regionkey").cast("string").alias("REG"), F.col("n_name").alias("LIBELLE"),
+                   F.lit("2026").alias("release_year"))
+    land(dep, raw, "france_departements")
+    land(r.select(F.col("r_regionkey").cast("string").alias("REG"), F.col("r_name").alias("LIBELLE"),
+                  F.lit("2026").alias("release_year")), raw, "france_regions")
+    land(DM.bronze_legal_units(spark, sf), raw, "sirene_unite_legale", "sirene-unite-legal")
+    land(DM.bronze_establishments(spark, sf), raw, "sirene_etablissement")
+    land(DM.bronze_markets(spark, sf), raw, "commande_publique_marche")
+    land(DM.bronze_concessions(spark, sf), raw, "commande_publique_concession")
+    b = DM.bronze_subsidies(spark, sf)
+    land(b["culture"], raw, "culture_convention_subvention")
+    land(b["agriculture"], raw, "agriculture_subvention")
+    land(b["anct"], raw, "anct_subvention_ville", "anct-subvention-ville-2024")
+    # another yearly file of the same source with a reordered header
+    land(b["anct"].select(*b["anct"].columns[::-1]), raw, "anct_subvention_ville", "anct-subvention-ville-2023")
+    land(b["ademe"], raw, "ademe_aide_financiere")
+    land(b["dotation"], raw, "dotation_soutien_territoire", "dotation-soutien-territoire-2024")
+    land(b["caisse"], raw, "caisse_depots_subvention", "subvention-caisse-depots")
+    land(b["idf"], raw, "idf_subvention_association")
+    fv = b["fonds_vert"].drop("exercice")  # the exercise year comes from the file name
+    land(fv, raw, "fonds_vert_subvention", "fonds-vert-subvention-2023")
+    land(fv.withColumnRenamed("opérateur", "operateur"), raw, "fonds_vert_subvention", "fonds-vert-subvention-2024")
+    divisions, _ = DM.subsidy_reference(spark, sf)
+    write_csv(divisions, f"{seeds}/ministere_culture_division.csv", single=True)
+    write_csv(p.select(F.col("p_partkey").cast("string").alias("code"), F.col("p_name").alias("libelle"),
+                       F.length(F.col("p_partkey").cast("string")).alias("type")).filter("type <= 3"),
+              f"{seeds}/insee_sirene_cat_juridique.csv", single=True)
+    write_csv(n.select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("code"),
+                       F.concat(F.lit("NAF "), F.col("n_name")).alias("libelle"),
+                       F.when(F.col("n_nationkey") % 2 == 0, "sousclasse").otherwise("classe").alias("niveau")),
+              f"{seeds}/insee_sirene_naf.csv", single=True)
+    write_csv(n.select(F.col("n_name").alias("code"), F.col("n_name").alias("libelle")),
+              f"{seeds}/nom_activite_artisanat.csv", single=True)
 
 
 def main() -> None:
@@ -188,10 +124,12 @@ def main() -> None:
         summary = build_all(spark, raw, seeds, f"{scratch}/lake{i}")
         runs.append(time.perf_counter() - t0)
     counts = {k: spark.read.parquet(f"{scratch}/lake1/silver/{k}.parquet").count() for k in summary["silver"]}
+    dangling = spark.read.parquet(f"{scratch}/lake1/quality/integrity.parquet").filter("dangling > 0")
     print(json.dumps({"metric": "pipeline_build_all_sec", "value": round(runs[-1], 3), "unit": "sec",
                       "first_run_sec": round(runs[0], 3), "derive_sec": round(t_derive, 3),
                       "failed_checks": summary["failed_checks"], "seconds": summary["seconds"],
-                      "silver_seconds": summary["silver_seconds"], "silver_rows": counts, "sf_dir": sf}))
+                      "silver_seconds": summary["silver_seconds"], "silver_rows": counts,
+                      "dangling": [r.asDict() for r in dangling.collect()], "sf_dir": sf}))
     spark.stop()
 
 
