@@ -314,20 +314,23 @@ def model_legal_units(spark, sf_dir):
 
 
 def _commune_code(k) -> F.Column:
-    return F.lpad((k % 3000).cast("string"), 5, "0")
+    return F.lpad(k.cast("string"), 7, "0")
 
 
 def bronze_communes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One commune row per customer: type by key (COM, COMD, COMA, ARM), code
-    by key modulo 3000, so one code appears under several types."""
+    """One commune row per customer, typed by key (COM, COMD, COMA, ARM).
+    A delegated commune reuses the code of the commune before it, so one code
+    is listed under two types; codes are unique within a type."""
     c = table(spark, sf_dir, "customer")
-    kind = (F.when(F.col("c_custkey") % 10 == 1, "COMD").when(F.col("c_custkey") % 10 == 2, "ARM")
-             .when(F.col("c_custkey") % 10 == 3, "COMA").otherwise("COM"))
-    return c.select(kind.alias("TYPECOM"), _commune_code(F.col("c_custkey")).alias("COM"),
+    key = F.col("c_custkey")
+    kind = (F.when(key % 10 == 1, "COMD").when(key % 10 == 2, "ARM")
+             .when(key % 10 == 3, "COMA").otherwise("COM"))
+    return c.select(kind.alias("TYPECOM"),
+                    _commune_code(F.when(key % 10 == 1, key - 1).otherwise(key)).alias("COM"),
                     F.col("c_nationkey").cast("string").alias("REG"),
                     F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("DEP"),
                     F.col("c_name").alias("LIBELLE"),
-                    F.when(kind != "COM", _commune_code(F.col("c_custkey") + 3)).alias("COMPARENT"),
+                    F.when(kind != "COM", _commune_code(key - key % 10)).alias("COMPARENT"),
                     _release("c_custkey", 9).alias("release_year"))
 
 
@@ -339,13 +342,14 @@ def bronze_establishments(spark: SparkSession, sf_dir: str) -> DataFrame:
     eta_c = _raw_frame(c, S.ETABLISSEMENT_RAW, {
         "siren": F.lpad(F.col("c_custkey").cast("string"), 9, "0"), "siret": customer_siret("c_custkey"),
         "nic": F.lit("00011"), "etablissementSiege": F.lit("true"),
-        "codeCommuneEtablissement": F.when(F.col("c_custkey") % 6 != 0, _commune_code(F.col("c_custkey") * 7)),
+        "codeCommuneEtablissement": F.when(F.col("c_custkey") % 6 != 0,
+                                           _commune_code(F.col("c_custkey") * 7 % 1500 + 1)),
         "release_year": F.lit("2026")})
     eta_s = _raw_frame(s, S.ETABLISSEMENT_RAW, {
         "siren": F.concat(F.lit("9"), F.lpad(F.col("s_suppkey").cast("string"), 8, "0")),
         "siret": supplier_siret("s_suppkey"), "nic": F.lit("00029"), "etablissementSiege": F.lit("false"),
         "codeCommuneEtablissement": F.when(F.col("s_suppkey") % 5 == 0, F.lit("[ND]"))
-                                     .otherwise(_commune_code(F.col("s_suppkey") * 11)),
+                                     .otherwise(_commune_code(F.col("s_suppkey") * 11 % 1500 + 1)),
         "release_year": F.lit("2026")})
     return eta_c.unionByName(eta_s)
 
@@ -373,8 +377,8 @@ catj AS (SELECT a.code AS code_iii, a.libelle AS libelle_iii, b.libelle AS libel
 naf AS (SELECT lpad(CAST(n_nationkey AS VARCHAR),2,'0') AS code, 'NAF '||n_name AS libelle FROM nation WHERE n_nationkey%2=0)
 SELECT siren, coalesce(nullif(denom,'[ND]'), nullif(trim(concat(coalesce(nullif(prenom,'[ND]'),''),' ',coalesce(nullif(nom,'[ND]'),''))),'')) AS denomination_unite_legale, naf.libelle AS activite_principale_unite_legale_libelle, catj.libelle_iii AS categorie_juridique_unite_legale_libelle_iii, catj.libelle_ii AS categorie_juridique_unite_legale_libelle_ii, catj.libelle_i AS categorie_juridique_unite_legale_libelle_i, '2026' AS release_year FROM ul LEFT JOIN naf ON ul.naf=naf.code LEFT JOIN catj ON ul.cat=catj.code_iii"""
 
-ORACLE["model_located_in"] = r"""WITH com AS (SELECT CASE c_custkey%10 WHEN 1 THEN 'COMD' WHEN 2 THEN 'ARM' WHEN 3 THEN 'COMA' ELSE 'COM' END AS type_commune, lpad(CAST(c_custkey%3000 AS VARCHAR),5,'0') AS code_commune FROM customer WHERE c_custkey%9<>0),
-eta AS (SELECT CASE WHEN c_custkey%6<>0 THEN lpad(CAST((c_custkey*7)%3000 AS VARCHAR),5,'0') END AS code FROM customer UNION ALL SELECT CASE WHEN s_suppkey%5=0 THEN NULL ELSE lpad(CAST((s_suppkey*11)%3000 AS VARCHAR),5,'0') END FROM supplier)
+ORACLE["model_located_in"] = r"""WITH com AS (SELECT CASE c_custkey%10 WHEN 1 THEN 'COMD' WHEN 2 THEN 'ARM' WHEN 3 THEN 'COMA' ELSE 'COM' END AS type_commune, lpad(CAST(CASE WHEN c_custkey%10=1 THEN c_custkey-1 ELSE c_custkey END AS VARCHAR),7,'0') AS code_commune FROM customer WHERE c_custkey%9<>0),
+eta AS (SELECT CASE WHEN c_custkey%6<>0 THEN lpad(CAST((c_custkey*7)%1500+1 AS VARCHAR),7,'0') END AS code FROM customer UNION ALL SELECT CASE WHEN s_suppkey%5=0 THEN NULL ELSE lpad(CAST((s_suppkey*11)%1500+1 AS VARCHAR),7,'0') END FROM supplier)
 SELECT 'etablissement_located_in_commune' AS relationship, count(*) AS rows FROM eta JOIN com ON eta.code=com.code_commune WHERE com.type_commune='COM'
 UNION ALL SELECT 'etablissement_located_in_commune_deleguee', count(*) FROM eta JOIN com ON eta.code=com.code_commune WHERE com.type_commune IN ('COMD','COMA')
 UNION ALL SELECT 'etablissement_located_in_arrondissement', count(*) FROM eta JOIN com ON eta.code=com.code_commune WHERE com.type_commune='ARM'"""
