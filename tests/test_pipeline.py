@@ -178,3 +178,13 @@ def test_graph_invariants(spark, built):
         assert written.count() == written.select(f"`{id_col}`").distinct().count(), label
         as_text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
         assert sorted(map(tuple, as_text.collect()), key=repr) == sorted(map(tuple, written.collect()), key=repr), label
+
+
+def test_multiline_quoted_field_and_label(spark, built):
+    """A quoted CSV field holding a newline stays one record; N05 turns it
+    into a one-line label."""
+    s = silver(spark, built, "ent_subvention_publique").filter("domaine = 'culture'").first()
+    assert s["description_projet"] == "Aide\nau spectacle"
+    node = gold(spark, built, "node", "subvention_publique")
+    labels = {r["objet"] for r in node.collect()}
+    assert "Aide au spectacle" in labels
