@@ -44,9 +44,10 @@ def duplicate_keys(df: DataFrame, key: Column | str, name: str = "k", count_as:
               .filter(F.col(count_as) > 1))
 
 
-def unique_failures(df: DataFrame, key: Column | str, col_name: str, test: str = "unique") -> DataFrame:
+def unique_failures(df: DataFrame, key: Column | str, col_name: str, test: str = "unique",
+                    group_by: list[str] | None = None) -> DataFrame:
     """(test, col, failures) where failures = number of duplicated key values."""
-    dups = duplicate_keys(df, key)
+    dups = duplicate_keys(df, key, group_by=group_by)
     return dups.agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit(test).alias("test"), F.lit(col_name).alias("col"), "failures")
 
@@ -56,14 +57,15 @@ class Check:
     test: str                 # "not_null" | "unique"
     column: str               # column name, or a label for an expression key
     expr: str | None = None   # SQL expression for model-level unique checks
+    group_by: tuple[str, ...] | None = None  # typed columns the expression renders injectively
 
 
 def not_null(column: str) -> Check:
     return Check("not_null", column)
 
 
-def unique(column: str, expr: str | None = None) -> Check:
-    return Check("unique", column, expr)
+def unique(column: str, expr: str | None = None, group_by: tuple[str, ...] | None = None) -> Check:
+    return Check("unique", column, expr, group_by)
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check], model: str) -> DataFrame:
@@ -74,6 +76,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check], model: str) -> DataFrame:
     for c in checks:
         if c.test == "unique":
             key = F.expr(c.expr) if c.expr else F.col(c.column)
-            parts.append(unique_failures(df, key, c.column))
+            parts.append(unique_failures(df, key, c.column,
+                                         group_by=list(c.group_by) if c.group_by else None))
     out = reduce(lambda a, b: a.unionByName(b), parts)
     return out.select(F.lit(model).alias("model"), "test", "col", "failures")

@@ -327,7 +327,8 @@ def dq_checks(spark, sf_dir):
         "l_orderkey", "l_linenumber", X.null_if("l_returnflag", "R").alias("flag"),
         X.null_if("l_linestatus", "O").alias("status"))
     checks = [Q.not_null("flag"), Q.not_null("status"), Q.unique("l_orderkey"),
-              Q.unique("order_line", "cast(l_orderkey as string) || '-' || cast(l_linenumber as string)")]
+              Q.unique("order_line", "cast(l_orderkey as string) || '-' || cast(l_linenumber as string)",
+                       group_by=("l_orderkey", "l_linenumber"))]
     return Q.run_checks(li, checks, "lineitem")
 
 
