@@ -30,6 +30,9 @@ def build_session(app: str = "civgraph", master: str | None = None,
         builder = builder.master(master)
     conf = dict(RUNTIME_CONF)
     conf["spark.ui.enabled"] = "false"
+    # the pipeline submits independent jobs from a few threads; FAIR lets a
+    # small job run beside a large one instead of queueing behind it
+    conf["spark.scheduler.mode"] = "FAIR"
     conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.session.timeZone"] = "UTC"
     if shuffle_partitions:
