@@ -228,10 +228,11 @@ def with_surrogate_key(df: DataFrame, out: str, cols: Sequence[Column | str],
     """Add a deterministic md5 key over ``cols``.
 
     ``lineage=True`` adds the row's position (``monotonically_increasing_id``:
-    partition index and row number within it, a function of the input splits,
-    so a retried task reproduces it) so exact duplicate rows still get
-    distinct ids without any shuffle or window.  Materialise the result before
-    several outputs read it (the pipeline writes it as a silver table).
+    partition index and row number within it), so exact duplicate rows still
+    get distinct ids without any shuffle or window.  The position can differ
+    between task attempts when rows arrive through a shuffle, so materialise
+    the result once and read the written table everywhere (the pipeline writes
+    it as a silver table); ids are unique within what was written.
     """
     parts = list(cols)
     if lineage:

@@ -257,3 +257,17 @@ def test_refresh_report(spark, tmp_path):
     (tmp_path / "bad.json").write_text(json.dumps(bad))
     with pytest.raises(ValueError):
         refresh_report(spark, str(tmp_path / "bad.json"), None, now)
+
+
+def test_market_latest_only_switch(spark, tmp_path):
+    from civgraph.functions.columns import release_year
+    from civgraph.plans import silver as S
+    from civgraph.sources.contracts import MARCHE_SCHEMA
+    for y in (2024, 2025):
+        rec = {"id": f"M{y}", "acheteur": {"id": "1"},
+               "titulaires": [{"titulaire": {"typeIdentifiant": "SIRET", "id": "2"}}]}
+        spark.createDataFrame([rec], MARCHE_SCHEMA).write.parquet(str(tmp_path / f"commande-publique-marche_{y}.parquet"))
+    brz = (spark.read.parquet(str(tmp_path / "commande-publique-marche_*.parquet"))
+           .withColumn("release_year", release_year(F.col("_metadata.file_path"))))
+    assert sorted(r.id for r in S.commande_publique_marche(brz).collect()) == ["M2024", "M2025"]
+    assert [r.id for r in S.commande_publique_marche(brz, latest_only=True).collect()] == ["M2025"]
