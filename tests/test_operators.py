@@ -271,3 +271,17 @@ def test_market_latest_only_switch(spark, tmp_path):
            .withColumn("release_year", release_year(F.col("_metadata.file_path"))))
     assert sorted(r.id for r in S.commande_publique_marche(brz).collect()) == ["M2024", "M2025"]
     assert [r.id for r in S.commande_publique_marche(brz, latest_only=True).collect()] == ["M2025"]
+
+
+def test_stable_header_source_rejects_a_reordered_file(spark, tmp_path):
+    """A source declared with one header must not bind a reordered file by
+    position (silent column swap); drifting sources are read by name."""
+    from civgraph.sources.readers import read_raw
+    (tmp_path / "regions-france_2025.csv").write_text("REG,LIBELLE\n84,Auvergne\n")
+    (tmp_path / "regions-france_2026.csv").write_text("LIBELLE,REG\nCorse,94\n")
+    with pytest.raises(Exception):
+        read_raw(spark, str(tmp_path), "france_regions").collect()
+    (tmp_path / "dotation-soutien-territoire-2024_2026.csv").write_text("exercice;subvention\n2024;1,5\n")
+    (tmp_path / "dotation-soutien-territoire-2023_2026.csv").write_text("subvention;exercice\n2,5;2023\n")
+    got = rows(read_raw(spark, str(tmp_path), "dotation_soutien_territoire"), "exercice", "subvention")
+    assert got == [("2023", "2,5"), ("2024", "1,5")]
