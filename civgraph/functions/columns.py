@@ -102,10 +102,27 @@ def parse_date(c: ColumnOrName, fmt: str = "yyyy-M-d") -> Column:
              .cast("date"))
 
 
+def _try_day(c: Column, fmt: str) -> Column:
+    """NULL-on-failure parse of one day format.  The two slash formats of the
+    subsidy files are shape-checked and fed to the native ``try_cast``
+    (no per-row formatter; same results as ``try_to_date``); any other
+    format goes through ``try_to_date``."""
+    if fmt == "yyyy/M/d":
+        return F.when(c.rlike(r"^\d{4}/\d{1,2}/\d{1,2}$"),
+                      F.replace(c, F.lit("/"), F.lit("-")).try_cast("date"))
+    if fmt == "d/M/yyyy":
+        iso = F.concat(F.regexp_extract(c, r"/(\d{4})$", 1), F.lit("-"),
+                       F.regexp_extract(c, r"^\d{1,2}/(\d{1,2})/", 1), F.lit("-"),
+                       F.regexp_extract(c, r"^(\d{1,2})/", 1))
+        return F.when(c.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), iso.try_cast("date"))
+    return F.try_to_date(c, fmt)
+
+
 def parse_date_any(c: ColumnOrName, formats: Sequence[str] = ("yyyy/M/d", "d/M/yyyy")) -> Column:
     """First format that parses wins; none -> NULL.  Single ``M``/``d`` accept
     both padded and unpadded fields."""
-    return F.coalesce(*[F.try_to_date(col_(c), f) for f in formats])
+    c = col_(c).cast("string")
+    return F.coalesce(*[_try_day(c, f) for f in formats]).cast("date")
 
 
 def month_start(c: ColumnOrName) -> Column:

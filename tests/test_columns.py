@@ -97,3 +97,15 @@ def test_int_rounding(spark):
 def test_parse_date_is_strict(spark, bad):
     with pytest.raises(Exception):
         spark.createDataFrame([(bad,)], "v string").select(X.parse_date("v")).collect()
+
+
+def test_parse_date_any_matches_formatter(spark):
+    import random
+    random.seed(11)
+    vals = [None, "", "2024/2/29", "2023/2/29", "29/02/2024", "31/04/2024", "2024//1", "garbage", " 2024/1/5"]
+    for _ in range(3000):
+        y, m, d = random.randint(1890, 2100), random.randint(0, 13), random.randint(0, 32)
+        vals += [f"{y}/{m}/{d}", f"{d:02d}/{m:02d}/{y}", f"{d}/{m}/{y % 100}"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    ref = F.coalesce(F.try_to_date("v", "yyyy/M/d"), F.try_to_date("v", "d/M/yyyy"))
+    assert df.filter(~X.parse_date_any("v").eqNullSafe(ref)).count() == 0
