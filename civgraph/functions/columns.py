@@ -126,8 +126,13 @@ def parse_date_any(c: ColumnOrName, formats: Sequence[str] = ("yyyy/M/d", "d/M/y
 
 
 def month_start(c: ColumnOrName) -> Column:
-    """``yyyy-MM`` text -> first day of that month."""
-    return F.to_date(col_(c).cast("string"), "yyyy-M")
+    """``yyyy-MM`` text -> first day of that month.  Strict like
+    ``to_date(c, 'yyyy-M')``: the shape is checked, the value comes from the
+    native cast of ``yyyy-M-1`` (which still rejects month 13)."""
+    text = col_(c).cast("string")
+    return (F.when(text.rlike(r"^\d{4}-\d{1,2}$"), F.concat(text, F.lit("-1")).cast("date"))
+             .when(text.isNotNull(), F.raise_error(F.concat(F.lit("invalid month: "), text)))
+             .cast("date"))
 
 
 def year_start(c: ColumnOrName) -> Column:

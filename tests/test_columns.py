@@ -109,3 +109,12 @@ def test_parse_date_any_matches_formatter(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     ref = F.coalesce(F.try_to_date("v", "yyyy/M/d"), F.try_to_date("v", "d/M/yyyy"))
     assert df.filter(~X.parse_date_any("v").eqNullSafe(ref)).count() == 0
+
+
+def test_month_start_matches_formatter_and_is_strict(spark):
+    vals = [f"{y}-{m}" for y in (1999, 2024) for m in range(1, 13)] + [f"2024-{m:02d}" for m in range(1, 13)] + [None]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    assert df.filter(~X.month_start("v").eqNullSafe(F.to_date("v", "yyyy-M"))).count() == 0
+    for bad in ["2024-13", "2024-00", "2024-3-1", "24-03", " 2024-03"]:
+        with pytest.raises(Exception):
+            spark.createDataFrame([(bad,)], "v string").select(X.month_start("v")).collect()
