@@ -1,14 +1,18 @@
 """Driver queries that run the pipeline's own silver and gold model functions
-(V07 market unnest, V08 concessions, V19 contract union, E02-E05 contract
-edges) over bronze-shaped frames that Spark derives from the benchmark tables:
-
-* a market per line item: buyer = the order's customer, awardees = a
-  SIRET-typed supplier and a VAT-typed part (line 4: empty list, line 5: NULL
-  list — both must drop out of the unnest);
-* a concession per order: grantor = the customer, one awardee per order;
-* establishments = customers and suppliers of some nations.
-
-Every frame is derived row by row (no grouping), so its size follows the tables.
+over bronze-shaped records that Spark derives row by row from the benchmark
+tables (no grouping, so their size follows the tables):
+
+* markets per line item (buyer = the order's customer; awardees = a
+  SIRET-typed supplier and a VAT-typed part; line 4: empty list, line 5: NULL
+  list) and concessions per order -> V07, V08, V19, E02-E05;
+* the eight subsidy sources per line item / order -> V09-V16, V20;
+* legal units per customer, legal categories from part codes, activity codes
+  per nation -> V04, V05, V17;
+* communes per customer and establishments per customer / supplier -> V01,
+  V06, V18, E08-E10.
+
+``scripts/pipeline_bench.py`` lands the same records as raw files and runs
+the whole pipeline over them.
 """
 
 from __future__ import annotations
