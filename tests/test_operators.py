@@ -285,3 +285,18 @@ def test_stable_header_source_rejects_a_reordered_file(spark, tmp_path):
     (tmp_path / "dotation-soutien-territoire-2023_2026.csv").write_text("subvention;exercice\n2,5;2023\n")
     got = rows(read_raw(spark, str(tmp_path), "dotation_soutien_territoire"), "exercice", "subvention")
     assert got == [("2023", "2,5"), ("2024", "1,5")]
+
+
+def test_null_keys_spread_over_many_reducers(spark):
+    """A third of the rows with a NULL join key: the spread key takes many
+    distinct never-matching values (so hash partitioning spreads them), the
+    same values on every evaluation, and the outer join keeps every row."""
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"), "id")
+    spread = R.spread_null_key(df, "k", "sk").filter(F.col("k").isNull())
+    first = {r.id: r.sk for r in spread.collect()}
+    assert len(set(first.values())) > 1000
+    assert first == {r.id: r.sk for r in spread.collect()}
+    dim = spark.createDataFrame([("1", "one")], "code string, lab string")
+    out = R.lookup_label(df, dim, {"k": "code"}, {"lab": "lab"})
+    assert out.count() == 30000 and out.filter("lab = 'one'").count() == 1
