@@ -449,9 +449,17 @@ def idf_subvention_association(brz: DataFrame, prune_files: bool = True) -> Data
     return R.latest_release(out, prune_files=prune_files)
 
 
-def fonds_vert_subvention(brz: DataFrame, etablissements: DataFrame, prune_files: bool = True) -> DataFrame:  # V16
-    newest = R.latest_release(brz, prune_files=prune_files)
-    filled = R.fill_from_primary(newest, head_offices(etablissements), "siren", "siren", "siret",
+def with_siren_key(df: DataFrame, siren: str, out: str, pad_siren: bool) -> DataFrame:
+    """Join key for a SIREN read from a file: as is (reference behaviour), or
+    left-padded to 9 digits when an upstream tool dropped leading zeros."""
+    key = F.col(siren).cast("string")
+    return df.withColumn(out, F.lpad(key, 9, "0") if pad_siren else key)
+
+
+def fonds_vert_subvention(brz: DataFrame, etablissements: DataFrame, prune_files: bool = True,
+                          pad_siren: bool = False) -> DataFrame:  # V16
+    newest = with_siren_key(R.latest_release(brz, prune_files=prune_files), "siren", "__siren", pad_siren)
+    filled = R.fill_from_primary(newest, head_offices(etablissements), "__siren", "siren", "siret",
                                  "__siret", own_value=pick(brz, "siret_beneficiaire"))
     keep = ["nom_region", "code_departement", "nom_departement", "code_commune", "nom_commune",
             "numero_dossier_ds", "nom_du_projet", "nom_beneficiaire_principal"]
@@ -497,7 +505,8 @@ def _tags(key: str) -> dict:
 
 def ent_subvention_publique(culture: DataFrame, divisions: DataFrame, agriculture: DataFrame,
                             anct: DataFrame, ademe: DataFrame, dotation: DataFrame, caisse: DataFrame,
-                            idf: DataFrame, fonds_vert: DataFrame, etablissements: DataFrame) -> DataFrame:  # V20
+                            idf: DataFrame, fonds_vert: DataFrame, etablissements: DataFrame,
+                            pad_siren: bool = False) -> DataFrame:  # V20
     cul = R.lookup_label(culture, divisions, {"origine_credits": "type_division",
                                               "detail_origine_credits": "nom_division"},
                          {"siret": "__payer"}, bounded=True)
@@ -527,8 +536,9 @@ def ent_subvention_publique(culture: DataFrame, divisions: DataFrame, agricultur
             "reference_decision": "reference_decision", "nom_beneficiaire": "nom_beneficiaire",
             "siret_beneficiaire": "id_beneficiaire", "siret_crediteur": "id_attribuant",
             "montant": "montant", **_tags("ademe")}),
-        R.conform(R.fill_from_primary(dotation, head_offices(etablissements), "beneficiaire_siren",
-                                      "siren", "siret", "__siret"), SUBSIDY_SCHEMA, {
+        R.conform(R.fill_from_primary(with_siren_key(dotation, "beneficiaire_siren", "__siren", pad_siren),
+                                      head_offices(etablissements), "__siren", "siren", "siret", "__siret"),
+                  SUBSIDY_SCHEMA, {
             "date_subvention": X.year_start("exercice"), "code_commune": "beneficiaire_code_insee",
             "nom_projet": "intitule", "description_projet": "intitule", "nom_beneficiaire": "beneficiaire_nom",
             "siret_beneficiaire": "__siret", "montant": "subvention", **_tags("dotation")}),

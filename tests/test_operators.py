@@ -300,3 +300,16 @@ def test_null_keys_spread_over_many_reducers(spark):
     dim = spark.createDataFrame([("1", "one")], "code string, lab string")
     out = R.lookup_label(df, dim, {"k": "code"}, {"lab": "lab"})
     assert out.count() == 30000 and out.filter("lab = 'one'").count() == 1
+
+
+def test_fonds_vert_siren_padding_option(spark):
+    from civgraph.plans import silver as S
+    brz = spark.createDataFrame([("12345678", None, "2026", "2024", "10.0")],
+                                "siren string, siret_beneficiaire string, release_year string, exercice string, "
+                                "montant_engage string")
+    eta = spark.createDataFrame([("012345678", "01234567800011", True)],
+                                "siren string, siret string, etablissement_siege boolean")
+    plain = S.fonds_vert_subvention(brz, eta, prune_files=False).first()
+    padded = S.fonds_vert_subvention(brz, eta, prune_files=False, pad_siren=True).first()
+    assert plain["siret_beneficiaire"] is None           # reference behaviour: text compare, no match
+    assert padded["siret_beneficiaire"] == "01234567800011"
