@@ -354,7 +354,26 @@ def subvention_ministere_agriculture(brz: DataFrame, prune_files: bool = True) -
     return R.latest_release(out, prune_files=prune_files).filter(~F.col("nom_attributaire").like("Généré%"))
 
 
-def subvention_anct_ville(brz: DataFrame, prune_files: bool = True) -> DataFrame:      # V11
+FILE_STEM = r"([^/]*)_\d{4}[^/]*(?:/part-[^/]*)?$"
+
+
+def file_stem(path_col: str = "source_file_path") -> Column:
+    """File name without its fetch-year suffix: ``.../anct-subvention-ville-2024_2026.csv``
+    -> ``anct-subvention-ville-2024`` (one group per data year of a multi-file source)."""
+    return F.regexp_extract(F.col(path_col), FILE_STEM, 1)
+
+
+def _newest(out: DataFrame, prune_files: bool, per_file_stem: bool) -> DataFrame:
+    """Newest release overall (reference behaviour) or, with ``per_file_stem``,
+    the newest release of each data file — so a data year not yet refetched
+    this year is not dropped."""
+    if per_file_stem:
+        return R.latest_release(out, by=["__stem"]).drop("__stem")
+    return R.latest_release(out, prune_files=prune_files)
+
+
+def subvention_anct_ville(brz: DataFrame, prune_files: bool = True,
+                          per_file_stem: bool = False) -> DataFrame:      # V11
     out = brz.select(
         pick(brz, "Nom de l'attribuant").alias("nom_attribuant"),
         pick(brz, "Identification de l'attributaire").alias("identification_attributaire"),
@@ -371,8 +390,8 @@ def subvention_anct_ville(brz: DataFrame, prune_files: bool = True) -> DataFrame
         X.parse_date_any(pick(brz, "Date de versement")).alias("date_versement"),
         pick(brz, "RAE").alias("rae"), pick(brz, "notificationUE").alias("notification_ue"),
         pick(brz, "PourcentageSubvention").cast("double").alias("pourcentage_subvention"),
-        "release_year")
-    return R.latest_release(out, prune_files=prune_files).filter(F.col("identification_attributaire").isNotNull())
+        "release_year", *([file_stem().alias("__stem")] if per_file_stem else []))
+    return _newest(out, prune_files, per_file_stem).filter(F.col("identification_attributaire").isNotNull())
 
 
 def subvention_ademe(brz: DataFrame, prune_files: bool = True) -> DataFrame:           # V12
@@ -392,7 +411,8 @@ def subvention_ademe(brz: DataFrame, prune_files: bool = True) -> DataFrame:
     return R.latest_release(out, prune_files=prune_files)
 
 
-def dotation_soutien_territoire(brz: DataFrame, prune_files: bool = True) -> DataFrame:  # V13
+def dotation_soutien_territoire(brz: DataFrame, prune_files: bool = True,
+                                per_file_stem: bool = False) -> DataFrame:  # V13
     out = brz.select(
         pick(brz, "exercice").cast("int").alias("exercice"), pick(brz, "dispositif").alias("dispositif"),
         pick(brz, "programme").alias("programme"), pick(brz, "beneficiaire_type").alias("beneficiaire_type"),
@@ -404,8 +424,8 @@ def dotation_soutien_territoire(brz: DataFrame, prune_files: bool = True) -> Dat
         X.decimal_comma(pick(brz, "cout_ht")).alias("cout_ht"),
         X.decimal_comma(pick(brz, "subvention")).alias("subvention"),
         X.decimal_comma(pick(brz, "taux")).alias("taux"),
-        "release_year")
-    return R.latest_release(out, prune_files=prune_files).filter(F.col("subvention").isNotNull())
+        "release_year", *([file_stem().alias("__stem")] if per_file_stem else []))
+    return _newest(out, prune_files, per_file_stem).filter(F.col("subvention").isNotNull())
 
 
 def subvention_caisse_depots(brz: DataFrame, prune_files: bool = True) -> DataFrame:   # V14

@@ -313,3 +313,19 @@ def test_fonds_vert_siren_padding_option(spark):
     padded = S.fonds_vert_subvention(brz, eta, prune_files=False, pad_siren=True).first()
     assert plain["siret_beneficiaire"] is None           # reference behaviour: text compare, no match
     assert padded["siret_beneficiaire"] == "01234567800011"
+
+
+def test_newest_release_per_file_stem(spark):
+    """Two data years of one source, only one refetched this year: the
+    reference filter keeps the newest release overall, the per-stem form
+    keeps the newest release of each data file."""
+    from civgraph.plans import silver as S
+    rows_ = [("2024", "1,5", "/raw/dotation-soutien-territoire-2024_2026.csv", "2026"),
+             ("2023", "2,5", "/raw/dotation-soutien-territoire-2023_2025.csv", "2025"),
+             ("2023", "9,9", "/raw/dotation-soutien-territoire-2023_2024.csv", "2024")]
+    brz = spark.createDataFrame(rows_, "exercice string, subvention string, source_file_path string, "
+                                       "release_year string")
+    assert [r.exercice for r in S.dotation_soutien_territoire(brz, prune_files=False).collect()] == [2024]
+    kept = S.dotation_soutien_territoire(brz, per_file_stem=True)
+    assert sorted((r.exercice, r.subvention) for r in kept.collect()) == [(2023, 2.5), (2024, 1.5)]
+    assert "__stem" not in kept.columns
