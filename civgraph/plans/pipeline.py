@@ -99,7 +99,9 @@ class Silver:
         return run_concurrently(tasks)
 
 
-def build_silver(spark: SparkSession, raw_dir: str, seeds_dir: str, out_dir: str) -> dict[str, DataFrame]:
+def build_silver(spark: SparkSession, raw_dir: str, seeds_dir: str, out_dir: str) -> Silver:
+    """Write every silver model (in dependency waves, independent models concurrently);
+    returns the writer, whose ``tables`` are the re-read models."""
     ensure_pipeline_conf(spark)
     b = lambda n: bronze(spark, raw_dir, n)
     seed = lambda n: read_seed(spark, seeds_dir, n)
