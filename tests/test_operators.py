@@ -329,3 +329,12 @@ def test_newest_release_per_file_stem(spark):
     kept = S.dotation_soutien_territoire(brz, per_file_stem=True)
     assert sorted((r.exercice, r.subvention) for r in kept.collect()) == [(2023, 2.5), (2024, 1.5)]
     assert "__stem" not in kept.columns
+
+
+def test_integrity_report_counts_null_endpoints(spark):
+    n = {"A": spark.createDataFrame([("1",), ("1",)], "`a:ID(A)` string"),   # a repeated id must not multiply rows
+         "B": spark.createDataFrame([("x",)], "`b:ID(B)` string")}
+    rel = spark.createDataFrame([("1", "x"), (None, "x"), ("1", None), ("2", "y")],
+                                "`:START_ID(A)` string, `:END_ID(B)` string")
+    rep = {(r.side, r.id_space): r.dangling for r in G.integrity_report({"r": rel}, n).collect()}
+    assert rep == {("start", "A"): 2, ("end", "B"): 2}
