@@ -15,6 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from civgraph.plans import driver_models
 from civgraph.plans.driver import QUERIES, graph_summary
 
+try:  # the training-data operators are a part that can be left out
+    from civgraph.llm import queries as llm
+except ImportError:
+    llm = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -24,11 +33,21 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**QUERIES, **driver_models.QUERIES}
+    found = {**QUERIES, **driver_models.QUERIES}
+    if llm:
+        found |= llm.QUERIES
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**_ORACLE, **driver_models.ORACLE}
+    found = {**_ORACLE, **driver_models.ORACLE}
+    if llm:
+        found |= llm.ORACLE
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
 
 
 _ORACLE = {
