@@ -4,8 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civgraph.llm import mixing, sharding
-from civgraph.llm.common import table
+from civgraph.llm import decontaminate, mixing, sharding, simple8b
+from civgraph.llm.common import shared_folder, table
+
+
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simple8b.token_digest(table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/tokens", word_tokenizer())
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,9 +30,29 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op9_mix_sources, op10_histogram_shards)}
+QUERIES = {f.__name__: f for f in (
+    op1_token_output, op4_decontaminate, op9_mix_sources, op10_histogram_shards)}
 
 ORACLE = {
+    "op4_decontaminate": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+           FROM documents),
+b AS (SELECT item_id,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, list_slice(w, pos, pos + least(len(w), 13) - 1) AS win
+       FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS pos FROM b WHERE len(w) > 0)),
+dw AS (SELECT rid, n, pos, list_slice(w, pos, pos + n - 1) AS win
+       FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS pos FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+h AS (SELECT dw.rid, dw.pos, dw.n, bw.item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.win = bw.win),
+p AS (SELECT rid, count(DISTINCT word) AS n_hit FROM (SELECT rid, unnest(range(pos, pos + n)) AS word FROM (SELECT DISTINCT rid, pos, n FROM h)) GROUP BY rid),
+i AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY rid)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(p.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
+       sha256(coalesce(i.items, '')) AS items_sha256,
+       coalesce(p.n_hit, 0) > 0 AND 20 * coalesce(p.n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN p USING (rid) LEFT JOIN i USING (rid)""",
     "op9_mix_sources": r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
