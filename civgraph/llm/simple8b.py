@@ -18,6 +18,7 @@ the lowest bits.  Selector 0 is the escape: the data bits index ``escapes``.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,6 +34,8 @@ WORD_STEP = 128
 BLOCK_IDS = 1 << 16
 CACHE_PIECES = 400_000
 LONG_PIECE = 256
+GROUP = 256  # texts encoded together
+LATIN = re.compile("[\x00-\u012f\u0131-\u017f]*")  # letters with a lower case of one letter in any context
 
 SCHEMA = ("part int, start long, doc_ids array<long>, doc_starts array<long>, n_ids long, "
           "words binary, word_starts array<long>, escapes binary")
@@ -97,7 +100,7 @@ class _PieceEncoder:
 
     Only for tokenizers whose pre-tokenizer drops white space, as pieces
     between blanks and line breaks are then encoded independently; others
-    encode whole texts.  Pieces and ids are kept within a fixed bound.
+    encode whole texts.  The pieces kept are bounded in number and length.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -109,26 +112,64 @@ class _PieceEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
-        self.by_piece = bool(steps) and steps[0].get("behavior") == "Removed" and r"[^\s" in str(steps[0])
+        lowers = "Lowercase" in json.dumps(spec.get("normalizer"))
+        first = steps[0] if steps else {}
+        drops_space = first.get("behavior") == "Removed" and r"[^\s" in first["pattern"].get("Regex", "")
+        self.by_piece = lowers and drops_space
         self.end = np.array([end_id], dtype="<u4").tobytes()
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _letters(self, pieces: list[str]) -> list[bytes]:
+        """Pieces of letters only, each one run of the pre-tokenizer: many in
+        one text, told apart by the run that each id belongs to."""
+        out = []
+        for at in range(0, len(pieces), 2000):
+            some = pieces[at:at + 2000]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            runs = np.array(found.word_ids)
+            if len(runs) == 0 or runs[-1] != len(some) - 1:  # a letter that is normalised to several runs
+                out += self._ids(some)
+                continue
+            cuts = (4 * np.searchsorted(runs, np.arange(len(some) + 1))).tolist()
+            raw = np.array(found.ids, dtype="<u4").tobytes()
+            out += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        plain = {}
+        for p in new:
+            q, tail = p, ""
+            if p.isascii() and "<|" not in p:  # the tokenizer lower-cases all but its special strings
+                q = p.lower()
+                if q[-1] in ".," and q[-2:-1].isalpha():  # one mark after a letter is a token run of its own
+                    q, tail = q[:-1], q[-1]
+            plain[p] = q, tail
+        known = self.known
+        letters, rest = [], []
+        for q in {x for pair in plain.values() for x in pair}:
+            if q not in known:
+                (letters if q.isalpha() and len(q) <= LONG_PIECE else rest).append(q)
+        known.update(zip(letters, self._letters(letters)))
+        known.update(zip(rest, self._ids(rest)))
+        known.update((p, known[q] + known[tail]) for p, (q, tail) in plain.items())
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_piece:
             return [np.frombuffer(b + self.end, dtype="<u4") for b in self._ids(texts)]
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        wanted = {p for pieces in split for p in pieces}
-        new = [p for p in wanted if p not in self.known]
-        if len(self.known) + len(new) > CACHE_PIECES:
-            self.known, new = {}, list(wanted)
-        self.known.update(zip(new, self._ids(new)))
+        # the tokenizer lower-cases each letter of a text, but not its special strings
+        split = [(t.lower() if LATIN.fullmatch(t) and "<|" not in t else t).replace("\n", " ").split(" ")
+                 for t in texts]
+        if len(self.known) > CACHE_PIECES:
+            self.known = {"": b""}
+        new = list(set().union(*split).difference(self.known))
+        self._learn(new)
         out = [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)) + self.end, dtype="<u4")
                for pieces in split]
-        for p in wanted:
+        for p in new:
             if len(p) > LONG_PIECE:
                 del self.known[p]
         return out
@@ -152,9 +193,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
 
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), batch.column(1)
-        for at in range(0, len(ids), 64):
-            some = [t or "" for t in texts.slice(at, 64).to_pylist()]
-            for doc, tokens in zip(ids[at:at + 64], encoder.encode(some)):
+        for at in range(0, len(ids), GROUP):
+            some = [t or "" for t in texts.slice(at, GROUP).to_pylist()]
+            for doc, tokens in zip(ids[at:at + GROUP], encoder.encode(some)):
                 docs.append(doc)
                 starts.append(n)
                 held.append(tokens)
