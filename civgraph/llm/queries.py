@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civgraph.llm import decontaminate, mixing, sharding, simple8b
+from civgraph.llm import decontaminate, mixing, quality, sharding, simple8b
 from civgraph.llm.common import shared_folder, table
 
 
@@ -18,6 +18,10 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.token_digest(table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/tokens", word_tokenizer())
 
 
+def op3_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,7 +35,7 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_output, op4_decontaminate, op9_mix_sources, op10_histogram_shards)}
+    op1_token_output, op3_quality_votes, op4_decontaminate, op9_mix_sources, op10_histogram_shards)}
 
 ORACLE = {
     "op4_decontaminate": r"""
