@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civgraph.llm import decontaminate, mixing, quality, sharding, simple8b
+from civgraph.llm import decontaminate, jaccard, mixing, quality, sharding, simple8b
 from civgraph.llm.common import shared_folder, table
 
 
@@ -26,6 +26,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_output, op3_quality_votes, op4_decontaminate, op9_mix_sources, op10_histogram_shards)}
+    op1_token_output, op3_quality_votes, op4_decontaminate, op6_ngram_join, op9_mix_sources, op10_histogram_shards)}
 
 ORACLE = {
     "op4_decontaminate": r"""
