@@ -70,14 +70,14 @@ def _set_id(shingles: np.ndarray) -> int | None:
 
 
 def _sets(documents: DataFrame, n: int, counters: int = COUNTER_BITS) -> DataFrame:
-    """One row per document (doc_id, text_hash, size, v) and, with a slice
-    number, the counters of each task."""
+    """One row per document (doc_id, text_hash, size, v, parts: n-grams in each
+    part of the hash space) and, with a slice number, the counters of each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, counts = ShingleSets(n), np.zeros(1 << counters, dtype=np.int32)
-        names = ["doc_id", "text_hash", "size", "v", "slice", "counts"]
+        names = ["doc_id", "text_hash", "size", "v", "parts", "slice", "counts"]
         for batch in batches:
-            sizes, ids = [], []
+            sizes, ids, parts = [], [], []
             texts = batch.column(1)
             for at in range(0, len(texts), 512):
                 for text in texts.slice(at, 512).to_pylist():
@@ -85,17 +85,19 @@ def _sets(documents: DataFrame, n: int, counters: int = COUNTER_BITS) -> DataFra
                     np.add.at(counts, (s >> np.uint64(64 - counters)).astype(np.int64), 1)
                     sizes.append(len(s))
                     ids.append(_set_id(s))
+                    parts.append(np.bincount((s & np.uint64(SUFFIX_PARTS - 1)).astype(np.int64), minlength=SUFFIX_PARTS))
             none = pa.nulls(len(texts), pa.int32()), pa.nulls(len(texts), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()),
-                                              pa.array(ids, pa.int64()), *none], names)
+                                              pa.array(ids, pa.int64()),
+                                              pa.array(parts, pa.list_(pa.int32())), *none], names)
         if counts.any():
             part = np.array_split(counts, SLICES)
-            none = [pa.nulls(SLICES, pa.int64())] * 4
+            none = [*[pa.nulls(SLICES, pa.int64())] * 4, pa.nulls(SLICES, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays([*none, pa.array(range(SLICES), pa.int32()),
                                               pa.array([p.tobytes() for p in part], pa.binary())], names)
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
-    return rows.mapInArrow(run, "doc_id long, text_hash long, size long, v long, slice int, counts binary")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, size long, v long, parts array<int>, slice int, counts binary")
 
 
 def _frequencies(sets: DataFrame) -> np.ndarray:
@@ -153,10 +155,10 @@ def _prefixes(documents: DataFrame, n: int, percent: int, frequency: np.ndarray)
 
 
 def _whole_sets(documents: DataFrame, n: int, vertices: DataFrame) -> DataFrame:
-    """(v, size, parts, shingles) of the given vertices, from the texts.
+    """(v, shingles) of the given vertices, from the texts.
 
     A bitmap of 2**MARK_BITS hashed vertices, whatever their number, spares
-    the texts of most others; the join that follows is exact."""
+    most other sets the way out of the task; the join that follows is exact."""
     low = (1 << MARK_BITS) - 1
     marked = np.zeros(1 << MARK_BITS, dtype=bool)
     marked[[r[0] for r in vertices.select(F.col("v").bitwiseAND(F.lit(low))).distinct().collect()]] = True
@@ -164,6 +166,8 @@ def _whole_sets(documents: DataFrame, n: int, vertices: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen, marks = ShingleSets(n), set(), np.unpackbits(shared.value)
+        if not marks.any():
+            return
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 out = []
@@ -172,28 +176,31 @@ def _whole_sets(documents: DataFrame, n: int, vertices: DataFrame) -> DataFrame:
                     v = _set_id(s)
                     if v is not None and marks[v & low] and v not in seen:
                         seen.add(v)
-                        parts = np.bincount((s & np.uint64(SUFFIX_PARTS - 1)).astype(np.int64), minlength=SUFFIX_PARTS)
-                        out.append((v, len(s), parts.tolist(), s.tobytes()))
+                        out.append((v, s.tobytes()))
                 if out:
-                    v, size, parts, raw = zip(*out)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(v, pa.int64()), pa.array(size, pa.int64()), pa.array(parts, pa.list_(pa.int32())),
-                        pa.array(raw, pa.binary())], ["v", "size", "parts", "shingles"])
+                    v, raw = zip(*out)
+                    yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()), pa.array(raw, pa.binary())],
+                                                     ["v", "shingles"])
 
-    found = documents.select("text").mapInArrow(run, "v long, size long, parts array<int>, shingles binary")
+    found = documents.select("text").mapInArrow(run, "v long, shingles binary")
     return found.join(vertices, "v", "left_semi").dropDuplicates(["v"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _vertices(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
+
+
+def _verified(documents: DataFrame, n: int, percent: int, rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) that reach the threshold: suffix filter (the n-grams
     in each of SUFFIX_PARTS parts of the hash space can differ no more than
     the sets may), then the sets themselves."""
-    facts = sets.select("v", "size", "parts")
+    facts = rows.select("v", "size", "parts").join(_vertices(pairs), "v", "left_semi").dropDuplicates(["v"])
     with_parts = pairs.join(facts.toDF("a", "size_a", "parts_a"), "a").join(facts.toDF("b", "size_b", "parts_b"), "b")
     apart = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    left = with_parts.where(apart * (100 + percent) <= (100 - percent) * (F.col("size_a") + F.col("size_b")))
-    whole = sets.select("v", "shingles")
-    both = left.select("a", "b").join(whole.toDF("b", "set_b"), "b").join(whole.toDF("a", "set_a"), "a")
+    left = stored(with_parts.where(apart * (100 + percent) <= (100 - percent) * (
+        F.col("size_a") + F.col("size_b"))).select("a", "b"), "close")
+    whole = stored(_whole_sets(documents, n, _vertices(left)), "whole")
+    both = left.join(whole.toDF("b", "set_b"), "b").join(whole.toDF("a", "set_a"), "a")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,7 +213,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays(list(batch.columns[:2]), ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(verify, "a long, b long")
+    return stored(both.select("a", "b", "set_a", "set_b").mapInArrow(verify, "a long, b long"), "links")
 
 
 def _possible(pairs: DataFrame, percent: int) -> DataFrame:
@@ -225,11 +232,10 @@ def links(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFr
     """(rows, found): per document doc_id, text_hash, size and class v; and
     links (a, b) between classes that connect all that are connected."""
     sets = stored(_sets(documents, n), "sets")
-    rows = sets.where("slice IS NULL").select("doc_id", "text_hash", "size", "v")
+    rows = sets.where("slice IS NULL").drop("slice", "counts")
     prefixes = stored(_prefixes(documents, n, percent, _frequencies(sets)), "prefixes")
     shared = prefixes.groupBy("token").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo <> hi")
     groups = stored(prefixes.join(shared.select("token"), "token").dropDuplicates(["token", "v"]), "groups")
-    whole = stored(_whole_sets(documents, n, groups.select("v").distinct()), "whole")
 
     # a few pivots in each group, the same for groups of one residue, so that
     # groups with the same members ask for the same pairs
@@ -238,7 +244,7 @@ def links(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFr
         "token", F.col("p.v").alias("a"), F.col("p.size").alias("size_a"), F.col("p.pos").alias("pos_a"))
     members = groups.toDF("token", "b", "size_b", "pos_b")
     first = stored(_possible(members.join(pivots, "token"), percent), "pairs")
-    found = stored(_verified(first, whole, percent), "links")
+    found = _verified(documents, n, percent, rows, first)
 
     # what is left: pairs of one group in different components
     roots = stored(components(found), "roots")
@@ -250,8 +256,8 @@ def links(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFr
                    & (F.col("x.root") != F.col("y.root"))).select(
         F.col("x.v").alias("a"), F.col("x.size").alias("size_a"), F.col("x.pos").alias("pos_a"),
         F.col("y.v").alias("b"), F.col("y.size").alias("size_b"), F.col("y.pos").alias("pos_b"))
-    second = _possible(pairs, percent).join(first, ["a", "b"], "left_anti")
-    return rows, found.unionAll(_verified(second, whole, percent))
+    second = stored(_possible(pairs, percent).join(first, ["a", "b"], "left_anti"), "pairs")
+    return rows, found.unionAll(_verified(documents, n, percent, rows, second))
 
 
 def near_groups(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
