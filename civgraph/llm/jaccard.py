@@ -196,9 +196,7 @@ def _verified(documents: DataFrame, n: int, percent: int, rows: DataFrame, pairs
     the sets may), then the sets themselves."""
     facts = rows.select("v", "size", "parts").join(_vertices(pairs), "v", "left_semi").dropDuplicates(["v"])
     with_parts = pairs.join(facts.toDF("a", "size_a", "parts_a"), "a").join(facts.toDF("b", "size_b", "parts_b"), "b")
-    apart = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    left = stored(with_parts.where(apart * (100 + percent) <= (100 - percent) * (
-        F.col("size_a") + F.col("size_b"))).select("a", "b"), "close")
+    left = stored(with_parts.where(_suffix_fits(percent)).select("a", "b"), "close")
     whole = stored(_whole_sets(documents, n, _vertices(left)), "whole")
     both = left.join(whole.toDF("b", "set_b"), "b").join(whole.toDF("a", "set_a"), "a")
 
@@ -216,16 +214,25 @@ def _verified(documents: DataFrame, n: int, percent: int, rows: DataFrame, pairs
     return stored(both.select("a", "b", "set_a", "set_b").mapInArrow(verify, "a long, b long"), "links")
 
 
+def _suffix_fits(percent: int) -> F.Column:
+    apart = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+    return apart * (100 + percent) <= (100 - percent) * (F.col("size_a") + F.col("size_b"))
+
+
 def _possible(pairs: DataFrame, percent: int) -> DataFrame:
-    """Length and positional filters on (size_a, pos_a, size_b, pos_b), then
-    each pair once, smaller vertex first."""
+    """Length and positional filters on (size_a, pos_a, size_b, pos_b), and
+    where the parts are there the suffix filter; then each pair once, smaller
+    vertex first."""
     shorter, longer = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
     rest = F.least(F.col("size_a") - F.col("pos_a"), F.col("size_b") - F.col("pos_b"))
     # n-grams before the shared one can be common too: at most as many as the shorter prefix has
     most = rest + F.least("pos_a", "pos_b")
-    fits = pairs.where((percent * longer <= 100 * shorter)
-                       & ((100 + percent) * most >= percent * (F.col("size_a") + F.col("size_b"))))
-    return fits.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    fits = (percent * longer <= 100 * shorter) & (
+        (100 + percent) * most >= percent * (F.col("size_a") + F.col("size_b")))
+    if "parts_a" in pairs.columns:
+        fits &= _suffix_fits(percent)
+    return pairs.where(fits).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
 
 def links(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -250,12 +257,13 @@ def links(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFr
     roots = stored(components(found), "roots")
     rooted = groups.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
     apart = rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    open_groups = stored(rooted.join(apart.select("token"), "token"), "open")
-    x, y = open_groups.alias("x"), open_groups.alias("y")
-    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.v") < F.col("y.v"))
-                   & (F.col("x.root") != F.col("y.root"))).select(
-        F.col("x.v").alias("a"), F.col("x.size").alias("size_a"), F.col("x.pos").alias("pos_a"),
-        F.col("y.v").alias("b"), F.col("y.size").alias("size_b"), F.col("y.pos").alias("pos_b"))
+    open_groups = rooted.join(apart.select("token"), "token")
+    facts = rows.select("v", "parts").join(open_groups.select("v"), "v", "left_semi").dropDuplicates(["v"])
+    open_groups = stored(open_groups.join(facts, "v"), "open")
+    x = open_groups.toDF("a", "token", "size_a", "pos_a", "root_a", "parts_a").alias("x")
+    y = open_groups.toDF("b", "token", "size_b", "pos_b", "root_b", "parts_b").alias("y")
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("a") < F.col("b"))
+                   & (F.col("root_a") != F.col("root_b")))
     second = stored(_possible(pairs, percent).join(first, ["a", "b"], "left_anti"), "pairs")
     return rows, found.unionAll(_verified(documents, n, percent, rows, second))
 
