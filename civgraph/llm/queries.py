@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civgraph.llm import decontaminate, jaccard, mixing, quality, sharding, simple8b
+from civgraph.llm import chat, decontaminate, jaccard, mixing, quality, secrets, sharding, simple8b
 from civgraph.llm.common import shared_folder, table
 
 
@@ -18,6 +18,10 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.token_digest(table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/tokens", word_tokenizer())
 
 
+def op2_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_digest(chat.with_probe(table(spark, sf_dir, "conversations")), f"{shared_folder(spark)}/chat")
+
+
 def op3_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -30,6 +34,10 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
@@ -39,7 +47,8 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_output, op3_quality_votes, op4_decontaminate, op6_ngram_join, op9_mix_sources, op10_histogram_shards)}
+    op1_token_output, op2_chat_tree, op3_quality_votes, op4_decontaminate, op6_ngram_join, op7_secret_scan,
+    op9_mix_sources, op10_histogram_shards)}
 
 ORACLE = {
     "op4_decontaminate": r"""
