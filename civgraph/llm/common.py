@@ -33,15 +33,31 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage
-    and is computed once, however often it is used."""
+    and is computed once, however often it is used.  The table replaces the
+    shuffle files that made it, so these go when it is written."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Delete the files of a stored table that no later step reads."""
+    for file in df.inputFiles()[:1]:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z only; other letters stay as they are."""
     return F.translate(c, UPPER, LOWER)

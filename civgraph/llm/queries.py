@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civgraph.llm import chat, decontaminate, jaccard, mixing, quality, secrets, sharding, simple8b
+from civgraph.llm import chat, decontaminate, jaccard, mixing, quality, secrets, sharding, simple8b, substrings
 from civgraph.llm.common import shared_folder, table
 
 
@@ -30,6 +30,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeat_digest(table(spark, sf_dir, "documents"))
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_digest(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_output, op2_chat_tree, op3_quality_votes, op4_decontaminate, op6_ngram_join, op7_secret_scan,
+    op1_token_output, op2_chat_tree, op3_quality_votes, op4_decontaminate, op5_repeated_spans, op6_ngram_join, op7_secret_scan,
     op9_mix_sources, op10_histogram_shards)}
 
 ORACLE = {
