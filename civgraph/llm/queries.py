@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civgraph.llm import chat, decontaminate, jaccard, mixing, quality, secrets, sharding, simple8b, substrings
+from civgraph.llm import chat, decontaminate, jaccard, mixing, neighbours, quality, secrets, sharding, simple8b, substrings
 from civgraph.llm.common import shared_folder, table
 
 
@@ -42,6 +42,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_stable_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_output, op2_chat_tree, op3_quality_votes, op4_decontaminate, op5_repeated_spans, op6_ngram_join, op7_secret_scan,
-    op9_mix_sources, op10_histogram_shards)}
+    op8_stable_projections, op9_mix_sources, op10_histogram_shards)}
 
 ORACLE = {
     "op4_decontaminate": r"""
