@@ -72,41 +72,56 @@ def write_tree(turns: DataFrame, path: str) -> None:
     """Write ``path``/nodes (the tree, every node once, files and rows in
     depth-first order) and ``path``/conversations (conv_id and its nodes).
 
-    The depth-first key of a node is the chain of its ancestors' identities;
-    siblings are in order of identity.  Layout offsets are prefix sums of
+    Conversations are ordered by their chains of node identities; a node
+    belongs to the first conversation that has it, and the order of
+    (conversation, depth) is depth-first.  Layout offsets are prefix sums of
     lengths over range partitions, so no tree or hot root is in one task.
     """
-    paths = stored(conversation_paths(turns), "paths")
-    paths.select("conv_id", F.transform("path", lambda s: s["node"]).alias("nodes")).write.parquet(
-        f"{path}/conversations")
-    steps = paths.select("path", F.posexplode("path").alias("depth", "step"))
+    none = F.array().cast("array<struct<from:bigint,to:bigint>>")
+    chain = F.concat_ws("", F.transform("path", lambda s: F.substring(s["node"], 1, 16)))
+    ordered = conversation_paths(turns).withColumn("chain", chain).repartitionByRange("chain", "conv_id")
+    paths = stored(ordered.sortWithinPartitions("chain", "conv_id").withColumn(
+        "rank", F.monotonically_increasing_id()).drop("chain"), "paths")
+    conversations = paths.select("conv_id", F.transform("path", lambda s: s["node"]).alias("nodes"))
+    conversations.write.parquet(f"{path}/conversations")
+
     # equal nodes are merged before they are shuffled
-    nodes = steps.select(
-        F.col("step.node").alias("node"), "depth", F.col("step.parent").alias("parent"),
-        F.col("step.position").alias("position"), F.col("step.segment").alias("segment"),
-        F.col("step.loss_from").alias("loss_from"), F.col("step.loss_to").alias("loss_to"),
-        F.concat_ws("", F.transform(F.slice("path", F.lit(1), F.col("depth") + 1),
-                                    lambda s: F.substring(s["node"], 1, 16))).alias("key"))
-    nodes = nodes.groupBy("node").agg(F.max(F.struct(
-        "key", "depth", "parent", "position", "segment", "loss_from", "loss_to")).alias("n")).select("node", "n.*")
-    ordered = nodes.repartitionByRange("key").sortWithinPartitions("key")
-    placed = stored(ordered.withColumn("part", F.spark_partition_id()).withColumn(
-        "size", F.length("segment").cast("long")), "ordered")
+    nodes = paths.select("rank", F.posexplode("path").alias("depth", "s")).groupBy(F.col("s.node").alias("node")).agg(
+        F.min(F.struct("rank", "depth", "s.parent", "s.position", "s.segment", "s.loss_from", "s.loss_to")).alias(
+            "n")).select("node", "n.*")
+    placed = stored(nodes.repartitionByRange("rank", "depth").sortWithinPartitions("rank", "depth").withColumn(
+        "part", F.spark_partition_id()).withColumn("size", F.length("segment").cast("long")), "ordered")
     parts = placed.groupBy("part").agg(F.sum("size").alias("total"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("part_start"))
-    running = Window.partitionBy("part").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    laid = placed.withColumn("in_part", F.coalesce(F.sum("size").over(running), F.lit(0))).join(
-        F.broadcast(starts), "part").withColumn("offset", F.col("part_start") + F.col("in_part"))
-    laid = stored(laid.drop("in_part", "part_start"), "laid")
-    # ancestors' intervals: one row per node and ancestor
-    spans = laid.select(F.substring("key", -16, 16).alias("step"), "depth", "key", "offset", "size").alias("a")
-    wanted = laid.where("depth > 0").select("node", F.posexplode(F.transform(
-        F.sequence(F.lit(1), F.col("depth")), lambda d: F.substring("key", F.lit(1), 16 * d))).alias("level", "up"))
-    intervals = wanted.join(spans, F.col("up") == F.col("a.key")).groupBy("node").agg(F.array_sort(F.collect_list(
-        F.struct(F.col("a.offset").alias("from"), (F.col("a.offset") + F.col("a.size")).alias("to")))).alias("attend"))
-    none = F.array().cast("array<struct<from:bigint,to:bigint>>")
-    (laid.join(intervals, "node", "left").withColumn("attend", F.coalesce("attend", none))
+    running = Window.partitionBy("part").orderBy("rank", "depth").rowsBetween(Window.unboundedPreceding, -1)
+    laid = stored(placed.withColumn("in_part", F.coalesce(F.sum("size").over(running), F.lit(0))).join(
+        F.broadcast(starts), "part").withColumn("offset", F.col("part_start") + F.col("in_part")).drop(
+            "in_part", "part_start", "part"), "laid")
+
+    # ancestors that follow each other in the layout are one interval: a node
+    # has as many as its way from the root leaves the first child
+    steps = paths.select("rank", F.posexplode(F.transform("path", lambda s: s["node"])).alias("at", "node")).join(
+        laid.select("node", "offset", "size"), "node").groupBy("rank").agg(F.array_sort(F.collect_list(
+            F.struct("at", "node", "offset", "size"))).alias("steps"))
+
+    def follow(acc, s):
+        end = s["offset"] + s["size"]
+        opened = F.when(acc["to"] > acc["from"], F.array(F.struct(acc["from"].alias("from"), acc["to"].alias("to")))
+                        ).otherwise(none)
+        attend = F.concat(acc["closed"], opened)
+        goes_on = s["offset"] == acc["to"]
+        return F.struct(
+            F.when(goes_on, acc["closed"]).otherwise(attend).alias("closed"),
+            F.when(goes_on, acc["from"]).otherwise(s["offset"]).alias("from"), end.alias("to"),
+            F.concat(acc["out"], F.array(F.struct(s["node"].alias("node"), attend.alias("attend")))).alias("out"))
+
+    out = F.array().cast("array<struct<node:string,attend:array<struct<from:bigint,to:bigint>>>>")
+    nothing = F.lit(-1).cast("long")
+    begin = F.struct(none.alias("closed"), nothing.alias("from"), nothing.alias("to"), out.alias("out"))
+    attended = steps.select(F.explode(F.aggregate("steps", begin, follow, lambda a: a["out"])).alias("o"))
+    attended = attended.groupBy(F.col("o.node").alias("node")).agg(F.max("o.attend").alias("attend"))
+    (laid.join(attended, "node")
      .select("node", "parent", "depth", "position", "offset", "segment", "loss_from", "loss_to", "attend")
      .repartitionByRange("offset").sortWithinPartitions("offset").write.parquet(f"{path}/nodes"))
 
