@@ -104,7 +104,8 @@ def _search(block: pd.DataFrame, queries: pd.DataFrame, dim: int, k: int, stop:
     raw = np.frombuffer(b"".join(block.raw), dtype="<f8").reshape(-1, dim)
     points = np.frombuffer(b"".join(block.point), dtype="<f8").reshape(-1, DIMS)
     ids, norms = block.vec_id.to_numpy(), np.sqrt((raw * raw).sum(axis=1))
-    tree, members = kd_tree(points, LEAF_ROWS)
+    units = raw / norms[:, None]
+    _, members = kd_tree(points, LEAF_ROWS)
     low = np.array([points[m].min(axis=0) for m in members])
     high = np.array([points[m].max(axis=0) for m in members])
     out = []
@@ -114,13 +115,19 @@ def _search(block: pd.DataFrame, queries: pd.DataFrame, dim: int, k: int, stop:
         gaps = _gaps(point, low, high)
         kth, best_ids, best = q.bound, np.zeros(0, dtype=np.int64), np.zeros(0)
         order = np.argsort(gaps, kind="stable")
-        for leaf in order:
-            # squared distance of unit vectors from the cosine; equal vectors are all looked at
+        unit, at, step = vector / norm, 0, 2
+        while at < len(order):
+            # the next leaves in order, as long as the test does not hold
+            # (squared distance of unit vectors from the cosine; equal vectors are all looked at)
             near = max(0.0, 2 - 2 * kth)
-            if gaps[leaf] > 0 and (near == 0 or chi_square(gaps[leaf] / near) >= stop):
+            some = order[at:at + step]
+            some = some[gaps[some] == 0 if near == 0 else chi_square(gaps[some] / near) < stop]
+            if not len(some):
                 break
-            rows = members[leaf]
-            rows = rows[ids[rows] != q.query_id]
+            rows = np.concatenate([members[leaf] for leaf in some])
+            at, step = at + step, 4 * step
+            # exact sums for those that a rounding error could still bring in
+            rows = rows[(units[rows] @ unit >= kth - 1e-9) & (ids[rows] != q.query_id)]
             score = (raw[rows] * vector).sum(axis=1) / (norms[rows] * norm)
             best_ids, best = np.append(best_ids, ids[rows]), np.append(best, score)
             top = np.lexsort((best_ids, -best))
