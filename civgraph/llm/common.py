@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,21 +34,34 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+WRITING = {
+    # a written table replaces the shuffle files that made it: these go then
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # whole texts are long: small batches bound the memory of Python tasks
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+}
+
+
+@contextmanager
+def writing(spark: SparkSession):
+    """Session settings for the time of a write."""
+    before = {k: spark.conf.get(k, None) for k in WRITING}
+    for k, v in WRITING.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage
-    and is computed once, however often it is used.  The table replaces the
-    shuffle files that made it, so these go when it is written."""
+    and is computed once, however often it is used."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}"
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with writing(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -19,6 +19,7 @@ the lowest bits.  Selector 0 is the escape: the data bits index ``escapes``.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -27,14 +28,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from civgraph.llm.common import writing
+
 # Ids per word and bits per id of selectors 1 to 14
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 WORD_STEP = 128
 BLOCK_IDS = 1 << 16
-CACHE_PIECES = 400_000
+CACHE_PIECES = 300_000
 LONG_PIECE = 256
 GROUP = 256  # texts encoded together
+LONE_MARK = re.compile("(?<=[a-z])([.,])(?= )")
 LATIN = re.compile("[\x00-\u012f\u0131-\u017f]*")  # letters with a lower case of one letter in any context
 
 SCHEMA = ("part int, start long, doc_ids array<long>, doc_starts array<long>, n_ids long, "
@@ -50,10 +54,11 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids = np.ascontiguousarray(ids, dtype=np.uint64)
     n = len(ids)
     choice = np.zeros(n, dtype=np.uint8)  # 0: escape
+    needs = np.searchsorted(np.array([1 << w for w in WIDTHS], dtype=np.uint64), ids, side="right").astype(np.uint8)
     for s in range(len(COUNTS), 0, -1):
-        count, width = COUNTS[s - 1], WIDTHS[s - 1]
+        count = COUNTS[s - 1]
         wide = np.zeros(n + count + 1, dtype=np.int32)
-        np.cumsum(ids >> np.uint64(width) != 0, out=wide[1:n + 1])
+        np.cumsum(needs >= s, out=wide[1:n + 1])
         wide[n + 1:] = wide[n]  # past the end: zeros, cut off by n_ids
         choice[wide[count:count + n] == wide[:n]] = s
     step = np.array((1, *COUNTS))[choice].tolist()
@@ -140,29 +145,18 @@ class _PieceEncoder:
         return out
 
     def _learn(self, new: list[str]) -> None:
-        plain = {}
-        for p in new:
-            q, tail = p, ""
-            if p.isascii() and "<|" not in p:  # the tokenizer lower-cases all but its special strings
-                q = p.lower()
-                if q[-1] in ".," and q[-2:-1].isalpha():  # one mark after a letter is a token run of its own
-                    q, tail = q[:-1], q[-1]
-            plain[p] = q, tail
-        known = self.known
-        letters, rest = [], []
-        for q in {x for pair in plain.values() for x in pair}:
-            if q not in known:
-                (letters if q.isalpha() and len(q) <= LONG_PIECE else rest).append(q)
-        known.update(zip(letters, self._letters(letters)))
-        known.update(zip(rest, self._ids(rest)))
-        known.update((p, known[q] + known[tail]) for p, (q, tail) in plain.items())
+        letters = [p for p in new if p.isalpha() and len(p) <= LONG_PIECE]
+        rest = [p for p in new if not p.isalpha() or len(p) > LONG_PIECE]
+        self.known.update(zip(letters, self._letters(letters)))
+        self.known.update(zip(rest, self._ids(rest)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_piece:
             return [np.frombuffer(b + self.end, dtype="<u4") for b in self._ids(texts)]
-        # the tokenizer lower-cases each letter of a text, but not its special strings
-        split = [(t.lower() if LATIN.fullmatch(t) and "<|" not in t else t).replace("\n", " ").split(" ")
-                 for t in texts]
+        # the tokenizer lower-cases each letter of a text, but not its special
+        # strings; a mark between a letter and a blank is a run of its own
+        split = [LONE_MARK.sub(r" \1", (t.lower() if LATIN.fullmatch(t) and "<|" not in t else t).replace(
+            "\n", " ")).split(" ") for t in texts]
         if len(self.known) > CACHE_PIECES:
             self.known = {"": b""}
         new = list(set().union(*split).difference(self.known))
@@ -175,10 +169,19 @@ class _PieceEncoder:
         return out
 
 
+def _encoder(path: str, end_id: int) -> _PieceEncoder:
+    """The encoder of this Python worker; Spark reuses workers for many tasks."""
+    held = vars(sys).setdefault("_piece_encoders", {})
+    if (path, end_id) not in held:
+        held.clear()
+        held[path, end_id] = _PieceEncoder(path, end_id)
+    return held[path, end_id]
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    encoder, part = _PieceEncoder(path, end_id), TaskContext.get().partitionId()
+    encoder, part = _encoder(path, end_id), TaskContext.get().partitionId()
     fields = pa.schema([("part", pa.int32()), ("start", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                         ("doc_starts", pa.list_(pa.int64())), ("n_ids", pa.int64()), ("words", pa.binary()),
                         ("word_starts", pa.list_(pa.int64())), ("escapes", pa.binary())])
@@ -217,7 +220,8 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int) -
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64(F.coalesce("text", F.lit(""))).asc()]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged.mapInArrow(lambda b: _blocks(b, tokenizer, end_id), SCHEMA).write.parquet(path)
+    with writing(documents.sparkSession):
+        ranged.mapInArrow(lambda b: _blocks(b, tokenizer, end_id), SCHEMA).write.parquet(path)
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
