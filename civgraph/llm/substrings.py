@@ -11,7 +11,7 @@ neighbour words, the start and end of a document counting as neighbours.
 Maximal runs without a branch are the compacted paths: every document that
 has one edge of a path has all of it, so a path is known by its first edge.
 The occurrences of a path are compared by their source coordinates (document,
-start), length and a second hash of all their words; all but the first go.
+start), length and the hashes of all their edges; all but the first go.
 """
 
 from __future__ import annotations
@@ -91,14 +91,14 @@ def _edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words = hashes(text)
                 repeated = batch.column(3)[i].values.to_numpy().view(np.uint64)
                 pos = np.flatnonzero(np.isin(_grams(words, M, 1)[_minimizers(words)], repeated))
-                near = np.concatenate([[np.uint64(0)], words, [np.uint64(0)]])
-                out.append((_grams(words, K, 2)[pos].view(np.int64), _grams(words, K, 3)[pos].view(np.int64),
-                            near[pos].view(np.int64), near[pos + K + 1].view(np.int64),
-                            np.full(len(pos), keys[i]), pos, [docs[i]] * len(pos)))
-            cols = [np.concatenate([o[c] for o in out]) for c in range(6)]
+                near = np.full(len(words) + 2, -1, dtype=np.int32)
+                near[1:-1] = words >> np.uint64(33)
+                out.append((_grams(words, K, 2)[pos].view(np.int64), near[pos], near[pos + K + 1],
+                            np.full(len(pos), keys[i]), pos.astype(np.int32), [docs[i]] * len(pos)))
+            cols = [pa.array(np.concatenate([o[c] for o in out])) for c in range(5)]
             yield pa.RecordBatch.from_arrays(
-                [*[pa.array(c, pa.int64()) for c in cols], pa.array(sum((o[6] for o in out), []), pa.int64())],
-                ["h", "check", "left", "right", "k", "pos", "doc_id"])
+                [*cols, pa.array(sum((o[5] for o in out), []), pa.int64())],
+                ["h", "left", "right", "k", "pos", "doc_id"])
 
 
 def repeated_spans(documents: DataFrame) -> DataFrame:
@@ -116,11 +116,12 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     forget(minimizers)
 
     edges = stored(unique.join(marks, "k").select("text", "doc_id", "k", "ms").mapInArrow(
-        _edge_rows, "h long, check long, left long, right long, k long, pos long, doc_id long"), "edges")
+        _edge_rows, "h long, left int, right int, k long, pos int, doc_id long"), "edges")
     graph = stored(edges.groupBy("h").agg(
         F.count("*").alias("n"), (F.min("left") != F.max("left")).alias("forks"),
         (F.min("right") != F.max("right")).alias("splits")).where("n > 1"), "graph")
-    walks = edges.join(graph, "h")
+    walks = stored(edges.select("h", "k", "pos", "doc_id").join(graph.drop("n"), "h"), "walks")
+    forget(edges)
     # a path starts where the document's edge before is no repeated one, has
     # another successor elsewhere, or this edge has another predecessor
     along = Window.partitionBy("k").orderBy("pos")
@@ -130,10 +131,10 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
         along.rowsBetween(Window.unboundedPreceding, 0)))
     paths = stored(numbered.groupBy("k", "path").agg(
         F.min(F.struct("pos", "h")).alias("head"), F.count("*").alias("edges"),
-        F.bit_xor("check").alias("check"),
+        F.bit_xor("h").alias("check"),
         F.first("doc_id").alias("doc_id")).select(
             "k", F.col("head.pos").alias("pos"), F.col("head.h").alias("h"), "edges", "check", "doc_id"), "paths")
-    forget(edges)
+    forget(walks)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k", "pos")
     first = paths.groupBy("h", "edges", "check").agg(F.min(place).alias("first"))
     later = paths.join(first, ["h", "edges", "check"]).where(place != F.col("first"))

@@ -1,0 +1,240 @@
+"""Training-data operators against brute force, on rows with nulls, empty and
+long texts, ties, repeated rows and clashing column names, and on empty tables."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from civgraph.llm import (chat, decontaminate, jaccard, mixing, neighbours, quality, secrets, sharding, simple8b,
+                          substrings)
+from civgraph.llm.common import shared_folder
+from civgraph.llm.queries import word_tokenizer
+
+SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
+          "size long, shard int, spans string, score double, v long")
+_R = random.Random(3)
+
+
+def _prose(n, vocabulary=400):
+    return " ".join(f"w{_R.randrange(vocabulary)}" for _ in range(n))
+
+
+PASSAGE = _prose(60)
+ITEM = _prose(40)
+BASE = _prose(120)
+TEXTS = [
+    None, "", "   \n", "one", "two words", _prose(30), _prose(30) + " " + PASSAGE, PASSAGE + "\n" + _prose(12),
+    _prose(5) + " " + PASSAGE + " " + _prose(7), BASE, BASE, BASE + " tail", BASE.upper(), "x " * 60, ITEM,
+    _prose(200) + " " + " ".join(ITEM.split()[5:25]), "Élan ÀÉ " + _prose(40), _prose(20_000, 10**6),
+    'password = "Zk39fjQm2Lx8Vb71" ' + "deadbeef" * 3, "AKIA" + "Q7" * 9 + " " + "xQ3" * 4]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    out = [(i, t, "en", f"s{i % 3}" if i % 5 else None) for i, t in enumerate(TEXTS)]
+    out += [(9, BASE, "en", "s0"), (None, BASE + " tail", None, None), (None, None, None, None)]
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    full = [(*r, None, 7, 1, "a", 0.1, 5) for r in rows]
+    return spark.createDataFrame(full, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def _key(r):
+    return (r[0] is not None, r[0] or 0)
+
+
+def test_mixing_totals_and_empty(docs, none, rows):
+    got = mixing.mix_digest(docs).collect()
+    assert len(got) == len(rows) and mixing.mix_digest(none).count() == 0
+    sizes = {}
+    for _, t, _, s in rows:
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+    taken, target = {}, {}
+    by_id = {r.doc_id: r for r in got}
+    for _, _, _, s in rows:
+        taken[s] = 0
+    for r in got:
+        assert r.taken <= 3 * r.size
+        target.setdefault(r.source_size, r.target)
+    assert sum(target.values()) == pytest.approx(sum(sizes.values()))
+    assert set(target) == set(sizes.values()) and by_id[17].size == 20_000
+    assert sorted(map(tuple, got), key=_key) == sorted(map(tuple, mixing.mix_digest(docs.repartition(5)).collect()), key=_key)
+    assert mixing.mixed_documents(docs).columns == docs.columns
+
+
+def test_sharding_is_gapless_and_near_equal(spark, docs, none, rows):
+    got = sharding.shard_digest(docs, 4).collect()
+    assert len(got) == len(rows) and sharding.shard_digest(none).count() == 0
+    for s in range(4):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    many = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same").otherwise(
+        F.repeat(F.lit("ab"), (F.col("id") % 40).cast("int"))).alias("text"))
+    sizes = [r[1] for r in sharding.shard_digest(many).groupBy("shard").agg(F.sum("size")).collect()]
+    assert len(sizes) == 24 and max(sizes) - min(sizes) < 0.02 * sum(sizes) / 24 + 200
+
+
+def test_simple8b_round_trip():
+    rng = np.random.default_rng(5)
+    for ids in ([], [0], [2**60, 2**64 - 1, 1], rng.integers(0, 50_000, 5000), np.zeros(500), rng.integers(0, 2, 400)):
+        ids = np.array(ids, dtype=np.uint64)
+        words, _, escapes = simple8b.pack(ids)
+        assert (simple8b.unpack(words, len(ids), escapes) == ids).all()
+
+
+def test_token_output(spark, docs, none, rows):
+    from tokenizers import Tokenizer
+
+    got = simple8b.token_digest(docs, f"{shared_folder(spark)}/t", word_tokenizer()).collect()
+    plain = Tokenizer.from_file(word_tokenizer())
+    want, at = [], 0
+    got.sort(key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i or 0))
+    texts = {}
+    for i, t, *_ in rows:
+        ids = np.array([*plain.encode(t or "", add_special_tokens=False).ids, 2], dtype="<u4")
+        texts.setdefault(i, []).append((len(ids), zlib.crc32(ids.tobytes())))
+    for r in got:
+        assert r.start == at and (r.n_tokens, r.ids_crc32) in texts[r.doc_id]
+        at += r.n_tokens
+    assert simple8b.token_digest(none, f"{shared_folder(spark)}/t", word_tokenizer()).count() == 0
+    assert want == []
+
+
+def test_decontamination(spark, docs, none, rows):
+    bench = spark.createDataFrame([(1, ITEM), (2, "two words"), (3, None), (None, "")], "item_id long, text string")
+    got = {(r.doc_id, r.n_words): r for r in decontaminate.contamination_digest(docs, bench).collect()}
+    assert got[14, 40].n_hit == 40 and got[14, 40].contaminated
+    assert got[15, 220].n_hit == 20 and got[15, 220].contaminated
+    assert got[4, 2].n_hit == 2 and got[4, 2].items_sha256 == hashlib.sha256(b"2").hexdigest()
+    assert got[None, 0].n_hit == 0 and not got[5, 30].contaminated
+    assert decontaminate.contamination_digest(none, bench).count() == 0
+    assert decontaminate.clean_documents(docs, bench.limit(0)).count() == len(rows)
+    left = {r.doc_id: r.text for r in decontaminate.without_spans(docs, bench).where("doc_id = 15").collect()}
+    assert len(left[15].split()) == 200
+
+
+def test_repeated_spans(docs, none, rows):
+    got = {(r.doc_id, r.n_words): r for r in substrings.repeat_digest(docs).collect()}
+    order = sorted({(i, t) for i, t, *_ in rows}, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    seen = set()
+    for i, t in order:
+        w = (t or "").encode().split()
+        keep = [True] * len(w)
+        for j in range(len(w) - 19):
+            g = tuple(w[j:j + 20])
+            if g in seen:
+                keep[j:j + 20] = [False] * 20
+            seen.add(g)
+        kept = b" ".join(x for x, y in zip(w, keep) if y)
+        r = got[i, len(w)]
+        assert (r.n_removed, r.kept_sha256) == (len(w) - sum(keep), hashlib.sha256(kept).hexdigest()), i
+    assert substrings.repeat_digest(none).count() == 0
+
+
+def test_ngram_join(docs, none, rows):
+    got = jaccard.join_digest(docs).collect()
+    sets = {}
+    for n, (i, t, *_) in enumerate(rows):
+        w = (t or "").encode().lower().split()
+        sets[n] = i, {tuple(w[j:j + 4]) for j in range(max(1, len(w) - 3))} if w else set()
+    root = {n: n for n in sets}
+    for a in sets:
+        for b in sets:
+            x, y = sets[a][1], sets[b][1]
+            if x and y and 100 * len(x & y) >= 85 * len(x | y):
+                old, new = root[a], root[b]
+                root = {n: new if r == old else r for n, r in root.items()}
+    want = []
+    for n, (i, s) in sets.items():
+        ids = [sets[m][0] for m in sets if root[m] == root[n] and sets[m][0] is not None]
+        want.append((i, len(s), min(ids) if ids else None))
+    none_last = lambda r: tuple((x is None, x or 0) for x in r)
+    assert sorted(map(tuple, got), key=none_last) == sorted(want, key=none_last)
+    assert jaccard.join_digest(none).count() == 0
+    kept = jaccard.one_of_each_group(docs).collect()
+    assert sum((r.text or "").lower().startswith(BASE[:40].lower()) for r in kept) == 1
+
+
+def test_secrets(docs, none):
+    got = {r.doc_id: r for r in secrets.secret_digest(docs).collect()}
+    assert (got[18].n_assign, got[18].n_hex, got[19].n_access) == (1, 1, 1)
+    assert got[None].spans == "" and secrets.secret_digest(none).count() == 0
+
+
+def test_random_runs_are_found(spark):
+    rng = random.Random(1)
+    chars = secrets.ALPHABETS["base62"]
+    found = [(i, "see " + "".join(rng.choice(chars) for _ in range(44)) + " end") for i in range(30)]
+    dull = [(100 + i, "path/to/some/long/file/name/with/words" + str(i)) for i in range(30)]
+    got = {r.doc_id: r.spans for r in secrets.secret_digest(spark.createDataFrame(found + dull, "doc_id long, text string")).collect()}
+    assert sum(got[i] == "random:4:48" for i in range(30)) >= 27
+    assert sum("random" in got[100 + i] for i in range(30)) <= 3
+
+
+def test_nearest(spark):
+    rng = np.random.default_rng(2)
+    v = rng.standard_normal((600, 16))
+    v[10] = v[11]
+    data = [(i, x.tolist()) for i, x in enumerate(v)] + [(1000, None), (1001, [0.0] * 16), (1002, [None] * 16),
+                                                       (1003, [float("nan")] * 16), (None, v[3].tolist()), (7, v[7].tolist())]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, lambda i: i % 50 == 0).collect()
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    hit = 0
+    for q in range(0, 600, 50):
+        score = unit @ unit[q]
+        score[q] = -9
+        best = np.lexsort((np.arange(600), -score))[:5]
+        mine = [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q]
+        assert len(mine) == 5
+        hit += len(set(best.tolist()) & set(mine))
+    assert hit >= 0.9 * 60
+    assert neighbours.nearest(df.limit(0), lambda i: i % 50 == 0).count() == 0
+
+
+def test_chat_tree(spark):
+    text = "</s>[INST] ok [/INST]"
+    turns = [(c, t, r, x) for c in range(4) for t, r, x in ((0, "system", "be\\ <|end|>\n"), (1, "user", f"hi {c % 2}"),
+                                                            (2, "assistant", text if c else None))]
+    turns += [(9, 0, None, None), (9, None, "assistant", "é"), (9, None, "assistant", "é")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    path = f"{shared_folder(spark)}/chat"
+    got = {r.conv_id: r for r in chat.chat_digest(chat.with_probe(df), path).collect()}
+    for c in (-1, 0, 1, 9):
+        mine = [("user", text), ("assistant", text)] if c < 0 else [
+            (r or "", x or "") for _, _, r, x in sorted((t for t in turns if t[0] == c), key=lambda t: (t[1] is not None, t[1] or 0))]
+        assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in mine).encode()).hexdigest()
+        learnt = "".join(x for r, x in mine if r == "assistant")
+        assert (got[c].loss_chars, got[c].loss_sha256) == (len(learnt), hashlib.sha256(learnt.encode()).hexdigest())
+    nodes = {r.node: r for r in spark.read.parquet(f"{path}/nodes").collect()}
+    assert sum(r.depth == 0 and "system" in r.segment for r in nodes.values()) == 1  # the shared turn, once
+    for r in nodes.values():  # attention covers the ancestors and nothing else
+        up, want = nodes.get(r.parent), set()
+        while up is not None:
+            want |= set(range(up.offset, up.offset + len(up.segment)))
+            up = nodes.get(up.parent)
+        assert {i for a in r.attend for i in range(a["from"], a["to"])} == want and r.position == len(want)
+
+
+def test_quality_votes(spark, docs, none):
+    good = [(i, _prose(60)) for i in range(300)]
+    bad = [(1000 + i, " ".join(w + "$$$" for w in _prose(40).split())) for i in range(300)]
+    df = spark.createDataFrame(good + bad, "doc_id long, text string")
+    labels = df.select("doc_id", (F.col("doc_id") < 1000).cast("int").alias("quality"))
+    got = quality.quality_digest(df, labels).collect()
+    held = [r for r in got if r.held_out]
+    assert held and sum((r.predicted == 1) == (r.doc_id < 1000) for r in held) >= 0.97 * len(held)
+    mixed = quality.quality_digest(docs, labels.limit(0)).collect()
+    assert all(r.score == 0.5 for r in mixed) and quality.quality_digest(none, labels).count() == 0
