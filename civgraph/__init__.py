@@ -7,7 +7,6 @@ Layers:
               graph (N*, E*, J08, K05), quality (Q*), catalog / refresh planning (C*)
   plans/      bronze (B*), silver (V*), gold (N*, E*) model builders and the
               end-to-end pipeline; driver queries over the benchmark tables
-  streaming/  incremental landing of raw files into bronze (Structured Streaming)
 """
 
 __version__ = "0.1.0"

@@ -32,11 +32,6 @@ def col_(c: ColumnOrName) -> Column:
 
 
 # --- X01 / bronze ---------------------------------------------------------
-def file_name_of(path: ColumnOrName) -> Column:
-    """Last path segment of a file path."""
-    return F.regexp_extract(col_(path), r"([^/]*)$", 1)
-
-
 def release_year(path: ColumnOrName, pattern: str = RELEASE_YEAR_PATTERN) -> Column:
     """Release year taken from a file name: first ``_YYYY``; no match gives ``''``.
 

@@ -24,7 +24,3 @@ def to_bronze(df: DataFrame, path_col: str = PATH_COL, exercise_year: bool = Fal
 
 def bronze(spark: SparkSession, raw_dir: str, name: str) -> DataFrame:
     return to_bronze(read_raw(spark, raw_dir, name), exercise_year=(name == "fonds_vert_subvention"))
-
-
-def all_bronze(spark: SparkSession, raw_dir: str, names=None) -> dict[str, DataFrame]:
-    return {n: bronze(spark, raw_dir, n) for n in (names or CONTRACTS)}

@@ -204,12 +204,12 @@ def commande_publique_marche(brz: DataFrame, latest_only: bool = False) -> DataF
         X.list_to_text("techniques.technique").alias("techniques"),
         X.list_to_text("modalitesexecution.modaliteexecution").alias("modalites_execution"),
         "ccag",
-        X.null_if(F.col("offresrecues").cast("string"), X.NOT_COMMUNICATED).cast("int").alias("offre_recues"),
+        X.int_rounding(X.null_if(F.col("offresrecues").cast("string"), X.NOT_COMMUNICATED)).alias("offre_recues"),
         F.col("tauxavance").cast("double").alias("taux_avance"),
         F.col("typegroupementoperateurs").alias("type_groupement_operateurs"), "procedure",
         F.col("lieuexecution.typecode").alias("lieu_execution_type"),
         F.col("lieuexecution.code").alias("lieu_execution_code"),
-        F.col("dureemois").cast("int").alias("duree_mois"),
+        X.int_rounding("dureemois").alias("duree_mois"),
         X.parse_date("datenotification").alias("date_notification"),
         X.parse_date("datepublicationdonnees").alias("date_publication_donnees"),
         F.col("montant").cast("double").alias("montant"),
@@ -236,7 +236,7 @@ def commande_publique_concession(brz: DataFrame, latest_only: bool = False) -> D
     flat = brz.select(
         F.col("id").alias("concession_id"), "nature", "objet",
         F.col("tauxavance").cast("double").alias("taux_avance"), "procedure",
-        F.col("dureemois").cast("int").alias("duree_mois"),
+        X.int_rounding("dureemois").alias("duree_mois"),
         X.parse_date("datepublicationdonnees").alias("date_publication_donnes"),
         F.col("origineue").alias("origine_ue"), F.col("originefrance").alias("origine_france"),
         X.list_to_text("considerationssociales.considerationsociale").alias("considerations_sociales"),
@@ -473,7 +473,7 @@ def with_siren_key(df: DataFrame, siren: str, out: str, pad_siren: bool) -> Data
     """Join key for a SIREN read from a file: as is (reference behaviour), or
     left-padded to 9 digits when an upstream tool dropped leading zeros."""
     key = F.col(siren).cast("string")
-    return df.withColumn(out, F.lpad(key, 9, "0") if pad_siren else key)
+    return df.withColumn(out, F.when(F.length(key) < 9, F.lpad(key, 9, "0")).otherwise(key) if pad_siren else key)
 
 
 def fonds_vert_subvention(brz: DataFrame, etablissements: DataFrame, prune_files: bool = True,

@@ -1,10 +1,7 @@
-"""Session construction and shared-storage helpers."""
+"""Session construction."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job of the pipeline relies on.  They are set on our own
@@ -42,7 +39,6 @@ def build_session(app: str = "civgraph", master: str | None = None,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -52,20 +48,3 @@ def ensure_pipeline_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
         except Exception:  # read-only on some managed sessions
             pass
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this setting names shared storage and is used as-is; it is
-    never replaced by a machine-local folder.  Only a local-mode session with
-    the setting unset (tests) gets a private temporary folder.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            return None
-        path = tempfile.mkdtemp(prefix="civgraph-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
-    return path

@@ -49,19 +49,6 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(r.path for r in rows)
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cluster's cores when its input yields fewer
-    splits than cores (one Parquet row group, or one multi-line CSV file, is
-    read by a single task), so heavy per-row work after it uses every core.
-    With many splits — any large input — this returns ``df`` unchanged and
-    adds no exchange.  Only worth it before CPU-heavy per-row stages: for
-    light queries the extra shuffle costs more than it saves (measured)."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
 def _with_path(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias(PATH_COL))
 
