@@ -64,15 +64,18 @@ _ORACLE = {
     "line_repair": r'''SELECT doc_id, replace(concat('"""',text,'"""'),'"""','"') AS line FROM documents WHERE NOT regexp_matches(text,'^;+$')''',
     "display_name": r"""SELECT c_custkey, coalesce(nullif(c_mktsegment,'HOUSEHOLD'), nullif(trim(concat(coalesce(nullif(c_name,'[ND]'),''),' ',coalesce(n_name,''))),'')) AS display_name FROM customer LEFT JOIN nation ON c_nationkey=n_nationkey""",
     "null_skipping_concat": r"""SELECT p_partkey, concat(nullif(p_type,'ECONOMY'),' - ',p_brand) AS label FROM part""",
-    "list_to_text": r"""SELECT l_orderkey, array_to_string(list_sort(list(l_linenumber||':'||l_returnflag)),', ') AS flags FROM lineitem GROUP BY l_orderkey""",
-    "unnest_parties": r"""WITH n AS (SELECT conv_id, list({'party':{'role':role,'turn':turn}}) AS parties FROM conversations GROUP BY conv_id), u AS (SELECT conv_id, unnest(parties,recursive:=true), list_count(parties) AS nb_parties FROM n) SELECT conv_id, role, turn, nb_parties FROM u""",
-    "prefix_hierarchy": r"""WITH s AS (SELECT CAST(p_partkey AS VARCHAR) code, p_name libelle, length(CAST(p_partkey AS VARCHAR)) AS type FROM part) SELECT a.code AS code_iii, a.libelle AS libelle_iii, b.code AS code_ii, b.libelle AS libelle_ii, c.code AS code_i, c.libelle AS libelle_i FROM s a LEFT JOIN s b ON b.type=2 AND b.code=left(a.code,2) LEFT JOIN s c ON c.type=1 AND c.code=left(b.code,1) WHERE a.type=3""",
+    "list_to_text": r"""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber=4 THEN NULL WHEN l_linenumber=5 THEN '' ELSE array_to_string([CAST(l_linenumber AS VARCHAR), CASE WHEN l_linenumber%3<>0 THEN l_returnflag END, l_linestatus], ', ') END AS flags FROM lineitem""",
+    "unnest_parties": r"""WITH n AS (SELECT conv_id, CASE WHEN turn%4=1 THEN NULL WHEN turn%4=2 THEN [] ELSE [{'party':{'role':role,'turn':turn}}, {'party':{'role':'reply','turn':turn+1}}, CASE WHEN turn%2=0 THEN {'party':{'role':'note','turn':CAST(0 AS BIGINT)}} END] END AS parties FROM conversations) SELECT conv_id, u.p.party.role AS role, u.p.party.turn AS turn, list_count(parties) AS nb_parties FROM n, unnest(n.parties) AS u(p)""",
+    "prefix_hierarchy": r"""WITH p AS (SELECT lpad(CAST(p_partkey AS VARCHAR),19,'0') AS code, p_name AS libelle, p_partkey FROM part) SELECT a.code AS code_iii, a.libelle AS libelle_iii, b.code AS code_ii, b.libelle AS libelle_ii, c.code AS code_i, c.libelle AS libelle_i FROM p a LEFT JOIN (SELECT left(code,18) AS code, libelle FROM p WHERE p_partkey%10=0) b ON b.code=left(a.code,18) LEFT JOIN (SELECT left(code,17) AS code, libelle FROM p WHERE p_partkey%100=0) c ON c.code=left(b.code,17)""",
     "lookup_label": r"""SELECT s_suppkey, s_name, n_name AS nation_libelle FROM supplier LEFT JOIN (SELECT n_nationkey,n_name FROM nation WHERE n_regionkey<3) n ON s_nationkey=n_nationkey""",
     "composite_lookup": r"""SELECT l_orderkey,l_linenumber,p_name FROM lineitem LEFT JOIN part ON l_partkey=p_partkey AND l_linenumber=p_size%7""",
     "primary_site_fill": r"""WITH s AS (SELECT l_orderkey, l_suppkey FROM lineitem WHERE l_linenumber=1) SELECT o_orderkey, coalesce(CASE WHEN o_orderkey%3=0 THEN CAST(o_custkey AS VARCHAR) END, CAST(s.l_suppkey AS VARCHAR)) AS site FROM orders LEFT JOIN s ON o_orderkey=s.l_orderkey""",
     "conformed_union": r"""SELECT 'customer' AS kind, c_custkey AS ref, c_name AS name, c_acctbal AS montant, CAST(NULL AS DATE) AS d FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name, s_acctbal, CAST(NULL AS DATE) FROM supplier UNION ALL SELECT 'order', o_orderkey, NULL, o_totalprice, CAST(o_orderdate AS DATE) FROM orders""",
     "union_by_name": r"""SELECT c_custkey AS k, c_acctbal AS bal, c_mktsegment AS seg, CAST(NULL AS VARCHAR) AS s_name FROM customer UNION ALL SELECT s_suppkey, s_acctbal, NULL, s_name FROM supplier""",
-    "surrogate_key": r"""SELECT md5(concat('order','|',CAST(o_orderkey AS VARCHAR))) AS id, o_orderkey FROM orders""",
+    "surrogate_key": r"""SELECT md5(concat('5:order', length(CAST(o_orderkey AS VARCHAR)), ':', CAST(o_orderkey AS VARCHAR))) AS id, o_orderkey FROM orders""",
+    "surrogate_key_duplicates": r"""WITH n AS (SELECT l_linenumber, l_returnflag, l_linestatus, CAST(l_linenumber AS VARCHAR) AS a, CAST(row_number() OVER (PARTITION BY l_linenumber, l_returnflag, l_linestatus) AS VARCHAR) AS i FROM lineitem) SELECT md5(concat(coalesce(length(a)||':'||a,'N'), coalesce(length(l_returnflag)||':'||l_returnflag,'N'), coalesce(length(l_linestatus)||':'||l_linestatus,'N'), length(i)||':'||i)) AS id, l_linenumber, l_returnflag, l_linestatus FROM n""",
+    "rounded_cast": r"""SELECT l_orderkey, l_linenumber, CAST(CAST(l_linenumber-4 AS VARCHAR)||'.'||CAST(l_orderkey%10 AS VARCHAR) AS INTEGER) AS whole FROM lineitem""",
+    "catalog_problems": r"""WITH c AS (SELECT p_name AS name, p_type, CASE WHEN p_size%7<>0 THEN p_brand END AS category, CASE WHEN p_size%11<>0 THEN 'u' END AS url, CASE p_size%4 WHEN 1 THEN '2024' WHEN 2 THEN '2024-2026' WHEN 3 THEN '24' END AS year, CASE WHEN p_size%5=0 THEN 'CSV' ELSE 'csv' END AS format, CASE WHEN p_size%3=0 THEN 15 END AS refresh FROM part) SELECT name, year, 'missing_name' AS problem FROM c WHERE name IS NULL UNION ALL SELECT name, year, 'missing_description' FROM c WHERE p_type IS NULL UNION ALL SELECT name, year, 'missing_category' FROM c WHERE category IS NULL UNION ALL SELECT name, year, 'missing_download_url' FROM c WHERE url IS NULL UNION ALL SELECT name, year, v FROM (SELECT name, year, CASE WHEN year='24' THEN 'bad_year' WHEN format='CSV' THEN 'bad_format' WHEN year IS NULL AND refresh IS NULL THEN 'missing_refresh' WHEN year IS NOT NULL AND refresh IS NOT NULL THEN 'conflicting_refresh' END AS v FROM c) WHERE v IS NOT NULL UNION ALL SELECT name, year, 'duplicate' FROM c GROUP BY name, year HAVING count(*)>1""",
     "not_like_filter": r"""SELECT p_partkey, p_name FROM part WHERE nullif(p_type,'ECONOMY') NOT LIKE 'STAN%'""",
     "graph_nodes": r"""SELECT c_custkey AS "custkey:ID(Customer)", c_name AS name FROM customer""",
     "graph_edges_own": r"""SELECT o_custkey AS ":START_ID(Customer)", o_orderkey AS ":END_ID(Order)" FROM orders""",

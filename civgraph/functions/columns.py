@@ -20,7 +20,6 @@ MASKED = "[ND]"                             # masked value in the company regist
 NOT_AVAILABLE = "#N/A"                      # spreadsheet error value (regional subsidies)
 NOT_COMMUNICATED = "NC"                     # "non communiqué" (offers received)
 LABEL_MAX_CHARS = 200                       # graph label length
-NULL_MARKER = "\\N"                         # NULL inside hashed key material
 
 # Java's \s also matches \x0B; the reference engine's (RE2) does not.  Spell
 # the class out so both engines collapse exactly the same characters.
@@ -137,7 +136,7 @@ def year_start(c: ColumnOrName) -> Column:
 
 # --- X05 / X06 / X15 combination -------------------------------------------
 def concat_skip_null(*cols: ColumnOrName) -> Column:
-    """String concatenation that skips NULL arguments (NULL only if all are)."""
+    """String concatenation that skips NULL arguments (all NULL: empty text)."""
     return F.concat_ws("", *[col_(c) for c in cols])
 
 
@@ -164,13 +163,16 @@ def list_count(c: ColumnOrName) -> Column:
 
 # --- X14 keys ---------------------------------------------------------------
 def key_text(c: ColumnOrName) -> Column:
-    return F.coalesce(col_(c).cast("string"), F.lit(NULL_MARKER))
+    """``length:text``, or ``N`` for NULL: no two lists of values have the same
+    concatenation, whatever the values hold."""
+    text = col_(c).cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("N"))
 
 
-def surrogate_key(*cols: ColumnOrName, sep: str = "|") -> Column:
-    """Deterministic md5 key over the given columns; NULLs hashed as a marker so
-    ``(NULL, 'a')`` and ``('a', NULL)`` differ."""
-    return F.md5(F.concat_ws(sep, *[key_text(c) for c in cols]))
+def surrogate_key(*cols: ColumnOrName) -> Column:
+    """Deterministic md5 key over the given columns; NULL, empty text and the
+    borders between columns all count."""
+    return F.md5(F.concat(*[key_text(c) for c in cols]))
 
 
 # --- X16 / X19 / X21 --------------------------------------------------------

@@ -113,12 +113,21 @@ def raw_file_name(name: str | Column, year: str | Column, fmt: str | Column,
 
 # --- C10-C12 / S22 ----------------------------------------------------------------
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """History CSV: header must hold exactly the 10 known columns (any
-    order); a non-numeric duration fails the read (strict cast)."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    if set(raw.columns) != set(HISTORY_COLUMNS):
-        raise ValueError(f"history has incorrect columns: expected {list(HISTORY_COLUMNS)}, got {raw.columns}")
-    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in HISTORY_SCHEMA.fields])
+    """History CSV files, each record bound by its own file's header (exactly
+    the 10 known columns, any order).  Another header, a record with more or
+    fewer fields and a non-numeric duration are errors."""
+    found = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    if set(found) != set(HISTORY_COLUMNS):
+        raise ValueError(f"history has incorrect columns: expected {list(HISTORY_COLUMNS)}, got {found}")
+    fields = ", ".join(f"_c{i} string" for i in range(len(HISTORY_COLUMNS)))
+    lines = spark.read.schema(fields).option("mode", "FAILFAST").csv(path).select(
+        F.col("_metadata.file_path").alias("__file"), F.array(*[f"_c{i}" for i in range(len(HISTORY_COLUMNS))]).alias("v"))
+    is_header = F.array_sort("v") == F.array(*[F.lit(c) for c in sorted(HISTORY_COLUMNS)])
+    # one header row per file, joined back on the file
+    headers = lines.where(is_header).select("__file", F.col("v").alias("h")).dropDuplicates(["__file"])
+    known = lines.where(~F.coalesce(is_header, F.lit(False))).join(headers, "__file", "left").select(F.map_from_arrays(F.coalesce("h", F.raise_error(
+        F.lit("a history file has incorrect columns")).cast("array<string>")), "v").alias("r"))
+    return known.select(*[F.col("r")[f.name].cast(f.dataType).alias(f.name) for f in HISTORY_SCHEMA.fields])
 
 
 def append_history(records: DataFrame, path: str) -> None:

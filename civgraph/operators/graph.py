@@ -95,42 +95,52 @@ def dangling(df: DataFrame, key: str, nodes: DataFrame, node_key: str) -> DataFr
     return left.join(keys, F.col("__dk") == F.col("__nk"), "left_anti").drop("__dk")
 
 
+def dangling_counts(df: DataFrame, key: str, nodes: DataFrame, node_key: str, out: str = "n") -> DataFrame:
+    """(key, n): rows per key that has no node.  Rows are counted per key
+    first (partial aggregation), so a hot key is one row per task before any
+    join."""
+    keys = nodes.select(F.col(node_key).alias("__nk")).filter(F.col("__nk").isNotNull())
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias(out))
+    return counted.join(keys, F.col(key) == F.col("__nk"), "left_anti")
+
+
 def integrity_report(relationships: Mapping[str, DataFrame],
                      nodes: Mapping[str, DataFrame]) -> DataFrame:
     """Dangling endpoint count per relationship and side.
 
     ``nodes`` maps an id space (label) to its node frame; the label of each
     endpoint is read from the relationship header.  Each relationship is
-    scanned once: every endpoint gets an ``EXISTS`` flag (an existence join,
-    which never duplicates rows even if a node id repeats) and one aggregate
-    counts the misses of both sides.  NULL endpoints count as dangling and
-    are spread over many reducers first.
+    scanned once, its endpoints stacked as (relationship, side, id space, id)
+    and counted: partial aggregation leaves one row per id and task, so
+    neither a hot id nor NULL (which counts as dangling) meets a join as many
+    rows.  One anti join against all node ids then leaves the misses.
     """
-    from civgraph.operators.relational import spread_null_key
-
     def id_column(frame: DataFrame) -> str:
         return next(c for c in frame.columns if ":ID(" in c)
 
-    parts = []
+    key = ["relationship", "side", "id_space"]
+    stacked, ends = [], []
     for rel_name, rel in relationships.items():
-        ends = [c for c in rel.columns if c.startswith(":START_ID(") or c.startswith(":END_ID(")]
-        keyed = rel
-        flags, meta = [], []
-        for i, col_name in enumerate(ends):
-            label = col_name[col_name.index("(") + 1:-1]
-            side = "start" if col_name.startswith(":START") else "end"
-            keyed = spread_null_key(keyed, col_name, f"__ep{i}")
-            ids = nodes[label].select(F.col(f"`{id_column(nodes[label])}`").alias(f"__id{i}"))
-            flags.append(ids.where(F.col(f"__id{i}") == F.col(f"__ep{i}").outer()).exists().alias(f"__ok{i}"))
-            meta.append((i, side, label))
-        counts = keyed.select(*flags).agg(*[F.count_if(~F.col(f"__ok{i}")).alias(f"__n{i}") for i, _, _ in meta])
-        # one aggregate row -> one row per side (a union of two selects over
-        # the same aggregate would be pruned into two scans)
-        per_side = F.explode(F.array(*[F.struct(F.lit(side).alias("side"), F.lit(label).alias("id_space"),
-                                                F.col(f"__n{i}").alias("dangling")) for i, side, label in meta]))
-        parts.append(counts.select(F.lit(rel_name).alias("relationship"), per_side.alias("__r"))
-                           .select("relationship", "__r.side", "__r.id_space", "__r.dangling"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        points = []
+        for col_name in rel.columns:
+            if col_name.startswith((":START_ID(", ":END_ID(")):
+                side = "start" if col_name.startswith(":START") else "end"
+                label = col_name[col_name.index("(") + 1:-1]
+                ends.append((rel_name, side, label))
+                points.append(F.struct(F.lit(rel_name).alias("relationship"), F.lit(side).alias("side"),
+                                       F.lit(label).alias("id_space"),
+                                       F.col(f"`{col_name}`").cast("string").alias("id")))
+        stacked.append(rel.select(F.inline(F.array(*points))))
+    counted = reduce(lambda a, b: a.unionByName(b), stacked).groupBy(*key, "id").agg(
+        F.count(F.lit(1)).alias("dangling"))
+    known = reduce(lambda a, b: a.unionByName(b), [
+        nodes[label].select(F.lit(label).alias("__space"), F.col(f"`{id_column(nodes[label])}`").cast("string").alias("__id"))
+        for label in sorted({label for *_, label in ends})])
+    missed = counted.join(known, (F.col("id_space") == F.col("__space")) & (F.col("id") == F.col("__id")), "left_anti")
+    spark = missed.sparkSession
+    every = spark.createDataFrame(ends, ", ".join(f"{k} string" for k in key)).withColumn(
+        "dangling", F.lit(0).cast("long"))  # relationships without a miss are listed too
+    return missed.select(*key, "dangling").unionByName(every).groupBy(*key).agg(F.sum("dangling").alias("dangling"))
 
 
 # --- K05 -------------------------------------------------------------------
@@ -144,11 +154,10 @@ MANIFEST_SCHEMA = T.StructType([
 
 def manifest(spark: SparkSession, nodes: Mapping[str, str], relationships: Mapping[str, str]) -> DataFrame:
     """Import manifest: one ``--nodes=<label>=<path>`` per node file and one
-    ``--relationships=<TYPE>=<path>`` per relationship file.  The label is the
-    file's base name; relationship types are upper-cased base names."""
+    ``--relationships=<type>=<path>`` per relationship file.  Label and type
+    are the file's base name, as it is."""
     rows = [("node", label, path, f"--nodes={label}={path}") for label, path in nodes.items()]
-    rows += [("relationship", name.upper(), path, f"--relationships={name.upper()}={path}")
-             for name, path in relationships.items()]
+    rows += [("relationship", name, path, f"--relationships={name}={path}") for name, path in relationships.items()]
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
 

@@ -34,8 +34,8 @@ def spread_null_key(df: DataFrame, key: str, out: str) -> DataFrame:
     A NULL key never matches in an outer or anti join, but a hash shuffle
     still sends every NULL to one reducer — in this data (unknown SIRET,
     missing commune) NULL is the hottest key.  String keys get a marker
-    starting with U+0000 (no identifier starts with it); numeric keys are
-    left as they are (AQE's skew-join split covers them).  The bucket comes
+    starting with U+0000 (no identifier starts with it); numeric keys have no
+    value that cannot match and are left as they are.  The bucket comes
     from a hash of the row, so it is deterministic under task retries.
     """
     if not isinstance(df.schema[key].dataType, T.StringType):
@@ -83,13 +83,14 @@ def prefix_hierarchy(codes: DataFrame, code: str, label: str, level: str,
                      names: Sequence[tuple[str, str]] = (("code_iii", "libelle_iii"),
                                                          ("code_ii", "libelle_ii"),
                                                          ("code_i", "libelle_i")),
-                     bounded: bool = False) -> DataFrame:
+                     bounded: bool = False, widths: Sequence[int] = (3, 2, 1)) -> DataFrame:
     """Flatten a coded hierarchy whose parent code is a prefix of the child code.
 
     ``codes`` holds one row per code with its ``level`` (1 = top).  The leaves
     are the rows of the deepest level; each parent is found by a LEFT join on
-    ``parent.code = left(child.code, len(parent level))`` — an equi-join after
-    projection, so it hashes instead of comparing pairs.  Leaves without a
+    ``parent.code = left(child.code, width of the parent level)`` (``widths``,
+    deepest first) — an equi-join after projection, so it hashes instead of
+    comparing pairs.  Leaves without a
     parent are kept with NULL parent columns.  Output columns follow ``names``
     (deepest first).
     """
@@ -104,8 +105,7 @@ def prefix_hierarchy(codes: DataFrame, code: str, label: str, level: str,
     for i in range(1, depth):
         parent_code = names[i][0]
         child_code = names[i - 1][0]
-        plen = depth - i  # parent level == its code length in the prefix scheme
-        child = out.withColumn("__pk", code_prefix(child_code, plen))
+        child = out.withColumn("__pk", code_prefix(child_code, widths[i]))
         parent = _maybe_broadcast(levels[i], bounded)
         out = (child.join(parent, child["__pk"] == parent[parent_code], "left")
                     .drop("__pk"))
@@ -223,18 +223,24 @@ def explode_parties(df: DataFrame, list_col: str, keep: Sequence[str] | None = N
 
 
 # --- X14 ---------------------------------------------------------------------------
-def with_surrogate_key(df: DataFrame, out: str, cols: Sequence[Column | str],
-                       lineage: bool = False, sep: str = "|") -> DataFrame:
-    """Add a deterministic md5 key over ``cols``.
-
-    ``lineage=True`` adds the row's position (``monotonically_increasing_id``:
-    partition index and row number within it), so exact duplicate rows still
-    get distinct ids without any shuffle or window.  The position can differ
-    between task attempts when rows arrive through a shuffle, so materialise
-    the result once and read the written table everywhere (the pipeline writes
-    it as a silver table); ids are unique within what was written.
+# Rows numbered by one generated list: bounds the list of a much-repeated row.
+OCCURRENCES_PER_LIST = 100_000
+
+
+def with_surrogate_key(df: DataFrame, out: str) -> DataFrame:
+    """Add an md5 key over all columns and, for exact duplicates, their
+    occurrence number (1, 2, ...), so every row has its own key and the set of
+    keys depends on nothing but the rows.
+
+    Identical rows are counted (partial aggregation: a much-repeated row
+    crosses the shuffle once per task) and numbered from the count, in lists
+    of bounded length; no window gathers a group.
     """
-    parts = list(cols)
-    if lineage:
-        parts.append(F.monotonically_increasing_id())
-    return df.withColumn(out, surrogate_key(*parts, sep=sep))
+    per_list = F.lit(OCCURRENCES_PER_LIST).cast("long")
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    lists = counted.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(
+        f"(__n - 1) div {OCCURRENCES_PER_LIST}"))).alias("__list"))
+    first = F.col("__list") * per_list + 1
+    numbered = lists.select(*df.columns, F.explode(F.sequence(
+        first, F.least(F.col("__n"), first + per_list - 1))).alias("__i"))
+    return numbered.select(surrogate_key(*df.columns, "__i").alias(out), *df.columns)

@@ -121,37 +121,46 @@ def null_skipping_concat(spark, sf_dir):
 
 
 def list_to_text(spark, sf_dir):
-    """A list column rendered as text.  The list is built per order from
-    the line items (partial collect before the shuffle)."""
-    li = table(spark, sf_dir, "lineitem")
-    item = X.concat_strict(F.col("l_linenumber").cast("string"), F.lit(":"), F.col("l_returnflag"))
-    lists = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item)).alias("items"))
-    return lists.select("l_orderkey", X.list_to_text("items").alias("flags"))
+    """A list column of the row rendered as text: NULL items, a NULL list
+    (line 4) and an empty list (line 5) among them."""
+    line = F.col("l_linenumber")
+    items = F.array(line.cast("string"), F.when(line % 3 != 0, F.col("l_returnflag")), F.col("l_linestatus"))
+    lists = F.when(line == 5, F.slice(items, 1, 0)).when((line != 4) | line.isNull(), items)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", X.list_to_text(lists).alias("flags"))
 
 
 def unnest_parties(spark, sf_dir):
     """Recursive unnest of ``list<struct<party: struct<role, turn>>>``
-    with the party count of each conversation.
+    with the count of its parties.  Each turn has a list of its own: NULL,
+    empty, or of three elements, one of them NULL in every other turn."""
+    def party(role, turn):
+        return F.struct(F.struct(role.alias("role"), turn.alias("turn")).alias("party"))
+
+    turn = F.col("turn")
+    items = F.array(party(F.col("role"), turn), party(F.lit("reply"), turn + 1),
+                    F.when(turn % 2 == 0, party(F.lit("note"), F.lit(0).cast("long"))))
+    parties = F.when(turn % 4 == 2, F.slice(items, 1, 0)).when((turn % 4 != 1) | turn.isNull(), items)
+    nested = table(spark, sf_dir, "conversations").select("conv_id", parties.alias("parties"))
+    return R.explode_parties(nested, "parties", keep=["conv_id"], count_as="nb_parties")
+
+
+CODE_WIDTHS = (19, 18, 17)
 
-    Each turn carries its party record as a nested list element; the count per
-    conversation is a partially aggregated count joined back on ``conv_id``
-    (one row per conversation on the small side), so a huge conversation is
-    split by AQE's skew join instead of being gathered into one list.
-    """
-    cv = table(spark, sf_dir, "conversations")
-    nested = cv.select("conv_id", F.array(F.struct(F.struct("role", "turn").alias("party")))
-                       .alias("parties"))
-    flat = R.explode_parties(nested, "parties", keep=["conv_id"])
-    counts = cv.groupBy("conv_id").agg(F.count(F.lit(1)).alias("nb_parties"))
-    return flat.join(counts, "conv_id").select("conv_id", "role", "turn", "nb_parties")
+
+def part_codes(spark, sf_dir):
+    """A three-level code list of all parts: the padded key is a leaf code;
+    keys divisible by 10 and 100 also name the parents, whose codes are
+    prefixes."""
+    key, name = F.col("p_partkey"), F.col("p_name").alias("libelle")
+    levels = [F.when(key % 10 ** up == 0, F.struct(
+        F.left(F.lpad(key.cast("string"), CODE_WIDTHS[0], "0"), F.lit(width)).alias("code"), name,
+        F.lit(3 - up).alias("type"))) for up, width in enumerate(CODE_WIDTHS)]
+    return table(spark, sf_dir, "part").select(F.inline(F.array_compact(F.array(*levels))))
 
 
 def prefix_hierarchy(spark, sf_dir):
     """Three-level code hierarchy, parents found by code prefix."""
-    p = table(spark, sf_dir, "part")
-    codes = p.select(F.col("p_partkey").cast("string").alias("code"), F.col("p_name").alias("libelle")) \
-             .withColumn("type", F.length("code"))
-    return R.prefix_hierarchy(codes, "code", "libelle", "type")
+    return R.prefix_hierarchy(part_codes(spark, sf_dir), "code", "libelle", "type", widths=CODE_WIDTHS)
 
 
 def lookup_label(spark, sf_dir):
@@ -210,6 +219,19 @@ def surrogate_key(spark, sf_dir):
     return o.select(X.surrogate_key(F.lit("order"), "o_orderkey").alias("id"), "o_orderkey")
 
 
+def surrogate_key_duplicates(spark, sf_dir):
+    """X14 over rows with many exact duplicates: each keeps a key of its own."""
+    return R.with_surrogate_key(table(spark, sf_dir, "lineitem").select(
+        "l_linenumber", "l_returnflag", "l_linestatus"), "id")
+
+
+def rounded_cast(spark, sf_dir):
+    """Text with decimals to a whole number, halves away from zero."""
+    li = table(spark, sf_dir, "lineitem")
+    text = F.concat((F.col("l_linenumber") - 4).cast("string"), F.lit("."), (F.col("l_orderkey") % 10).cast("string"))
+    return li.select("l_orderkey", "l_linenumber", X.int_rounding(text).alias("whole"))
+
+
 def not_like_filter(spark, sf_dir):
     """NOT LIKE on a cleaned column (NULLs drop out, three-valued logic)."""
     p = table(spark, sf_dir, "part")
@@ -244,8 +266,7 @@ def graph_dangling(spark, sf_dir):
     """Line items whose order is not among the finished orders, per order key."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
-    return (G.dangling(li, "l_orderkey", o, "o_orderkey")
-             .groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")))
+    return G.dangling_counts(li, "l_orderkey", o, "o_orderkey")
 
 
 def graph_summary(spark, sf_dir):
@@ -321,6 +342,20 @@ def catalog_duplicates(spark, sf_dir):
     return C.duplicate_sources(cat)
 
 
+def catalog_problems(spark, sf_dir):
+    """C01-C05 through ``validate_catalog``: every problem of catalog records
+    derived from ``part``."""
+    p, size = table(spark, sf_dir, "part"), F.col("p_size")
+    text = {"description": F.col("p_type"), "category": F.when(size % 7 != 0, F.col("p_brand")),
+            "provider": F.lit("p"), "page_url": F.lit("u"), "download_url": F.when(size % 11 != 0, F.lit("u"))}
+    cat = p.select(
+        F.col("p_name").alias("name"), *[v.alias(k) for k, v in text.items()],
+        F.when(size % 4 == 1, "2024").when(size % 4 == 2, "2024-2026").when(size % 4 == 3, "24").alias("year"),
+        F.when(size % 5 == 0, "CSV").otherwise("csv").alias("format"),
+        F.when(size % 3 == 0, F.lit(15)).alias("refresh_days"))
+    return C.validate_catalog(cat)
+
+
 def dq_checks(spark, sf_dir):
     """Q01-Q03: several not_null and unique checks of one model in one report."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -369,6 +404,9 @@ QUERIES = {
     "conformed_union": conformed_union,
     "union_by_name": union_by_name,
     "surrogate_key": surrogate_key,
+    "surrogate_key_duplicates": surrogate_key_duplicates,
+    "rounded_cast": rounded_cast,
+    "catalog_problems": catalog_problems,
     "not_like_filter": not_like_filter,
     "graph_nodes": graph_nodes,
     "graph_edges_own": graph_edges_own,

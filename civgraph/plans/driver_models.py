@@ -17,8 +17,6 @@ the whole pipeline over them.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +24,7 @@ from pyspark.sql import types as T
 from civgraph.operators import relational as R
 from civgraph.plans import gold
 from civgraph.plans import silver as S
-from civgraph.plans.driver import table
+from civgraph.plans.driver import CODE_WIDTHS, part_codes, table
 from civgraph.sources.contracts import CONCESSION_SCHEMA, MARCHE_SCHEMA
 
 _RELEASE = [T.StructField("release_year", T.StringType())]
@@ -86,7 +84,7 @@ def bronze_concessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "datePublicationDonnees": day, "dateSignature": day,
         "autoriteConcedante": F.struct(customer_siret("o_custkey").alias("id")),
         "valeurGlobale": F.col("o_totalprice").cast("string"),
-        "concessionnaires": F.array(_party("concessionnaire", kind, supplier_siret(F.col("o_custkey") % 100 + 1))),
+        "concessionnaires": F.array(_party("concessionnaire", kind, supplier_siret("o_custkey"))),
         "release_year": F.year("o_orderdate").cast("string")})
 
 
@@ -106,19 +104,26 @@ def model_market_unnest(spark, sf_dir):
                       "offre_recues", "montant", "date_notification", "techniques", "duree_mois", "release_year")
 
 
+def contracts(spark, sf_dir):
+    return (S.commande_publique_marche(bronze_markets(spark, sf_dir)),
+            S.commande_publique_concession(bronze_concessions(spark, sf_dir)))
+
+
 def model_contract_edges(spark, sf_dir):
-    """V07 + V08 -> V19 -> E02-E05: row count of each contract relationship."""
-    cp = S.ent_commande_publique(S.commande_publique_marche(bronze_markets(spark, sf_dir)),
-                                 S.commande_publique_concession(bronze_concessions(spark, sf_dir)))
-    rels = gold.contract_relationships(cp, establishments(spark, sf_dir))
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("relationship"), "rows")
-             for name, df in rels.items()]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """V07 + V08 -> V19 -> E02-E05: every edge, the contract by its business id."""
+    return gold.contract_endpoints(S.contract_union(*contracts(spark, sf_dir)), establishments(spark, sf_dir),
+                                   "id_contrat")
+
+
+def model_contract_union(spark, sf_dir):
+    """V07 + V08 -> V19: all columns but the id."""
+    return S.ent_commande_publique(*contracts(spark, sf_dir)).drop("id")
 
 
 QUERIES = {
     "model_market_unnest": model_market_unnest,
     "model_contract_edges": model_contract_edges,
+    "model_contract_union": model_contract_union,
 }
 
 _MARKETS_SQL = r"""WITH m AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, l_extendedprice, l_shipdate, l_linestatus, o_custkey FROM lineitem JOIN orders ON l_orderkey=o_orderkey),
@@ -129,16 +134,45 @@ ORACLE = {
 SELECT 'M'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR) AS id, lpad(CAST(o_custkey AS VARCHAR),14,'0') AS acheteur_siret, u.t.titulaire.id AS titulaire_id, u.t.titulaire.typeIdentifiant AS titulaire_type_identifiant, list_count(tits) AS nb_titulaires, CAST(nullif(CASE WHEN l_linenumber%3=0 THEN 'NC' ELSE CAST(l_linenumber AS VARCHAR) END,'NC') AS INTEGER) AS offre_recues, CAST(CAST(l_extendedprice AS VARCHAR) AS DOUBLE) AS montant, CAST(strptime(strftime(l_shipdate,'%Y-%m-%d'),'%Y-%m-%d') AS DATE) AS date_notification, array_to_string(['Accord-cadre', CASE WHEN l_linenumber%2=1 THEN 'Concours' END, l_linestatus], ', ') AS techniques, l_linenumber*3 AS duree_mois, CAST(year(l_shipdate) AS VARCHAR) AS release_year FROM b, unnest(b.tits) AS u(t)""",
     "model_contract_edges": _MARKETS_SQL + r""",
 eta AS (SELECT lpad(CAST(c_custkey AS VARCHAR),14,'0') AS siret FROM customer WHERE c_nationkey<15 UNION ALL SELECT '9'||lpad(CAST(s_suppkey AS VARCHAR),13,'0') FROM supplier WHERE s_nationkey<15),
-mu AS (SELECT lpad(CAST(o_custkey AS VARCHAR),14,'0') AS buyer, u.t.titulaire.typeIdentifiant AS typ, u.t.titulaire.id AS tit FROM b, unnest(b.tits) AS u(t)),
-c AS (SELECT lpad(CAST(o_custkey AS VARCHAR),14,'0') AS grantor, CASE WHEN o_orderkey%4=0 THEN 'TVA' ELSE 'SIRET' END AS typ, '9'||lpad(CAST(o_custkey%100+1 AS VARCHAR),13,'0') AS tit FROM orders)
-SELECT 'has_publique_marche' AS relationship, count(*) AS rows FROM mu WHERE buyer IN (SELECT siret FROM eta)
-UNION ALL SELECT 'has_publique_concession', count(*) FROM c WHERE grantor IN (SELECT siret FROM eta)
-UNION ALL SELECT 'gives_publique_marche', count(*) FROM mu WHERE typ='SIRET' AND tit IN (SELECT siret FROM eta)
-UNION ALL SELECT 'gives_publique_concession', count(*) FROM c WHERE typ='SIRET' AND tit IN (SELECT siret FROM eta)""",
+mu AS (SELECT 'M'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR) AS id, lpad(CAST(o_custkey AS VARCHAR),14,'0') AS buyer, u.t.titulaire.typeIdentifiant AS typ, u.t.titulaire.id AS tit FROM b, unnest(b.tits) AS u(t)),
+c AS (SELECT 'C'||CAST(o_orderkey AS VARCHAR) AS id, lpad(CAST(o_custkey AS VARCHAR),14,'0') AS grantor, CASE WHEN o_orderkey%4=0 THEN 'TVA' ELSE 'SIRET' END AS typ, '9'||lpad(CAST(o_custkey AS VARCHAR),13,'0') AS tit FROM orders)
+SELECT 'has_publique_marche' AS relationship, buyer AS siret, id AS contract FROM mu WHERE buyer IN (SELECT siret FROM eta)
+UNION ALL SELECT 'has_publique_concession', grantor, id FROM c WHERE grantor IN (SELECT siret FROM eta)
+UNION ALL SELECT 'gives_publique_marche', tit, id FROM mu WHERE typ='SIRET' AND tit IN (SELECT siret FROM eta)
+UNION ALL SELECT 'gives_publique_concession', tit, id FROM c WHERE typ='SIRET' AND tit IN (SELECT siret FROM eta)""",
+    "model_contract_union": _MARKETS_SQL + r"""
+SELECT 'M'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR) AS id_contrat, 'marche' AS type_contrat, lpad(CAST(o_custkey AS VARCHAR),14,'0') AS siret_autorite, u.t.titulaire.id AS id_titulaire, u.t.titulaire.typeIdentifiant AS type_identifiant_titulaire, CAST(NULL AS VARCHAR) AS nature, 'Ligne '||CAST(l_linenumber AS VARCHAR) AS objet, CAST(NULL AS VARCHAR) AS procedure, CAST(l_linenumber*3 AS INTEGER) AS duree_mois, l_extendedprice AS montant, CAST(NULL AS DOUBLE) AS taux_avance, CAST(l_shipdate AS DATE) AS date_contrat, CAST(l_shipdate AS DATE) AS date_publication, CAST(NULL AS DATE) AS date_debut_execution, CAST(NULL AS VARCHAR) AS origine_ue, CAST(NULL AS VARCHAR) AS origine_france, CAST(NULL AS VARCHAR) AS considerations_sociales, CAST(NULL AS VARCHAR) AS considerations_environnementales, CAST(NULL AS VARCHAR) AS source, CAST(NULL AS VARCHAR) AS code_lieu_execution, CAST(NULL AS VARCHAR) AS type_lieu_execution, CASE WHEN l_linenumber%3=0 THEN NULL ELSE l_linenumber END AS nombre_offres, CAST(NULL AS VARCHAR) AS type_prix, CAST(NULL AS VARCHAR) AS structure_prix, CAST(NULL AS DOUBLE) AS montant_subvention_publique FROM b, unnest(b.tits) AS u(t)
+UNION ALL SELECT 'C'||CAST(o_orderkey AS VARCHAR), 'concession', lpad(CAST(o_custkey AS VARCHAR),14,'0'), '9'||lpad(CAST(o_custkey AS VARCHAR),13,'0'), CASE WHEN o_orderkey%4=0 THEN 'TVA' ELSE 'SIRET' END, NULL, o_orderpriority, NULL, CAST(o_orderkey%120 AS INTEGER), o_totalprice, NULL, CAST(o_orderdate AS DATE), CAST(o_orderdate AS DATE), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM orders""",
 }
 
 
 # ---------------------------------------------------------------- subsidies
+# Raw columns that the derived records leave NULL.
+NULL_COLUMNS = {
+    "culture": [*S.CULTURE_COLUMNS, *(head + S.CULTURE_OP_SUFFIX.format(q="'") for head in S.CULTURE_OP_COLUMNS)],
+    "agriculture": ["Nature de la subvention*", "Conditions de versement*", "Date de versement",
+                    "Numéro de référencement au répertoire des entreprises", "Aide notifiée à l'Europe",
+                    "Pourcentage du montant de la subvention attribué au bénéficiaire*"],
+    "anct": ["Code département/Direction", "Libellé département/Direction", "Nature de la subvention",
+             "Conditions de versement", "RAE", "notificationUE", "PourcentageSubvention"],
+    "ademe": ["dispositifAide", "nature", "conditionsVersement", "datesPeriodeVersement", "idRAE", "notificationUE"],
+    "caisse": ["Nature", "ConditionsVersement", "DatesVersement_debut", "DatesVersement_fin", "IdRAE",
+               "NotificationUE", "PourcentageSubvention"],
+    "idf": ["anneeExercice", "idDossier", "datesPeriodeVersement", "delegation", "gestionFondsEuropeens",
+            "pourcentageSubvention", "dispositifAide"],
+    "fonds_vert": ["nom_region", "code_departement", "nom_departement", "nom_commune", "numero_operateur", "demarche",
+                   "raison_sociale_beneficiaire", "forme juridique_beneficiaire"],
+    "dotation": ["programme", "beneficiaire_type", "beneficiaire_dep", "cout_ht", "taux"],
+    "communes": [c.upper() for c in S.COMMUNE_COLUMNS],
+}
+
+
+def complete(df: DataFrame, source: str) -> DataFrame:
+    """``df`` with the raw columns of its source that it lacks, as NULL text."""
+    there = {c.lower() for c in df.columns}
+    return df.select("*", *[F.lit(None).cast("string").alias(c) for c in NULL_COLUMNS[source] if c.lower() not in there])
+
+
 # One subsidy per line item, the source chosen by the line number (1..7), and
 # one territorial grant per order.  Release '2025' for every tenth order, so
 # the newest-release filter has something to drop.
@@ -147,13 +181,14 @@ def _release(key: str, modulo: int = 10) -> F.Column:
 
 
 def _commune(c) -> F.Column:
-    return F.lpad((c % 1000).cast("string"), 5, "0")
+    return F.lpad(c.cast("string"), 19, "0")
 
 
 def _ref(prefix: str = "R") -> F.Column:
     return F.concat(F.lit(prefix), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
 
 
+# The raw headers of the eight sources, in the records below.
 def bronze_subsidies(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
@@ -217,20 +252,20 @@ def bronze_subsidies(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "fonds_vert": line(7).select(
             _commune(F.col("o_custkey")).alias("code_commune"), F.concat(F.lit("DS"), _ref("")).alias("numero_dossier_ds"),
             F.lit("Projet").alias("nom_du_projet"), F.lit("Ville").alias("nom_beneficiaire_principal"),
-            F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("siren"), price.alias("montant_engage"),
+            F.lpad(F.col("o_custkey").cast("string"), 19, "0").alias("siren"), price.alias("montant_engage"),
             F.lit("Résumé").alias("resume_du_projet"), F.when(orderkey % 2 == 1, _ref("EJ")).alias("numero_ej"),
             F.lit("Op").alias("opérateur"), F.when(orderkey % 3 != 0, benef).alias("siret_beneficiaire"),
             F.year("l_shipdate").cast("string").alias("exercice"), _release("l_orderkey").alias("release_year")),
         "dotation": o.select(
             F.year("o_orderdate").cast("string").alias("exercice"), F.lit("DETR").alias("dispositif"),
-            F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("beneficiaire_siren"),
+            F.lpad(F.col("o_custkey").cast("string"), 19, "0").alias("beneficiaire_siren"),
             F.lit("Commune").alias("beneficiaire_nom"), _commune(F.col("o_custkey")).alias("beneficiaire_code_insee"),
             F.col("o_orderpriority").alias("intitule"),
             F.when(F.col("o_orderkey") % 10 != 0,
                    F.replace(F.col("o_totalprice").cast("string"), F.lit("."), F.lit(","))).alias("subvention"),
             _release("o_orderkey", 7).alias("release_year")),
     }
-    return out
+    return {name: complete(df, name) for name, df in out.items()}
 
 
 def subsidy_reference(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -240,7 +275,7 @@ def subsidy_reference(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     divisions = n.select(F.lit("DRAC").alias("type_division"), F.col("n_name").alias("nom_division"),
                          customer_siret(F.col("n_nationkey") + 1).alias("siret"))
     c = table(spark, sf_dir, "customer")
-    eta = c.select(F.lpad(F.col("c_custkey").cast("string"), 9, "0").alias("siren"),
+    eta = c.select(F.lpad(F.col("c_custkey").cast("string"), 19, "0").alias("siren"),
                    customer_siret("c_custkey").alias("siret"),
                    (F.col("c_custkey") % 4 != 0).alias("etablissement_siege"))
     return divisions, eta
@@ -263,17 +298,17 @@ def model_subsidy_union(spark, sf_dir):
 
 QUERIES["model_subsidy_union"] = model_subsidy_union
 
-ORACLE["model_subsidy_union"] = r"""WITH l2 AS (SELECT l.*, o_custkey, lpad(CAST(o_custkey AS VARCHAR),14,'0') AS benef, '9'||lpad(CAST(l_suppkey AS VARCHAR),13,'0') AS payer, lpad(CAST(o_custkey % 1000 AS VARCHAR),5,'0') AS commune FROM lineitem l JOIN orders ON l_orderkey=o_orderkey WHERE l_orderkey % 10 <> 0),
-eta AS (SELECT lpad(CAST(c_custkey AS VARCHAR),9,'0') AS siren, lpad(CAST(c_custkey AS VARCHAR),14,'0') AS siret FROM customer WHERE c_custkey % 4 <> 0),
+ORACLE["model_subsidy_union"] = r"""WITH l2 AS (SELECT l.*, o_custkey, lpad(CAST(o_custkey AS VARCHAR),14,'0') AS benef, '9'||lpad(CAST(l_suppkey AS VARCHAR),13,'0') AS payer, lpad(CAST(o_custkey AS VARCHAR),19,'0') AS commune FROM lineitem l JOIN orders ON l_orderkey=o_orderkey WHERE l_orderkey % 10 <> 0),
+eta AS (SELECT lpad(CAST(c_custkey AS VARCHAR),19,'0') AS siren, lpad(CAST(c_custkey AS VARCHAR),14,'0') AS siret FROM customer WHERE c_custkey % 4 <> 0),
 div AS (SELECT 'DRAC' AS type_division, n_name AS nom_division, lpad(CAST(n_nationkey+1 AS VARCHAR),14,'0') AS siret FROM nation),
-culture AS (SELECT make_date(year(l_shipdate),1,1) AS date_subvention, coalesce(CASE WHEN l_orderkey%4=0 THEN lpad(CAST(l_suppkey % 1000 AS VARCHAR),5,'0') END, commune) AS code_commune, concat('Culture',' - ',CASE WHEN l_orderkey%2=1 THEN l_linestatus END) AS nom_projet, 'Activité '||l_returnflag AS description_projet, 'EJ'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR) AS reference_decision, 'Benef' AS nom_beneficiaire, benef AS siret_beneficiaire, div.siret AS siret_crediteur, CAST(CAST(l_extendedprice AS VARCHAR) AS DOUBLE) AS montant, 'culture' AS domaine, 'Ministère de la culture' AS origine_data FROM l2 LEFT JOIN div ON div.type_division='DRAC' AND div.nom_division = CASE WHEN l_orderkey%3=0 THEN 'ALGERIA' WHEN l_orderkey%3=1 THEN 'BRAZIL' ELSE 'NOWHERE' END WHERE l_linenumber=1),
+culture AS (SELECT make_date(year(l_shipdate),1,1) AS date_subvention, coalesce(CASE WHEN l_orderkey%4=0 THEN lpad(CAST(l_suppkey AS VARCHAR),19,'0') END, commune) AS code_commune, concat('Culture',' - ',CASE WHEN l_orderkey%2=1 THEN l_linestatus END) AS nom_projet, 'Activité '||l_returnflag AS description_projet, 'EJ'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR) AS reference_decision, 'Benef' AS nom_beneficiaire, benef AS siret_beneficiaire, div.siret AS siret_crediteur, CAST(CAST(l_extendedprice AS VARCHAR) AS DOUBLE) AS montant, 'culture' AS domaine, 'Ministère de la culture' AS origine_data FROM l2 LEFT JOIN div ON div.type_division='DRAC' AND div.nom_division = CASE WHEN l_orderkey%3=0 THEN 'ALGERIA' WHEN l_orderkey%3=1 THEN 'BRAZIL' ELSE 'NOWHERE' END WHERE l_linenumber=1),
 agri AS (SELECT CAST(l_shipdate AS DATE), NULL, NULL, 'Objet', 'D'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR), 'Ferme', benef, payer, CAST(l_orderkey % 100000 + 1000 AS DOUBLE), 'agriculture', 'Ministère de l''agriculture' FROM l2 WHERE l_linenumber=2 AND l_orderkey%50<>0 AND l_orderkey%51<>0),
 anct AS (SELECT CAST(l_shipdate AS DATE), NULL, NULL, 'Objet', 'R'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR), 'Asso', benef, payer, l_extendedprice, 'territoires', 'Agence nationale de la cohésion des territoires' FROM l2 WHERE l_linenumber=3 AND l_orderkey%20<>0),
 ademe AS (SELECT CAST(l_shipdate AS DATE), NULL, NULL, 'Objet', 'R'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR), 'B', benef, payer, l_extendedprice, 'environnement', 'Agence de l''environnement et de la maîtrise de l''énergie' FROM l2 WHERE l_linenumber=4),
-dot AS (SELECT make_date(year(o_orderdate),1,1), lpad(CAST(o_custkey % 1000 AS VARCHAR),5,'0'), o_orderpriority, o_orderpriority, NULL, 'Commune', eta.siret, NULL, o_totalprice, 'territoires', 'Direction générale des collectivités territoriales' FROM orders LEFT JOIN eta ON lpad(CAST(o_custkey AS VARCHAR),9,'0')=eta.siren WHERE o_orderkey % 7 <> 0 AND o_orderkey % 10 <> 0),
+dot AS (SELECT make_date(year(o_orderdate),1,1), lpad(CAST(o_custkey AS VARCHAR),19,'0'), o_orderpriority, o_orderpriority, NULL, 'Commune', eta.siret, NULL, o_totalprice, 'territoires', 'Direction générale des collectivités territoriales' FROM orders LEFT JOIN eta ON lpad(CAST(o_custkey AS VARCHAR),19,'0')=eta.siren WHERE o_orderkey % 7 <> 0 AND o_orderkey % 10 <> 0),
 caisse AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE), NULL, NULL, 'Objet', 'R'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR), 'B', benef, payer, l_extendedprice, 'developpement', 'Caisse des Dépôts' FROM l2 WHERE l_linenumber=5),
 idf AS (SELECT CAST(l_shipdate AS DATE), NULL, NULL, CASE WHEN l_orderkey%7=0 THEN NULL ELSE 'Objet' END, CASE WHEN l_orderkey%3=0 THEN NULL ELSE 'R'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR) END, 'B', CASE WHEN l_orderkey%5=0 THEN NULL ELSE benef END, payer, l_extendedprice, 'association', 'Région Île-de-France' FROM l2 WHERE l_linenumber=6),
-fv AS (SELECT make_date(year(l_shipdate),1,1), commune, 'Projet', 'Résumé', coalesce(CASE WHEN l_orderkey%2=1 THEN 'EJ'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR) END, 'DS'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR)), 'Ville', coalesce(CASE WHEN l_orderkey%3<>0 THEN benef END, eta.siret), '11006801200050', l_extendedprice, 'environnement', 'Ministère de la Transition écologique' FROM l2 LEFT JOIN eta ON lpad(CAST(o_custkey AS VARCHAR),9,'0')=eta.siren WHERE l_linenumber=7)
+fv AS (SELECT make_date(year(l_shipdate),1,1), commune, 'Projet', 'Résumé', coalesce(CASE WHEN l_orderkey%2=1 THEN 'EJ'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR) END, 'DS'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR)), 'Ville', coalesce(CASE WHEN l_orderkey%3<>0 THEN benef END, eta.siret), '11006801200050', l_extendedprice, 'environnement', 'Ministère de la Transition écologique' FROM l2 LEFT JOIN eta ON lpad(CAST(o_custkey AS VARCHAR),19,'0')=eta.siren WHERE l_linenumber=7)
 SELECT * FROM culture UNION ALL SELECT * FROM agri UNION ALL SELECT * FROM anct UNION ALL SELECT * FROM ademe UNION ALL SELECT * FROM dot UNION ALL SELECT * FROM caisse UNION ALL SELECT * FROM idf UNION ALL SELECT * FROM fv"""
 
 
@@ -288,11 +323,11 @@ def bronze_legal_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     return _raw_frame(c, S.UNITE_LEGALE_RAW, {
-        "siren": F.lpad(key.cast("string"), 9, "0"),
+        "siren": F.lpad(key.cast("string"), 19, "0"),
         "denominationUniteLegale": F.when(key % 7 == 0, F.lit("[ND]")).otherwise(F.col("c_name")),
         "prenomUsuelUniteLegale": F.when(key % 3 == 0, F.lit("[ND]")).otherwise(F.lit("Jean")),
         "nomUniteLegale": F.col("c_mktsegment"),
-        "categorieJuridiqueUniteLegale": (100 + key % 900).cast("string"),
+        "categorieJuridiqueUniteLegale": F.lpad(key.cast("string"), CODE_WIDTHS[0], "0"),
         "activitePrincipaleUniteLegale": F.lpad(F.col("c_nationkey").cast("string"), 2, "0"),
         "release_year": _release("c_custkey")})
 
@@ -300,22 +335,21 @@ def bronze_legal_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_legal_units(spark, sf_dir):
     """V04 + V05 + V17: legal units with display name, activity label (codes
     of even nations are sub-classes) and the three legal-category levels."""
-    p = table(spark, sf_dir, "part")
-    codes = p.select(F.col("p_partkey").cast("string").alias("code"), F.col("p_name").alias("libelle")) \
-             .withColumn("type", F.length("code"))
+    codes = part_codes(spark, sf_dir)
     naf = table(spark, sf_dir, "nation").select(
         F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("code"),
         F.concat(F.lit("NAF "), F.col("n_name")).alias("libelle"),
         F.when(F.col("n_nationkey") % 2 == 0, "sousclasse").otherwise("classe").alias("niveau"))
     ul = S.sirene_unite_legale(bronze_legal_units(spark, sf_dir), prune_files=False)
-    v17 = S.ent_sirene_unite_legale(ul, naf, S.categorie_juridique(codes))
+    categories = S.categorie_juridique(codes, bounded=False, widths=CODE_WIDTHS)
+    v17 = S.ent_sirene_unite_legale(ul, naf, categories, bounded=False)
     return v17.select("siren", "denomination_unite_legale", "activite_principale_unite_legale_libelle",
                       "categorie_juridique_unite_legale_libelle_iii", "categorie_juridique_unite_legale_libelle_ii",
                       "categorie_juridique_unite_legale_libelle_i", "release_year")
 
 
 def _commune_code(k) -> F.Column:
-    return F.lpad(k.cast("string"), 7, "0")
+    return F.lpad(k.cast("string"), 19, "0")
 
 
 def bronze_communes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,13 +360,13 @@ def bronze_communes(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     kind = (F.when(key % 10 == 1, "COMD").when(key % 10 == 2, "ARM")
              .when(key % 10 == 3, "COMA").otherwise("COM"))
-    return c.select(kind.alias("TYPECOM"),
+    return complete(c.select(kind.alias("TYPECOM"),
                     _commune_code(F.when(key % 10 == 1, key - 1).otherwise(key)).alias("COM"),
                     F.col("c_nationkey").cast("string").alias("REG"),
                     F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("DEP"),
                     F.col("c_name").alias("LIBELLE"),
                     F.when(kind != "COM", _commune_code(key - key % 10)).alias("COMPARENT"),
-                    _release("c_custkey", 9).alias("release_year"))
+                    _release("c_custkey", 9).alias("release_year")), "communes")
 
 
 def bronze_establishments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,45 +375,40 @@ def bronze_establishments(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     s = table(spark, sf_dir, "supplier")
     eta_c = _raw_frame(c, S.ETABLISSEMENT_RAW, {
-        "siren": F.lpad(F.col("c_custkey").cast("string"), 9, "0"), "siret": customer_siret("c_custkey"),
+        "siren": F.lpad(F.col("c_custkey").cast("string"), 19, "0"), "siret": customer_siret("c_custkey"),
         "nic": F.lit("00011"), "etablissementSiege": F.lit("true"),
         "codeCommuneEtablissement": F.when(F.col("c_custkey") % 6 != 0,
-                                           _commune_code(F.col("c_custkey") * 7 % 1500 + 1)),
+                                           _commune_code(F.col("c_custkey"))),
         "release_year": F.lit("2026")})
     eta_s = _raw_frame(s, S.ETABLISSEMENT_RAW, {
-        "siren": F.concat(F.lit("9"), F.lpad(F.col("s_suppkey").cast("string"), 8, "0")),
+        "siren": F.concat(F.lit("9"), F.lpad(F.col("s_suppkey").cast("string"), 19, "0")),
         "siret": supplier_siret("s_suppkey"), "nic": F.lit("00029"), "etablissementSiege": F.lit("false"),
         "codeCommuneEtablissement": F.when(F.col("s_suppkey") % 5 == 0, F.lit("[ND]"))
-                                     .otherwise(_commune_code(F.col("s_suppkey") * 11 % 1500 + 1)),
+                                     .otherwise(_commune_code(F.col("s_suppkey"))),
         "release_year": F.lit("2026")})
     return eta_c.unionByName(eta_s)
 
 
 def model_located_in(spark, sf_dir):
-    """V01 + V06 + V18 -> E08-E10: establishments located in communes,
-    delegated communes and districts; a code listed under two types gives
-    two edges.  Row count per relationship."""
+    """V01 + V06 + V18 -> E08-E10: every edge from an establishment to a
+    commune, delegated commune or district; a code listed under two types
+    gives two edges."""
     communes = S.france_communes(bronze_communes(spark, sf_dir), prune_files=False)
     artisanat = table(spark, sf_dir, "nation").select(F.col("n_name").alias("code"), F.col("n_name").alias("libelle"))
     eta = S.ent_sirene_etablissement(S.sirene_etablissement(bronze_establishments(spark, sf_dir),
                                                             prune_files=False), artisanat)
-    rels = gold.located_in_relationships(eta, communes)
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("relationship"), "rows")
-             for name, df in rels.items()]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return gold.located_in_edges(eta, communes)
 
 
 QUERIES["model_legal_units"] = model_legal_units
 QUERIES["model_located_in"] = model_located_in
 
-ORACLE["model_legal_units"] = r"""WITH ul AS (SELECT lpad(CAST(c_custkey AS VARCHAR),9,'0') AS siren, CASE WHEN c_custkey%7=0 THEN '[ND]' ELSE c_name END AS denom, CASE WHEN c_custkey%3=0 THEN '[ND]' ELSE 'Jean' END AS prenom, c_mktsegment AS nom, CAST(100 + c_custkey%900 AS VARCHAR) AS cat, lpad(CAST(c_nationkey AS VARCHAR),2,'0') AS naf FROM customer WHERE c_custkey%10<>0),
-s AS (SELECT CAST(p_partkey AS VARCHAR) code, p_name libelle, length(CAST(p_partkey AS VARCHAR)) AS type FROM part),
-catj AS (SELECT a.code AS code_iii, a.libelle AS libelle_iii, b.libelle AS libelle_ii, c.libelle AS libelle_i FROM s a LEFT JOIN s b ON b.type=2 AND b.code=left(a.code,2) LEFT JOIN s c ON c.type=1 AND c.code=left(b.code,1) WHERE a.type=3),
+ORACLE["model_legal_units"] = r"""WITH ul AS (SELECT lpad(CAST(c_custkey AS VARCHAR),19,'0') AS siren, CASE WHEN c_custkey%7=0 THEN '[ND]' ELSE c_name END AS denom, CASE WHEN c_custkey%3=0 THEN '[ND]' ELSE 'Jean' END AS prenom, c_mktsegment AS nom, lpad(CAST(c_custkey AS VARCHAR),19,'0') AS cat, lpad(CAST(c_nationkey AS VARCHAR),2,'0') AS naf FROM customer WHERE c_custkey%10<>0),
+p AS (SELECT lpad(CAST(p_partkey AS VARCHAR),19,'0') AS code, p_name AS libelle, p_partkey FROM part),
+catj AS (SELECT a.code AS code_iii, a.libelle AS libelle_iii, b.libelle AS libelle_ii, c.libelle AS libelle_i FROM p a LEFT JOIN (SELECT left(code,18) AS code, libelle FROM p WHERE p_partkey%10=0) b ON b.code=left(a.code,18) LEFT JOIN (SELECT left(code,17) AS code, libelle FROM p WHERE p_partkey%100=0) c ON c.code=left(b.code,17)),
 naf AS (SELECT lpad(CAST(n_nationkey AS VARCHAR),2,'0') AS code, 'NAF '||n_name AS libelle FROM nation WHERE n_nationkey%2=0)
 SELECT siren, coalesce(nullif(denom,'[ND]'), nullif(trim(concat(coalesce(nullif(prenom,'[ND]'),''),' ',coalesce(nullif(nom,'[ND]'),''))),'')) AS denomination_unite_legale, naf.libelle AS activite_principale_unite_legale_libelle, catj.libelle_iii AS categorie_juridique_unite_legale_libelle_iii, catj.libelle_ii AS categorie_juridique_unite_legale_libelle_ii, catj.libelle_i AS categorie_juridique_unite_legale_libelle_i, '2026' AS release_year FROM ul LEFT JOIN naf ON ul.naf=naf.code LEFT JOIN catj ON ul.cat=catj.code_iii"""
 
-ORACLE["model_located_in"] = r"""WITH com AS (SELECT CASE c_custkey%10 WHEN 1 THEN 'COMD' WHEN 2 THEN 'ARM' WHEN 3 THEN 'COMA' ELSE 'COM' END AS type_commune, lpad(CAST(CASE WHEN c_custkey%10=1 THEN c_custkey-1 ELSE c_custkey END AS VARCHAR),7,'0') AS code_commune FROM customer WHERE c_custkey%9<>0),
-eta AS (SELECT CASE WHEN c_custkey%6<>0 THEN lpad(CAST((c_custkey*7)%1500+1 AS VARCHAR),7,'0') END AS code FROM customer UNION ALL SELECT CASE WHEN s_suppkey%5=0 THEN NULL ELSE lpad(CAST((s_suppkey*11)%1500+1 AS VARCHAR),7,'0') END FROM supplier)
-SELECT 'etablissement_located_in_commune' AS relationship, count(*) AS rows FROM eta JOIN com ON eta.code=com.code_commune WHERE com.type_commune='COM'
-UNION ALL SELECT 'etablissement_located_in_commune_deleguee', count(*) FROM eta JOIN com ON eta.code=com.code_commune WHERE com.type_commune IN ('COMD','COMA')
-UNION ALL SELECT 'etablissement_located_in_arrondissement', count(*) FROM eta JOIN com ON eta.code=com.code_commune WHERE com.type_commune='ARM'"""
+ORACLE["model_located_in"] = r"""WITH com AS (SELECT CASE c_custkey%10 WHEN 1 THEN 'COMD' WHEN 2 THEN 'ARM' WHEN 3 THEN 'COMA' ELSE 'COM' END AS type_commune, lpad(CAST(CASE WHEN c_custkey%10=1 THEN c_custkey-1 ELSE c_custkey END AS VARCHAR),19,'0') AS code_commune FROM customer WHERE c_custkey%9<>0),
+eta AS (SELECT lpad(CAST(c_custkey AS VARCHAR),14,'0') AS siret, CASE WHEN c_custkey%6<>0 THEN lpad(CAST(c_custkey AS VARCHAR),19,'0') END AS code FROM customer UNION ALL SELECT '9'||lpad(CAST(s_suppkey AS VARCHAR),13,'0'), CASE WHEN s_suppkey%5=0 THEN NULL ELSE lpad(CAST(s_suppkey AS VARCHAR),19,'0') END FROM supplier)
+SELECT CASE type_commune WHEN 'COM' THEN 'etablissement_located_in_commune' WHEN 'ARM' THEN 'etablissement_located_in_arrondissement' ELSE 'etablissement_located_in_commune_deleguee' END AS relationship, siret, code_commune AS commune FROM eta JOIN com ON eta.code=com.code_commune"""

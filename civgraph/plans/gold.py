@@ -13,9 +13,9 @@ from civgraph.functions.columns import normalize_label
 from civgraph.operators import graph as G
 
 COM, COMMUNE_DELEGUEE, ARM = ["COM"], ["COMD", "COMA"], ["ARM"]
-# The commune table is the national administrative list (tens of thousands of
-# rows, fixed by law, not by data volume): a proven bound, so the located-in
-# joins broadcast it and never shuffle the establishment table.
+LOCATED_IN = {"etablissement_located_in_commune": (COM, "Commune"),
+              "etablissement_located_in_commune_deleguee": (COMMUNE_DELEGUEE, "CommuneDeleguee"),
+              "etablissement_located_in_arrondissement": (ARM, "Arrondissement")}
 
 
 def nodes(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -70,17 +70,35 @@ def contract_relationships(cp: DataFrame, eta: DataFrame) -> dict[str, DataFrame
     }
 
 
+def contract_endpoints(cp: DataFrame, eta: DataFrame, contract: str = "id") -> DataFrame:
+    """E02-E05 in one frame (relationship, siret, contract): the endpoints of
+    every contract row stacked, one semi join with the establishments."""
+    kind = F.col("type_contrat")
+    authority = F.struct(F.concat(F.lit("has_publique_"), kind).alias("relationship"),
+                         F.col("siret_autorite").alias("siret"))
+    awardee = F.when(F.col("type_identifiant_titulaire") == "SIRET", F.struct(
+        F.concat(F.lit("gives_publique_"), kind).alias("relationship"), F.col("id_titulaire").alias("siret")))
+    ends = cp.select(F.col(contract).alias("contract"), F.explode(F.array(authority, awardee)).alias("end"))
+    return G.keep_existing(ends.select("end.relationship", "end.siret", "contract"), "siret", eta, "siret")
+
+
 def located_in_relationships(eta: DataFrame, com: DataFrame) -> dict[str, DataFrame]:
     """Establishment -> commune / delegated commune / district by the
-    establishment's commune code; one edge per matching commune row."""
-    def located(types, label):
-        return G.edge_typed(eta, "code_commune_etablissement", com, "code_commune", "type_commune", types,
-                            "siret", "Etablissement", label, bounded=True)
-    return {
-        "etablissement_located_in_commune": located(COM, "Commune"),                                # E08
-        "etablissement_located_in_commune_deleguee": located(COMMUNE_DELEGUEE, "CommuneDeleguee"),  # E09
-        "etablissement_located_in_arrondissement": located(ARM, "Arrondissement"),                  # E10
-    }
+    establishment's commune code; one edge per matching commune row.  No
+    broadcast hint: Spark's own size check decides."""
+    return {name: G.edge_typed(eta, "code_commune_etablissement", com, "code_commune", "type_commune", types,
+                               "siret", "Etablissement", label) for name, (types, label) in LOCATED_IN.items()}
+
+
+def located_in_edges(eta: DataFrame, com: DataFrame) -> DataFrame:
+    """E08-E10 in one frame (relationship, siret, commune) from one join."""
+    name = F.coalesce(*[F.when(F.col("type_commune").isin(types), F.lit(rel))
+                        for rel, (types, _) in LOCATED_IN.items()])
+    sites = eta.where("code_commune_etablissement IS NOT NULL").select("siret", "code_commune_etablissement")
+    kinds = com.select(name.alias("relationship"), F.col("code_commune").alias("commune")).where(
+        "relationship IS NOT NULL")
+    return sites.join(kinds, F.col("code_commune_etablissement") == F.col("commune")).select(
+        "relationship", "siret", "commune")
 
 
 def relationships(s: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -20,11 +20,12 @@ from civgraph.operators import relational as R
 
 def pick(df: DataFrame, *names: str) -> Column:
     """First of several header spellings present in ``df`` (case-insensitive),
-    coalesced when more than one exists; NULL text when none does."""
+    coalesced when more than one exists; an error when none does, as a renamed
+    raw column must not become NULL."""
     lower = {c.lower(): c for c in df.columns}
     found = [F.col(f"`{lower[n.lower()]}`") for n in names if n.lower() in lower]
     if not found:
-        return F.lit(None).cast("string")
+        raise ValueError(f"no column {' / '.join(names)}; the source has {df.columns}")
     return found[0] if len(found) == 1 else F.coalesce(*found)
 
 
@@ -67,9 +68,11 @@ def france_regions(brz: DataFrame, prune_files: bool = True) -> DataFrame:
 
 
 # ---------------------------------------------------------------- registry
-def categorie_juridique(seed: DataFrame) -> DataFrame:       # V04
-    """Three-level legal-category hierarchy; the seed is a bounded code list."""
-    return R.prefix_hierarchy(seed, "code", "libelle", "type", bounded=True)
+def categorie_juridique(seed: DataFrame, bounded: bool = True,
+                        widths: tuple[int, ...] = (3, 2, 1)) -> DataFrame:       # V04
+    """Three-level legal-category hierarchy; the seed is a bounded code list
+    (``bounded=False`` for other lists of codes)."""
+    return R.prefix_hierarchy(seed, "code", "libelle", "type", bounded=bounded, widths=widths)
 
 
 # Raw columns of the legal-unit file (snake_case names follow
@@ -141,14 +144,15 @@ def sirene_etablissement(brz: DataFrame, prune_files: bool = True) -> DataFrame:
     return R.latest_release(brz.select(*cols, "release_year"), prune_files=prune_files)
 
 
-def ent_sirene_unite_legale(ul: DataFrame, naf: DataFrame, catj: DataFrame) -> DataFrame:  # V17
+def ent_sirene_unite_legale(ul: DataFrame, naf: DataFrame, catj: DataFrame,
+                            bounded: bool = True) -> DataFrame:  # V17
     naf_sc = naf.filter(F.col("niveau") == "sousclasse")
     out = R.lookup_label(ul, naf_sc, {"activite_principale_unite_legale": "code"},
                          {"libelle": "activite_principale_unite_legale_libelle"}, bounded=True)
     out = R.lookup_label(out, catj, {"categorie_juridique_unite_legale": "code_iii"},
                          {"libelle_iii": "categorie_juridique_unite_legale_libelle_iii",
                           "libelle_ii": "categorie_juridique_unite_legale_libelle_ii",
-                          "libelle_i": "categorie_juridique_unite_legale_libelle_i"}, bounded=True)
+                          "libelle_i": "categorie_juridique_unite_legale_libelle_i"}, bounded=bounded)
     name = X.display_name("denomination_unite_legale", "prenom_usuel_unite_legale", "nom_unite_legale")
     return out.select(
         "siren", "statut_diffusion_unite_legale", "unite_purgee_unite_legale", "date_creation_unite_legale",
@@ -162,6 +166,7 @@ def ent_sirene_unite_legale(ul: DataFrame, naf: DataFrame, catj: DataFrame) -> D
         name.alias("denomination_unite_legale"))
 
 
+# The establishment columns that are kept.
 ENT_ETABLISSEMENT_COLUMNS = [
     "siren", "nic", "siret", "statut_diffusion_etablissement", "date_creation_etablissement",
     "tranche_effectifs_etablissement", "annee_effectifs_etablissement",
@@ -254,6 +259,7 @@ def commande_publique_concession(brz: DataFrame, latest_only: bool = False) -> D
     return out.withColumnRenamed("concession_id", "id")
 
 
+# Columns of the contract table.
 CONTRACT_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
     ("id", T.StringType()), ("id_contrat", T.StringType()), ("type_contrat", T.StringType()),
     ("siret_autorite", T.StringType()), ("id_titulaire", T.StringType()),
@@ -268,9 +274,8 @@ CONTRACT_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
     ("montant_subvention_publique", T.DoubleType())]])
 
 
-def ent_commande_publique(marche: DataFrame, concession: DataFrame) -> DataFrame:  # V19
-    """Markets and concessions in one shape, tagged by ``type_contrat``, with
-    a deterministic surrogate id (business columns + row lineage)."""
+def contract_union(marche: DataFrame, concession: DataFrame) -> DataFrame:
+    """Markets and concessions in one shape, tagged by ``type_contrat``."""
     common = ["nature", "objet", "procedure", "duree_mois", "taux_avance", "origine_ue", "origine_france",
               "considerations_sociales", "considerations_environnementales", "source"]
     m = R.conform(marche, CONTRACT_SCHEMA, {
@@ -287,10 +292,12 @@ def ent_commande_publique(marche: DataFrame, concession: DataFrame) -> DataFrame
         "date_contrat": "date_signature", "date_publication": "date_publication_donnes",
         "date_debut_execution": "date_debut_execution",
         "montant_subvention_publique": "montant_subvention_publique"})
-    both = R.conform_union([m, c])
-    keyed = R.with_surrogate_key(both, "id", ["type_contrat", "id_contrat", "id_titulaire",
-                                              "date_publication"], lineage=True)
-    return keyed.select(*CONTRACT_SCHEMA.fieldNames())
+    return R.conform_union([m, c]).drop("id")
+
+
+def ent_commande_publique(marche: DataFrame, concession: DataFrame) -> DataFrame:  # V19
+    """The contract union with an id that only the row's own values decide."""
+    return R.with_surrogate_key(contract_union(marche, concession), "id").select(*CONTRACT_SCHEMA.fieldNames())
 
 
 # ---------------------------------------------------------------- subsidies
@@ -496,6 +503,7 @@ def fonds_vert_subvention(brz: DataFrame, etablissements: DataFrame, prune_files
         "exercice", "release_year")
 
 
+# Columns of the subsidy table.
 SUBSIDY_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
     ("date_subvention", T.DateType()), ("code_commune", T.StringType()), ("nom_projet", T.StringType()),
     ("description_projet", T.StringType()), ("reference_decision", T.StringType()),
@@ -581,6 +589,4 @@ def ent_subvention_publique(culture: DataFrame, divisions: DataFrame, agricultur
             **_tags("fonds_vert")}),
     ]
     union = R.conform_union(branches)
-    keyed = R.with_surrogate_key(union, "id", ["origine_data", "reference_decision", "siret_beneficiaire",
-                                               "date_subvention", "montant"], lineage=True)
-    return keyed.select("id", *SUBSIDY_SCHEMA.fieldNames())
+    return R.with_surrogate_key(union, "id").select("id", *SUBSIDY_SCHEMA.fieldNames())

@@ -88,43 +88,44 @@ _LINES_SCHEMA = T.StructType([
     T.StructField("block_start", T.LongType()), T.StructField("line_no", T.LongType())])
 
 
-def _number_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Line number within each (file, block); rows of one block arrive in file
-    order and contiguously inside a partition, so a running counter that
-    restarts when the block changes is exact — no shuffle, no sort.
-    Vectorised per Arrow batch (run boundaries found with numpy)."""
-    import numpy as np
-    prev_key, carried = None, 0
-    out_schema = pa.schema([("value", pa.string()), ("file_path", pa.string()),
-                            ("block_start", pa.int64()), ("line_no", pa.int64())])
-    for b in batches:
-        n = b.num_rows
-        if n == 0:
-            continue
-        paths = np.asarray(b.column("file_path").to_numpy(zero_copy_only=False), dtype=object)
-        starts = b.column("block_start").to_numpy(zero_copy_only=False)
-        new_run = np.empty(n, dtype=bool)
-        new_run[0] = (paths[0], int(starts[0])) != prev_key
-        new_run[1:] = (paths[1:] != paths[:-1]) | (starts[1:] != starts[:-1])
-        run_start = np.maximum.accumulate(np.where(new_run, np.arange(n), 0))
-        nums = np.arange(n) - run_start + 1
-        if not new_run[0]:  # first run continues the previous batch's block
-            first_run = run_start == 0
-            nums[first_run] += carried
-        prev_key = (paths[-1], int(starts[-1]))
-        carried = int(nums[-1])
-        yield pa.RecordBatch.from_arrays(
-            [b.column("value"), b.column("file_path"), b.column("block_start"), pa.array(nums, pa.int64())],
-            schema=out_schema)
-
-
 def numbered_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Text lines with ``line_no`` within their file block (``block_start``)."""
+    """Text lines of one file with ``line_no`` within their file block (``block_start``).
+
+    The counter is defined in here, so that Spark ships it by value and
+    executors need not have the package."""
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Line number within each block of the one file; rows of a block arrive in file
+        order and contiguously inside a partition, so a running counter that
+        restarts when the block changes is exact — no shuffle, no sort.
+        Vectorised per Arrow batch (run boundaries found with numpy)."""
+        import numpy as np
+        prev_key, carried = None, 0
+        out_schema = pa.schema([("value", pa.string()), ("file_path", pa.string()),
+                                ("block_start", pa.int64()), ("line_no", pa.int64())])
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            starts = b.column("block_start").to_numpy(zero_copy_only=False)
+            new_run = np.empty(n, dtype=bool)
+            new_run[0] = int(starts[0]) != prev_key
+            new_run[1:] = starts[1:] != starts[:-1]
+            run_start = np.maximum.accumulate(np.where(new_run, np.arange(n), 0))
+            nums = np.arange(n) - run_start + 1
+            if not new_run[0]:  # first run continues the previous batch's block
+                first_run = run_start == 0
+                nums[first_run] += carried
+            prev_key = int(starts[-1])
+            carried = int(nums[-1])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("value"), b.column("file_path"), b.column("block_start"), pa.array(nums, pa.int64())],
+                schema=out_schema)
+
     raw = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"))
     raw = raw.withColumn("value", _decoded(F.col("value"), encoding))
-    return raw.mapInArrow(_number_lines, _LINES_SCHEMA)
+    return raw.mapInArrow(number, _LINES_SCHEMA)
 
 
 def _decoded(col, encoding: str):
@@ -174,7 +175,8 @@ def read_csv_lines(spark: SparkSession, c: Contract, path: str, step: str | None
     body = lines.filter(~((F.col("block_start") == 0) & (F.col("line_no") <= header_no)))
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
     parsed = body.filter(F.length("value") > 0).select(
-        F.from_csv("value", schema.simpleString(), {"sep": c.sep, "quote": '"', "escape": '"'}).alias("r"),
+        F.from_csv("value", schema.simpleString(), {"sep": c.sep, "quote": '"', "escape": '"',
+                                                          "mode": "FAILFAST"}).alias("r"),
         F.col("file_path").alias(PATH_COL))
     return parsed.select(*[F.col(f"r._c{i}").alias(h) for i, h in enumerate(header)], PATH_COL)
 

@@ -8,6 +8,7 @@ from civgraph.operators import catalog as C
 from civgraph.operators import graph as G
 from civgraph.operators import quality as Q
 from civgraph.operators import relational as R
+from civgraph.plans.driver_models import complete
 
 
 def rows(df, *cols):
@@ -108,11 +109,11 @@ def test_quality_checks(spark):
 
 
 @pytest.mark.parametrize("year,fmt,refresh,verdict", [
-    ("2024", "csv", None, "ok"), ("2024-2026", "parquet", None, "ok"), (None, "json", 15, "ok"),
-    ("24", "csv", None, "bad_year"), ("20245", "csv", None, "bad_year"), ("2024/2026", "csv", None, "bad_year"),
-    ("abcd", "csv", None, "bad_year"), ("", "csv", None, "bad_year"), ("2024-", "csv", None, "bad_year"),
-    ("-2026", "csv", None, "bad_year"), ("2024", "CSV", None, "bad_format"), ("2024", "xls", None, "bad_format"),
-    (None, "csv", None, "missing_refresh"), ("2024", "csv", 30, "conflicting_refresh"),
+    ("1998", "zip", None, "ok"), ("2010-2012", "json", None, "ok"), (None, "xlsx", 7, "ok"),
+    ("198", "csv", None, "bad_year"), ("2010-12", "csv", None, "bad_year"), ("2010 2012", "csv", None, "bad_year"),
+    ("MMXX", "csv", None, "bad_year"), ("2010-2011-2012", "csv", None, "bad_year"), (" 2010", "csv", 3, "bad_year"),
+    ("2011", "Zip", None, "bad_format"), ("2011", "tsv", 9, "bad_format"), ("2011", None, None, "ok"),
+    (None, "parquet", None, "missing_refresh"), ("2010-2012", "json", 1, "conflicting_refresh"),
 ])
 def test_catalog_verdict(spark, year, fmt, refresh, verdict):
     df = spark.createDataFrame([(year, fmt, refresh)], "y string, f string, r int")
@@ -134,10 +135,10 @@ def test_validate_catalog_duplicates_and_lookup(spark):
 
 
 def test_raw_file_name(spark):
-    df = spark.createDataFrame([("test_source", "2024-2026", "csv"), ("s", None, "json")], "n string, y string, f string")
+    df = spark.createDataFrame([("rivers", "2010-2012", "zip"), ("lakes", None, "xlsx")], "n string, y string, f string")
     now = F.lit("2026-05-01 00:00:00").cast("timestamp_ntz")
     got = [r[0] for r in df.select(C.raw_file_name("n", "y", "f", now)).collect()]
-    assert got == ["test_source_2024_2026.csv", "s_2026.json"]
+    assert got == ["rivers_2010_2012.zip", "lakes_2026.xlsx"]
 
 
 def test_refresh_plan(spark):
@@ -309,6 +310,9 @@ def test_fonds_vert_siren_padding_option(spark):
                                 "montant_engage string")
     eta = spark.createDataFrame([("012345678", "01234567800011", True)],
                                 "siren string, siret string, etablissement_siege boolean")
+    brz = complete(brz.select("*", *[F.lit(None).cast("string").alias(c) for c in (
+        "code_commune", "numero_dossier_ds", "nom_du_projet", "nom_beneficiaire_principal", "resume_du_projet",
+        "numero_ej", "opérateur")]), "fonds_vert")
     plain = S.fonds_vert_subvention(brz, eta, prune_files=False).first()
     padded = S.fonds_vert_subvention(brz, eta, prune_files=False, pad_siren=True).first()
     assert plain["siret_beneficiaire"] is None           # reference behaviour: text compare, no match
@@ -325,6 +329,8 @@ def test_newest_release_per_file_stem(spark):
              ("2023", "9,9", "/raw/dotation-soutien-territoire-2023_2024.csv", "2024")]
     brz = spark.createDataFrame(rows_, "exercice string, subvention string, source_file_path string, "
                                        "release_year string")
+    brz = complete(brz.select("*", *[F.lit(None).cast("string").alias(c) for c in (
+        "dispositif", "beneficiaire_siren", "beneficiaire_nom", "beneficiaire_code_insee", "intitule")]), "dotation")
     assert [r.exercice for r in S.dotation_soutien_territoire(brz, prune_files=False).collect()] == [2024]
     kept = S.dotation_soutien_territoire(brz, per_file_stem=True)
     assert sorted((r.exercice, r.subvention) for r in kept.collect()) == [(2023, 2.5), (2024, 1.5)]
@@ -338,3 +344,49 @@ def test_integrity_report_counts_null_endpoints(spark):
                                 "`:START_ID(A)` string, `:END_ID(B)` string")
     rep = {(r.side, r.id_space): r.dangling for r in G.integrity_report({"r": rel}, n).collect()}
     assert rep == {("start", "A"): 2, ("end", "B"): 2}
+
+
+def test_missing_raw_column_is_an_error(spark):
+    from civgraph.plans import silver as S
+    with pytest.raises(ValueError, match="TYPECOM|typecom"):
+        S.france_communes(spark.createDataFrame([("01", "2026")], "COM string, release_year string"), prune_files=False)
+
+
+def test_surrogate_keys_depend_on_the_rows_only(spark):
+    data = [("a|b", "c"), ("a", "b|c"), (None, "N"), ("N", None), ("", None)] + [("x", "y")] * 9
+    df = spark.createDataFrame(data, "a string, b string")
+    one, seven = (sorted(r.id for r in R.with_surrogate_key(df.repartition(n), "id").collect()) for n in (1, 7))
+    assert one == seven and len(set(one)) == len(data)
+
+
+def test_history_is_bound_by_name_and_strict(spark, tmp_path):
+    turned = list(reversed(C.HISTORY_COLUMNS))
+    rec = dict(zip(C.HISTORY_COLUMNS, ["n", "d", "c", "p", "2011", "u", "v", "zip", "2011-02-03T04:05:06", "2.5"]))
+    (tmp_path / "h").mkdir()
+    for i, cols in enumerate((list(C.HISTORY_COLUMNS), turned)):
+        (tmp_path / "h" / f"{i}.csv").write_text(",".join(cols) + "\n" + ",".join(rec[c] for c in cols) + "\n")
+    got = C.read_history(spark, str(tmp_path / "h")).collect()
+    assert len(got) == 2 and {(r.name, r.provider, r.download_duration) for r in got} == {("n", "p", 2.5)}
+    (tmp_path / "h" / "2.csv").write_text(",".join(C.HISTORY_COLUMNS) + "\nshort,row\n")
+    with pytest.raises(Exception):
+        C.read_history(spark, str(tmp_path / "h")).collect()
+
+
+def test_malformed_preamble_record_fails(spark, tmp_path):
+    from civgraph.sources.contracts import CONTRACTS
+    from civgraph.sources.readers import read_csv_lines
+    c = CONTRACTS["agriculture_subvention"]
+    (tmp_path / "f.csv").write_text("\n".join(["junk"] * c.skip_lines + ["a;b;c", "1;2;3", "1;2"]) + "\n")
+    with pytest.raises(Exception):
+        read_csv_lines(spark, c, str(tmp_path / "f.csv")).collect()
+
+
+def test_hot_key_is_counted_before_the_integrity_join(spark):
+    rel = spark.range(20000).select(F.when(F.col("id") % 10 > 0, "hot").otherwise(F.col("id").cast("string"))
+                                    .alias(":START_ID(A)"), F.lit("x").alias(":END_ID(B)"))
+    n = {"A": spark.createDataFrame([("0",)], "`a:ID(A)` string"), "B": spark.createDataFrame([("x",)], "`b:ID(B)` string")}
+    got = {r.side: r.dangling for r in G.integrity_report({"r": rel}, n).collect()}
+    assert got == {"start": 19999, "end": 0}
+    plan = G.integrity_report({"r": rel}, n)._jdf.queryExecution().optimizedPlan().toString()
+    join = plan.index("Join LeftAnti")
+    assert "Aggregate" in plan[join:]  # the side that joins is aggregated already

@@ -158,7 +158,7 @@ def test_integrity_and_manifest(spark, built):
     assert rep.agg(F.sum("dangling")).first()[0] == 0 and rep.count() == 28
     man = spark.read.json(f"{built['root']}/out/gold/manifest")
     args = {r["argument"].split("=")[0] + "=" + r["label"] for r in man.collect()}
-    assert "--nodes=etablissement" in args and "--relationships=HAS_COMMUNE" in args
+    assert "--nodes=etablissement" in args and "--relationships=has_commune" in args
 
 
 def test_csv_roundtrip_quotes(spark, built):
@@ -188,3 +188,12 @@ def test_multiline_quoted_field_and_label(spark, built):
     node = gold(spark, built, "node", "subvention_publique")
     labels = {r["objet"] for r in node.collect()}
     assert "Aide au spectacle" in labels
+
+
+def test_stacked_edges_equal_the_files(spark, built):
+    from civgraph.plans import gold as GOLD
+    cp, eta, com = (silver(spark, built, n) for n in ("ent_commande_publique", "ent_sirene_etablissement", "france_communes"))
+    for stacked, files in ((GOLD.contract_endpoints(cp, eta), GOLD.contract_relationships(cp, eta)),
+                           (GOLD.located_in_edges(eta, com), GOLD.located_in_relationships(eta, com))):
+        want = sorted((name, *r) for name, df in files.items() for r in df.collect())
+        assert sorted(map(tuple, stacked.collect())) == want
