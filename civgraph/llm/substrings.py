@@ -110,9 +110,10 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     """
     unique = documents.dropDuplicates(["k"])
     minimizers = stored(documents.select("text", "k").mapInArrow(_minimizer_rows, "m long, k long, c long"), "minimizers")
-    again = minimizers.groupBy("m").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.max("c").alias("c")).where(
-        "lo <> hi OR c > 1")
-    marks = stored(minimizers.join(again.select("m"), "m").groupBy("k").agg(F.collect_set("m").alias("ms")), "marks")
+    # written first, so that the join's hot keys are split: a side that is still being grouped by the key forbids it
+    again = stored(minimizers.groupBy("m").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.max("c").alias("c")).where(
+        "lo <> hi OR c > 1").select("m"), "again")
+    marks = stored(minimizers.join(again, "m").groupBy("k").agg(F.collect_set("m").alias("ms")), "marks")
     forget(minimizers)
 
     edges = stored(unique.join(marks, "k").select("text", "doc_id", "k", "ms").mapInArrow(
@@ -136,7 +137,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
             "k", F.col("head.pos").alias("pos"), F.col("head.h").alias("h"), "edges", "check", "doc_id"), "paths")
     forget(walks)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k", "pos")
-    first = paths.groupBy("h", "edges", "check").agg(F.min(place).alias("first"))
+    first = stored(paths.groupBy("h", "edges", "check").agg(F.min(place).alias("first")), "first")
     later = paths.join(first, ["h", "edges", "check"]).where(place != F.col("first"))
     return stored(later.groupBy("k").agg(F.collect_list(F.struct(
         F.col("pos").alias("from"), (F.col("pos") + F.col("edges") + K - 1).alias("to"))).alias("spans")), "spans")
