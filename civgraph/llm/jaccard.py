@@ -1,7 +1,7 @@
 """Similarity join on word n-gram sets (Jaccard) with rare-first prefixes.
 
-1. Every whole text becomes the set of its word n-gram hashes.  Texts with
-   equal sets form a class; from here on a class is one vertex.
+1. Every whole text becomes the set of its word n-gram hashes, written once.
+   Texts with equal sets form a class; from here on a class is one vertex.
 2. Document frequencies are counted over all documents in a fixed number of
    hashed counters; they order the n-grams of a set, rare ones first.
 3. Two sets that reach the threshold share an n-gram among the first
@@ -37,6 +37,14 @@ _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB866
         0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)
 
 
+class _WordHashes(dict):
+    """64-bit hashes of words, each computed when first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
 class ShingleSets:
     """Sorted distinct n-gram hashes of whole texts.
 
@@ -45,16 +53,13 @@ class ShingleSets:
     """
 
     def __init__(self, n: int):
-        self.n, self.known = n, {}
+        self.n, self.known = n, _WordHashes()
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        ids = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        ids = np.fromiter(map(self.known.__getitem__, words), dtype=np.uint64, count=len(words))
         n = min(self.n, len(ids))
         if not n:
             return ids
@@ -62,7 +67,8 @@ class ShingleSets:
         for i in range(n):
             h = (h ^ ids[i:len(ids) - n + 1 + i]) * np.uint64(_MIX[i % len(_MIX)])
             h ^= h >> np.uint64(29)
-        return np.unique(h)
+        h.sort()
+        return h[np.append(True, h[1:] != h[:-1])]
 
 
 def _set_id(shingles: np.ndarray) -> int | None:
@@ -71,33 +77,39 @@ def _set_id(shingles: np.ndarray) -> int | None:
 
 def _sets(documents: DataFrame, n: int, counters: int = COUNTER_BITS) -> DataFrame:
     """One row per document (doc_id, text_hash, size, v, parts: n-grams in each
-    part of the hash space) and, with a slice number, the counters of each task."""
+    part of the hash space, shingles: the set itself, once for equal sets of a
+    task) and, with a slice number, the counters of each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, counts = ShingleSets(n), np.zeros(1 << counters, dtype=np.int32)
-        names = ["doc_id", "text_hash", "size", "v", "parts", "slice", "counts"]
+        shingles, seen, counts = ShingleSets(n), set(), np.zeros(1 << counters, dtype=np.int32)
+        names = ["doc_id", "text_hash", "size", "v", "parts", "shingles", "slice", "counts"]
         for batch in batches:
-            sizes, ids, parts = [], [], []
-            texts = batch.column(1)
-            for at in range(0, len(texts), 512):
-                for text in texts.slice(at, 512).to_pylist():
-                    s = shingles(text)
-                    np.add.at(counts, (s >> np.uint64(64 - counters)).astype(np.int64), 1)
-                    sizes.append(len(s))
-                    ids.append(_set_id(s))
-                    parts.append(np.bincount((s & np.uint64(SUFFIX_PARTS - 1)).astype(np.int64), minlength=SUFFIX_PARTS))
-            none = pa.nulls(len(texts), pa.int32()), pa.nulls(len(texts), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()),
-                                              pa.array(ids, pa.int64()),
-                                              pa.array(parts, pa.list_(pa.int32())), *none], names)
+            for at in range(0, batch.num_rows, 512):
+                some = batch.slice(at, 512)
+                found = [shingles(text) for text in some.column(1).to_pylist()]
+                ids = [_set_id(s) for s in found]
+                raw = []
+                for v, s in zip(ids, found):
+                    raw.append(None if v is None or v in seen else s.tobytes())
+                    seen.add(v)
+                counts += np.bincount((np.concatenate(found) >> np.uint64(64 - counters)).astype(np.int64),
+                                      minlength=len(counts)).astype(np.int32)
+                parts = [np.bincount((s & np.uint64(SUFFIX_PARTS - 1)).astype(np.int64), minlength=SUFFIX_PARTS)
+                         for s in found]
+                none = pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())
+                yield pa.RecordBatch.from_arrays([
+                    some.column(0), some.column(2), pa.array(map(len, found), pa.int64()), pa.array(ids, pa.int64()),
+                    pa.array(parts, pa.list_(pa.int32())), pa.array(raw, pa.binary()), *none], names)
         if counts.any():
             part = np.array_split(counts, SLICES)
-            none = [*[pa.nulls(SLICES, pa.int64())] * 4, pa.nulls(SLICES, pa.list_(pa.int32()))]
+            none = [*[pa.nulls(SLICES, pa.int64())] * 4, pa.nulls(SLICES, pa.list_(pa.int32())),
+                    pa.nulls(SLICES, pa.binary())]
             yield pa.RecordBatch.from_arrays([*none, pa.array(range(SLICES), pa.int32()),
                                               pa.array([p.tobytes() for p in part], pa.binary())], names)
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
-    return rows.mapInArrow(run, "doc_id long, text_hash long, size long, v long, parts array<int>, slice int, counts binary")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, size long, v long, parts array<int>, "
+                                "shingles binary, slice int, counts binary")
 
 
 def _frequencies(sets: DataFrame) -> np.ndarray:
@@ -119,13 +131,12 @@ def _frequencies(sets: DataFrame) -> np.ndarray:
     return np.concatenate([np.frombuffer(r.counts, dtype=np.int64) for r in sorted(found, key=lambda r: r.slice)])
 
 
-def _prefixes(documents: DataFrame, n: int, percent: int, frequency: np.ndarray) -> DataFrame:
+def _prefixes(sets: DataFrame, percent: int, frequency: np.ndarray) -> DataFrame:
     """(token, v, size, pos) of the prefix of every set; equal sets of a task once."""
-    shared = documents.sparkSession.sparkContext.broadcast(frequency)
+    shared = sets.sparkSession.sparkContext.broadcast(frequency)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen, freq = ShingleSets(n), set(), shared.value
-        shift = np.uint64(64 - COUNTER_BITS)
+        freq, shift = shared.value, np.uint64(64 - COUNTER_BITS)
 
         def flush(out):
             cols = [np.concatenate(c) for c in zip(*out)]
@@ -133,56 +144,39 @@ def _prefixes(documents: DataFrame, n: int, percent: int, frequency: np.ndarray)
 
         for batch in batches:
             out, rows = [], 0
-            for at in range(0, batch.num_rows, 512):
-                for text in batch.column(0).slice(at, 512).to_pylist():
-                    s = shingles(text)
-                    v = _set_id(s)
-                    if v is None or v in seen:
-                        continue
-                    seen.add(v)
-                    length = len(s) - (percent * len(s) + 99) // 100 + 1
-                    order = np.lexsort((s, freq[(s >> shift).astype(np.int64)]))[:length]
-                    out.append((s[order].astype(np.int64), np.full(length, v), np.full(length, len(s)),
-                                np.arange(length)))
-                    rows += length
-                    if rows > 100_000:
-                        yield flush(out)
-                        out, rows = [], 0
+            for v, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                s = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
+                length = len(s) - (percent * len(s) + 99) // 100 + 1
+                # sets are sorted, so that a stable sort settles ties by n-gram
+                order = np.argsort(freq[(s >> shift).astype(np.int64)], kind="stable")[:length]
+                out.append((s[order].astype(np.int64), np.full(length, v), np.full(length, len(s)), np.arange(length)))
+                rows += length
+                if rows > 100_000:
+                    yield flush(out)
+                    out, rows = [], 0
             if out:
                 yield flush(out)
 
-    return documents.select("text").mapInArrow(run, "token long, v long, size long, pos long")
+    return sets.where("shingles IS NOT NULL").select("v", "shingles").mapInArrow(
+        run, "token long, v long, size long, pos long")
 
 
-def _whole_sets(documents: DataFrame, n: int, vertices: DataFrame) -> DataFrame:
-    """(v, shingles) of the given vertices, from the texts.
+def _whole_sets(sets: DataFrame, vertices: DataFrame) -> DataFrame:
+    """(v, shingles) of the given vertices.
 
     A bitmap of 2**MARK_BITS hashed vertices, whatever their number, spares
     most other sets the way out of the task; the join that follows is exact."""
     low = (1 << MARK_BITS) - 1
     marked = np.zeros(1 << MARK_BITS, dtype=bool)
     marked[[r[0] for r in vertices.select(F.col("v").bitwiseAND(F.lit(low))).distinct().collect()]] = True
-    shared = documents.sparkSession.sparkContext.broadcast(np.packbits(marked))
+    shared = sets.sparkSession.sparkContext.broadcast(np.packbits(marked))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen, marks = ShingleSets(n), set(), np.unpackbits(shared.value)
-        if not marks.any():
-            return
+        marks = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                out = []
-                for text in batch.column(0).slice(at, 256).to_pylist():
-                    s = shingles(text)
-                    v = _set_id(s)
-                    if v is not None and marks[v & low] and v not in seen:
-                        seen.add(v)
-                        out.append((v, s.tobytes()))
-                if out:
-                    v, raw = zip(*out)
-                    yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()), pa.array(raw, pa.binary())],
-                                                     ["v", "shingles"])
-
-    found = documents.select("text").mapInArrow(run, "v long, shingles binary")
+            yield batch.filter(pa.array(marks[batch.column(0).to_numpy() & low]))
+
+    found = sets.where("shingles IS NOT NULL").select("v", "shingles").mapInArrow(run, "v long, shingles binary")
     return found.join(vertices, "v", "left_semi").dropDuplicates(["v"])
 
 
@@ -190,14 +184,14 @@ def _vertices(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
 
 
-def _verified(documents: DataFrame, n: int, percent: int, rows: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verified(sets: DataFrame, percent: int, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) that reach the threshold: suffix filter (the n-grams
     in each of SUFFIX_PARTS parts of the hash space can differ no more than
     the sets may), then the sets themselves."""
-    facts = rows.select("v", "size", "parts").join(_vertices(pairs), "v", "left_semi").dropDuplicates(["v"])
+    facts = sets.where("shingles IS NOT NULL").select("v", "size", "parts").join(_vertices(pairs), "v", "left_semi").dropDuplicates(["v"])
     with_parts = pairs.join(facts.toDF("a", "size_a", "parts_a"), "a").join(facts.toDF("b", "size_b", "parts_b"), "b")
     left = stored(with_parts.where(_suffix_fits(percent)).select("a", "b"), "close")
-    whole = stored(_whole_sets(documents, n, _vertices(left)), "whole")
+    whole = stored(_whole_sets(sets, _vertices(left)), "whole")
     both = left.join(whole.toDF("b", "set_b"), "b").join(whole.toDF("a", "set_a"), "a")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,8 +233,8 @@ def links(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFr
     """(rows, found): per document doc_id, text_hash, size and class v; and
     links (a, b) between classes that connect all that are connected."""
     sets = stored(_sets(documents, n), "sets")
-    rows = sets.where("slice IS NULL").drop("slice", "counts")
-    prefixes = stored(_prefixes(documents, n, percent, _frequencies(sets)), "prefixes")
+    rows = sets.where("slice IS NULL").select("doc_id", "text_hash", "size", "v")
+    prefixes = stored(_prefixes(sets, percent, _frequencies(sets)), "prefixes")
     shared = prefixes.groupBy("token").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo <> hi")
     groups = stored(prefixes.join(shared.select("token"), "token").dropDuplicates(["token", "v"]), "groups")
 
@@ -251,21 +245,21 @@ def links(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFr
         "token", F.col("p.v").alias("a"), F.col("p.size").alias("size_a"), F.col("p.pos").alias("pos_a"))
     members = groups.toDF("token", "b", "size_b", "pos_b")
     first = stored(_possible(members.join(pivots, "token"), percent), "pairs")
-    found = _verified(documents, n, percent, rows, first)
+    found = _verified(sets, percent, first)
 
     # what is left: pairs of one group in different components
     roots = stored(components(found), "roots")
     rooted = groups.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
     apart = rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     open_groups = rooted.join(apart.select("token"), "token")
-    facts = rows.select("v", "parts").join(open_groups.select("v"), "v", "left_semi").dropDuplicates(["v"])
+    facts = sets.where("shingles IS NOT NULL").select("v", "parts").join(open_groups.select("v"), "v", "left_semi").dropDuplicates(["v"])
     open_groups = stored(open_groups.join(facts, "v"), "open")
     x = open_groups.toDF("a", "token", "size_a", "pos_a", "root_a", "parts_a").alias("x")
     y = open_groups.toDF("b", "token", "size_b", "pos_b", "root_b", "parts_b").alias("y")
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("a") < F.col("b"))
                    & (F.col("root_a") != F.col("root_b")))
     second = stored(_possible(pairs, percent).join(first, ["a", "b"], "left_anti"), "pairs")
-    return rows, found.unionAll(_verified(documents, n, percent, rows, second))
+    return rows, found.unionAll(_verified(sets, percent, second))
 
 
 def near_groups(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
