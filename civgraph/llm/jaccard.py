@@ -6,8 +6,8 @@
    hashed counters; they order the n-grams of a set, rare ones first.
 3. Two sets that reach the threshold share an n-gram among the first
    n - ceil(t * n) + 1 of each (prefix filter).  Vertices meet on these.
-4. In the group of a prefix n-gram every vertex is compared with a few pivots
-   of the group.  Links found that way contract most of a large group; the
+4. In the group of a prefix n-gram every vertex is compared with a pivot of
+   the group, the member with the fewest rarer n-grams.  Links found that way contract most of a large group; the
    pairs left, those between different components, are all compared.  No pair
    in one component needs comparing, and no other pair is left out.
 5. Pairs pass length, positional and suffix filters and are verified once, on
@@ -216,11 +216,13 @@ def _suffix_fits(percent: int) -> F.Column:
 def _possible(pairs: DataFrame, percent: int) -> DataFrame:
     """Length and positional filters on (size_a, pos_a, size_b, pos_b), and
     where the parts are there the suffix filter; then each pair once, smaller
-    vertex first."""
+    vertex first.
+
+    At the first n-gram that two sets share, in the one order of all n-grams,
+    none before it is common: a pair that reaches the threshold passes there,
+    whether or not it passes at its other shared n-grams."""
     shorter, longer = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    rest = F.least(F.col("size_a") - F.col("pos_a"), F.col("size_b") - F.col("pos_b"))
-    # n-grams before the shared one can be common too: at most as many as the shorter prefix has
-    most = rest + F.least("pos_a", "pos_b")
+    most = F.least(F.col("size_a") - F.col("pos_a"), F.col("size_b") - F.col("pos_b"))
     fits = (percent * longer <= 100 * shorter) & (
         (100 + percent) * most >= percent * (F.col("size_a") + F.col("size_b")))
     if "parts_a" in pairs.columns:
@@ -238,10 +240,11 @@ def links(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFr
     shared = prefixes.groupBy("token").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo <> hi")
     groups = stored(prefixes.join(shared.select("token"), "token").dropDuplicates(["token", "v"]), "groups")
 
-    # a few pivots in each group, the same for groups of one residue, so that
-    # groups with the same members ask for the same pairs
+    # one pivot in each group: the member with the fewest rarer n-grams, as it
+    # differs least from its near copies; among equals the same one for groups
+    # of one residue, so that groups with the same members ask for the same pairs
     rank = F.xxhash64("v", F.pmod("token", F.lit(PIVOTS)))
-    pivots = groups.groupBy("token").agg(F.min(F.struct(rank.alias("r"), "v", "size", "pos")).alias("p")).select(
+    pivots = groups.groupBy("token").agg(F.min(F.struct("pos", rank.alias("r"), "v", "size")).alias("p")).select(
         "token", F.col("p.v").alias("a"), F.col("p.size").alias("size_a"), F.col("p.pos").alias("pos_a"))
     members = groups.toDF("token", "b", "size_b", "pos_b")
     first = stored(_possible(members.join(pivots, "token"), percent), "pairs")
