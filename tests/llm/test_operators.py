@@ -161,6 +161,32 @@ def test_ngram_join(docs, none, rows):
     assert sum((r.text or "").lower().startswith(BASE[:40].lower()) for r in kept) == 1
 
 
+def test_ngram_join_of_near_copies_about_the_threshold(spark):
+    """Near copies of one text, most pairs of them just above or below the
+    threshold, and short texts that share one line."""
+    r = random.Random(7)
+    base, line = [f"w{r.randrange(300)}" for _ in range(150)], [f"c{i}" for i in range(9)]
+    data = []
+    for i in range(160):
+        w = list(base)
+        for _ in range(r.randrange(9)):
+            k = r.randrange(len(w))
+            w[k:k + r.randrange(2)] = [f"x{r.randrange(10**6)}"] * r.randrange(2)
+        data.append((i, " ".join(w)))
+    for i in range(160, 260):
+        w = [f"v{r.randrange(60)}" for _ in range(r.randrange(1, 14))]
+        data.append((i, " ".join(w + line)))
+    sets = {i: {tuple(w[j:j + 4]) for j in range(len(w) - 3)} for i, w in ((i, t.split()) for i, t in data)}
+    root = {i: i for i in sets}
+    for a in sets:
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if g == high else g for i, g in root.items()}
+    got = jaccard.join_digest(spark.createDataFrame(data, "doc_id long, text string").repartition(8)).collect()
+    assert {x.doc_id: x.component_id for x in got} == root and 2 < len(set(root.values())) < 258
+
+
 def test_secrets(docs, none):
     got = {r.doc_id: r for r in secrets.secret_digest(docs).collect()}
     assert (got[18].n_assign, got[18].n_hex, got[19].n_access) == (1, 1, 1)
