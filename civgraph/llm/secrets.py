@@ -105,8 +105,7 @@ def random_runs(runs: DataFrame) -> DataFrame:
     The rule ranks steps of p-values, counted per family with partial sums; a
     step is refused if the runs up to it allow its upper end.
     """
-    mixed = F.col("token").rlike("[0-9]") & F.col("token").rlike("[A-Za-z]")
-    tested = stored(_p_values(runs.where(mixed)).withColumn(
+    tested = stored(_p_values(runs).withColumn(
         "length_class", F.floor(F.log2("n"))).withColumn("step", F.floor(4 * F.log10("p"))), "tested")
     steps = tested.groupBy("alphabet", "length_class", "step").count()
     family = Window.partitionBy("alphabet", "length_class")

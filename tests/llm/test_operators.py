@@ -203,6 +203,25 @@ def test_random_runs_are_found(spark):
     assert sum("random" in got[100 + i] for i in range(30)) <= 3
 
 
+def test_random_runs_of_one_kind_of_character_are_tested(spark):
+    """Keys of letters only or of digits only meet the battery like all others."""
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = [(i, "".join(rng.choice(letters) for _ in range(24))) for i in range(30)]
+    numbers = [(100 + i, "".join(rng.choice("0123456789") for _ in range(40))) for i in range(30)]
+    dull = [(200 + i, c * 40) for i, c in enumerate("-_a7")]
+    runs = spark.createDataFrame(keys + numbers + dull, "doc_id long, token string")
+    got = {r.doc_id: r.alphabet for r in secrets.random_runs(runs).collect()}
+    assert sum(got.get(i) == "base62" for i in range(30)) >= 27
+    assert sum(got.get(100 + i) == "digits" for i in range(30)) >= 27
+    assert not any(200 + i in got for i in range(4))
+    texts = spark.createDataFrame([(i, f"see {t} end") for i, t in keys + numbers], "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in secrets.secret_digest(texts).collect()}
+    assert sum(spans[i] == "random:4:28" for i in range(30)) >= 27
+    # 16 digits or more are a base span already
+    assert all(spans[100 + i] == "hex:4:44" for i in range(30))
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(2)
     v = rng.standard_normal((600, 16))
