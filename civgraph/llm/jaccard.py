@@ -12,6 +12,9 @@
    in one component needs comparing, and no other pair is left out.
 5. Pairs pass length, positional and suffix filters and are verified once, on
    the whole sets.
+
+Step 4 is enough for components.  ``all_links`` leaves it out: every pair of a
+prefix group meets, large groups in blocks, so that no link is missing.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ MARK_BITS = 20
 SUFFIX_PARTS = 32
 PIVOTS = 4
 CACHE_WORDS = 400_000
+BLOCK_ROWS = 1024  # members of a prefix group that meet as many others in one key
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
         0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)
 
@@ -231,14 +235,56 @@ def _possible(pairs: DataFrame, percent: int) -> DataFrame:
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
 
-def links(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(rows, found): per document doc_id, text_hash, size and class v; and
-    links (a, b) between classes that connect all that are connected."""
+def _grouped(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sets, rows, groups): the sets of ``_sets``; per document doc_id,
+    text_hash, size and class v; and (token, v, size, pos) of the prefix
+    n-grams that more than one class has."""
     sets = stored(_sets(documents, n), "sets")
     rows = sets.where("slice IS NULL").select("doc_id", "text_hash", "size", "v")
     prefixes = stored(_prefixes(sets, percent, _frequencies(sets)), "prefixes")
     shared = prefixes.groupBy("token").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo <> hi")
     groups = stored(prefixes.join(shared.select("token"), "token").dropDuplicates(["token", "v"]), "groups")
+    return sets, rows, groups
+
+
+def all_links(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, found): per document doc_id, text_hash, size and class v; and
+    every link (a, b), a < b, between classes.
+
+    A group is dealt to blocks of about BLOCK_ROWS members, and each two
+    blocks of it meet under a key of their own."""
+    sets, rows, groups = _grouped(documents, n, percent)
+    facts = sets.where("shingles IS NOT NULL").select("v", "parts").dropDuplicates(["v"])
+    counted = groups.groupBy("token").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("long").alias("blocks"))
+    dealt = stored(groups.join(counted, "token").join(facts, "v").withColumn(
+        "block", F.pmod(F.xxhash64("v"), F.col("blocks"))), "dealt")
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    columns = ["token", "v", "size", "pos", "parts", "block"]
+    x = dealt.select(*columns, each.alias("other")).toDF("t", "a", "size_a", "pos_a", "parts_a", "i", "j")
+    y = dealt.select(*columns, each.alias("other")).toDF("u", "b", "size_b", "pos_b", "parts_b", "l", "k")
+    pairs = x.join(y, (F.col("t") == F.col("u")) & (F.col("i") == F.col("k")) & (F.col("j") == F.col("l"))
+                   & (F.col("a") < F.col("b")))
+    return rows, _verified(sets, percent, stored(_possible(pairs, percent), "pairs"))
+
+
+def link_counts(documents: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """doc_id, text_hash and n_links of every row: the number of other rows
+    whose set is equal or reaches the threshold.  Rows without words have none."""
+    rows, found = all_links(documents, n, percent)
+    of_class = stored(rows.where("v IS NOT NULL").groupBy("v").count(), "classes")
+    ends = found.unionAll(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    linked = ends.join(of_class.toDF("b", "n"), "b").groupBy(F.col("a").alias("v")).agg(F.sum("n").alias("n"))
+    per_class = of_class.join(linked, "v", "left").select(
+        "v", (F.col("count") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
+    return rows.join(per_class, "v", "left").select(
+        "doc_id", "text_hash", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def links(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, found): per document doc_id, text_hash, size and class v; and
+    links (a, b) between classes that connect all that are connected, not all
+    links (those: ``all_links``)."""
+    sets, rows, groups = _grouped(documents, n, percent)
 
     # one pivot in each group: the member with the fewest rarer n-grams, as it
     # differs least from its near copies; among equals the same one for groups

@@ -187,6 +187,33 @@ def test_ngram_join_of_near_copies_about_the_threshold(spark):
     assert {x.doc_id: x.component_id for x in got} == root and 2 < len(set(root.values())) < 258
 
 
+def test_ngram_join_gives_every_link(spark, docs, none, rows, monkeypatch):
+    """All links of near copies against brute force, with one block and with many."""
+    r = random.Random(11)
+    base = [f"w{r.randrange(300)}" for _ in range(150)]
+    data = [(i, t) for i, t, *_ in rows]
+    for i in range(1000, 1120):
+        w = list(base)
+        for _ in range(r.randrange(9)):
+            w[r.randrange(len(w))] = f"x{r.randrange(10**6)}"
+        data.append((i, " ".join(w)))
+    sets = []
+    for _, t in data:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[j:j + 4]) for j in range(max(1, len(w) - 3))} if w else set())
+    want = sorted(((i is None, i or 0), sum(
+        m != k and bool(sets[k]) and 100 * len(sets[k] & s) >= 85 * len(sets[k] | s) for m, s in enumerate(sets)))
+        for k, (i, _) in enumerate(data))
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    for size in (jaccard.BLOCK_ROWS, 7):
+        monkeypatch.setattr(jaccard, "BLOCK_ROWS", size)
+        got = jaccard.link_counts(df).collect()
+        assert sorted(((x.doc_id is None, x.doc_id or 0), x.n_links) for x in got) == want
+    full = jaccard.all_links(df, 4, 85)[1]
+    assert full.count() == full.distinct().count() > jaccard.links(df, 4, 85)[1].count()
+    assert jaccard.link_counts(none).count() == 0
+
+
 def test_secrets(docs, none):
     got = {r.doc_id: r for r in secrets.secret_digest(docs).collect()}
     assert (got[18].n_assign, got[18].n_hex, got[19].n_access) == (1, 1, 1)
