@@ -203,7 +203,13 @@ def nearest(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
 
     home = stored(visit(queries.withColumn("bound", F.lit(-1.0))), "home")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    kth = home.withColumn("r", F.row_number().over(order)).where(F.col("r") == k).select(
+
+    def ranked(found: DataFrame) -> DataFrame:
+        # rows of one id can lie in several cells and blocks
+        best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return best.withColumn("rank", F.row_number().over(order).cast("int"))
+
+    kth = ranked(home).where(F.col("rank") == k).select(
         "query_id", F.col("score").alias("bound"))
     bounded = queries.join(kth, "query_id", "left").withColumn("bound", F.coalesce("bound", F.lit(-1.0)))
 
@@ -222,6 +228,4 @@ def nearest(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
 
     asked = bounded.select("cell", "query_id", "raw", "point", "bound").mapInPandas(
         others, "cell long, query_id long, raw binary, point binary, bound double")
-    found = home.unionAll(visit(asked))
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return ranked(home.unionAll(visit(asked))).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

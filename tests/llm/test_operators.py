@@ -270,6 +270,20 @@ def test_nearest(spark):
     assert neighbours.nearest(df.limit(0), lambda i: i % 50 == 0).count() == 0
 
 
+def test_nearest_gives_an_id_once_across_cells(spark):
+    """Table of several cells; every id has two vectors, which often lie in different ones."""
+    rng = np.random.default_rng(8)
+    v = rng.standard_normal((6000, 4))
+    other = v + 0.05 * rng.standard_normal(v.shape)
+    data = [(i, x.tolist()) for half in (v, other) for i, x in enumerate(half)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, lambda i: i % 20 == 0).collect()
+    mine = {}
+    for r in got:
+        mine.setdefault(r.query_id, []).append(r.vec_id)
+    assert len(mine) == 300 and all(len(m) == len(set(m)) == 5 for m in mine.values())
+
+
 def test_chat_tree(spark):
     text = "</s>[INST] ok [/INST]"
     turns = [(c, t, r, x) for c in range(4) for t, r, x in ((0, "system", "be\\ <|end|>\n"), (1, "user", f"hi {c % 2}"),
