@@ -8,7 +8,8 @@ split further into blocks of bounded size, and every block has a kd-tree of
 its own.  A query takes the leaves of a block in order of projected distance,
 verifies their vectors exactly, and stops when a vector as near as its k-th
 best so far would, with probability STOP, have come earlier.  The same test
-decides which other cells a query must visit after its own.
+decides which other cells a query must visit after its own.  Vectors of
+different lengths have trees and cells of their own.
 """
 
 from __future__ import annotations
@@ -95,13 +96,13 @@ def _gaps(point: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return (off * off).sum(axis=1)
 
 
-def _search(block: pd.DataFrame, queries: pd.DataFrame, dim: int, k: int, stop: float) -> pd.DataFrame:
+def _search(block: pd.DataFrame, queries: pd.DataFrame, k: int, stop: float) -> pd.DataFrame:
     """The k best rows of a block for each query, within its bound."""
     block = block.drop_duplicates(["vec_id", "raw"])
     columns = ["query_id", "vec_id", "score"]
     if not len(block) or not len(queries):
         return pd.DataFrame({c: [] for c in columns})
-    raw = np.frombuffer(b"".join(block.raw), dtype="<f8").reshape(-1, dim)
+    raw = np.frombuffer(b"".join(block.raw), dtype="<f8").reshape(len(block), -1)
     points = np.frombuffer(b"".join(block.point), dtype="<f8").reshape(-1, DIMS)
     ids, norms = block.vec_id.to_numpy(), np.sqrt((raw * raw).sum(axis=1))
     units = raw / norms[:, None]
@@ -140,24 +141,57 @@ def _search(block: pd.DataFrame, queries: pd.DataFrame, dim: int, k: int, stop:
     return pd.concat(out)[columns]
 
 
-def _indexed(vectors: DataFrame, dim: int, matrix: np.ndarray, tree: Tree | None) -> DataFrame:
-    """vec_id, raw (the vector, doubles), point (its projection) and cell."""
+@dataclass
+class Part:
+    """The vectors of one length: their projection, tree and first cell."""
+
+    number: int
+    matrix: np.ndarray
+    tree: Tree
+    first: int = 0
+
+
+def _indexed(vectors: DataFrame, parts: dict[int, Part]) -> DataFrame:
+    """vec_id, raw (the vector, doubles), point (its projection), part and cell."""
 
     def run(batches):
         for batch in batches:
             lists = batch.column(1).cast(pa.list_(pa.float64()))
-            raw = lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-            # scaled first, so that squares neither overflow nor vanish
-            unit = raw / np.abs(raw).max(axis=1, keepdims=True)
-            unit = unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
-            points = unit @ matrix
-            cells = tree.cells(points) if tree else np.zeros(len(points), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([r.tobytes() for r in raw], pa.binary()),
-                pa.array([p.tobytes() for p in points], pa.binary()), pa.array(cells, pa.int64())],
-                ["vec_id", "raw", "point", "cell"])
-
-    return vectors.mapInArrow(run, "vec_id long, raw binary, point binary, cell long")
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+            for dim in np.unique(sizes).tolist():
+                rows, part = pa.array(np.flatnonzero(sizes == dim)), parts[dim]
+                raw = lists.take(rows).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+                # scaled first, so that squares neither overflow nor vanish
+                unit = raw / np.abs(raw).max(axis=1, keepdims=True)
+                unit = unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+                points = unit @ part.matrix
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).take(rows), pa.array([r.tobytes() for r in raw], pa.binary()),
+                    pa.array([p.tobytes() for p in points], pa.binary()),
+                    pa.array(np.full(len(raw), part.number), pa.int32()),
+                    pa.array(part.first + part.tree.cells(points), pa.int64())],
+                    ["vec_id", "raw", "point", "part", "cell"])
+
+    return vectors.mapInArrow(run, "vec_id long, raw binary, point binary, part int, cell long")
+
+
+def _parts(vectors: DataFrame) -> dict[int, Part]:
+    """The lengths of the vectors (column e), most frequent first.  A length
+    of fewer rows than two cells hold needs no tree and is one cell."""
+    counted = vectors.groupBy(F.size("e").alias("n")).count().orderBy(F.desc("count"), "n").collect()
+    one, _ = kd_tree(np.zeros((0, DIMS)), 1)
+    parts, first = {}, 0
+    for number, (dim, rows) in enumerate(counted):
+        part = Part(number, np.random.default_rng(11).standard_normal((dim, DIMS)), one)
+        if (cells := min(MAX_CELLS, rows // CELL_ROWS)) > 1:
+            some = vectors.where(F.size("e") == dim).orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE)
+            points = [bytes(r.point) for r in _indexed(some, {dim: part}).select("point").collect()]
+            seen = np.frombuffer(b"".join(points), "<f8").reshape(-1, DIMS)
+            part.tree, _ = kd_tree(seen, max(1, len(seen) // cells))
+        part.first = first
+        first += len(part.tree.low)
+        parts[dim] = part
+    return parts
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
@@ -165,41 +199,35 @@ def nearest(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
     nearest other rows of every row for which ``is_query`` holds.
 
     ``vectors`` has vec_id and embedding.  Vectors that are null, zero, hold a
-    null or a non-finite number, have another length than most, or have no id
-    take no part.  Rows of one id are not neighbours of each other and appear
+    null or a non-finite number, or have no id take no part.  A row is answered
+    among the vectors of its own length; an id with vectors of several lengths
+    asks with one of the most frequent.  Rows of one id are not neighbours of each other and appear
     once; ties go to the smaller id.
     """
     doubles = F.col("embedding").cast("array<double>")
-    parts = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), doubles.alias("e")).where(
+    usable = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), doubles.alias("e")).where(
         F.col("vec_id").isNotNull() & F.col("e").isNotNull()
         & ~F.exists("e", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("e", lambda x: x != 0))
     spark = vectors.sparkSession
     result = "query_id long, rank int, vec_id long, score double"
-    lengths = parts.groupBy(F.size("e").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    if not lengths:
+    parts = _parts(usable)
+    if not parts:
         return spark.createDataFrame([], result)
-    dim, rows = lengths[0]
-    parts = parts.where(F.size("e") == dim)
-    matrix = np.random.default_rng(11).standard_normal((dim, DIMS))
-    sample = _indexed(parts.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE), dim, matrix, None)
-    seen = np.frombuffer(b"".join(bytes(r.point) for r in sample.select("point").collect()), "<f8").reshape(-1, DIMS)
-    cells = min(MAX_CELLS, max(1, rows // CELL_ROWS))
-    tree, _ = kd_tree(seen, max(1, len(seen) // cells))
-
-    index = stored(_indexed(parts, dim, matrix, tree), "index")
+    index = stored(_indexed(usable, parts), "index")
     # a cell is as many blocks as its rows need; equal vectors spread by id
     sizes = stored(index.groupBy("cell").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("blocks")), "cells")
     blocks = index.join(F.broadcast(sizes), "cell").withColumn(
         "block", F.pmod(F.xxhash64("vec_id"), F.col("blocks").cast("long"))).select("cell", "block", "vec_id", "raw", "point")
     queries = index.where(is_query(F.col("vec_id"))).groupBy("vec_id").agg(
-        F.min(F.struct("raw", "point", "cell")).alias("q")).select(F.col("vec_id").alias("query_id"), "q.*")
+        F.min(F.struct("part", "raw", "point", "cell")).alias("q")).select(
+            F.col("vec_id").alias("query_id"), "q.raw", "q.point", "q.cell")
 
     def visit(asked: DataFrame) -> DataFrame:
         sent = asked.join(F.broadcast(sizes), "cell").withColumn(
             "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1))).select(
                 "cell", "block", "query_id", "raw", "point", "bound")
         return blocks.groupBy("cell", "block").cogroup(sent.groupBy("cell", "block")).applyInPandas(
-            lambda b, q: _search(b, q, dim, k, STOP), "query_id long, vec_id long, score double")
+            lambda b, q: _search(b, q, k, STOP), "query_id long, vec_id long, score double")
 
     home = stored(visit(queries.withColumn("bound", F.lit(-1.0))), "home")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -217,11 +245,11 @@ def nearest(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
         for q in batches:
             points = q.point.map(lambda p: np.frombuffer(p, "<f8"))
             for row, point in zip(q.itertuples(), points):
-                near = max(0.0, 2 - 2 * row.bound)
-                gaps = _gaps(point, tree.low, tree.high)
+                near, part = max(0.0, 2 - 2 * row.bound), parts[len(row.raw) // 8]
+                gaps = _gaps(point, part.tree.low, part.tree.high)
                 go = (gaps == 0) if near == 0 else (chi_square(gaps / near) < STOP)
-                go[row.cell] = False
-                to = np.flatnonzero(go)
+                go[row.cell - part.first] = False
+                to = part.first + np.flatnonzero(go)
                 if len(to):
                     yield pd.DataFrame({"cell": to, "query_id": row.query_id, "raw": row.raw, "point": row.point,
                                         "bound": row.bound})

@@ -284,6 +284,29 @@ def test_nearest_gives_an_id_once_across_cells(spark):
     assert len(mine) == 300 and all(len(m) == len(set(m)) == 5 for m in mine.values())
 
 
+def test_nearest_answers_vectors_of_each_length(spark):
+    """Two lengths, the longer one rarer; one table large enough for several cells of the shorter."""
+    rng = np.random.default_rng(9)
+    short, long = rng.standard_normal((9000, 6)), rng.standard_normal((300, 11))
+    data = [(i, x.tolist()) for i, x in enumerate(short)] + [(10_000 + i, x.tolist()) for i, x in enumerate(long)]
+    rng.shuffle(data := np.array(data, dtype=object))
+    df = spark.createDataFrame([(int(i), x) for i, x in data], "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in neighbours.nearest(df, lambda i: i % 50 == 0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert set(got) == {*range(0, 9000, 50), *range(10_000, 10_300, 50)}
+    hit = 0
+    for q, found in got.items():
+        first, v = (0, short) if q < 10_000 else (10_000, long)
+        unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+        score = unit @ unit[q - first]
+        score[q - first] = -9
+        best = {first + int(i) for i in np.lexsort((np.arange(len(v)), -score))[:5]}
+        assert len(found) == 5 and all((i >= 10_000) == (q >= 10_000) for _, i in found)
+        hit += len(best & {i for _, i in found})
+    assert hit >= 0.9 * 5 * len(got)
+
+
 def test_chat_tree(spark):
     text = "</s>[INST] ok [/INST]"
     turns = [(c, t, r, x) for c in range(4) for t, r, x in ((0, "system", "be\\ <|end|>\n"), (1, "user", f"hi {c % 2}"),
