@@ -41,28 +41,33 @@ def order_key(text: Column, row_id: Column) -> Column:
 
 def byte_cuts(rows: DataFrame, targets: list[int], tolerance: int) -> list[_Cut]:
     """Keys at which the exact bytes below come within ``tolerance`` of each
-    target.  ``rows`` has ``__key`` and ``__size``.  The driver sees only
-    boundary counts: at most 2,048 per open range and round."""
-    cuts = [_Cut(t) for t in targets]
+    target.  ``rows`` has ``__key`` and ``__size``.  Bytes are summed up within
+    the open ranges by Spark; the driver sees one boundary per open cut."""
+    spark, cuts = rows.sparkSession, [_Cut(t) for t in targets]
+    upto = Window.partitionBy("range").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
+    # downwards, so that a target comes after the first boundary that reaches it
+    down = Window.partitionBy("range").orderBy(F.desc("value"), F.col("cut").isNotNull()).rowsBetween(
+        Window.unboundedPreceding, 0)
     while open_cuts := [c for c in cuts if c.key is None]:
         step = min(ROUND_BITS, max(c.bits for c in open_cuts))
         bits = max(c.bits for c in open_cuts) - step
-        ranges = sorted({c.low for c in open_cuts})
-        probe = F.shiftright("__key", bits)
-        wanted = rows if bits + step == KEY_BITS else rows.where(
-            F.shiftright("__key", bits + step).isin([r >> (bits + step) for r in ranges]))
-        counted = wanted.groupBy(probe.alias("p")).agg(F.sum("__size").alias("b")).collect()
-        found: dict[int, list[tuple[int, int]]] = {}
-        for p, b in sorted((r.p, r.b) for r in counted):
-            found.setdefault(p >> step, []).append((p, b))
-        for c in open_cuts:
-            below = c.below
-            for p, b in found.get(c.low >> (bits + step), []):
-                if below + b >= c.target:
-                    break
-                below += b
+        wanted = rows
+        if bits + step < KEY_BITS:
+            ranges = spark.createDataFrame([(r,) for r in {c.low >> (bits + step) for c in open_cuts}], "r long")
+            wanted = rows.join(F.broadcast(ranges), F.shiftright("__key", bits + step) == F.col("r"), "left_semi")
+        bins = wanted.groupBy(F.shiftright("__key", bits).alias("p")).agg(F.sum("__size").alias("b")).withColumn(
+            "range", F.shiftright("p", step)).withColumn("value", F.sum("b").over(upto))
+        asked = spark.createDataFrame([(c.low >> (bits + step), c.target - c.below, i) for i, c in enumerate(open_cuts)],
+                                      "range long, value long, cut int")
+        line = bins.select("range", "value", F.struct("p", "b", "value").alias("bin")).unionByName(
+            asked, allowMissingColumns=True)
+        found = {r.cut: r.bin for r in line.withColumn("bin", F.last("bin", ignorenulls=True).over(down)).where(
+            "cut IS NOT NULL").select("cut", "bin").collect()}
+        for i, c in enumerate(open_cuts):
+            if found[i]:
+                p, b, below = found[i].p, found[i].b, c.below + found[i].value - found[i].b
             else:
-                p, b = ((c.low >> (bits + step)) + 1 << step) - 1, 0
+                p, b, below = ((c.low >> (bits + step)) + 1 << step) - 1, 0, c.below
             c.low, c.bits, c.below = p << bits, bits, below
             left, right = c.target - below, below + b - c.target
             if min(abs(left), abs(right)) <= tolerance or bits == 0:
@@ -73,14 +78,13 @@ def byte_cuts(rows: DataFrame, targets: list[int], tolerance: int) -> list[_Cut]
 
 
 def with_shards(df: DataFrame, shards: int, text: str = "text", row_id: str = "doc_id",
-                tolerance: float = 0.001, piece_bytes: int = 4 << 20,
-                max_pieces: int = 256) -> DataFrame:
+                tolerance: float = 0.001, piece_bytes: int = 4 << 20) -> DataFrame:
     """All rows and columns of ``df`` plus ``shard`` (0 to shards - 1, near
     equal bytes) and ``slot`` (gapless from 0 in each shard, in key order).
 
     A row weighs the UTF-8 bytes of its text (null: none) plus 8.  A shard is
-    sorted in pieces of about ``piece_bytes`` (at most ``max_pieces``; with
-    more data the pieces grow), so that no task sorts a whole shard.  Null
+    sorted in pieces of about ``piece_bytes``, as many as the data needs, so
+    that no task sorts a whole shard.  Null
     ids and texts are ordinary values.  Rows equal in id and text share a key
     and stay in one piece.  An empty input gives no rows.  Input columns named
     ``shard`` or ``slot`` are replaced.
@@ -90,20 +94,21 @@ def with_shards(df: DataFrame, shards: int, text: str = "text", row_id: str = "d
     key = order_key(F.col(text), F.col(row_id))
     narrow = stored(kept.select(key.alias("__key"), size.alias("__size")), "keys")
     total = narrow.agg(F.sum("__size")).first()[0] or 0
-    per_shard = max(1, min(max_pieces, round(total / shards / piece_bytes)))
+    per_shard = max(1, round(total / shards / piece_bytes))
     n = shards * per_shard
     cuts = byte_cuts(narrow, [total * i // n for i in range(1, n)],
                      int(tolerance * total / shards / per_shard))
     bounds = sorted(c.key for c in cuts)
 
     # piece of a row = number of cuts at or below its key, looked up through
-    # the 2,048 high-bit buckets (a table of fixed size)
-    shift = KEY_BITS - ROUND_BITS
+    # the high-bit buckets (2,048, or about as many as there are pieces)
+    bucket_bits = max(ROUND_BITS, n.bit_length())
+    shift = KEY_BITS - bucket_bits
     inside: dict[int, list[int]] = {}
     for b in bounds:
-        inside.setdefault(min(b >> shift, (1 << ROUND_BITS) - 1), []).append(b)
+        inside.setdefault(min(b >> shift, (1 << bucket_bits) - 1), []).append(b)
     lookup, base = [], 0
-    for bucket in range(1 << ROUND_BITS):
+    for bucket in range(1 << bucket_bits):
         lookup.append((bucket, base, inside.get(bucket, [])))
         base += len(inside.get(bucket, []))
     spark = df.sparkSession

@@ -80,6 +80,39 @@ def test_sharding_is_gapless_and_near_equal(spark, docs, none, rows):
     assert len(sizes) == 24 and max(sizes) - min(sizes) < 0.02 * sum(sizes) / 24 + 200
 
 
+def test_byte_cuts_are_exact_and_send_one_boundary_a_cut(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ROUND_BITS", 5)
+    text = F.when(F.col("id") % 4 == 0, "same").otherwise(F.repeat(F.col("id").cast("string"), (F.col("id") % 9).cast("int")))
+    rows = spark.range(6000).select(sharding.order_key(text, F.col("id")).alias("__key"), F.length(text).cast("long").alias("__size"))
+    rows = rows.withColumn("__size", F.col("__size") + 8).cache()
+    data = sorted(map(tuple, rows.collect()))
+    total, sent = sum(b for _, b in data), []
+    collect = type(rows).collect
+
+    def counted(df):
+        out = collect(df)
+        sent.append(len(out))
+        return out
+
+    monkeypatch.setattr(type(rows), "collect", counted)
+    targets = [total * i // 60 for i in range(1, 60)]
+    cuts = sharding.byte_cuts(rows, targets, 20)
+    assert max(sent) <= len(targets)
+    for t, c in zip(targets, cuts):
+        assert c.bytes == sum(b for k, b in data if k < c.key) and abs(c.bytes - t) <= 60
+
+
+def test_sharding_pieces_grow_with_the_data(spark, monkeypatch):
+    asked, cuts = [], sharding.byte_cuts
+    monkeypatch.setattr(sharding, "byte_cuts", lambda rows, targets, t: asked.append(len(targets)) or cuts(rows, targets, t))
+    many = spark.range(6000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    got = sharding.with_shards(many, 2, piece_bytes=100).collect()
+    total = sum(len(r.text) + 8 for r in got)
+    assert asked == [2 * round(total / 200) - 1] and asked[0] > 2 * 256
+    for s in range(2):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+
+
 def test_simple8b_round_trip():
     rng = np.random.default_rng(5)
     for ids in ([], [0], [2**60, 2**64 - 1, 1], rng.integers(0, 50_000, 5000), np.zeros(500), rng.integers(0, 2, 400)):
