@@ -40,7 +40,7 @@ _DIGITS, _MARKS = re.compile("[0-9]+"), re.compile(r"([^\w])\1+")
 def _term_ids(word: str) -> tuple[int, int]:
     shape = _MARKS.sub(r"\1\1", _DIGITS.sub("9", _LOWER.sub("a", _UPPER.sub("A", word))))
     return (zlib.crc32(word.lower().encode()) % WORD_BUCKETS,
-            WORD_BUCKETS + zlib.crc32(shape[:40].encode()) % SHAPE_BUCKETS)
+            WORD_BUCKETS + zlib.crc32(shape.encode()) % SHAPE_BUCKETS)
 
 
 class TermCounter:

@@ -364,6 +364,12 @@ def test_chat_tree(spark):
         assert {i for a in r.attend for i in range(a["from"], a["to"])} == want and r.position == len(want)
 
 
+def test_quality_shape_is_that_of_the_whole_word():
+    words = ["aB" * 25 + end for end in ("", "9", "-", "9-9")]
+    assert len({quality._term_ids(w)[1] for w in words}) == len(words)
+    assert quality._term_ids("Word12")[1] == quality._term_ids("Xy7")[1]
+
+
 def test_quality_votes(spark, docs, none):
     good = [(i, _prose(60)) for i in range(300)]
     bad = [(1000 + i, " ".join(w + "$$$" for w in _prose(40).split())) for i in range(300)]
