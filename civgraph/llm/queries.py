@@ -19,7 +19,8 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.chat_digest(chat.with_probe(table(spark, sf_dir, "conversations")), f"{shared_folder(spark)}/chat")
+    return chat.chat_digest(chat.with_probe(table(spark, sf_dir, "conversations")), f"{shared_folder(spark)}/chat",
+                            word_tokenizer())
 
 
 def op3_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:

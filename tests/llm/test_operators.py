@@ -364,6 +364,33 @@ def test_chat_tree(spark):
         assert {i for a in r.attend for i in range(a["from"], a["to"])} == want and r.position == len(want)
 
 
+def test_chat_tree_in_tokens(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(word_tokenizer())
+    turns = [(c, t, r, x) for c in range(6) for t, r, x in (
+        (0, "system", "be brief <|end|>"), (1, "user", f"hello there {c % 2}"), (2, "assistant", f"well then {c % 3}"),
+        (3, "user", "" if c else "|>\n"))]
+    path = f"{shared_folder(spark)}/chat"
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    chat.chat_digest(df, path, word_tokenizer()).collect()
+    nodes = {r.node: r for r in spark.read.parquet(f"{path}/nodes").collect()}
+    at = 0
+    for r in sorted(nodes.values(), key=lambda r: r.offset):
+        head = r.segment.index("|>\n", 2) + 3
+        parts = [plain.encode(x, add_special_tokens=False).ids for x in (r.segment[:head], r.segment[head:-len(chat.END)], chat.END)]
+        assert r.token_offset == at and r.token_ids == sum(parts, [])
+        at += len(r.token_ids)
+        if r.loss_from is not None:
+            assert r.token_ids[r.token_loss_from:r.token_loss_to] == parts[1]
+        up, want = nodes.get(r.parent), set()
+        while up is not None:
+            want |= set(range(up.token_offset, up.token_offset + len(up.token_ids)))
+            up = nodes.get(up.parent)
+        got = [i for a in r.token_attend for i in range(a["from"], a["to"])]
+        assert set(got) == want and len(got) == len(want) == r.token_position
+
+
 def test_quality_shape_is_that_of_the_whole_word():
     words = ["aB" * 25 + end for end in ("", "9", "-", "9-9")]
     assert len({quality._term_ids(w)[1] for w in words}) == len(words)
