@@ -43,10 +43,11 @@ WRITING = {
 
 
 @contextmanager
-def writing(spark: SparkSession):
-    """Session settings for the time of a write."""
-    before = {k: spark.conf.get(k, None) for k in WRITING}
-    for k, v in WRITING.items():
+def writing(spark: SparkSession, more: dict[str, str] | None = None):
+    """Session settings, ``more`` among them, for the time of a write."""
+    settings = WRITING | (more or {})
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
         spark.conf.set(k, v)
     try:
         yield
@@ -55,12 +56,13 @@ def writing(spark: SparkSession):
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
-def stored(df: DataFrame, name: str = "table") -> DataFrame:
+def stored(df: DataFrame, name: str = "table", settings: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage
-    and is computed once, however often it is used."""
+    and is computed once, however often it is used.  ``settings`` hold for the
+    time of the write."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}"
-    with writing(spark):
+    with writing(spark, settings):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

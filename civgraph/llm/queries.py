@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civgraph.llm import chat, decontaminate, jaccard, mixing, neighbours, quality, secrets, sharding, simple8b, substrings
+from civgraph.llm import (
+    chat, decontaminate, jaccard, merkle, mixing, neighbours, quality, secrets, sharding, simple8b, substrings)
 from civgraph.llm.common import shared_folder, table
 
 
@@ -55,9 +56,13 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_output, op2_chat_tree, op3_quality_votes, op4_decontaminate, op5_repeated_spans, op6_ngram_join, op7_secret_scan,
-    op8_stable_projections, op9_mix_sources, op10_histogram_shards)}
+    op8_stable_projections, op9_mix_sources, op10_histogram_shards, op13_merkle_manifest)}
 
 ORACLE = {
     "op4_decontaminate": r"""
@@ -101,4 +106,55 @@ SELECT d.doc_id, d.size, b.source_size, b.target,
        d.size * (b.epochs + CASE WHEN k.upto - k.size / 2 <= b.target - b.epochs * b.source_size THEN 1 ELSE 0 END) AS taken
 FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
 JOIN k ON k.source IS NOT DISTINCT FROM d.source AND k.key = d.key""",
+    "op13_merkle_manifest": r"""
+WITH RECURSIVE crc AS (
+  SELECT rid, xor(4294967295, list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+           lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) AS crc
+  FROM (SELECT row_number() OVER () AS rid, doc_id FROM documents) WHERE doc_id IS NOT NULL),
+f AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, text,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head
+  FROM documents),
+leaves AS (
+  SELECT f.rid, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN crc % 5 = 0 THEN sha256(head || coalesce(strlen(text) || ':' ||
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS now
+  FROM f LEFT JOIN crc USING (rid)),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS n FROM leaves),
+low(tree, level, pos, n, hash) AS (
+  SELECT tree, 0, pos, n, leaf FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(hash, '' ORDER BY pos)) FROM low WHERE n > 1 GROUP BY tree, level, pos // 16, n),
+subroots AS (SELECT tree, hash, tree - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1),
+high(level, pos, n, hash) AS (
+  SELECT 0, pos, n, hash FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(hash, '' ORDER BY pos)) FROM high WHERE n > 1 GROUP BY level, pos // 16, n),
+nodes AS (
+  SELECT tree, level, pos, n, hash FROM low WHERE n > 1
+  UNION ALL SELECT 0, level, pos, n, hash FROM high WHERE n > 1),
+steps AS (
+  SELECT rid, 0 AS tier, level, tree, p.pos // CAST(pow(16, level) AS BIGINT) AS own
+  FROM placed p JOIN (SELECT DISTINCT tree, level FROM nodes) l USING (tree)
+  UNION ALL
+  SELECT rid, 1, level, 0, (p.tree - 1) // CAST(pow(16, level) AS BIGINT) FROM placed p, (SELECT DISTINCT level FROM nodes WHERE tree = 0)),
+runs AS (
+  SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY tier, s.level) AS step,
+         coalesce(string_agg(hash, '' ORDER BY pos) FILTER (WHERE pos < own), '') AS before,
+         coalesce(string_agg(hash, '' ORDER BY pos) FILTER (WHERE pos > own), '') AS after
+  FROM steps s JOIN nodes k ON k.tree = s.tree AND k.level = s.level AND k.pos // 16 = own // 16 GROUP BY rid, tier, s.level),
+fold(rid, step, hash) AS (
+  SELECT rid, 0, coalesce(now, leaf) FROM placed
+  UNION ALL
+  SELECT fold.rid, runs.step, sha256(before || hash || after) FROM fold JOIN runs ON runs.rid = fold.rid AND runs.step = fold.step + 1),
+proofs AS (SELECT rid, string_agg(before || after, '' ORDER BY step) AS proof FROM runs GROUP BY rid),
+root AS (SELECT hash AS root FROM high WHERE n = 1)
+SELECT doc_id, leaf, s.hash AS subroot, root, sha256(coalesce(proof, '')) AS proof_sha256,
+       folded.hash AS folded_root, folded.hash = root AS verified
+FROM placed p JOIN subroots s USING (tree) LEFT JOIN proofs USING (rid) CROSS JOIN root
+JOIN (SELECT rid, arg_max(hash, step) AS hash FROM fold GROUP BY rid) folded USING (rid)""",
 }
