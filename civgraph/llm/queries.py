@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from civgraph.llm import (
-    chat, decontaminate, jaccard, merkle, mixing, neighbours, quality, secrets, sharding, simple8b, substrings)
+    chat, decontaminate, jaccard, merkle, mixing, neighbours, quality, runs, secrets, sharding, simple8b, substrings)
 from civgraph.llm.common import shared_folder, table
 
 
@@ -56,13 +56,18 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_grammar_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digest(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_token_output, op2_chat_tree, op3_quality_votes, op4_decontaminate, op5_repeated_spans, op6_ngram_join, op7_secret_scan,
-    op8_stable_projections, op9_mix_sources, op10_histogram_shards, op13_merkle_manifest)}
+    op8_stable_projections, op9_mix_sources, op10_histogram_shards, op12_grammar_runs,
+    op13_merkle_manifest)}
 
 ORACLE = {
     "op4_decontaminate": r"""
