@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from civgraph.llm import (
-    chat, decontaminate, jaccard, merkle, mixing, neighbours, quality, runs, secrets, sharding, simple8b, substrings)
+    chat, decontaminate, jaccard, merkle, mixing, neighbours, quality, runs, secrets, sharding, simple8b, substrings,
+    topk)
 from civgraph.llm.common import shared_folder, table
 
 
@@ -56,6 +57,10 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top(table(spark, sf_dir, "embeddings"), 50)
+
+
 def op12_grammar_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digest(table(spark, sf_dir, "documents"))
 
@@ -66,7 +71,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_output, op2_chat_tree, op3_quality_votes, op4_decontaminate, op5_repeated_spans, op6_ngram_join, op7_secret_scan,
-    op8_stable_projections, op9_mix_sources, op10_histogram_shards, op12_grammar_runs,
+    op8_stable_projections, op9_mix_sources, op10_histogram_shards, op11_impact_topk, op12_grammar_runs,
     op13_merkle_manifest)}
 
 ORACLE = {
@@ -111,6 +116,15 @@ SELECT d.doc_id, d.size, b.source_size, b.target,
        d.size * (b.epochs + CASE WHEN k.upto - k.size / 2 <= b.target - b.epochs * b.source_size THEN 1 ELSE 0 END) AS taken
 FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
 JOIN k ON k.source IS NOT DISTINCT FROM d.source AND k.key = d.key""",
+    "op11_impact_topk": r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.w) = len(c.w))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5""",
     "op13_merkle_manifest": r"""
 WITH RECURSIVE crc AS (
   SELECT rid, xor(4294967295, list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
