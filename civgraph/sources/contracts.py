@@ -24,7 +24,7 @@ class Contract:
     skip_lines: int = 0          # preamble lines before the header
     drifting_header: bool = False  # yearly files may reorder / rename columns
     prep: dict = field(default_factory=dict)  # file-name glob -> named preparation step (P03)
-    multiline: bool = True       # quoted fields may hold newlines (file read by one task)
+    multiline: bool = True       # quoted fields may hold newlines (records are cut by ``csv_records``)
     options: dict = field(default_factory=dict)
 
 

@@ -30,9 +30,10 @@ def repair_line(line: str | Column) -> Column:
 def repair_lines(lines: DataFrame, value: str = "value", line_no: str = "line_no") -> DataFrame:
     """Drop line 1 when it is separator-only; repair quotes on every line.
 
-    ``lines`` carries a per-file line number (see ``readers.numbered_lines``).
+    ``lines`` carries a per-file line number (see ``readers.numbered_lines``),
+    which is null beyond the first block of a file.
     """
-    first_is_junk = (F.col(line_no) == 1) & is_separator_only(value)
+    first_is_junk = F.col(line_no).eqNullSafe(1) & is_separator_only(value)
     return lines.filter(~first_is_junk).withColumn(value, repair_line(value))
 
 

@@ -1,33 +1,34 @@
 """Readers for the raw contracts.
 
 * R01 glob over releases, R02 ``source_file_path`` from the scan metadata.
-* R03 drifting headers: one read per file, then union BY NAME (a single Spark
-  read of several CSVs binds later files by position and would swap columns).
-  Files sharing one header are read in one scan with ``enforceSchema=False``,
-  so a header that does not match fails instead of binding by position.
+* R03 drifting headers: the files of a source are read in one scan, grouped by
+  their headers, and every record is parsed with the columns of its file's
+  header, then bound BY NAME (one Spark read of several CSVs binds later files by
+  position and would swap columns).  Where a contract has one header, a file
+  that does not match fails instead of binding by position.
 * R04/R07 delimiter, header, every value as text (no inference: leading zeros
-  in codes survive).  R05 encodings.  R08 quoted multi-line fields.
-* R06 preamble lines and the P02 line repair: the file is read as text lines,
-  each line gets its number within its file block (a per-partition counter in
-  ``mapInArrow``; block 0 is the start of the file), junk lines are dropped and
-  the remaining lines are parsed with ``from_csv``.
+  in codes survive).  R05 encodings.  R08 quoted multi-line fields, see
+  ``csv_records``: a large file is read by many tasks.
+* R06 preamble lines and the P02 line repair: every line gets its number within
+  the file (a per-block counter in ``mapInArrow``; block 0 is the start of the
+  file), lines are dropped or repaired by it, and records are cut after that, so
+  quoted line breaks may follow a preamble.
 """
 
 from __future__ import annotations
 
-import csv
 import fnmatch
-import io
 import os
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from civgraph.operators.relational import union_by_name
+from civgraph.sources.blocks import pieces
 from civgraph.sources.contracts import CONTRACTS, SEEDS, Contract
+from civgraph.sources.csv_records import read_records, text_of
 from civgraph.sources.prep import prepare
 
 PATH_COL = "source_file_path"
@@ -70,115 +71,62 @@ def prep_step(c: Contract, path: str) -> str | None:
 
 
 def read_csv(spark: SparkSession, c: Contract, files: list[str]) -> DataFrame:
-    if c.skip_lines or c.prep or c.drifting_header:
-        frames = []
-        for f in files:
-            step = prep_step(c, f)
-            if c.skip_lines or step:
-                frames.append(read_csv_lines(spark, c, f, step))
-            else:
-                frames.append(_with_path(_csv_reader(spark, c).csv(f)))
-        return union_by_name(frames)
-    return _with_path(_csv_reader(spark, c).option("enforceSchema", False).csv(files))
+    if not c.multiline:
+        return _with_path(_csv_reader(spark, c).option("enforceSchema", False).csv(files))
+    by_step: dict[str | None, list[str]] = {}
+    for f in files:
+        by_step.setdefault(prep_step(c, f), []).append(f)
+    return union_by_name([read_csv_lines(spark, c, group, step) for step, group in by_step.items()])
 
 
-# --- R06 / P02: line route ------------------------------------------------------------
-_LINES_SCHEMA = T.StructType([
-    T.StructField("value", T.StringType()), T.StructField("file_path", T.StringType()),
-    T.StructField("block_start", T.LongType()), T.StructField("line_no", T.LongType())])
+# --- R06 / P02: lines by position -------------------------------------------------------
+def numbered_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """Text lines of a file with their numbers, see ``with_line_numbers``."""
+    return with_line_numbers(pieces(spark, [path], "\n").withColumn("value", text_of(F.col("value"), encoding)))
 
 
-def numbered_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Text lines of one file with ``line_no`` within their file block (``block_start``).
+def with_line_numbers(lines: DataFrame) -> DataFrame:
+    """``lines`` (value, file_path, block_start) with ``line_no``, the number
+    of a line in its file; null in the blocks that do not begin a file.
 
-    The counter is defined in here, so that Spark ships it by value and
-    executors need not have the package."""
+    Rows of a block arrive in file order and contiguously inside a partition,
+    so a running counter is exact: no shuffle, no sort.  The counter is
+    defined in here, so that Spark ships it by value and executors need not
+    have the package."""
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Line number within each block of the one file; rows of a block arrive in file
-        order and contiguously inside a partition, so a running counter that
-        restarts when the block changes is exact — no shuffle, no sort.
-        Vectorised per Arrow batch (run boundaries found with numpy)."""
         import numpy as np
-        prev_key, carried = None, 0
-        out_schema = pa.schema([("value", pa.string()), ("file_path", pa.string()),
-                                ("block_start", pa.int64()), ("line_no", pa.int64())])
+        key, last = None, 0
         for b in batches:
-            n = b.num_rows
-            if n == 0:
+            if not b.num_rows:
                 continue
             starts = b.column("block_start").to_numpy(zero_copy_only=False)
-            new_run = np.empty(n, dtype=bool)
-            new_run[0] = int(starts[0]) != prev_key
-            new_run[1:] = starts[1:] != starts[:-1]
-            run_start = np.maximum.accumulate(np.where(new_run, np.arange(n), 0))
-            nums = np.arange(n) - run_start + 1
-            if not new_run[0]:  # first run continues the previous batch's block
-                first_run = run_start == 0
-                nums[first_run] += carried
-            prev_key = int(starts[-1])
-            carried = int(nums[-1])
+            paths = b.column("file_path").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            cut = np.append(True, (starts[1:] != starts[:-1]) | (paths[1:] != paths[:-1]))
+            index = np.arange(b.num_rows)
+            numbers = index - np.maximum.accumulate(np.where(cut, index, 0)) + 1
+            if (b.column("file_path")[0].as_py(), starts[0]) == key:  # goes on from the batch before
+                numbers[np.cumsum(cut) == 1] += last
+            key, last = (b.column("file_path")[-1].as_py(), starts[-1]), int(numbers[-1])
             yield pa.RecordBatch.from_arrays(
-                [b.column("value"), b.column("file_path"), b.column("block_start"), pa.array(nums, pa.int64())],
-                schema=out_schema)
-
-    raw = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block_start"))
-    raw = raw.withColumn("value", _decoded(F.col("value"), encoding))
-    return raw.mapInArrow(number, _LINES_SCHEMA)
+                [*(b.column(c) for c in ("value", "file_path", "block_start")), pa.array(numbers, pa.int64(), mask=starts > 0)],
+                ["value", "file_path", "block_start", "line_no"])
 
+    return lines.select("value", "file_path", "block_start").mapInArrow(
+        number, "value string, file_path string, block_start long, line_no long")
 
-def _decoded(col, encoding: str):
-    if encoding.upper() in ("UTF-8", "UTF8"):
-        return col
-    # the text source keeps the file's bytes; decode them with the charset
-    return F.decode(col.cast("binary"), encoding)
 
+def read_csv_lines(spark: SparkSession, c: Contract, files: list[str] | str, step: str | None = None) -> DataFrame:
+    """CSV files whose records are cut by many tasks (R08), after preamble
+    lines are dropped by position (R06) and lines are prepared (P02)."""
+    def lines(found: DataFrame) -> DataFrame:
+        found = with_line_numbers(found)
+        if step:
+            found = prepare(step, found)
+        # null beyond the first block of a file
+        return found.where(F.coalesce(F.col("line_no") > c.skip_lines, F.lit(True)))
 
-def _first_lines(spark: SparkSession, path: str, encoding: str, n: int) -> list[str]:
-    """The first ``n`` lines of a file, without scanning it whole.
-
-    The text scan is limited; the block-0 split of a file sorts first among
-    its equal-size splits, so the limit is normally met by the first
-    partition.  If not (tiny odd splits), fall back to the numbered scan.
-    """
-    head = (spark.read.text(path)
-            .select(_decoded(F.col("value"), encoding).alias("value"),
-                    F.col("_metadata.file_block_start").alias("block_start"))
-            .limit(n * 4 + 16).collect())
-    lines = [r.value for r in head if r.block_start == 0][:n]
-    if len(lines) < n:
-        lines = [r.value for r in numbered_lines(spark, path, encoding)
-                 .filter((F.col("block_start") == 0) & (F.col("line_no") <= n)).orderBy("line_no").collect()]
-    return lines
-
-
-def _header(spark: SparkSession, c: Contract, path: str, step: str | None) -> tuple[list[str], int]:
-    """Header columns of one file and the header's line number."""
-    first = _first_lines(spark, path, c.encoding, c.skip_lines + 2)
-    line_no = c.skip_lines + 1
-    if step and len(first) > c.skip_lines and set(first[c.skip_lines].strip()) == {";"}:
-        line_no += 1
-    header = first[line_no - 1]
-    if step:
-        header = header.replace('"""', '"')
-    return next(csv.reader(io.StringIO(header), delimiter=c.sep)), line_no
-
-
-def read_csv_lines(spark: SparkSession, c: Contract, path: str, step: str | None = None) -> DataFrame:
-    """One CSV file through the line route (preamble skip and/or a line
-    preparation step such as the separator-line / tripled-quote repair)."""
-    header, header_no = _header(spark, c, path, step)
-    lines = numbered_lines(spark, path, c.encoding)
-    if step:
-        lines = prepare(step, lines)  # e.g. drops a separator-only first line, repairs quotes
-    body = lines.filter(~((F.col("block_start") == 0) & (F.col("line_no") <= header_no)))
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
-    parsed = body.filter(F.length("value") > 0).select(
-        F.from_csv("value", schema.simpleString(), {"sep": c.sep, "quote": '"', "escape": '"',
-                                                          "mode": "FAILFAST"}).alias("r"),
-        F.col("file_path").alias(PATH_COL))
-    return parsed.select(*[F.col(f"r._c{i}").alias(h) for i, h in enumerate(header)], PATH_COL)
+    return read_records(spark, [files] if isinstance(files, str) else files, c.sep, c.encoding, one_header=not c.drifting_header,
+                        lines=lines if c.skip_lines or step else None, path_col=PATH_COL)
 
 
 def read_parquet_releases(spark: SparkSession, pattern: str) -> DataFrame:
