@@ -22,8 +22,8 @@ from civgraph.plans import gold
 from civgraph.plans import silver as S
 from civgraph.plans.bronze import bronze
 from civgraph.session import ensure_pipeline_conf
-from civgraph.sources.prep import write_contract_document
-from civgraph.sources.readers import list_files, read_contract_document, read_seed
+from civgraph.sources.prep import post
+from civgraph.sources.readers import list_files, read_seed
 
 # Fixed value: landing name of the consolidated procurement document.
 CONTRACT_DOCUMENT_PATTERN = "commande-publique-france_*.json"
@@ -155,7 +155,7 @@ def prepare_raw(spark: SparkSession, raw_dir: str) -> list[str]:
     the market and concession datasets named by the document's year."""
     docs = list_files(spark, f"{raw_dir.rstrip('/')}/{CONTRACT_DOCUMENT_PATTERN}")
     for doc in docs:
-        write_contract_document(read_contract_document(spark, doc), doc, raw_dir)
+        post(spark, "commande_publique", doc, raw_dir)
     return docs
 
 

@@ -38,7 +38,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK = ["file_path", "block_start"]
 
 
-def shared_table(df: DataFrame) -> DataFrame:
+def shared_table(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """``df`` written to the shared folder of the session
     (``spark.checkpoint.dir``) and read back: computed once.  A local session
     without that setting gets a private folder."""
@@ -50,7 +50,7 @@ def shared_table(df: DataFrame) -> DataFrame:
         root = tempfile.mkdtemp(prefix="civgraph-shared-", dir=os.environ.get("TMPDIR"))
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/civgraph-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
 

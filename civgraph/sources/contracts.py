@@ -114,3 +114,7 @@ CONTRACT_DOCUMENT_SCHEMA = T.StructType([T.StructField("marches", T.StructType([
     T.StructField("marche", T.ArrayType(MARCHE_SCHEMA)),
     T.StructField("contrat-concession", T.ArrayType(CONCESSION_SCHEMA)),
 ]))])
+
+# Where the document keeps its two arrays.
+CONTRACT_ARRAYS = {"marche": ("marches", "marche"), "concession": ("marches", "contrat-concession")}
+CONTRACT_SCHEMAS = {"marche": MARCHE_SCHEMA, "concession": CONCESSION_SCHEMA}

@@ -6,10 +6,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civgraph.functions.columns import col_
+from civgraph.sources.contracts import CONTRACT_ARRAYS, CONTRACT_SCHEMAS
+from civgraph.sources.json_elements import read_elements
 
 # --- P02 line repair ------------------------------------------------------------
 
@@ -51,12 +53,16 @@ def document_year(path: str) -> str:
 
 
 def split_contract_document(doc: DataFrame) -> dict[str, DataFrame]:
-    """``{marches: {marche: [...], contrat-concession: [...]}}`` -> one frame per
-    array, one row per element (``inline``).  Missing keys fail analysis."""
-    return {
-        "marche": doc.select(F.inline(F.col("marches.marche"))),
-        "concession": doc.select(F.inline(F.col("marches.`contrat-concession`"))),
-    }
+    """The contracts of either kind from the elements of a document (see
+    ``readers.read_contract_document``), one row per element.  A field of
+    another type than its schema's is null; broken JSON fails the query."""
+    def parsed(kind: str, schema) -> DataFrame:
+        text = F.col("element")
+        whole = F.when(F.json_object_keys(text).isNull(), F.raise_error(F.concat(F.lit("not a JSON object: "), text)).cast(
+            "string")).otherwise(text)
+        return doc.where(F.col("kind") == kind).select(F.from_json(whole, schema).alias("r")).select("r.*")
+
+    return {kind: parsed(kind, schema) for kind, schema in CONTRACT_SCHEMAS.items()}
 
 
 def write_contract_document(doc: DataFrame, source_path: str, out_dir: str) -> dict[str, str]:
@@ -73,13 +79,37 @@ def write_contract_document(doc: DataFrame, source_path: str, out_dir: str) -> d
 
 
 # --- P03 dispatch ---------------------------------------------------------------------
+#: Steps on the numbered lines of a file; the reader applies them to the files
+#: that a contract names, so nothing is rewritten in place.
 PREP_STEPS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "anct_subvention_ville_2019": repair_lines,
 }
 
 
 def prepare(step: str, df: DataFrame) -> DataFrame:
-    """Apply a named preparation step; an unknown name is an error."""
+    """Apply a named preparation step to lines; an unknown name is an error."""
     if step not in PREP_STEPS:
         raise ValueError(f"unknown preparation step: {step}")
     return df.transform(PREP_STEPS[step])
+
+
+def commande_publique(spark: SparkSession, path: str, out_dir: str) -> dict[str, str]:
+    """Split a landed procurement document into its two datasets."""
+    return write_contract_document(read_elements(spark, path, CONTRACT_ARRAYS), path, out_dir)
+
+
+#: Steps on a landed file that write datasets of their own.
+FILE_STEPS: dict[str, Callable[[SparkSession, str, str], dict[str, str]]] = {
+    "commande_publique": commande_publique,
+}
+
+
+def post(spark: SparkSession, step: str, path: str, out_dir: str) -> dict[str, str]:
+    """Run the preparation step that the catalog names for a landed file;
+    returns the datasets it wrote.  Steps on lines write none: they apply when
+    the file is read.  An unknown name is an error."""
+    if step in PREP_STEPS:
+        return {}
+    if step not in FILE_STEPS:
+        raise ValueError(f"unknown preparation step: {step}")
+    return FILE_STEPS[step](spark, path, out_dir)

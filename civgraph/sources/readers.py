@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 
 from civgraph.operators.relational import union_by_name
 from civgraph.sources.blocks import pieces
-from civgraph.sources.contracts import CONTRACTS, SEEDS, Contract
+from civgraph.sources.contracts import CONTRACT_ARRAYS, CONTRACTS, SEEDS, Contract
 from civgraph.sources.csv_records import read_records, text_of
+from civgraph.sources.json_elements import read_elements
 from civgraph.sources.prep import prepare
 
 PATH_COL = "source_file_path"
@@ -176,6 +177,7 @@ def read_seed(spark: SparkSession, seeds_dir: str, name: str) -> DataFrame:
 
 
 def read_contract_document(spark: SparkSession, path: str) -> DataFrame:
-    """The nested procurement document (one JSON document per file)."""
-    from civgraph.sources.contracts import CONTRACT_DOCUMENT_SCHEMA
-    return spark.read.schema(CONTRACT_DOCUMENT_SCHEMA).option("multiLine", True).json(path)
+    """The nested procurement document (one JSON document per file) as
+    ``kind`` and ``element``, one row per contract; read by many tasks, once
+    for both kinds (see ``json_elements``)."""
+    return read_elements(spark, path, CONTRACT_ARRAYS)
