@@ -48,7 +48,7 @@ def spread_null_key(df: DataFrame, key: str, out: str) -> DataFrame:
 
 # --- A01 / F11 ---------------------------------------------------------------
 def latest_release(df: DataFrame, release_col: str = "release_year",
-                   by: Sequence[str] | None = None, prune_files: bool = False) -> DataFrame:
+                   by: Sequence[str] | None = None, prune_files: bool | None = False) -> DataFrame:
     """Keep rows of the newest release.
 
     Without ``by``: ``release = (SELECT max(release) FROM df)`` — an
@@ -61,12 +61,17 @@ def latest_release(df: DataFrame, release_col: str = "release_year",
     Spark evaluates while listing files, so older releases are never read.
     Same result as the subquery form; never more I/O.
 
+    ``prune_files=None``: the frame holds one release already (files chosen by
+    name, see ``readers.newest_files``); nothing is added to the plan.
+
     With ``by``: newest release per group (e.g. per source file stem), done as
     a grouped max joined back on the group key; the grouped side holds one
     row per group, so a hot group only needs AQE's skew-join split of the big
     side, never a whole group in one task.
     """
     if not by:
+        if prune_files is None:
+            return df
         if prune_files:
             newest = df.agg(F.max(release_col)).first()[0]
             return df.filter(F.col(release_col) == F.lit(newest))

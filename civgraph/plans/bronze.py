@@ -22,5 +22,5 @@ def to_bronze(df: DataFrame, path_col: str = PATH_COL, exercise_year: bool = Fal
     return df.withColumns(cols)
 
 
-def bronze(spark: SparkSession, raw_dir: str, name: str) -> DataFrame:
-    return to_bronze(read_raw(spark, raw_dir, name), exercise_year=(name == "fonds_vert_subvention"))
+def bronze(spark: SparkSession, raw_dir: str, name: str, newest: bool = False) -> DataFrame:
+    return to_bronze(read_raw(spark, raw_dir, name, newest), exercise_year=(name == "fonds_vert_subvention"))

@@ -104,25 +104,28 @@ def build_silver(spark: SparkSession, raw_dir: str, seeds_dir: str, out_dir: str
     returns the writer, whose ``tables`` are the re-read models."""
     ensure_pipeline_conf(spark)
     b = lambda n: bronze(spark, raw_dir, n)
+    # the newest release of a source, chosen from the file names
+    new = lambda n: bronze(spark, raw_dir, n, newest=True)
+    one = {"prune_files": None}
     seed = lambda n: read_seed(spark, seeds_dir, n)
     sv = Silver(spark, out_dir)
     # wave 1: models that read raw files and seeds only
     w1 = sv.put_many({
-        "france_communes": lambda: S.france_communes(b("france_communes")),
-        "france_departements": lambda: S.france_departements(b("france_departements")),
-        "france_regions": lambda: S.france_regions(b("france_regions")),
+        "france_communes": lambda: S.france_communes(new("france_communes"), **one),
+        "france_departements": lambda: S.france_departements(new("france_departements"), **one),
+        "france_regions": lambda: S.france_regions(new("france_regions"), **one),
         "insee_categorie_juridique": lambda: S.categorie_juridique(seed("insee_sirene_cat_juridique")),
-        "sirene_unite_legale": lambda: S.sirene_unite_legale(b("sirene_unite_legale")),
-        "sirene_etablissement": lambda: S.sirene_etablissement(b("sirene_etablissement")),
+        "sirene_unite_legale": lambda: S.sirene_unite_legale(new("sirene_unite_legale"), **one),
+        "sirene_etablissement": lambda: S.sirene_etablissement(new("sirene_etablissement"), **one),
         "commande_publique_marche": lambda: S.commande_publique_marche(b("commande_publique_marche")),
         "commande_publique_concession": lambda: S.commande_publique_concession(b("commande_publique_concession")),
-        "subvention_ministere_culture": lambda: S.subvention_ministere_culture(b("culture_convention_subvention")),
-        "subvention_ministere_agriculture": lambda: S.subvention_ministere_agriculture(b("agriculture_subvention")),
-        "subvention_anct_ville": lambda: S.subvention_anct_ville(b("anct_subvention_ville")),
-        "subvention_ademe_aide_financiere": lambda: S.subvention_ademe(b("ademe_aide_financiere")),
-        "dotation_soutien_territoire": lambda: S.dotation_soutien_territoire(b("dotation_soutien_territoire")),
-        "subvention_caisse_depots": lambda: S.subvention_caisse_depots(b("caisse_depots_subvention")),
-        "idf_subvention_association": lambda: S.idf_subvention_association(b("idf_subvention_association")),
+        "subvention_ministere_culture": lambda: S.subvention_ministere_culture(new("culture_convention_subvention"), **one),
+        "subvention_ministere_agriculture": lambda: S.subvention_ministere_agriculture(new("agriculture_subvention"), **one),
+        "subvention_anct_ville": lambda: S.subvention_anct_ville(new("anct_subvention_ville"), **one),
+        "subvention_ademe_aide_financiere": lambda: S.subvention_ademe(new("ademe_aide_financiere"), **one),
+        "dotation_soutien_territoire": lambda: S.dotation_soutien_territoire(new("dotation_soutien_territoire"), **one),
+        "subvention_caisse_depots": lambda: S.subvention_caisse_depots(new("caisse_depots_subvention"), **one),
+        "idf_subvention_association": lambda: S.idf_subvention_association(new("idf_subvention_association"), **one),
     })
     # wave 2: enrichment and the contract union
     w2 = sv.put_many({
@@ -135,7 +138,7 @@ def build_silver(spark: SparkSession, raw_dir: str, seeds_dir: str, out_dir: str
     }, partition_by={"ent_commande_publique": "type_contrat"})
     ent_eta = w2["ent_sirene_etablissement"]
     # wave 3: head-office fill, then the subsidy union
-    fv = sv.put("fonds_vert_subvention", S.fonds_vert_subvention(b("fonds_vert_subvention"), ent_eta))
+    fv = sv.put("fonds_vert_subvention", S.fonds_vert_subvention(new("fonds_vert_subvention"), ent_eta, **one))
     sv.put("ent_subvention_publique", S.ent_subvention_publique(
         w1["subvention_ministere_culture"], seed("ministere_culture_division"),
         w1["subvention_ministere_agriculture"], w1["subvention_anct_ville"],

@@ -5,7 +5,8 @@ the column helpers and relational operators.
 ``prune_files`` (default on): the release year comes from the raw file names,
 so the newest release is applied as a literal and older release files are
 skipped at listing; pass ``False`` for frames whose release is a computed
-column (the scalar-subquery form then needs no extra pass)."""
+column (the scalar-subquery form then needs no extra pass) and ``None`` for
+frames read from the files of one release."""
 
 from __future__ import annotations
 
@@ -51,19 +52,19 @@ REGION_COLUMNS = {
 }
 
 
-def _renamed_latest(brz: DataFrame, mapping: dict[str, str], prune_files: bool = True) -> DataFrame:
+def _renamed_latest(brz: DataFrame, mapping: dict[str, str], prune_files: bool | None = True) -> DataFrame:
     return R.latest_release(brz.select(*renamed(brz, mapping), "release_year"), prune_files=prune_files)
 
 
-def france_communes(brz: DataFrame, prune_files: bool = True) -> DataFrame:            # V01
+def france_communes(brz: DataFrame, prune_files: bool | None = True) -> DataFrame:            # V01
     return _renamed_latest(brz, COMMUNE_COLUMNS, prune_files)
 
 
-def france_departements(brz: DataFrame, prune_files: bool = True) -> DataFrame:        # V02
+def france_departements(brz: DataFrame, prune_files: bool | None = True) -> DataFrame:        # V02
     return _renamed_latest(brz, DEPARTEMENT_COLUMNS, prune_files)
 
 
-def france_regions(brz: DataFrame, prune_files: bool = True) -> DataFrame:             # V03
+def france_regions(brz: DataFrame, prune_files: bool | None = True) -> DataFrame:             # V03
     return _renamed_latest(brz, REGION_COLUMNS, prune_files)
 
 
@@ -127,12 +128,12 @@ ETABLISSEMENT_PLAIN = {
 ETABLISSEMENT_DOUBLE = {"coordonneeLambertAbscisseEtablissement", "coordonneeLambertOrdonneeEtablissement"}
 
 
-def sirene_unite_legale(brz: DataFrame, prune_files: bool = True) -> DataFrame:        # V05
+def sirene_unite_legale(brz: DataFrame, prune_files: bool | None = True) -> DataFrame:        # V05
     cols = [pick(brz, c).alias(camel_to_snake(c)) for c in UNITE_LEGALE_RAW]
     return R.latest_release(brz.select(*cols, "release_year"), prune_files=prune_files)
 
 
-def sirene_etablissement(brz: DataFrame, prune_files: bool = True) -> DataFrame:       # V06
+def sirene_etablissement(brz: DataFrame, prune_files: bool | None = True) -> DataFrame:       # V06
     cols = []
     for c in ETABLISSEMENT_RAW:
         v = pick(brz, c)
@@ -326,7 +327,7 @@ CULTURE_OP_COLUMNS = {
 CULTURE_OP_SUFFIX = " unité patrimoniale concernée par l{q}op. fin."
 
 
-def subvention_ministere_culture(brz: DataFrame, prune_files: bool = True) -> DataFrame:  # V09
+def subvention_ministere_culture(brz: DataFrame, prune_files: bool | None = True) -> DataFrame:  # V09
     cols = [pick(brz, "Année").cast("int").alias("annee")]
     cols += renamed(brz, {k: v for k, v in list(CULTURE_COLUMNS.items())[:3]})
     cols.append(pick(brz, "Montant engagé").cast("double").alias("montant_engage"))
@@ -337,7 +338,7 @@ def subvention_ministere_culture(brz: DataFrame, prune_files: bool = True) -> Da
     return R.latest_release(brz.select(*cols, "release_year"), prune_files=prune_files)
 
 
-def subvention_ministere_agriculture(brz: DataFrame, prune_files: bool = True) -> DataFrame:  # V10
+def subvention_ministere_agriculture(brz: DataFrame, prune_files: bool | None = True) -> DataFrame:  # V10
     payer = pick(brz, "Nom attributaire*")
     out = brz.select(
         payer.alias("nom_attributaire"),
@@ -370,7 +371,7 @@ def file_stem(path_col: str = "source_file_path") -> Column:
     return F.regexp_extract(F.col(path_col), FILE_STEM, 1)
 
 
-def _newest(out: DataFrame, prune_files: bool, per_file_stem: bool) -> DataFrame:
+def _newest(out: DataFrame, prune_files: bool | None, per_file_stem: bool) -> DataFrame:
     """Newest release overall (reference behaviour) or, with ``per_file_stem``,
     the newest release of each data file — so a data year not yet refetched
     this year is not dropped."""
@@ -379,7 +380,7 @@ def _newest(out: DataFrame, prune_files: bool, per_file_stem: bool) -> DataFrame
     return R.latest_release(out, prune_files=prune_files)
 
 
-def subvention_anct_ville(brz: DataFrame, prune_files: bool = True,
+def subvention_anct_ville(brz: DataFrame, prune_files: bool | None = True,
                           per_file_stem: bool = False) -> DataFrame:      # V11
     out = brz.select(
         pick(brz, "Nom de l'attribuant").alias("nom_attribuant"),
@@ -401,7 +402,7 @@ def subvention_anct_ville(brz: DataFrame, prune_files: bool = True,
     return _newest(out, prune_files, per_file_stem).filter(F.col("identification_attributaire").isNotNull())
 
 
-def subvention_ademe(brz: DataFrame, prune_files: bool = True) -> DataFrame:           # V12
+def subvention_ademe(brz: DataFrame, prune_files: bool | None = True) -> DataFrame:           # V12
     out = brz.select(
         pick(brz, "Nom de l attribuant").alias("nom_attribuant"),
         pick(brz, "idAttribuant").cast("string").alias("id_attribuant"),
@@ -418,7 +419,7 @@ def subvention_ademe(brz: DataFrame, prune_files: bool = True) -> DataFrame:
     return R.latest_release(out, prune_files=prune_files)
 
 
-def dotation_soutien_territoire(brz: DataFrame, prune_files: bool = True,
+def dotation_soutien_territoire(brz: DataFrame, prune_files: bool | None = True,
                                 per_file_stem: bool = False) -> DataFrame:  # V13
     out = brz.select(
         pick(brz, "exercice").cast("int").alias("exercice"), pick(brz, "dispositif").alias("dispositif"),
@@ -435,7 +436,7 @@ def dotation_soutien_territoire(brz: DataFrame, prune_files: bool = True,
     return _newest(out, prune_files, per_file_stem).filter(F.col("subvention").isNotNull())
 
 
-def subvention_caisse_depots(brz: DataFrame, prune_files: bool = True) -> DataFrame:   # V14
+def subvention_caisse_depots(brz: DataFrame, prune_files: bool | None = True) -> DataFrame:   # V14
     out = brz.select(
         pick(brz, "nomAttribuant").alias("nom_attribuant"),
         pick(brz, "IdAttribuant").cast("string").alias("id_attribuant"),
@@ -454,7 +455,7 @@ def subvention_caisse_depots(brz: DataFrame, prune_files: bool = True) -> DataFr
     return R.latest_release(out, prune_files=prune_files)
 
 
-def idf_subvention_association(brz: DataFrame, prune_files: bool = True) -> DataFrame:  # V15
+def idf_subvention_association(brz: DataFrame, prune_files: bool | None = True) -> DataFrame:  # V15
     na = X.NOT_AVAILABLE
     out = brz.select(
         pick(brz, "idAttribuant").cast("string").alias("id_attribuant"),
@@ -483,7 +484,7 @@ def with_siren_key(df: DataFrame, siren: str, out: str, pad_siren: bool) -> Data
     return df.withColumn(out, F.when(F.length(key) < 9, F.lpad(key, 9, "0")).otherwise(key) if pad_siren else key)
 
 
-def fonds_vert_subvention(brz: DataFrame, etablissements: DataFrame, prune_files: bool = True,
+def fonds_vert_subvention(brz: DataFrame, etablissements: DataFrame, prune_files: bool | None = True,
                           pad_siren: bool = False) -> DataFrame:  # V16
     newest = with_siren_key(R.latest_release(brz, prune_files=prune_files), "siren", "__siren", pad_siren)
     filled = R.fill_from_primary(newest, head_offices(etablissements), "__siren", "siren", "siret",

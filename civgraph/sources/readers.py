@@ -19,12 +19,16 @@ from __future__ import annotations
 
 import fnmatch
 import os
+import re
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from civgraph.functions.columns import RELEASE_YEAR_PATTERN
 from civgraph.operators.relational import union_by_name
 from civgraph.sources.blocks import pieces
 from civgraph.sources.contracts import CONTRACT_ARRAYS, CONTRACTS, SEEDS, Contract
@@ -36,19 +40,25 @@ PATH_COL = "source_file_path"
 
 
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Files matching a glob on any Hadoop filesystem, sorted.
-
-    Listed through Spark's ``binaryFile`` source with only the ``path`` column
-    selected, so no file content is read; the result is one row per file of
-    one source (a handful of yearly files), never data.
-    """
+    """Files matching a glob on any Hadoop filesystem, sorted.  Only listed:
+    no job runs and no content is read."""
     try:
-        rows = spark.read.format("binaryFile").load(pattern).select("path").collect()
+        files = spark.read.format("binaryFile").load(pattern).inputFiles()
     except Exception as exc:  # PATH_NOT_FOUND when nothing matches
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             return []
         raise
-    return sorted(r.path for r in rows)
+    return sorted(unquote(f) for f in files)
+
+
+_RELEASE = re.compile(RELEASE_YEAR_PATTERN + r"[^/]*(?:/part-[^/]*)?$")
+
+
+def newest_files(files: list[str]) -> list[str]:
+    """The files of the newest release, which their names tell (see
+    ``columns.release_year``); a file without a year is older than all others."""
+    years = [m.group(1) if (m := _RELEASE.search(f)) else "" for f in files]
+    return [f for f, y in zip(files, years) if y == max(years)]
 
 
 def _with_path(df: DataFrame) -> DataFrame:
@@ -130,43 +140,59 @@ def read_csv_lines(spark: SparkSession, c: Contract, files: list[str] | str, ste
                         lines=lines if c.skip_lines or step else None, path_col=PATH_COL)
 
 
-def read_parquet_releases(spark: SparkSession, pattern: str) -> DataFrame:
-    """All releases of a Parquet source in one scan with merged schemas.
+def schema_groups(spark: SparkSession, files: list[str]) -> list[tuple[list[str], T.StructType]]:
+    """Files whose schemas merge, with the merged schema.
 
-    When yearly files disagree on a column's type (e.g. integer one year,
-    text the next) the schemas cannot be merged: each file is then read on
-    its own, conflicting top-level columns are cast to text (silver casts
-    them again) and the files are unioned by name.
-    """
+    Spark merges all footers of a list in one job.  Where types disagree the
+    list is halved, so neighbours (the parts of one release) stay together, and
+    lists that agree are joined again: as many groups as there are types to
+    tell apart, not files."""
     try:
-        df = spark.read.option("mergeSchema", True).parquet(pattern)
-        df.schema  # forces footer merge now
-        return _with_path(df)
+        return [(files, spark.read.option("mergeSchema", True).parquet(*files).schema)]
     except Exception as exc:  # CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE
-        if "MERGE" not in str(exc).upper():
+        if "MERGE" not in str(exc).upper() or len(files) == 1:
             raise
-    files = list_files(spark, pattern)
-    frames = [spark.read.parquet(f) for f in files]
+    half = len(files) // 2
+    out: list[tuple[list[str], T.StructType]] = []
+    for group, schema in schema_groups(spark, files[:half]) + schema_groups(spark, files[half:]):
+        for k, (have, known) in enumerate(out):
+            types = {f.name.lower(): f.dataType for f in known.fields}
+            if all(types.get(f.name.lower(), f.dataType) == f.dataType for f in schema.fields):
+                new = [f for f in schema.fields if f.name.lower() not in types]
+                out[k] = (have + group, T.StructType(known.fields + new))
+                break
+        else:
+            out.append((group, schema))
+    return out
+
+
+def read_parquet_releases(spark: SparkSession, files: list[str]) -> DataFrame:
+    """All files of a Parquet source by column name: one scan per group of
+    files whose schemas merge.  Columns whose types differ between groups (e.g.
+    integer one year, text the next) are cast to text; silver casts them again."""
+    groups = schema_groups(spark, files)
     types: dict[str, set] = {}
-    for f in frames:
-        for fld in f.schema.fields:
-            types.setdefault(fld.name.lower(), set()).add(fld.dataType.simpleString())
-    conflicting = {k for k, v in types.items() if len(v) > 1}
-    fixed = [_with_path(f).select(*[F.col(f"`{c}`").cast("string").alias(c) if c.lower() in conflicting
-                                    else F.col(f"`{c}`") for c in f.columns], PATH_COL) for f in frames]
-    return union_by_name(fixed)
+    for _, schema in groups:
+        for field in schema.fields:
+            types.setdefault(field.name.lower(), set()).add(field.dataType.simpleString())
+    frames = [_with_path(spark.read.schema(schema).parquet(*group)).select(
+        *[F.col(f"`{f.name}`").cast("string").alias(f.name) if len(types[f.name.lower()]) > 1 else F.col(f"`{f.name}`")
+          for f in schema.fields], PATH_COL) for group, schema in groups]
+    return union_by_name(frames)
 
 
 # --- entry points ---------------------------------------------------------------------------------
-def read_raw(spark: SparkSession, raw_dir: str, name: str) -> DataFrame:
-    """Read one raw source by its contract name, with ``source_file_path``."""
+def read_raw(spark: SparkSession, raw_dir: str, name: str, newest: bool = False) -> DataFrame:
+    """Read one raw source by its contract name, with ``source_file_path``;
+    with ``newest`` only the files of the newest release, chosen by name
+    before anything is read."""
     c = CONTRACTS[name]
-    if c.format == "parquet":
-        return read_parquet_releases(spark, os.path.join(raw_dir, c.pattern))
     files = list_files(spark, os.path.join(raw_dir, c.pattern))
     if not files:
         raise FileNotFoundError(f"no file for source {name}: {os.path.join(raw_dir, c.pattern)}")
-    return read_csv(spark, c, files)
+    if newest:
+        files = newest_files(files)
+    return read_parquet_releases(spark, files) if c.format == "parquet" else read_csv(spark, c, files)
 
 
 def read_seed(spark: SparkSession, seeds_dir: str, name: str) -> DataFrame:

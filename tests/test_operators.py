@@ -390,3 +390,39 @@ def test_hot_key_is_counted_before_the_integrity_join(spark):
     plan = G.integrity_report({"r": rel}, n)._jdf.queryExecution().optimizedPlan().toString()
     join = plan.index("Join LeftAnti")
     assert "Aggregate" in plan[join:]  # the side that joins is aggregated already
+
+
+def test_newest_release_is_chosen_from_names(spark, tmp_path):
+    from civgraph.functions.columns import release_year
+    from civgraph.sources.readers import list_files, newest_files, read_raw
+    names = ["a_2024.csv", "a_2025.parquet/part-0.parquet", "run_2030/b_2023.csv", "c.csv", "d_2025_x_2030.csv"]
+    frame = spark.createDataFrame([(f"s3://raw/{n}",) for n in names], "p string")
+    years = {r.p: r.y for r in frame.select("p", release_year("p").alias("y")).collect()}
+    assert [f for f in years if years[f] == "2025"] == newest_files([f"s3://raw/{n}" for n in names])
+    (tmp_path / "de l'été").mkdir()
+    raw = tmp_path / "de l'été"
+    for y in (2024, 2025, 2026):
+        (raw / f"dotation-soutien-territoire-20{y % 7}_{y}.csv").write_text(f"exercice;subvention\n{y};1\n")
+    (raw / "dotation-soutien-territoire-x y%20_2026.csv").write_text("subvention;exercice\n2;2026\n")
+    files = list_files(spark, f"{raw}/dotation-*.csv")
+    assert sorted(f.rsplit("/", 1)[1] for f in files) == sorted(p.name for p in raw.iterdir())
+    got = read_raw(spark, str(raw), "dotation_soutien_territoire", newest=True)
+    assert rows(got, "exercice", "subvention") == [("2026", "1"), ("2026", "2")]
+    assert read_raw(spark, str(raw), "dotation_soutien_territoire").count() == 4
+
+
+def test_parquet_files_of_drifting_types_are_a_scan_per_type(spark, tmp_path):
+    from civgraph.sources.readers import read_parquet_releases, schema_groups
+    files = []
+    for i in range(12):
+        kind = "id long, n int" if i < 5 else "id long, n string, extra string" if i < 9 else "id long, n int, late string"
+        path = str(tmp_path / f"s_{2000 + i}.parquet")
+        spark.range(3).selectExpr("id", f"cast({i} as {'string' if 5 <= i < 9 else 'int'}) as n", "'x' as extra", "'y' as late").select(
+            *[c.split()[0] for c in kind.split(", ")]).coalesce(1).write.parquet(path)
+        files.append(path)
+    assert [len(g) for g, _ in schema_groups(spark, files)] == [8, 4]
+    got = read_parquet_releases(spark, files)
+    assert dict(got.dtypes)["n"] == "string" and got.count() == 36
+    assert sorted({r.n for r in got.collect()}, key=int) == [str(i) for i in range(12)]
+    assert got.where("late = 'y'").count() == 9 and got.where("extra = 'x'").count() == 12
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
