@@ -109,38 +109,56 @@ def integrity_report(relationships: Mapping[str, DataFrame],
     """Dangling endpoint count per relationship and side.
 
     ``nodes`` maps an id space (label) to its node frame; the label of each
-    endpoint is read from the relationship header.  Each relationship is
-    scanned once, its endpoints stacked as (relationship, side, id space, id)
-    and counted: partial aggregation leaves one row per id and task, so
-    neither a hot id nor NULL (which counts as dangling) meets a join as many
-    rows.  One anti join against all node ids then leaves the misses.
+    endpoint is read from the relationship header.  Node ids and endpoints of
+    all spaces whose ids have one type are stacked and aggregated once per id:
+    whether there is a node, and a count per endpoint.  Ids keep their type and
+    meet in the aggregate, so there is no join; it is partial first, so a hot id
+    or NULL (which has no node) is one row per task.  Each relationship is
+    scanned once, unless its two ends have ids of different types.
     """
     def id_column(frame: DataFrame) -> str:
         return next(c for c in frame.columns if ":ID(" in c)
 
-    key = ["relationship", "side", "id_space"]
-    stacked, ends = [], []
-    for rel_name, rel in relationships.items():
-        points = []
-        for col_name in rel.columns:
-            if col_name.startswith((":START_ID(", ":END_ID(")):
-                side = "start" if col_name.startswith(":START") else "end"
-                label = col_name[col_name.index("(") + 1:-1]
-                ends.append((rel_name, side, label))
-                points.append(F.struct(F.lit(rel_name).alias("relationship"), F.lit(side).alias("side"),
-                                       F.lit(label).alias("id_space"),
-                                       F.col(f"`{col_name}`").cast("string").alias("id")))
-        stacked.append(rel.select(F.inline(F.array(*points))))
-    counted = reduce(lambda a, b: a.unionByName(b), stacked).groupBy(*key, "id").agg(
-        F.count(F.lit(1)).alias("dangling"))
-    known = reduce(lambda a, b: a.unionByName(b), [
-        nodes[label].select(F.lit(label).alias("__space"), F.col(f"`{id_column(nodes[label])}`").cast("string").alias("__id"))
-        for label in sorted({label for *_, label in ends})])
-    missed = counted.join(known, (F.col("id_space") == F.col("__space")) & (F.col("id") == F.col("__id")), "left_anti")
-    spark = missed.sparkSession
-    every = spark.createDataFrame(ends, ", ".join(f"{k} string" for k in key)).withColumn(
-        "dangling", F.lit(0).cast("long"))  # relationships without a miss are listed too
-    return missed.select(*key, "dangling").unionByName(every).groupBy(*key).agg(F.sum("dangling").alias("dangling"))
+    ends: list[tuple[str, str, str, str]] = []  # relationship, side, id space, column
+    for name, rel in relationships.items():
+        for c in rel.columns:
+            if c.startswith((":START_ID(", ":END_ID(")):
+                ends.append((name, "start" if c.startswith(":START") else "end", c[c.index("(") + 1:-1], c))
+    spaces = sorted({label for _, _, label, _ in ends})
+    place = {label: i for i, label in enumerate(spaces)}
+    slot, used = {}, dict.fromkeys(spaces, 0)  # a number for every endpoint within its space
+    for end in ends:
+        slot[end] = used[end[2]]
+        used[end[2]] += 1
+    id_types = {label: nodes[label].schema[id_column(nodes[label])].dataType for label in spaces}
+    by_type: dict[str, list[str]] = {}
+    for label in spaces:
+        met = [relationships[r].schema[c].dataType for r, _, space, c in ends if space == label]
+        same = all(t == id_types[label] for t in met)
+        by_type.setdefault(id_types[label].simpleString() if same else "string", []).append(label)
+
+    def item(label: str, number: int, ident: Column, id_type: str) -> Column:
+        return F.struct(F.lit(place[label]).alias("space"), F.lit(number).alias("slot"), ident.cast(id_type).alias("id"))
+
+    counted = []
+    for id_type, labels in by_type.items():
+        parts = [nodes[label].select(item(label, -1, F.col(f"`{id_column(nodes[label])}`"), id_type).alias("x")).where(
+            "x.id IS NOT NULL") for label in labels]
+        for name, rel in relationships.items():
+            own = [e for e in ends if e[0] == name and e[2] in labels]
+            if own:
+                points = [item(e[2], slot[e], F.col(f"`{e[3]}`"), id_type) for e in own]
+                parts.append(rel.select(F.explode(F.array(*points)).alias("x")))
+        width = max(used[label] for label in labels)
+        per_id = reduce(lambda a, b: a.unionAll(b), parts).select("x.*").groupBy("space", "id").agg(
+            F.max(F.col("slot") < 0).alias("node"), *[F.count_if(F.col("slot") == k).alias(f"n{k}") for k in range(width)])
+        sums = per_id.where("NOT node").groupBy("space").agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(width)])
+        counted.append(sums.select("space", F.posexplode(F.array(*[f"n{k}" for k in range(width)])).alias("slot", "dangling")))
+    found = reduce(lambda a, b: a.unionAll(b), counted)
+    every = found.sparkSession.createDataFrame(  # one row per endpoint: those without a miss are listed too
+        [(*e[:3], place[e[2]], slot[e]) for e in ends], "relationship string, side string, id_space string, space int, slot int")
+    return F.broadcast(every).join(found, ["space", "slot"], "left").groupBy("relationship", "side", "id_space").agg(
+        F.coalesce(F.sum("dangling"), F.lit(0)).alias("dangling"))
 
 
 # --- K05 -------------------------------------------------------------------

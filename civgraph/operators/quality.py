@@ -1,9 +1,7 @@
 """Data-quality checks.
 
-``run_checks`` evaluates all ``not_null`` checks of a model in ONE scan
-(conditional counts in a single aggregate) and each ``unique`` check as a
-grouped count with partial aggregation; a failing check is a row with
-``failures > 0``.
+``run_checks`` evaluates all checks of a model in ONE scan; a failing check is
+a row with ``failures > 0``.
 """
 
 from __future__ import annotations
@@ -69,14 +67,48 @@ def unique(column: str, expr: str | None = None, group_by: tuple[str, ...] | Non
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check], model: str) -> DataFrame:
-    parts = []
-    nn = [c.column for c in checks if c.test == "not_null"]
-    if nn:
-        parts.append(not_null_failures(df, nn))
+    """All checks of a model in one scan: grouping sets over the keys of the
+    unique checks, and one over which of the checked columns are NULL.  Groups
+    are only counted, partially first, so a hot key is one row per task."""
+    nn = [c for c in checks if c.test == "not_null"]
+    keys = [(list(c.group_by) if c.group_by else [c]) for c in checks if c.test == "unique"]
+    names: dict = {}  # a column per key part; equal parts share one
+
+    def part(k) -> str:
+        return names.setdefault(k.expr or k.column if isinstance(k, Check) else k, f"__k{len(names)}")
+
+    sets = [[part(k) for k in group] for group in keys]
+    exprs = [(F.expr(source) if any(isinstance(k, Check) and k.expr == source for g in keys for k in g) else F.col(source)).alias(name)
+             for source, name in names.items()]
+    masks = []  # which of the checked columns are NULL, a bit each
+    for at in range(0, len(nn), 62):
+        bits_of = [F.when(F.col(c.column).isNull(), F.lit(1 << k)).otherwise(F.lit(0)) for k, c in enumerate(nn[at:at + 62])]
+        masks.append(reduce(lambda a, b: a.bitwiseOR(b), bits_of).cast("long").alias(f"__m{at // 62}"))
+    rows = df.select(*exprs, *masks)
+    mask_names = [f"__m{i}" for i in range(len(masks))]
+    wanted = [*sets, *([mask_names] if masks else [])]
+    columns = [*names.values(), *mask_names]
+    grouped = rows.groupingSets([[F.col(k) for k in s] for s in wanted], *[F.col(k) for k in columns]).agg(
+        F.count(F.lit(1)).alias("__rows"), F.grouping_id().alias("__set"))
+
+    def of(used: list[str]) -> Column:  # grouping_id: a bit per column that is not in the set
+        return F.col("__set") == sum(1 << (len(columns) - 1 - i) for i, k in enumerate(columns) if k not in used)
+
+    def repeated(used: list[str]) -> Column:
+        there = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in used])
+        return F.count_if(of(used) & (F.col("__rows") > 1) & there)
+
+    def nulls(i: int) -> Column:
+        return F.sum(F.when(of(mask_names) & (F.col(f"__m{i // 62}").bitwiseAND(F.lit(1 << i % 62)) != 0), F.col("__rows")))
+
+    one = grouped.agg(*[repeated(s).alias(f"__u{i}") for i, s in enumerate(sets)], *[
+        nulls(i).alias(f"__n{i}") for i in range(len(nn))])
+    results, u, n = [], 0, 0
     for c in checks:
         if c.test == "unique":
-            key = F.expr(c.expr) if c.expr else F.col(c.column)
-            parts.append(unique_failures(df, key, c.column,
-                                         group_by=list(c.group_by) if c.group_by else None))
-    out = reduce(lambda a, b: a.unionByName(b), parts)
-    return out.select(F.lit(model).alias("model"), "test", "col", "failures")
+            value, u = f"__u{u}", u + 1
+        else:
+            value, n = f"__n{n}", n + 1
+        results.append(F.struct(F.lit(model).alias("model"), F.lit(c.test).alias("test"), F.lit(c.column).alias("col"),
+                                F.coalesce(F.col(value), F.lit(0)).cast("bigint").alias("failures")))
+    return one.select(F.inline(F.array(*results)))

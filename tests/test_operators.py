@@ -387,9 +387,23 @@ def test_hot_key_is_counted_before_the_integrity_join(spark):
     n = {"A": spark.createDataFrame([("0",)], "`a:ID(A)` string"), "B": spark.createDataFrame([("x",)], "`b:ID(B)` string")}
     got = {r.side: r.dangling for r in G.integrity_report({"r": rel}, n).collect()}
     assert got == {"start": 19999, "end": 0}
-    plan = G.integrity_report({"r": rel}, n)._jdf.queryExecution().optimizedPlan().toString()
-    join = plan.index("Join LeftAnti")
-    assert "Aggregate" in plan[join:]  # the side that joins is aggregated already
+    # ids meet their nodes in an aggregate, partial first; no join sees the hot id
+    query = G.integrity_report({"r": rel}, n)._jdf.queryExecution()
+    assert "LeftAnti" not in query.optimizedPlan().toString()
+    assert "partial_max" in query.executedPlan().toString()
+
+
+def test_integrity_report_of_mixed_id_types(spark):
+    a = spark.createDataFrame([(1,), (2,), (None,)], "`a:ID(A)` long")
+    b = spark.createDataFrame([("1",), ("x",)], "`b:ID(B)` string")
+    c = spark.createDataFrame([(1,)], "`c:ID(C)` int")
+    rels = {"ab": spark.createDataFrame([(1, "1"), (3, "y"), (None, None), (2, "x")], "`:START_ID(A)` long, `:END_ID(B)` string"),
+            "ca": spark.createDataFrame([("1", 1), ("2", 9), ("01", 2)], "`:START_ID(C)` string, `:END_ID(A)` int"),
+            "aa": spark.createDataFrame([(1, 2), (5, 5)], "`:START_ID(A)` long, `:END_ID(A)` long"),
+            "none": spark.createDataFrame([], "`:START_ID(B)` string, `:END_ID(C)` int")}
+    got = {(r.relationship, r.side): (r.id_space, r.dangling) for r in G.integrity_report(rels, {"A": a, "B": b, "C": c}).collect()}
+    assert got == {("ab", "start"): ("A", 2), ("ab", "end"): ("B", 2), ("ca", "start"): ("C", 2), ("ca", "end"): ("A", 1),
+                   ("aa", "start"): ("A", 1), ("aa", "end"): ("A", 1), ("none", "start"): ("B", 0), ("none", "end"): ("C", 0)}
 
 
 def test_newest_release_is_chosen_from_names(spark, tmp_path):
@@ -426,3 +440,18 @@ def test_parquet_files_of_drifting_types_are_a_scan_per_type(spark, tmp_path):
     assert sorted({r.n for r in got.collect()}, key=int) == [str(i) for i in range(12)]
     assert got.where("late = 'y'").count() == 9 and got.where("extra = 'x'").count() == 12
     assert got._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
+
+
+def test_all_checks_of_a_model_are_one_scan(spark, tmp_path):
+    rows_ = [(1, "a", "x"), (1, "a", "y"), (2, None, "x"), (None, "b", None), (None, "b", None), (3, "c", "x")]
+    spark.createDataFrame(rows_, "k long, s string, t string").write.parquet(str(tmp_path / "m"))
+    df = spark.read.parquet(str(tmp_path / "m"))
+    checks = [Q.not_null("k"), Q.unique("k"), Q.unique("pair", "cast(k as string) || s", group_by=("k", "s")),
+              Q.unique("text", "s || '-' || t"), Q.not_null("t"), Q.unique("t")]
+    out = Q.run_checks(df, checks, "m")
+    assert [(r.test, r.col, r.failures) for r in out.collect()] == [
+        ("not_null", "k", 2), ("unique", "k", 1), ("unique", "pair", 1), ("unique", "text", 0), ("not_null", "t", 2), ("unique", "t", 1)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    empty = Q.run_checks(df.limit(0), checks, "m").collect()
+    assert [r.failures for r in empty] == [0] * 6
+    assert [r.failures for r in Q.run_checks(df, [Q.not_null("s")], "m").collect()] == [1]
