@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from civgraph.functions.columns import col_
 from civgraph.functions.names import graph_end, graph_id, graph_start, typed
+from civgraph.sources.files import list_files
 
 
 def node(df: DataFrame, id_col: str | Column, label: str, id_name: str | None = None,
@@ -171,11 +172,16 @@ MANIFEST_SCHEMA = T.StructType([
 
 
 def manifest(spark: SparkSession, nodes: Mapping[str, str], relationships: Mapping[str, str]) -> DataFrame:
-    """Import manifest: one ``--nodes=<label>=<path>`` per node file and one
-    ``--relationships=<type>=<path>`` per relationship file.  Label and type
-    are the file's base name, as it is."""
-    rows = [("node", label, path, f"--nodes={label}={path}") for label, path in nodes.items()]
-    rows += [("relationship", name, path, f"--relationships={name}={path}") for name, path in relationships.items()]
+    """Import manifest: ``--nodes=<label>=<file>`` for every node file and
+    ``--relationships=<type>=<file>`` for every relationship file; label and
+    type are the base name.  The parts of a written folder are listed after its
+    commit, one argument each: every part carries the header, so each is a
+    file that the importer takes by itself."""
+    rows = []
+    for kind, paths, option in (("node", nodes, "--nodes"), ("relationship", relationships, "--relationships")):
+        for label, path in paths.items():
+            for file in list_files(spark, path):
+                rows.append((kind, label, file, f"{option}={label}={file}"))
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
 

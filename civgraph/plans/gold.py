@@ -70,16 +70,35 @@ def contract_relationships(cp: DataFrame, eta: DataFrame) -> dict[str, DataFrame
     }
 
 
-def contract_endpoints(cp: DataFrame, eta: DataFrame, contract: str = "id") -> DataFrame:
-    """E02-E05 in one frame (relationship, siret, contract): the endpoints of
-    every contract row stacked, one semi join with the establishments."""
+def contract_ends(cp: DataFrame, contract: str = "id") -> DataFrame:
+    """Endpoints of E02-E05 stacked (relationship, siret, other): two per
+    contract row, awardees only when identified by SIRET."""
     kind = F.col("type_contrat")
     authority = F.struct(F.concat(F.lit("has_publique_"), kind).alias("relationship"),
                          F.col("siret_autorite").alias("siret"))
     awardee = F.when(F.col("type_identifiant_titulaire") == "SIRET", F.struct(
         F.concat(F.lit("gives_publique_"), kind).alias("relationship"), F.col("id_titulaire").alias("siret")))
-    ends = cp.select(F.col(contract).alias("contract"), F.explode(F.array(authority, awardee)).alias("end"))
-    return G.keep_existing(ends.select("end.relationship", "end.siret", "contract"), "siret", eta, "siret")
+    ends = cp.select(F.col(contract).alias("other"), F.explode(F.array(authority, awardee)).alias("end"))
+    return ends.select("end.relationship", "end.siret", "other")
+
+
+def subsidy_ends(sub: DataFrame) -> DataFrame:
+    """Endpoints of E06 and E07 stacked (relationship, siret, other)."""
+    ends = [F.struct(F.lit(name).alias("relationship"), F.col(side).alias("siret")) for name, side in (
+        ("provides_subvention_publique", "siret_crediteur"), ("receives_subvention_publique", "siret_beneficiaire"))]
+    return sub.select(F.col("id").alias("other"), F.explode(F.array(*ends)).alias("end")).select(
+        "end.relationship", "end.siret", "other")
+
+
+def contract_endpoints(cp: DataFrame, eta: DataFrame, contract: str = "id") -> DataFrame:
+    """E02-E05 in one frame (relationship, siret, contract): one semi join with the establishments."""
+    return G.keep_existing(contract_ends(cp, contract), "siret", eta, "siret").withColumnRenamed("other", "contract")
+
+
+def establishment_edges(cp: DataFrame, sub: DataFrame, eta: DataFrame) -> DataFrame:
+    """E02-E07 in one frame (relationship, siret, other): the registry meets
+    the endpoints of all six once."""
+    return G.keep_existing(contract_ends(cp).unionByName(subsidy_ends(sub)), "siret", eta, "siret")
 
 
 def located_in_relationships(eta: DataFrame, com: DataFrame) -> dict[str, DataFrame]:
@@ -101,18 +120,29 @@ def located_in_edges(eta: DataFrame, com: DataFrame) -> DataFrame:
         "relationship", "siret", "commune")
 
 
-def relationships(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
+#: Label of the other end of E02-E07.
+OTHER_END = {
+    "has_publique_marche": "CommandePubliqueMarche", "has_publique_concession": "CommandePubliqueConcession",
+    "gives_publique_marche": "CommandePubliqueMarche", "gives_publique_concession": "CommandePubliqueConcession",
+    "provides_subvention_publique": "SubventionPublique", "receives_subvention_publique": "SubventionPublique",
+}
+
+
+def relationships(s: dict[str, DataFrame], staged=lambda df: df) -> dict[str, DataFrame]:
+    """E01-E14.  E02-E07 and E08-E10 are two stacked frames, one join each;
+    ``staged`` may write them (by relationship), so that the files of the
+    single types read their own part of the result instead of joining again."""
     eta, com = s["ent_sirene_etablissement"], s["france_communes"]
-    cp, sub = s["ent_commande_publique"], s["ent_subvention_publique"]
-    E = G.edge_existing
+    known = staged(establishment_edges(s["ent_commande_publique"], s["ent_subvention_publique"], eta))
+    located = staged(located_in_edges(eta, com))
+
+    def one(df: DataFrame, name: str, other: str, label: str) -> DataFrame:
+        return G.edge(df.filter(F.col("relationship") == name), "siret", "Etablissement", other, label)
+
     return {
         "has_etablissement": G.edge(eta, "siren", "UniteLegale", "siret", "Etablissement"),          # E01
-        **contract_relationships(cp, eta),
-        "provides_subvention_publique": E(sub, "siret_crediteur", "Etablissement", "id",
-                                          "SubventionPublique", eta, "siret"),                      # E06
-        "receives_subvention_publique": E(sub, "siret_beneficiaire", "Etablissement", "id",
-                                          "SubventionPublique", eta, "siret"),                      # E07
-        **located_in_relationships(eta, com),
+        **{name: one(known, name, "other", label) for name, label in OTHER_END.items()},             # E02-E07
+        **{name: one(located, name, "commune", label) for name, (_, label) in LOCATED_IN.items()},   # E08-E10
         "has_departement": G.edge(s["france_departements"], "code_reg", "Region", "code_dep",
                                   "Departement"),                                                   # E11
         "has_commune": G.edge(com.filter(F.col("type_commune").isin(COM)), "code_dep", "Departement",

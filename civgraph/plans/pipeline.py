@@ -22,6 +22,7 @@ from civgraph.plans import gold
 from civgraph.plans import silver as S
 from civgraph.plans.bronze import bronze
 from civgraph.session import ensure_pipeline_conf
+from civgraph.sources.blocks import shared_table
 from civgraph.sources.prep import post
 from civgraph.sources.readers import list_files, read_seed
 
@@ -182,7 +183,8 @@ def build_all(spark: SparkSession, raw_dir: str, seeds_dir: str, out_dir: str, p
         return [r.asDict() for r in spark.read.parquet(f"{out_dir}/quality/checks.parquet")
                 .filter("failures > 0").collect()]  # at most one row per check
 
-    nodes, rels = gold.nodes(silver), gold.relationships(silver)
+    nodes = gold.nodes(silver)
+    rels = gold.relationships(silver, lambda df: shared_table(df, "relationship"))
     # the checks read silver only: they run while the graph files are written
     done = run_concurrently({
         "checks": checks,

@@ -19,48 +19,24 @@ from __future__ import annotations
 
 import fnmatch
 import os
-import re
 from collections.abc import Iterator
-from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civgraph.functions.columns import RELEASE_YEAR_PATTERN
 from civgraph.operators.relational import union_by_name
 from civgraph.sources.blocks import pieces
 from civgraph.sources.contracts import CONTRACT_ARRAYS, CONTRACTS, SEEDS, Contract
 from civgraph.sources.csv_records import read_records, text_of
+from civgraph.sources.files import list_files, newest_files
 from civgraph.sources.json_elements import read_elements
 from civgraph.sources.prep import prepare
 
 PATH_COL = "source_file_path"
 
 
-def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Files matching a glob on any Hadoop filesystem, sorted.  Only listed:
-    no job runs and no content is read."""
-    try:
-        files = spark.read.format("binaryFile").load(pattern).inputFiles()
-    except Exception as exc:  # PATH_NOT_FOUND when nothing matches
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return []
-        raise
-    return sorted(unquote(f) for f in files)
-
-
-_RELEASE = re.compile(RELEASE_YEAR_PATTERN + r"[^/]*(?:/part-[^/]*)?$")
-
-
-def newest_files(files: list[str]) -> list[str]:
-    """The files of the newest release, which their names tell (see
-    ``columns.release_year``); a file without a year is older than all others."""
-    years = [m.group(1) if (m := _RELEASE.search(f)) else "" for f in files]
-    return [f for f, y in zip(files, years) if y == max(years)]
-
-
 def _with_path(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias(PATH_COL))
 

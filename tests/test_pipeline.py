@@ -1,6 +1,7 @@
 """End-to-end: raw fixtures -> bronze -> silver -> gold, asserted row by row."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -159,6 +160,17 @@ def test_integrity_and_manifest(spark, built):
     man = spark.read.json(f"{built['root']}/out/gold/manifest")
     args = {r["argument"].split("=")[0] + "=" + r["label"] for r in man.collect()}
     assert "--nodes=etablissement" in args and "--relationships=has_commune" in args
+    listed = {}
+    for r in man.collect():  # every listed path is a file of its own, with the header
+        option, label, path = r["argument"].split("=", 2)
+        local = path.removeprefix("file:")
+        assert os.path.isfile(local) and path == r["path"] and (option, label) == (
+            {"node": "--nodes", "relationship": "--relationships"}[r["kind"]], r["label"])
+        with open(local) as fh:
+            listed.setdefault((r["kind"], r["label"]), []).append(len(fh.read().splitlines()) - 1)
+    for kind in ("node", "relationship"):
+        assert {k[1] for k in listed if k[0] == kind} == set(built["paths"][kind])
+    assert sum(listed["node", "etablissement"]) == gold(spark, built, "node", "etablissement").count()
 
 
 def test_csv_roundtrip_quotes(spark, built):
@@ -197,3 +209,8 @@ def test_stacked_edges_equal_the_files(spark, built):
                            (GOLD.located_in_edges(eta, com), GOLD.located_in_relationships(eta, com))):
         want = sorted((name, *r) for name, df in files.items() for r in df.collect())
         assert sorted(map(tuple, stacked.collect())) == want
+    for name, df in GOLD.relationships({k: silver(spark, built, k) for k in built["silver"]}).items():
+        written = gold(spark, built, "relationship", name)
+        assert written.columns == df.columns
+        as_text = df.select(*[F.col(f"`{c}`").cast("string") for c in df.columns])
+        assert sorted(map(tuple, as_text.collect()), key=repr) == sorted(map(tuple, written.collect()), key=repr), name
