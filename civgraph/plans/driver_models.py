@@ -412,3 +412,141 @@ SELECT siren, coalesce(nullif(denom,'[ND]'), nullif(trim(concat(coalesce(nullif(
 ORACLE["model_located_in"] = r"""WITH com AS (SELECT CASE c_custkey%10 WHEN 1 THEN 'COMD' WHEN 2 THEN 'ARM' WHEN 3 THEN 'COMA' ELSE 'COM' END AS type_commune, lpad(CAST(CASE WHEN c_custkey%10=1 THEN c_custkey-1 ELSE c_custkey END AS VARCHAR),19,'0') AS code_commune FROM customer WHERE c_custkey%9<>0),
 eta AS (SELECT lpad(CAST(c_custkey AS VARCHAR),14,'0') AS siret, CASE WHEN c_custkey%6<>0 THEN lpad(CAST(c_custkey AS VARCHAR),19,'0') END AS code FROM customer UNION ALL SELECT '9'||lpad(CAST(s_suppkey AS VARCHAR),13,'0'), CASE WHEN s_suppkey%5=0 THEN NULL ELSE lpad(CAST(s_suppkey AS VARCHAR),19,'0') END FROM supplier)
 SELECT CASE type_commune WHEN 'COM' THEN 'etablissement_located_in_commune' WHEN 'ARM' THEN 'etablissement_located_in_arrondissement' ELSE 'etablissement_located_in_commune_deleguee' END AS relationship, siret, code_commune AS commune FROM eta JOIN com ON eta.code=com.code_commune"""
+
+
+# ---------------------------------------------------------------- the graph as build_all writes it
+def bronze_departements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One department per nation in two releases, the older one with fewer."""
+    n = table(spark, sf_dir, "nation")
+    code = F.lpad(F.col("n_nationkey").cast("string"), 2, "0")
+    new = n.select(code.alias("DEP"), F.col("n_regionkey").cast("string").alias("REG"), F.concat(code, F.lit("001")).alias("CHEFLIEU"),
+                   (F.col("n_nationkey") % 6).cast("string").alias("TNCC"), F.col("n_name").alias("NCC"),
+                   F.initcap("n_name").alias("NCCENR"), F.concat(F.lit("Dép. "), F.col("n_name")).alias("LIBELLE"))
+    old = new.where("DEP < '20'").withColumn("LIBELLE", F.lit("old"))
+    return new.withColumn("release_year", F.lit("2026")).unionByName(old.withColumn("release_year", F.lit("2025")))
+
+
+def bronze_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = table(spark, sf_dir, "region")
+    key = F.col("r_regionkey").cast("string")
+    return r.select(key.alias("reg"), F.concat(key, F.lit("001")).alias("Cheflieu"), F.lit("1").alias("TNCC"),
+                    F.col("r_name").alias("NCC"), F.initcap("r_name").alias("NCCENR"), F.col("r_name").alias("libelle"),
+                    F.lit("2026").alias("release_year"))
+
+
+def model_geography(spark, sf_dir):
+    """Every column of the three code lists, newest release."""
+    frames = {"commune": S.france_communes(bronze_communes(spark, sf_dir), prune_files=False),
+              "departement": S.france_departements(bronze_departements(spark, sf_dir), prune_files=False),
+              "region": S.france_regions(bronze_regions(spark, sf_dir), prune_files=False)}
+    return R.union_by_name([df.withColumn("level", F.lit(k)) for k, df in frames.items()])
+
+
+def silver_establishments(spark, sf_dir):
+    artisanat = table(spark, sf_dir, "nation").select(F.col("n_name").alias("code"), F.col("n_name").alias("libelle"))
+    return S.ent_sirene_etablissement(S.sirene_etablissement(bronze_establishments(spark, sf_dir), prune_files=False), artisanat)
+
+
+def model_establishments(spark, sf_dir):
+    """Every column."""
+    return silver_establishments(spark, sf_dir)
+
+
+def graph_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The silver tables that gold reads.  Contracts and subsidies carry their
+    business id, which SQL can name, in place of the surrogate key."""
+    return {
+        "ent_sirene_unite_legale": S.sirene_unite_legale(bronze_legal_units(spark, sf_dir), prune_files=False),
+        "ent_sirene_etablissement": silver_establishments(spark, sf_dir),
+        "ent_commande_publique": S.contract_union(*contracts(spark, sf_dir)).withColumn("id", F.col("id_contrat")),
+        "ent_subvention_publique": model_subsidy_union(spark, sf_dir).withColumn(
+            "id", F.concat_ws(":", "domaine", "reference_decision", "code_commune")),
+        "france_communes": S.france_communes(bronze_communes(spark, sf_dir), prune_files=False),
+        "france_departements": S.france_departements(bronze_departements(spark, sf_dir), prune_files=False),
+        "france_regions": S.france_regions(bronze_regions(spark, sf_dir), prune_files=False),
+    }
+
+
+def model_graph_nodes(spark, sf_dir):
+    """N01-N10 through ``gold.nodes``: every node file, its label, id and
+    properties by name, with the header's id space and types."""
+    frames = []
+    for label, df in gold.nodes(graph_tables(spark, sf_dir)).items():
+        header = next(c for c in df.columns if ":ID(" in c)
+        frames.append(df.select(F.lit(label).alias("label"), F.lit(header).alias("header"), F.col(f"`{header}`").alias("id"), *[
+            F.col(f"`{c}`").alias(c.split(":")[0]) for c in df.columns if c != header]))
+    return R.union_by_name(frames)
+
+
+def model_graph_relationships(spark, sf_dir):
+    """E01-E14 through ``gold.relationships``: every edge with its type and
+    the id spaces of its ends."""
+    frames = []
+    for name, df in gold.relationships(graph_tables(spark, sf_dir)).items():
+        start, end = df.columns
+        frames.append(df.select(F.lit(name).alias("relationship"), F.lit(f"{start} {end}").alias("header"),
+                                F.col(f"`{start}`").alias("start"), F.col(f"`{end}`").alias("end")))
+    return R.union_by_name(frames)
+
+
+QUERIES |= {f.__name__: f for f in (model_geography, model_establishments, model_graph_nodes, model_graph_relationships)}
+
+_COMMUNE_SQL = r"""com AS (SELECT CASE c_custkey%10 WHEN 1 THEN 'COMD' WHEN 2 THEN 'ARM' WHEN 3 THEN 'COMA' ELSE 'COM' END AS type_commune, lpad(CAST(CASE WHEN c_custkey%10=1 THEN c_custkey-1 ELSE c_custkey END AS VARCHAR),19,'0') AS code_commune, CAST(c_nationkey AS VARCHAR) AS code_reg, lpad(CAST(c_nationkey AS VARCHAR),2,'0') AS code_dep, c_name AS name_commune, CASE WHEN c_custkey%10 IN (1,2,3) THEN lpad(CAST(c_custkey-c_custkey%10 AS VARCHAR),19,'0') END AS parent_code_commune FROM customer WHERE c_custkey%9<>0)"""
+_ETA_SQL = r"""eta AS (SELECT lpad(CAST(c_custkey AS VARCHAR),19,'0') AS siren, '00011' AS nic, lpad(CAST(c_custkey AS VARCHAR),14,'0') AS siret, 'true' AS siege, CASE WHEN c_custkey%6<>0 THEN lpad(CAST(c_custkey AS VARCHAR),19,'0') END AS commune FROM customer UNION ALL SELECT '9'||lpad(CAST(s_suppkey AS VARCHAR),19,'0'), '00029', '9'||lpad(CAST(s_suppkey AS VARCHAR),13,'0'), 'false', CASE WHEN s_suppkey%5<>0 THEN lpad(CAST(s_suppkey AS VARCHAR),19,'0') END FROM supplier)"""
+_GEO = {  # level -> column -> SQL
+    "commune": {c: c for c in ("type_commune", "code_commune", "code_reg", "code_dep", "name_commune", "parent_code_commune")},
+    "departement": {"code_dep": "lpad(CAST(n_nationkey AS VARCHAR),2,'0')", "code_reg": "CAST(n_regionkey AS VARCHAR)",
+                    "code_commune_prefecture": "lpad(CAST(n_nationkey AS VARCHAR),2,'0')||'001'",
+                    "type_name_format": "CAST(n_nationkey%6 AS VARCHAR)", "name_dep_uppercase": "n_name",
+                    "name_dep_typo_enriched": "array_to_string(list_transform(string_split(lower(n_name),' '), lambda w: upper(w[1])||w[2:]),' ')",
+                    "name_dep": "'Dép. '||n_name"},
+    "region": {"code_reg": "CAST(r_regionkey AS VARCHAR)", "code_commune_cheflieu": "CAST(r_regionkey AS VARCHAR)||'001'",
+               "type_name_format": "'1'", "name_reg_uppercase": "r_name",
+               "name_reg_typo_enriched": "array_to_string(list_transform(string_split(lower(r_name),' '), lambda w: upper(w[1])||w[2:]),' ')",
+               "name_reg": "r_name"},
+}
+_GEO_COLUMNS = list(dict.fromkeys([*S.COMMUNE_COLUMNS.values(), *S.DEPARTEMENT_COLUMNS.values(), *S.REGION_COLUMNS.values()]))
+ORACLE["model_geography"] = f"WITH {_COMMUNE_SQL}\n" + "\nUNION ALL ".join(
+    "SELECT " + ", ".join(f"{_GEO[level].get(c, 'CAST(NULL AS VARCHAR)')} AS {c}" for c in _GEO_COLUMNS)
+    + f", '2026' AS release_year, '{level}' AS level FROM {source}"
+    for level, source in (("commune", "com"), ("departement", "nation"), ("region", "region")))
+
+_ETA_COLUMNS = {"siren": "siren", "nic": "nic", "siret": "siret", "etablissement_siege": "siege",
+                "code_commune_etablissement": "commune", "release_year": "'2026'"}
+ORACLE["model_establishments"] = f"WITH {_ETA_SQL}\nSELECT " + ", ".join(
+    f"{_ETA_COLUMNS.get(c, 'NULL')} AS {c}" for c in S.ENT_ETABLISSEMENT_COLUMNS) + " FROM eta"
+
+_CONTRACTS_SQL = _MARKETS_SQL + r""",
+mu AS (SELECT 'M'||CAST(l_orderkey AS VARCHAR)||'-'||CAST(l_linenumber AS VARCHAR) AS id, lpad(CAST(o_custkey AS VARCHAR),14,'0') AS buyer, u.t.titulaire.typeIdentifiant AS typ, u.t.titulaire.id AS tit, CAST(CAST(l_extendedprice AS VARCHAR) AS DOUBLE) AS montant, CAST(l_shipdate AS DATE) AS d, 'Ligne '||CAST(l_linenumber AS VARCHAR) AS objet FROM b, unnest(b.tits) AS u(t)),
+co AS (SELECT 'C'||CAST(o_orderkey AS VARCHAR) AS id, lpad(CAST(o_custkey AS VARCHAR),14,'0') AS buyer, CASE WHEN o_orderkey%4=0 THEN 'TVA' ELSE 'SIRET' END AS typ, '9'||lpad(CAST(o_custkey AS VARCHAR),13,'0') AS tit, CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE) AS montant, CAST(o_orderdate AS DATE) AS d, o_orderpriority AS objet FROM orders),
+sub AS (SELECT concat_ws(':', domaine, reference_decision, code_commune) AS id, * FROM (""" + ORACLE["model_subsidy_union"] + r"""))"""
+
+# The headers of the node and relationship files.
+ORACLE["model_graph_nodes"] = f"{_CONTRACTS_SQL},\n{_COMMUNE_SQL},\n{_ETA_SQL}" + r"""
+SELECT 'unite_legale' AS label, 'siren:ID(UniteLegale)' AS header, lpad(CAST(c_custkey AS VARCHAR),19,'0') AS id, CASE WHEN c_custkey%7=0 THEN '[ND]' ELSE c_name END AS name, CAST(NULL AS VARCHAR) AS siren, CAST(NULL AS DOUBLE) AS montant, CAST(NULL AS DATE) AS date_contrat, CAST(NULL AS VARCHAR) AS objet, CAST(NULL AS DATE) AS date_subvention, CAST(NULL AS VARCHAR) AS code_reg, CAST(NULL AS VARCHAR) AS code_dep FROM customer WHERE c_custkey%10<>0
+UNION ALL SELECT 'etablissement', 'siret:ID(Etablissement)', siret, NULL, siren, NULL, NULL, NULL, NULL, NULL, NULL FROM eta
+UNION ALL SELECT 'commande_publique_marche', 'id:ID(CommandePubliqueMarche)', id, NULL, NULL, montant, d, objet, NULL, NULL, NULL FROM mu
+UNION ALL SELECT 'commande_publique_concession', 'id:ID(CommandePubliqueConcession)', id, NULL, NULL, montant, d, objet, NULL, NULL, NULL FROM co
+UNION ALL SELECT 'subvention_publique', 'id:ID(SubventionPublique)', id, NULL, NULL, montant, NULL, trim(description_projet), date_subvention, NULL, NULL FROM sub
+UNION ALL SELECT 'region', 'code_reg:ID(Region)', CAST(r_regionkey AS VARCHAR), r_name, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM region
+UNION ALL SELECT 'departement', 'code_dep:ID(Departement)', lpad(CAST(n_nationkey AS VARCHAR),2,'0'), 'Dép. '||n_name, NULL, NULL, NULL, NULL, NULL, CAST(n_regionkey AS VARCHAR), NULL FROM nation
+UNION ALL SELECT 'commune', 'code_commune:ID(Commune)', code_commune, name_commune, NULL, NULL, NULL, NULL, NULL, code_reg, code_dep FROM com WHERE type_commune='COM'
+UNION ALL SELECT 'commune_deleguee', 'code_commune_deleguee:ID(CommuneDeleguee)', code_commune, name_commune, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM com WHERE type_commune IN ('COMD','COMA')
+UNION ALL SELECT 'arrondissement', 'code_arrondissement:ID(Arrondissement)', code_commune, name_commune, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM com WHERE type_commune='ARM'"""
+
+ORACLE["model_graph_relationships"] = f"{_CONTRACTS_SQL},\n{_COMMUNE_SQL},\n{_ETA_SQL}" + r""",
+known AS (SELECT DISTINCT siret FROM eta),
+ends AS (
+SELECT 'has_publique_marche' AS relationship, 'CommandePubliqueMarche' AS other, buyer AS siret, id FROM mu
+UNION ALL SELECT 'has_publique_concession', 'CommandePubliqueConcession', buyer, id FROM co
+UNION ALL SELECT 'gives_publique_marche', 'CommandePubliqueMarche', tit, id FROM mu WHERE typ='SIRET'
+UNION ALL SELECT 'gives_publique_concession', 'CommandePubliqueConcession', tit, id FROM co WHERE typ='SIRET'
+UNION ALL SELECT 'provides_subvention_publique', 'SubventionPublique', siret_crediteur, id FROM sub
+UNION ALL SELECT 'receives_subvention_publique', 'SubventionPublique', siret_beneficiaire, id FROM sub)
+SELECT relationship, ':START_ID(Etablissement) :END_ID('||other||')' AS header, siret AS "start", id AS "end" FROM ends WHERE siret IN (SELECT siret FROM known)
+UNION ALL SELECT 'has_etablissement', ':START_ID(UniteLegale) :END_ID(Etablissement)', siren, siret FROM eta
+UNION ALL SELECT 'etablissement_located_in_'||CASE type_commune WHEN 'COM' THEN 'commune' WHEN 'ARM' THEN 'arrondissement' ELSE 'commune_deleguee' END, ':START_ID(Etablissement) :END_ID('||CASE type_commune WHEN 'COM' THEN 'Commune' WHEN 'ARM' THEN 'Arrondissement' ELSE 'CommuneDeleguee' END||')', siret, code_commune FROM eta JOIN com ON commune=code_commune
+UNION ALL SELECT 'has_departement', ':START_ID(Region) :END_ID(Departement)', CAST(n_regionkey AS VARCHAR), lpad(CAST(n_nationkey AS VARCHAR),2,'0') FROM nation
+UNION ALL SELECT 'has_commune', ':START_ID(Departement) :END_ID(Commune)', code_dep, code_commune FROM com WHERE type_commune='COM'
+UNION ALL SELECT 'has_commune_deleguee', ':START_ID(Commune) :END_ID(CommuneDeleguee)', parent_code_commune, code_commune FROM com WHERE type_commune IN ('COMD','COMA')
+UNION ALL SELECT 'has_arrondissement', ':START_ID(Commune) :END_ID(Arrondissement)', parent_code_commune, code_commune FROM com WHERE type_commune='ARM'"""
