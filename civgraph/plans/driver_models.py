@@ -268,6 +268,24 @@ def bronze_subsidies(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: complete(df, name) for name, df in out.items()}
 
 
+#: The line number whose records make up each source; None: the orders.
+SUBSIDY_LINES = {"culture": 1, "agriculture": 2, "anct": 3, "ademe": 4, "caisse": 5, "idf": 6, "fonds_vert": 7, "dotation": None}
+
+
+def newest_subsidies(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The records of every source's newest release.  The releases, which
+    files tell by their names, are columns here: one grouped pass finds the newest of
+    all sources (one row each), and the sources keep the rows that match it."""
+    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    lines = li.join(o.select("o_orderkey"), li["l_orderkey"] == o["o_orderkey"], "left_semi").groupBy(
+        F.col("l_linenumber").alias("line")).agg(F.max(_release("l_orderkey")).alias("newest"))
+    newest = lines.unionByName(o.groupBy(F.lit(None).cast("int").alias("line")).agg(
+        F.max(_release("o_orderkey", 7)).alias("newest")))
+    frames = bronze_subsidies(spark, sf_dir)
+    return {name: df.join(F.broadcast(newest.where(F.col("line").eqNullSafe(F.lit(SUBSIDY_LINES[name])))), F.col("release_year")
+                          == F.col("newest"), "left_semi") for name, df in frames.items()}
+
+
 def subsidy_reference(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Culture divisions (one per nation, a bounded list) and establishments:
     one per customer, head office unless the key is a multiple of 4."""
@@ -283,10 +301,9 @@ def subsidy_reference(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
 
 def model_subsidy_union(spark, sf_dir):
     """Eight subsidy sources cleaned and conformed into one shape."""
-    b = bronze_subsidies(spark, sf_dir)
+    b = newest_subsidies(spark, sf_dir)
     divisions, eta = subsidy_reference(spark, sf_dir)
-    # the release is a computed column here, not a file name: scalar-subquery form
-    kw = {"prune_files": False}
+    kw = {"prune_files": None}  # of one release already
     v20 = S.ent_subvention_publique(
         S.subvention_ministere_culture(b["culture"], **kw), divisions,
         S.subvention_ministere_agriculture(b["agriculture"], **kw), S.subvention_anct_ville(b["anct"], **kw),
