@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civgraph.functions.columns import code_prefix, col_, surrogate_key
+from civgraph.sources.blocks import shared_table
 
 
 def _maybe_broadcast(df: DataFrame, bounded: bool) -> DataFrame:
@@ -232,11 +233,43 @@ def explode_parties(df: DataFrame, list_col: str, keep: Sequence[str] | None = N
 OCCURRENCES_PER_LIST = 100_000
 
 
-def with_surrogate_key(df: DataFrame, out: str) -> DataFrame:
+# Most hashes that are broadcast (8 bytes each); beyond, rows meet them in a shuffle.
+BROADCAST_HASHES = 1_000_000
+
+
+def with_surrogate_key(df: DataFrame, out: str, by_hash: bool = False) -> DataFrame:
     """Add an md5 key over all columns and, for exact duplicates, their
     occurrence number (1, 2, ...), so every row has its own key and the set of
     keys depends on nothing but the rows.
 
+    By default rows meet their copies in one aggregation over all columns.
+    With ``by_hash`` a first job counts 64-bit hashes of the rows, and only
+    these are shuffled: a row whose hash occurs once is unlike all others and
+    gets number 1 where it is; just the rows of repeated hashes are compared and
+    numbered, so rows that merely share a hash are told apart.  ``df`` is then
+    evaluated once per step: for frames that read stored tables.  The keys are
+    the same either way.
+    """
+    def keyed(rows: DataFrame, number: Column) -> DataFrame:
+        return rows.withColumn("__i", number).select(surrogate_key(*df.columns, "__i").alias(out), *df.columns)
+
+    if not by_hash:
+        return keyed(_numbered(df), F.col("__n"))
+    hashed = df.withColumn("__hash", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    repeated = shared_table(hashed.groupBy("__hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__hash"))
+    many = repeated.limit(BROADCAST_HASHES + 1).count()
+    one = F.lit(1).cast("long")
+    if not many:
+        return keyed(df, one)
+    copied = F.broadcast(repeated) if many <= BROADCAST_HASHES else repeated
+    singles = hashed.join(copied, "__hash", "left_anti")
+    copies = _numbered(hashed.join(copied, "__hash", "left_semi").drop("__hash"))
+    return keyed(singles, one).unionAll(keyed(copies, F.col("__n")))
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """``df`` with ``__n``, the occurrence number of a row among its copies.
+
     Identical rows are counted (partial aggregation: a much-repeated row
     crosses the shuffle once per task) and numbered from the count, in lists
     of bounded length; no window gathers a group.
@@ -246,6 +279,5 @@ def with_surrogate_key(df: DataFrame, out: str) -> DataFrame:
     lists = counted.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(
         f"(__n - 1) div {OCCURRENCES_PER_LIST}"))).alias("__list"))
     first = F.col("__list") * per_list + 1
-    numbered = lists.select(*df.columns, F.explode(F.sequence(
-        first, F.least(F.col("__n"), first + per_list - 1))).alias("__i"))
-    return numbered.select(surrogate_key(*df.columns, "__i").alias(out), *df.columns)
+    return lists.select(*df.columns, F.explode(F.sequence(
+        first, F.least(F.col("__n"), first + per_list - 1))).alias("__n"))

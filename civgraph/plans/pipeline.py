@@ -135,7 +135,7 @@ def build_silver(spark: SparkSession, raw_dir: str, seeds_dir: str, out_dir: str
         "ent_sirene_etablissement": lambda: S.ent_sirene_etablissement(
             w1["sirene_etablissement"], seed("nom_activite_artisanat")),
         "ent_commande_publique": lambda: S.ent_commande_publique(
-            w1["commande_publique_marche"], w1["commande_publique_concession"]),
+            w1["commande_publique_marche"], w1["commande_publique_concession"], by_hash=True),
     }, partition_by={"ent_commande_publique": "type_contrat"})
     ent_eta = w2["ent_sirene_etablissement"]
     # wave 3: head-office fill, then the subsidy union
@@ -144,7 +144,7 @@ def build_silver(spark: SparkSession, raw_dir: str, seeds_dir: str, out_dir: str
         w1["subvention_ministere_culture"], seed("ministere_culture_division"),
         w1["subvention_ministere_agriculture"], w1["subvention_anct_ville"],
         w1["subvention_ademe_aide_financiere"], w1["dotation_soutien_territoire"],
-        w1["subvention_caisse_depots"], w1["idf_subvention_association"], fv, ent_eta))
+        w1["subvention_caisse_depots"], w1["idf_subvention_association"], fv, ent_eta, by_hash=True))
     return sv
 
 

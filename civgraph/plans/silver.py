@@ -296,9 +296,10 @@ def contract_union(marche: DataFrame, concession: DataFrame) -> DataFrame:
     return R.conform_union([m, c]).drop("id")
 
 
-def ent_commande_publique(marche: DataFrame, concession: DataFrame) -> DataFrame:  # V19
-    """The contract union with an id that only the row's own values decide."""
-    return R.with_surrogate_key(contract_union(marche, concession), "id").select(*CONTRACT_SCHEMA.fieldNames())
+def ent_commande_publique(marche: DataFrame, concession: DataFrame, by_hash: bool = False) -> DataFrame:  # V19
+    """The contract union with an id that only the row's own values decide;
+    ``by_hash`` for frames that read stored tables (see ``with_surrogate_key``)."""
+    return R.with_surrogate_key(contract_union(marche, concession), "id", by_hash).select(*CONTRACT_SCHEMA.fieldNames())
 
 
 # ---------------------------------------------------------------- subsidies
@@ -535,7 +536,7 @@ def _tags(key: str) -> dict:
 def ent_subvention_publique(culture: DataFrame, divisions: DataFrame, agriculture: DataFrame,
                             anct: DataFrame, ademe: DataFrame, dotation: DataFrame, caisse: DataFrame,
                             idf: DataFrame, fonds_vert: DataFrame, etablissements: DataFrame,
-                            pad_siren: bool = False) -> DataFrame:  # V20
+                            pad_siren: bool = False, by_hash: bool = False) -> DataFrame:  # V20
     cul = R.lookup_label(culture, divisions, {"origine_credits": "type_division",
                                               "detail_origine_credits": "nom_division"},
                          {"siret": "__payer"}, bounded=True)
@@ -590,4 +591,4 @@ def ent_subvention_publique(culture: DataFrame, divisions: DataFrame, agricultur
             **_tags("fonds_vert")}),
     ]
     union = R.conform_union(branches)
-    return R.with_surrogate_key(union, "id").select("id", *SUBSIDY_SCHEMA.fieldNames())
+    return R.with_surrogate_key(union, "id", by_hash).select("id", *SUBSIDY_SCHEMA.fieldNames())

@@ -455,3 +455,21 @@ def test_all_checks_of_a_model_are_one_scan(spark, tmp_path):
     empty = Q.run_checks(df.limit(0), checks, "m").collect()
     assert [r.failures for r in empty] == [0] * 6
     assert [r.failures for r in Q.run_checks(df, [Q.not_null("s")], "m").collect()] == [1]
+
+
+def test_surrogate_keys_by_hash(spark, tmp_path, monkeypatch):
+    data = [("a|b", "c", 1), ("a", "b|c", 1), (None, "N", 2), ("N", None, 2), ("", None, None), (None, None, None)] + [("x", "y", 3)] * 9
+    data += [(f"k{i}", "text " * 20, i) for i in range(2000)]
+    spark.createDataFrame(data, "a string, `b c` string, n int").repartition(4).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    want = sorted(map(tuple, R.with_surrogate_key(df, "id").collect()), key=repr)
+    for most in (1_000_000, 0):  # by broadcast and by shuffle
+        monkeypatch.setattr(R, "BROADCAST_HASHES", most)
+        got = R.with_surrogate_key(df.repartition(7), "id", by_hash=True)
+        assert sorted(map(tuple, got.collect()), key=repr) == want and len({r[0] for r in want}) == len(data)
+    monkeypatch.setattr(R, "BROADCAST_HASHES", 1_000_000)
+    plan = R.with_surrogate_key(df.where("n > 5"), "id", by_hash=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # no copies: no row is shuffled
+    # two rows that share a hash (nulls are skipped in it) are not taken for copies
+    twins = R.with_surrogate_key(df.where("a = 'N' OR `b c` = 'N'"), "id", by_hash=True).collect()
+    assert len({r.id for r in twins}) == 2 and {r.id for r in twins} <= {r[0] for r in want}
