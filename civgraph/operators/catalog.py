@@ -9,11 +9,14 @@ history row per key.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civgraph.functions.columns import col_
+from civgraph.sources.files import list_files
 
 # Fixed values that must equal the reference's.
 FORMATS = ("parquet", "json", "xlsx", "csv", "zip")
@@ -130,11 +133,43 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return known.select(*[F.col("r")[f.name].cast(f.dataType).alias(f.name) for f in HISTORY_SCHEMA.fields])
 
 
-def append_history(records: DataFrame, path: str) -> None:
-    """Add records; ISO timestamp text, duration as a number."""
-    out = records.select(*[F.col(c) for c in HISTORY_COLUMNS]).withColumn(
+#: Files of a history that lookups read before they are merged into one.
+HISTORY_FILES = 16
+
+
+def _as_written(records: DataFrame) -> DataFrame:
+    return records.select(*[F.col(c) for c in HISTORY_COLUMNS]).withColumn(
         "download_timestamp", F.date_format("download_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
-    out.write.mode("append").option("header", True).csv(path)
+
+
+def append_history(records: DataFrame, path: str, most_files: int = HISTORY_FILES) -> None:
+    """Add records; ISO timestamp text, duration as a number.  Once the
+    history has more than ``most_files`` files they are merged, so that a lookup
+    does not open a file per run."""
+    _as_written(records).write.mode("append").option("header", True).csv(path)
+    if len(list_files(records.sparkSession, path)) > most_files:
+        compact_history(records.sparkSession, path)
+
+
+def compact_history(spark: SparkSession, path: str) -> None:
+    """Merge the files of a history into one, with the same records.
+
+    The merged file is complete before it appears beside the old ones, which go
+    last; a run that stops in between leaves records twice, which changes no
+    lookup (``history_latest``, ``history_exists``)."""
+    old = list_files(spark, path)
+    new = f"{path.rstrip('/')}/.merged-{uuid.uuid4().hex}"  # hidden from readers
+    _as_written(read_history(spark, path)).coalesce(1).write.option("header", True).csv(new)
+    merged = list_files(spark, new)
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    files = Path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for k, file in enumerate(merged):
+        if not files.rename(Path(file), Path(f"{path.rstrip('/')}/merged-{uuid.uuid4().hex}-{k}.csv")):
+            raise OSError(f"could not move {file}")
+    if merged:
+        for file in old:
+            files.delete(Path(file), False)
+    files.delete(Path(new), True)
 
 
 def history_latest(history: DataFrame, keys=("name", "year"), ts: str = "download_timestamp",

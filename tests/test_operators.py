@@ -473,3 +473,21 @@ def test_surrogate_keys_by_hash(spark, tmp_path, monkeypatch):
     # two rows that share a hash (nulls are skipped in it) are not taken for copies
     twins = R.with_surrogate_key(df.where("a = 'N' OR `b c` = 'N'"), "id", by_hash=True).collect()
     assert len({r.id for r in twins}) == 2 and {r.id for r in twins} <= {r[0] for r in want}
+
+
+def test_history_stays_in_few_files(spark, tmp_path):
+    from civgraph.sources.files import list_files
+    path, log = str(tmp_path / "history of ü"), []
+    for run in range(7):
+        rec = (f"s{run % 3}", "d, é", "c", "p", str(2020 + run % 2), "u", 'a "b"', "csv", dt.datetime(2026, 1, 1 + run, 3, 4, 5), run / 2)
+        log.append(rec)
+        C.append_history(spark.createDataFrame([rec, rec], C.HISTORY_SCHEMA), path, most_files=4)
+        assert len(list_files(spark, path)) <= 5
+    history = C.read_history(spark, path)
+    assert rows(history, *C.HISTORY_COLUMNS) == sorted([tuple(r) for r in log + log], key=repr) or \
+        sorted(map(tuple, history.collect()), key=repr) == sorted(log + log, key=repr)
+    assert rows(C.history_latest(history), "name", "year", "last_ts") == sorted(
+        {(r[0], r[4]): (r[0], r[4], r[8]) for r in log}.values())
+    assert C.history_exists(history, "s1", "2021") and not C.history_exists(history, "s9", "2021")
+    C.compact_history(spark, path)
+    assert len(list_files(spark, path)) == 1 and C.read_history(spark, path).count() == 14
