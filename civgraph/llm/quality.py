@@ -15,12 +15,13 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FIT_PER_CLASS = 2000  # bound of the labelled rows that are fitted, for each label
@@ -33,6 +34,7 @@ NEIGHBOURS = 15
 SHARPNESS = 8  # votes weigh similarity to this power
 BLOCK = 256  # documents compared at a time
 CACHE_WORDS = 400_000
+CACHE_CHARS = 8_000_000  # of the words in the cache
 _LOWER, _UPPER = re.compile("[a-zß-ÿ]+"), re.compile("[A-ZÀ-Þ]+")
 _DIGITS, _MARKS = re.compile("[0-9]+"), re.compile(r"([^\w])\1+")
 
@@ -48,14 +50,17 @@ class TermCounter:
 
     def __init__(self) -> None:
         self.known: dict[str, tuple[int, int]] = {}
+        self.chars = 0
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         words = (text or "").split()
         known = self.known
-        if len(known) > CACHE_WORDS:
+        if len(known) > CACHE_WORDS or self.chars > CACHE_CHARS:
             known.clear()
+            self.chars = 0
         for w in set(words).difference(known):
             known[w] = _term_ids(w)
+            self.chars += len(w)
         pairs = np.array([known[w] for w in words], dtype=np.int64).reshape(-1, 2)
         ids, counts = np.unique(pairs, return_counts=True)
         if not words:
@@ -166,27 +171,33 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = FIT_PER_CLASS)
     return model
 
 
+def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
+    """The score of a text column.  The model is broadcast as plain arrays
+    (its size is fixed by the parameters above), so that executors need no
+    copy of this package; only the texts pass Python."""
+    shared = spark.sparkContext.broadcast(vars(model))
+
+    def scored(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        count, m = TermCounter(), Model(**shared.value)
+        for texts in series:
+            out = [np.zeros(0)]
+            for at in range(0, len(texts), BLOCK):
+                latent = [m.latent(*count(t)) for t in texts.iloc[at:at + BLOCK]]
+                out.append(m.scores(np.array(latent, dtype=np.float32)))
+            yield pd.Series(np.round(np.concatenate(out), 6))
+
+    return F.pandas_udf(scored, "double")
+
+
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id and score of every document.
 
     Null and empty texts have no term and get the prior, the mean of the
-    training labels.  Rows with null or repeated ids are scored like others.
+    training labels.  Rows with null or repeated ids are scored like others;
+    other columns are not read; no rows give no rows.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(model)
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, m = TermCounter(), shared.value
-        for batch in batches:
-            texts = batch.column(1)
-            out = []
-            for at in range(0, len(texts), BLOCK):
-                latent = [m.latent(*count(t)) for t in texts.slice(at, BLOCK).to_pylist()]
-                out.append(m.scores(np.array(latent, dtype=np.float32)))
-            score = np.round(np.concatenate(out), 6) if out else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], ["doc_id", "score"])
-
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        scored, "doc_id long, score double")
+    score_of = scorer(documents.sparkSession, model)
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), score_of(F.col("text")).alias("score"))
 
 
 def held_out(doc_id) -> F.Column:
@@ -201,18 +212,8 @@ def quality_digest(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def good_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents that the classifier does not reject, whole rows."""
+    """Documents that the classifier does not reject, whole rows, whatever
+    their other columns are called; no rows give no rows."""
     model = fit(documents, labels.where(~held_out(F.col("doc_id"))))
-    shared = documents.sparkSession.sparkContext.broadcast(model)
-    schema, columns = documents.schema, documents.columns
-
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, m = TermCounter(), shared.value
-        for batch in batches:
-            texts = batch.column(columns.index("text"))
-            for at in range(0, len(texts), BLOCK):
-                latent = [m.latent(*count(t)) for t in texts.slice(at, BLOCK).to_pylist()]
-                keep = np.round(m.scores(np.array(latent, dtype=np.float32)), 6) >= 0.5
-                yield batch.slice(at, BLOCK).filter(pa.array(keep))
-
-    return documents.mapInArrow(kept, schema)
+    score_of = scorer(documents.sparkSession, model)
+    return documents.where(score_of(F.col("text")) >= 0.5)

@@ -407,3 +407,50 @@ def test_quality_votes(spark, docs, none):
     assert held and sum((r.predicted == 1) == (r.doc_id < 1000) for r in held) >= 0.97 * len(held)
     mixed = quality.quality_digest(docs, labels.limit(0)).collect()
     assert all(r.score == 0.5 for r in mixed) and quality.quality_digest(none, labels).count() == 0
+
+
+def test_quality_scores_equal_plain_votes(spark, docs):
+    """Scores against a vote that sorts all labelled rows for each document."""
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 20)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    count = quality.TermCounter()
+    for text, got in docs.join(quality.score(docs, model).withColumnRenamed("score", "got"), "doc_id").select("text", "got").collect():
+        ids, counts = count(text)
+        v = quality._weighted(ids, counts, model.idf) @ model.projection[ids].astype(float)
+        norm = np.sqrt(v @ v)
+        votes = []
+        for k in range(len(model.labels)):
+            sim = float(min(1.0, max(0.0, v @ model.vectors[k] / norm if norm > 0 else 0.0)))
+            votes.append((sim, sim ** quality.SHARPNESS * model.weights[k], model.labels[k]))
+        best = sorted(votes, key=lambda x: -x[0])[:quality.NEIGHBOURS]
+        total = sum(w for _, w, _ in best)
+        want = sum(w * y for _, w, y in best) / total if total > 1e-12 else model.prior
+        assert got == pytest.approx(want, abs=2e-4)
+
+
+def test_good_documents_keep_whole_rows(spark, docs):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    kept = quality.good_documents(docs, labels)
+    assert kept.schema == docs.schema
+    score = {r.doc_id: r.score for r in quality.score(docs, quality.fit(docs, labels.where(~quality.held_out(F.col("doc_id"))))).collect()}
+    named = docs.where("doc_id IS NOT NULL")
+    want = sorted((tuple(r) for r in named.collect() if score[r.doc_id] >= 0.5), key=repr)
+    got = sorted((tuple(r) for r in kept.where("doc_id IS NOT NULL").collect()), key=repr)
+    assert got == want and 0 < len(want) < named.count()
+
+
+def test_quality_needs_no_package_on_the_executors(tmp_path):
+    """The package is on the driver's path only: workers start elsewhere."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = ("import sys; sys.path.insert(0, sys.argv[1])\n"
+            "from civgraph.session import build_session\nfrom civgraph.llm import queries\n"
+            "spark = build_session(master='local[2]', shuffle_partitions=2)\n"
+            "for f in (queries.op3_quality_votes, queries.op11_impact_topk, queries.op12_grammar_runs):\n"
+            "    print('rows', f(spark, '/root/testdata/sf0.001').count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code, root], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.stdout.split() == ["rows", "200", "rows", "50", "rows", "200"], done.stderr[-2000:]
