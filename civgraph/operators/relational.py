@@ -254,7 +254,7 @@ def with_surrogate_key(df: DataFrame, out: str, by_hash: bool = False) -> DataFr
         return rows.withColumn("__i", number).select(surrogate_key(*df.columns, "__i").alias(out), *df.columns)
 
     if not by_hash:
-        return keyed(_numbered(df), F.col("__n"))
+        return keyed(numbered_copies(df), F.col("__n"))
     hashed = df.withColumn("__hash", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     repeated = shared_table(hashed.groupBy("__hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__hash"))
     many = repeated.limit(BROADCAST_HASHES + 1).count()
@@ -263,11 +263,11 @@ def with_surrogate_key(df: DataFrame, out: str, by_hash: bool = False) -> DataFr
         return keyed(df, one)
     copied = F.broadcast(repeated) if many <= BROADCAST_HASHES else repeated
     singles = hashed.join(copied, "__hash", "left_anti")
-    copies = _numbered(hashed.join(copied, "__hash", "left_semi").drop("__hash"))
+    copies = numbered_copies(hashed.join(copied, "__hash", "left_semi").drop("__hash"))
     return keyed(singles, one).unionAll(keyed(copies, F.col("__n")))
 
 
-def _numbered(df: DataFrame) -> DataFrame:
+def numbered_copies(df: DataFrame) -> DataFrame:
     """``df`` with ``__n``, the occurrence number of a row among its copies.
 
     Identical rows are counted (partial aggregation: a much-repeated row
