@@ -10,6 +10,8 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civgraph.operators.relational import numbered_copies
+
 #: A word is a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -81,3 +83,35 @@ def ascii_lower(c: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def set_apart(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with columns that are called like results (``names``) renamed,
+    and the columns that give back the input as it was."""
+    taken = {n.lower() for n in names}
+    inner = [f"__in{i}" if c.lower() in taken else c for i, c in enumerate(df.columns)]
+    renamed = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, inner)])
+    return renamed, [F.col(f"`{n}`").alias(c) for c, n in zip(df.columns, inner)]
+
+
+#: Most row hashes that are broadcast (8 bytes each); beyond, they join by shuffle.
+BROADCAST_HASHES = 1_000_000
+
+
+def with_copy_numbers(df: DataFrame, by: list[str]) -> DataFrame:
+    """``df`` with ``__copy``: 0 for a row that no other equals in the columns
+    ``by``; else the row's number (1, 2, ...) among the rows that equal it in
+    all columns, between which it does not matter.
+
+    Only hashes are shuffled to find the repeated rows; just these are counted
+    and numbered from their counts, so that no task gathers a group."""
+    hashed = df.withColumn("__group", F.xxhash64(*[F.col(f"`{c}`").isNull() for c in by], *[F.col(f"`{c}`") for c in by]))
+    repeated = stored(hashed.groupBy("__group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__group"), "repeated")
+    many = repeated.limit(BROADCAST_HASHES + 1).count()
+    none = F.lit(0).cast("long").alias("__copy")
+    if not many:
+        return df.select("*", none)
+    repeated = F.broadcast(repeated) if many <= BROADCAST_HASHES else repeated
+    alone = hashed.join(repeated, "__group", "left_anti").drop("__group").select("*", none)
+    copies = numbered_copies(hashed.join(repeated, "__group", "left_semi").drop("__group"))
+    return alone.unionByName(copies.withColumnRenamed("__n", "__copy"))

@@ -14,18 +14,18 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civgraph.llm.common import stored, word_count
+from civgraph.llm.common import set_apart, stored, with_copy_numbers, word_count
 
 KEY_DIGITS = 15  # hexadecimal digits of the random key
 MAX_EPOCHS = 3
 
 
-def random_key(row_id: Column, text: Column, seed: str) -> Column:
+def random_key(row_id: Column, text: Column, seed: str, *more: Column) -> Column:
     """60 random bits of id and text: the same row gets the same key in any
-    run and partitioning, whatever rows surround it."""
+    run and partitioning.  ``more`` tells rows apart that are equal in both."""
     digest = F.md5(F.concat(
         F.lit(seed), F.coalesce(row_id.cast("string"), F.lit("null")), F.lit(":"),
-        F.md5(F.coalesce(text, F.lit("")).cast("binary"))).cast("binary"))
+        F.md5(F.coalesce(text, F.lit("")).cast("binary")), *[F.concat(F.lit(":"), m) for m in more]).cast("binary"))
     return F.conv(F.substring(digest, 1, KEY_DIGITS), 16, 10).cast("long")
 
 
@@ -61,7 +61,7 @@ def cuts(narrow: DataFrame) -> DataFrame:
 
     ``narrow`` has source, size and key and should be stored.  A row belongs
     to the rest if the middle of its words lies within the budget; rows with
-    equal keys (repeated rows) are taken together.
+    equal keys are taken together.
     """
     rows = narrow.count()
     bits = min(4 * KEY_DIGITS, max(1, math.ceil(math.log2(max(2, math.sqrt(rows))))))
@@ -101,11 +101,16 @@ def mix(df: DataFrame, seed: str = "mix:") -> DataFrame:
     ``copies``, the number of times the mix takes the row (0 to 3).
 
     Null text: size 0.  A null source is a source of its own.  Sources without
-    words have target 0 and give nothing.  Repeated rows are kept and taken
-    alike.  Input columns with the names of results are replaced.
+    words have target 0 and give nothing.  Repeated rows have keys of their own
+    (by their number among their copies), so a cut may lie between them.  Input
+    columns with the names of results are replaced (``mixed_documents`` keeps them).
     """
-    kept = df.drop("size", "source_size", "target", "copies")
-    size, key = word_count(F.col("text")), random_key(F.col("doc_id"), F.col("text"), seed)
+    kept = with_copy_numbers(df.drop("size", "source_size", "target", "copies"), ["doc_id", "text", "source"])
+    others = [F.col(f"`{c}`") for c in kept.columns if c not in ("doc_id", "text", "source", "__copy")]
+    rest = F.xxhash64(*others).cast("string") if others else F.lit("")
+    size, plain = word_count(F.col("text")), random_key(F.col("doc_id"), F.col("text"), seed)
+    key = F.when(F.col("__copy") == 0, plain).otherwise(
+        random_key(F.col("doc_id"), F.col("text"), seed, F.col("__copy").cast("string"), rest))
     narrow = stored(kept.select("source", size.alias("size"), key.alias("key")), "sizes")
     plan = stored(cuts(narrow), "cuts").select(
         F.col("source").alias("__source"), "source_size", "target", "epochs", "cut_key")
@@ -113,7 +118,7 @@ def mix(df: DataFrame, seed: str = "mix:") -> DataFrame:
     return (kept.join(plan, F.col("source").eqNullSafe(F.col("__source")))
             .withColumn("size", size)
             .withColumn("copies", F.col("epochs") + once_more)
-            .drop("__source", "epochs", "cut_key"))
+            .drop("__source", "epochs", "cut_key", "__copy"))
 
 
 def mix_digest(documents: DataFrame) -> DataFrame:
@@ -123,7 +128,8 @@ def mix_digest(documents: DataFrame) -> DataFrame:
 
 
 def mixed_documents(documents: DataFrame) -> DataFrame:
-    """The mix as documents: a row taken n times is there n times."""
-    mixed = mix(documents).where("copies > 0")
-    return mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
-        documents.columns)
+    """The mix as documents, their columns as they were: a row taken n times
+    is there n times."""
+    inner, back = set_apart(documents, ("size", "source_size", "target", "copies", "epochs", "cut_key"))
+    mixed = mix(inner).where("copies > 0")
+    return mixed.withColumn("__taken", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*back)

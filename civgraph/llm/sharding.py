@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civgraph.llm.common import stored
+from civgraph.llm.common import stored, with_copy_numbers
 
 KEY_BITS = 63
 ROUND_BITS = 11  # 2,048 candidate boundaries per open range and round
@@ -32,10 +32,11 @@ class _Cut:
     bytes: int = 0
 
 
-def order_key(text: Column, row_id: Column) -> Column:
+def order_key(text: Column, row_id: Column, *more: Column) -> Column:
+    """``more`` tells rows apart that are equal in text and id."""
     body = F.coalesce(text, F.lit(""))
     high = F.shiftright(F.xxhash64(body), 33).bitwiseAND(F.lit(0x7FFFFFFF))
-    low = F.xxhash64(row_id, body).bitwiseAND(F.lit(0xFFFFFFFF))
+    low = F.xxhash64(row_id, body, *more).bitwiseAND(F.lit(0xFFFFFFFF))
     return F.shiftleft(high, 32).bitwiseOR(low)
 
 
@@ -85,13 +86,15 @@ def with_shards(df: DataFrame, shards: int, text: str = "text", row_id: str = "d
     A row weighs the UTF-8 bytes of its text (null: none) plus 8.  A shard is
     sorted in pieces of about ``piece_bytes``, as many as the data needs, so
     that no task sorts a whole shard.  Null
-    ids and texts are ordinary values.  Rows equal in id and text share a key
-    and stay in one piece.  An empty input gives no rows.  Input columns named
-    ``shard`` or ``slot`` are replaced.
+    ids and texts are ordinary values.  Repeated rows have keys of their own, by
+    their number among their copies, so they too are cut and spread.  An empty input
+    gives no rows.  Input columns named ``shard`` or ``slot`` are replaced.
     """
-    kept = df.drop("shard", "slot")
+    kept = with_copy_numbers(df.drop("shard", "slot"), [text, row_id])
     size = (F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 8).cast("long")
-    key = order_key(F.col(text), F.col(row_id))
+    others = [F.col(f"`{c}`") for c in kept.columns if c not in (text, row_id, "__copy")]
+    key = F.when(F.col("__copy") == 0, order_key(F.col(text), F.col(row_id))).otherwise(
+        order_key(F.col(text), F.col(row_id), F.col("__copy"), *others))
     narrow = stored(kept.select(key.alias("__key"), size.alias("__size")), "keys")
     total = narrow.agg(F.sum("__size")).first()[0] or 0
     per_shard = max(1, round(total / shards / piece_bytes))
@@ -134,7 +137,7 @@ def with_shards(df: DataFrame, shards: int, text: str = "text", row_id: str = "d
             .join(F.broadcast(start_df), "__piece")
             .withColumn("shard", F.expr(f"__piece div {per_shard}").cast("int"))
             .withColumn("slot", F.col("__start") + F.col("__rank") - 1)
-            .drop("__piece", "__key", "__rank", "__start"))
+            .drop("__piece", "__key", "__rank", "__start", "__copy"))
 
 
 def shard_digest(documents: DataFrame, shards: int = 24) -> DataFrame:

@@ -454,3 +454,64 @@ def test_quality_needs_no_package_on_the_executors(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code, root], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert done.stdout.split() == ["rows", "200", "rows", "50", "rows", "200"], done.stderr[-2000:]
+
+
+def repeated_rows(spark, n=1000):
+    """n rows equal in id and text, n with null ids, among others."""
+    rows = [(7, "one two three", "en", "s0", i % 2, "size", "items") for i in range(n)]
+    rows += [(None, "four five", "en", "s1", 3, "size", "items")] * n
+    rows += [(i, "word " * (i % 9), "fr", f"s{i % 3}", i, f"size {i}", f"items {i}") for i in range(10_000, 10_600)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, size string, items string")
+
+
+def test_mix_cuts_between_repeated_rows(spark):
+    docs = repeated_rows(spark).repartition(5)
+    got = mixing.mix_digest(docs).collect()
+    assert len(got) == docs.count()
+    taken, target = {}, {}
+    for r in got:
+        taken[r.source_size] = taken.get(r.source_size, 0) + r.taken
+        target[r.source_size] = r.target
+    assert all(abs(taken[s] - target[s]) <= 9 for s in taken) and len(taken) == 3
+    again = mixing.mix_digest(docs.repartition(11)).collect()
+    assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, got), key=repr)
+    assert len({r.taken for r in got if r.doc_id == 7}) == 2
+
+
+def test_shards_spread_repeated_rows(spark):
+    docs = repeated_rows(spark).repartition(5)
+    for rows in (docs, docs.select("doc_id", "text")):
+        got = sharding.with_shards(rows, 4)
+        assert got.columns == [*rows.columns, "shard", "slot"] and got.count() == rows.count()
+        sizes = [r[0] for r in got.groupBy("shard").agg(F.sum(F.octet_length("text") + 8)).select("sum((octet_length(text) + 8))").collect()]
+        assert len(sizes) == 4 and max(sizes) - min(sizes) < 0.03 * sum(sizes) / 4 + 100
+        for s in range(4):
+            slots = sorted(r.slot for r in got.where(f"shard = {s}").collect())
+            assert slots == list(range(len(slots)))
+
+
+def test_stages_keep_the_values_of_clashing_columns(spark):
+    docs = repeated_rows(spark, 20).withColumn("n_words", F.lit(-5)).withColumn("Spans", F.col("lang")).withColumn(
+        "copies", F.col("doc_id")).withColumn("target", F.lit("t")).withColumn("epochs", F.lit("e"))
+    bench = spark.createDataFrame([(1, "word " * 8)], "item_id long, text string")
+    plain = {repr(tuple(r)) for r in docs.collect()}
+    for out in (mixing.mixed_documents(docs), decontaminate.clean_documents(docs, bench)):
+        assert out.schema == docs.schema and out.count() > 0
+        assert {repr(tuple(r)) for r in out.collect()} <= plain
+    left = decontaminate.without_spans(docs, bench)
+    assert left.schema == docs.schema and left.drop("text").exceptAll(docs.drop("text")).count() == 0 and left.count() == docs.count()
+    assert decontaminate.clean_documents(docs, bench).count() < docs.count()
+
+
+def test_decontamination_of_very_long_texts(spark, monkeypatch):
+    """100,000 words; by broadcast and by shuffle; an item without an id."""
+    w = [f"v{_R.randrange(10**6)}" for _ in range(100_000)]
+    items = [(None, " ".join(w[500:520])), (3, " ".join(w[99_980:])), (4, "v1 v2 v3 nowhere"), (5, " ".join(w[40_000:40_004]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(w)), (2, " ".join(w[505:530])), (None, None)], "doc_id long, text string")
+    for most in (500_000, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", most)
+        got = {r.doc_id: r for r in decontaminate.contamination(docs, bench).collect()}
+        assert [(s["from"], s["to"]) for s in got[1].spans] == [(500, 520), (40_000, 40_004), (99_980, 100_000)]
+        assert (got[1].n_words, got[1].n_hit, got[1].items, got[1].contaminated) == (100_000, 44, ["3", "5"], False)
+        assert (got[2].n_hit, got[2].items, got[2].contaminated) == (15, [], True) and got[None].n_words == 0
