@@ -5,6 +5,10 @@ beyond ASCII.  A window is ``n`` consecutive words of a benchmark item; an
 item of fewer words, but not none, is one window.  The window hashes of the
 items are broadcast while their size is proven small, else joined by shuffle;
 every document window looks itself up and a hit is verified word by word.
+
+Words are hashed once and windows by the hashes of their words.  A table of
+marks, one per hash slot, rules most document windows out inside their row;
+only those left become rows, each with its own words.
 """
 
 from __future__ import annotations
@@ -12,12 +16,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civgraph.llm.common import ascii_lower, stored
+from civgraph.llm.common import ascii_lower, set_apart, stored
 
 # Fixed value: characters between words, after lower-casing
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 N = 13
 BROADCAST_WINDOWS = 500_000  # rows of (hash, length, words, items): some 100 MB
+MARK_SLOTS = 1 << 20  # at least; 16 for a window, so at most 8 MB
+RESULTS = ("n_words", "n_hit", "spans", "items", "contaminated")
 
 
 def words(text: Column) -> Column:
@@ -34,7 +40,20 @@ def item_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
     windows = items.select("item_id", "w", length.alias("len"), F.explode(starts).alias("at")).select(
         "item_id", "len", F.slice("w", F.col("at"), F.col("len")).alias("window"))
     return windows.groupBy("len", "window").agg(F.collect_set("item_id").alias("items")).select(
-        "len", F.xxhash64("window").alias("hash"), "window", "items")
+        "len", F.xxhash64(word_hashes("window")).alias("hash"), "window", "items")
+
+
+def word_hashes(words_: str) -> Column:
+    return F.transform(words_, lambda w: F.xxhash64(w))
+
+
+def marks(windows: DataFrame, rows: int) -> tuple[int, Column]:
+    """Slots, a power of two, and a byte for each: 1 if a window's hash falls on it."""
+    slots = max(MARK_SLOTS, 1 << (16 * rows).bit_length())
+    marked = bytearray(slots)
+    for r in windows.select(F.col("hash").bitwiseAND(F.lit(slots - 1)).alias("slot")).distinct().collect():
+        marked[r.slot] = 1
+    return slots, F.lit(bytes(marked))
 
 
 def hits(documents: DataFrame, windows: DataFrame) -> DataFrame:
@@ -43,24 +62,26 @@ def hits(documents: DataFrame, windows: DataFrame) -> DataFrame:
     A document is scanned once per window length that occurs among the items
     (at most ``n`` lengths)."""
     lengths = sorted(r[0] for r in windows.select("len").distinct().collect())
-    table = windows.withColumnRenamed("hash", "h")
-    if windows.count() <= BROADCAST_WINDOWS:
+    rows = windows.count()
+    table, passes = windows.withColumnRenamed("hash", "h"), lambda h: F.lit(True)
+    if rows <= BROADCAST_WINDOWS:
         table = F.broadcast(table)
-    scanned = documents.select("__id", "__text_hash", words(F.col("text")).alias("w"))
+        slots, marked = marks(windows, rows)
+        passes = lambda h: F.substring(marked, (h.bitwiseAND(F.lit(slots - 1)) + 1).cast("int"), F.lit(1)) == F.lit(b"\x01")
+    scanned = documents.select("__id", "__text_hash", words(F.col("text")).alias("w")).withColumn("wh", word_hashes("w"))
     empty = F.array().cast("array<struct<len:int,at:int,h:bigint>>")
 
     def keys(length):
         starts = F.sequence(F.lit(1), F.size("w") - length + 1)
-        return F.when(F.size("w") >= length, F.transform(starts, lambda at: F.struct(
-            F.lit(length).alias("len"), at.cast("int").alias("at"),
-            F.xxhash64(F.slice("w", at, length)).alias("h")))).otherwise(empty)
+        every = F.transform(starts, lambda at: F.struct(
+            F.lit(length).alias("len"), at.cast("int").alias("at"), F.xxhash64(F.slice("wh", at, length)).alias("h")))
+        return F.when(F.size("w") >= length, F.filter(every, lambda k: passes(k["h"]))).otherwise(empty)
 
-    every = F.concat(empty, *map(keys, lengths))
-    looked = scanned.select("__id", "__text_hash", "w", F.explode(every).alias("k")).select(
-        "__id", "__text_hash", "w", "k.*")
+    left = F.transform(F.concat(empty, *map(keys, lengths)), lambda k: F.struct(
+        k["len"].alias("len"), k["at"].alias("at"), k["h"].alias("h"), F.slice("w", k["at"], k["len"]).alias("mine")))
+    looked = scanned.select("__id", "__text_hash", F.explode(left).alias("k")).select("__id", "__text_hash", "k.*")
     found = looked.join(table, ["len", "h"])
-    return found.where(F.slice("w", F.col("at"), F.col("len")) == F.col("window")).select(
-        "__id", "__text_hash", "at", "len", "items")
+    return found.where(F.col("mine") == F.col("window")).select("__id", "__text_hash", "at", "len", "items")
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, n: int = N, percent: int = 5) -> DataFrame:
@@ -70,13 +91,14 @@ def contamination(documents: DataFrame, benchmark: DataFrame, n: int = N, percen
     (n_hit > 0 and 100 * n_hit >= percent * n_words).
 
     Null texts and ids are ordinary values; rows with one id are told apart by
-    their text.  Result names that clash with input columns replace them.  An
-    empty benchmark hits nothing.
+    their text.  Result names that clash with input columns replace them
+    (``clean_documents`` and ``without_spans`` keep those).  An item without an id
+    is hit like others but is in no list.  An empty benchmark hits nothing.
     """
-    mine = ("n_words", "n_hit", "spans", "items", "contaminated")
-    kept = documents.drop(*mine)
+    kept = documents.drop(*RESULTS)
+    n_words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
     keyed = kept.withColumn("__id", F.col("doc_id")).withColumn(
-        "__text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+        "__text_hash", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn("n_words", n_words.cast("long"))
     windows = stored(item_windows(benchmark, n), "windows")
     found = hits(keyed, windows)
     # one row per document: its hit starts, at most one per word and length
@@ -103,14 +125,14 @@ def contamination(documents: DataFrame, benchmark: DataFrame, n: int = N, percen
     by_doc = by_doc.select(
         F.col("__id").alias("__hit_id"), F.col("__text_hash").alias("__hit_text"), spans.alias("spans"),
         F.array_sort(F.array_distinct(F.transform(F.flatten("item_sets"), lambda i: i.cast("string")))).alias("items"))
+    # written first: a document that is there very often can then be split in the join
+    by_doc = stored(by_doc, "hits")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["to"] - s["from"])
     joined = keyed.join(by_doc, F.col("__id").eqNullSafe(F.col("__hit_id"))
                         & (F.col("__text_hash") == F.col("__hit_text")), "left")
-    n_words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
     return (joined.drop("__id", "__text_hash", "__hit_id", "__hit_text")
             .withColumn("spans", F.coalesce("spans", empty))
             .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
-            .withColumn("n_words", n_words.cast("long"))
             .withColumn("n_hit", n_hit)
             .withColumn("contaminated", (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= percent * F.col("n_words"))))
 
@@ -123,14 +145,17 @@ def contamination_digest(documents: DataFrame, benchmark: DataFrame) -> DataFram
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without the contaminated ones."""
-    return contamination(documents, benchmark).where(~F.col("contaminated")).select(documents.columns)
+    """Documents without the contaminated ones, their columns as they were."""
+    inner, back = set_apart(documents, RESULTS)
+    return contamination(inner, benchmark).where(~F.col("contaminated")).select(*back)
 
 
 def without_spans(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Every document, its hit words blanked out: the normalised text that is
-    left, words joined by one space.  Documents without a hit stay untouched."""
-    found = contamination(documents, benchmark)
+    left, words joined by one space.  Documents without a hit and all other
+    columns stay untouched."""
+    inner, back = set_apart(documents, RESULTS)
+    found = contamination(inner, benchmark)
     left = F.filter(words(F.col("text")), lambda w, i: ~F.exists("spans", lambda s: (i >= s["from"]) & (i < s["to"])))
     return found.withColumn("text", F.when(F.col("n_hit") > 0, F.concat_ws(" ", left)).otherwise(
-        F.col("text"))).select(documents.columns)
+        F.col("text"))).select(*back)

@@ -88,7 +88,7 @@ dw AS (SELECT rid, n, pos, list_slice(w, pos, pos + n - 1) AS win
        FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS pos FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
 h AS (SELECT dw.rid, dw.pos, dw.n, bw.item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.win = bw.win),
 p AS (SELECT rid, count(DISTINCT word) AS n_hit FROM (SELECT rid, unnest(range(pos, pos + n)) AS word FROM (SELECT DISTINCT rid, pos, n FROM h)) GROUP BY rid),
-i AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+i AS (SELECT rid, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items
       FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY rid)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(p.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
        sha256(coalesce(i.items, '')) AS items_sha256,
@@ -97,8 +97,9 @@ FROM d LEFT JOIN p USING (rid) LEFT JOIN i USING (rid)""",
     "op9_mix_sources": r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         CAST(concat('0x', left(md5(concat('mix:', coalesce(CAST(doc_id AS VARCHAR), 'null'), ':',
-                                           md5(coalesce(text, '')))), 15)) AS BIGINT) AS key
+         CAST(concat('0x', left(md5(concat('mix:', coalesce(CAST(doc_id AS VARCHAR), 'null'), ':', md5(coalesce(text, '')),
+           CASE WHEN count(*) OVER (PARTITION BY doc_id, text, source) > 1
+                THEN ':' || row_number() OVER (PARTITION BY doc_id, text, source) || ':' ELSE '' END)), 15)) AS BIGINT) AS key
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 r AS (SELECT *, (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1 AS w, 3 * source_size AS c FROM s),
