@@ -49,7 +49,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, index of the first id of each word, and escaped ids.
 
     At each id the word takes as many ids as fit; which counts fit is known
-    for all positions at once from running counts of too-wide ids.
+    for all positions at once from the places of the ids that are narrow enough.
     """
     ids = np.ascontiguousarray(ids, dtype=np.uint64)
     n = len(ids)
@@ -57,10 +57,10 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     needs = np.searchsorted(np.array([1 << w for w in WIDTHS], dtype=np.uint64), ids, side="right").astype(np.uint8)
     for s in range(len(COUNTS), 0, -1):
         count = COUNTS[s - 1]
-        wide = np.zeros(n + count + 1, dtype=np.int32)
-        np.cumsum(needs >= s, out=wide[1:n + 1])
-        wide[n + 1:] = wide[n]  # past the end: zeros, cut off by n_ids
-        choice[wide[count:count + n] == wide[:n]] = s
+        narrow = np.flatnonzero(needs < s)
+        # past the end: zeros, cut off by n_ids
+        last = np.append(narrow, np.arange(n, n + count - 1))[count - 1:count - 1 + len(narrow)]
+        choice[narrow[last - narrow == count - 1]] = s
     step = np.array((1, *COUNTS))[choice].tolist()
     at, starts = 0, []
     while at < n:
@@ -105,7 +105,8 @@ class _PieceEncoder:
 
     Only for tokenizers whose pre-tokenizer drops white space, as pieces
     between blanks and line breaks are then encoded independently; others
-    encode whole texts.  The pieces kept are bounded in number and length.
+    encode whole texts.  The pieces kept are bounded in number and length: once
+    half of the bound is new, what was not used since the last such time goes.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -123,6 +124,7 @@ class _PieceEncoder:
         self.by_piece = lowers and drops_space
         self.end = np.array([end_id], dtype="<u4").tobytes()
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
@@ -157,9 +159,12 @@ class _PieceEncoder:
         # strings; a mark between a letter and a blank is a run of its own
         split = [LONE_MARK.sub(r" \1", (t.lower() if LATIN.fullmatch(t) and "<|" not in t else t).replace(
             "\n", " ")).split(" ") for t in texts]
-        if len(self.known) > CACHE_PIECES:
-            self.known = {"": b""}
-        new = list(set().union(*split).difference(self.known))
+        if len(self.known) > CACHE_PIECES // 2:
+            self.older, self.known = self.known, {"": b""}
+        new = set().union(*split).difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update((p, self.older[p]) for p in again)
+        new = list(new - again)
         self._learn(new)
         out = [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)) + self.end, dtype="<u4")
                for pieces in split]
