@@ -7,8 +7,10 @@ alphabet, runs above and below the middle, serial correlation of neighbours.
 Each run gets one p-value (Bonferroni over the three tests) under "random".
 Runs of one alphabet and length class form a family; in each family the
 Benjamini-Hochberg rule says which runs are not random, and only the others
-are reported.  Short runs would pass for want of power, so a run must be long
-enough that ordinary text of its length would be told apart.
+are reported.  So the rate that is held at ``FALSE_DISCOVERY`` is that of random
+runs among those called not random.  What keeps ordinary text from being reported
+is power: a run must be long enough that the battery refuses nearly all words
+of its alphabet and length.
 """
 
 from __future__ import annotations
@@ -31,13 +33,20 @@ ALPHABETS = {
     "digits": "0123456789",
     "hex": "0123456789abcdef",
     "HEX": "0123456789ABCDEF",
+    "lower": "abcdefghijklmnopqrstuvwxyz",
+    "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
     "BASE36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base62": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64": "+/0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64url": "-0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz",
 }
+#: Ordinary text has runs of letters only: the least length at which the battery
+#: refuses 95 % of runs of joined words (p up to 0.01; measured on English words, 300
+#: runs a length, and on those of the corpus, where less is enough).
+WORDS_REFUSED = {"lower": 64, "upper": 64, "letters": 40}
 RUN = r"[A-Za-z0-9+/_-]{20,}"
 FALSE_DISCOVERY = 0.01
 _KINDS = [*BASE, "random"]
@@ -113,8 +122,10 @@ def random_runs(runs: DataFrame) -> DataFrame:
     limit = FALSE_DISCOVERY * F.sum("count").over(upto) / F.sum("count").over(family)
     refused = steps.withColumn("ok", F.pow(F.lit(10.0), (F.col("step") + 1) / 4) <= limit).groupBy(
         "alphabet", "length_class").agg(F.max(F.when(F.col("ok"), F.col("step"))).alias("worst"))
-    # power: n symbols give about n * log2(m) bits; words of that length have about a quarter
-    enough = F.col("n") * F.log2("m") >= 96
+    # power: measured for letters; digits among them are no ordinary words, there n symbols
+    # must give 96 bits
+    measured = F.create_map(*[F.lit(x) for kv in WORDS_REFUSED.items() for x in kv])
+    enough = F.coalesce(F.col("n") >= F.element_at(measured, F.col("alphabet")), F.col("n") * F.log2("m") >= 96)
     return tested.join(refused, ["alphabet", "length_class"]).where(
         (F.col("worst").isNull() | (F.col("step") > F.col("worst"))) & enough)
 
@@ -125,7 +136,7 @@ def scan(documents: DataFrame) -> DataFrame:
 
     Null texts are empty.  Rows with one id are told apart by their text;
     repeated rows get the same result.  A random run that overlaps a base span
-    is not reported again.
+    is not reported again.  Other columns are not read; no rows give no rows.
     """
     keyed = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     text = F.col("text")
