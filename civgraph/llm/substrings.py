@@ -28,23 +28,29 @@ from civgraph.llm.common import forget, stored
 
 K, M = 20, 8
 CACHE_WORDS = 400_000
+POSITION_BITS = 24
 _ODD = 0x9E3779B97F4A7C15
 
 
+class _Known(dict):
+    """64-bit hashes of words, each computed when first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
 class WordHashes:
     """64-bit hashes of the words of whole texts; the cache is bounded."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = _Known()
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").encode("utf-8", "surrogatepass").split()
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        return np.fromiter(map(self.known.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def _grams(words: np.ndarray, n: int, seed: int) -> np.ndarray:
@@ -57,12 +63,23 @@ def _grams(words: np.ndarray, n: int, seed: int) -> np.ndarray:
     return h
 
 
-def _minimizers(words: np.ndarray) -> np.ndarray:
-    """For every k-mer the position of its minimizer, the leftmost least m-mer."""
+def _minimizers(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all m-mers, and for every k-mer the position of its
+    minimizer: the leftmost of those whose hash is least in its upper bits."""
+    grams, width = _grams(words, M, 1), K - M + 1
     if len(words) < K:
-        return np.zeros(0, dtype=np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(_grams(words, M, 1), K - M + 1)
-    return views.argmin(axis=1) + np.arange(len(views))
+        return grams, np.zeros(0, dtype=np.int64)
+    low = np.uint64((1 << POSITION_BITS) - 1)
+    if len(grams) > int(low):
+        views = np.lib.stride_tricks.sliding_window_view(grams & ~low, width)
+        return grams, views.argmin(axis=1) + np.arange(len(views))
+    least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)  # so the least one tells its position
+    span = 1
+    while 2 * span <= width:
+        least, span = np.minimum(least[:-span], least[span:]), 2 * span
+    if span < width:
+        least = np.minimum(least[:span - width], least[width - span:])
+    return grams, (least & low).astype(np.int64)
 
 
 def _minimizer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,7 +90,10 @@ def _minimizer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             m, k, c = [], [], []
             for key, text in zip(keys[at:at + 128], batch.column(0).slice(at, 128).to_pylist()):
                 words = hashes(text)
-                found, counts = np.unique(_grams(words, M, 1)[np.unique(_minimizers(words))], return_counts=True)
+                grams, places = _minimizers(words)
+                # neighbours share minimizers, whose places only grow
+                places = places[np.append(True, places[1:] != places[:-1])] if len(places) else places
+                found, counts = np.unique(grams[places], return_counts=True)
                 m.append(found.astype(np.int64))
                 k.append(np.full(len(found), key))
                 c.append(counts)
@@ -90,7 +110,8 @@ def _edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, text in enumerate(batch.column(0).slice(at, 64).to_pylist(), at):
                 words = hashes(text)
                 repeated = batch.column(3)[i].values.to_numpy().view(np.uint64)
-                pos = np.flatnonzero(np.isin(_grams(words, M, 1)[_minimizers(words)], repeated))
+                grams, places = _minimizers(words)
+                pos = np.flatnonzero(np.isin(grams, repeated)[places])
                 near = np.full(len(words) + 2, -1, dtype=np.int32)
                 near[1:-1] = words >> np.uint64(33)
                 out.append((_grams(words, K, 2)[pos].view(np.int64), near[pos], near[pos + K + 1],

@@ -515,3 +515,19 @@ def test_decontamination_of_very_long_texts(spark, monkeypatch):
         assert [(s["from"], s["to"]) for s in got[1].spans] == [(500, 520), (40_000, 40_004), (99_980, 100_000)]
         assert (got[1].n_words, got[1].n_hit, got[1].items, got[1].contaminated) == (100_000, 44, ["3", "5"], False)
         assert (got[2].n_hit, got[2].items, got[2].contaminated) == (15, [], True) and got[None].n_words == 0
+
+
+def test_minimizers_are_those_of_a_plain_search(monkeypatch):
+    rng = np.random.default_rng(4)
+    for n in (5, 19, 20, 21, 300):
+        words = rng.integers(0, 12, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        grams, got = substrings._minimizers(words)
+        upper = [int(g) >> 24 for g in grams]
+        width = substrings.K - substrings.M + 1
+        want = [min(range(i, i + width), key=lambda p: (upper[p], p)) for i in range(max(0, n - substrings.K + 1))]
+        assert got.tolist() == want and (np.diff(got) >= 0).all()
+        with monkeypatch.context() as m:  # the way of texts with more m-mers than positions can be told
+            m.setattr(substrings, "POSITION_BITS", 2)
+            upper = [int(g) >> 2 for g in grams]
+            want = [min(range(i, i + width), key=lambda p: (upper[p], p)) for i in range(max(0, n - substrings.K + 1))]
+            assert substrings._minimizers(words)[1].tolist() == want or n < 24
