@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civgraph.llm.common import stored
+from civgraph.llm.common import forget, stored
 from civgraph.llm.graph import components
 
 COUNTER_BITS = 21
@@ -242,8 +242,12 @@ def _grouped(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, Dat
     sets = stored(_sets(documents, n), "sets")
     rows = sets.where("slice IS NULL").select("doc_id", "text_hash", "size", "v")
     prefixes = stored(_prefixes(sets, percent, _frequencies(sets)), "prefixes")
-    shared = prefixes.groupBy("token").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo <> hi")
-    groups = stored(prefixes.join(shared.select("token"), "token").dropDuplicates(["token", "v"]), "groups")
+    # written first: a side that is still being grouped by the key forbids Spark to split a hot key
+    shared = stored(prefixes.groupBy("token").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo <> hi").select(
+        "token"), "shared")
+    groups = stored(prefixes.join(shared, "token").dropDuplicates(["token", "v"]), "groups")
+    forget(prefixes)
+    forget(shared)
     return sets, rows, groups
 
 
