@@ -102,15 +102,24 @@ def test_byte_cuts_are_exact_and_send_one_boundary_a_cut(spark, monkeypatch):
         assert c.bytes == sum(b for k, b in data if k < c.key) and abs(c.bytes - t) <= 60
 
 
-def test_sharding_pieces_grow_with_the_data(spark, monkeypatch):
+def test_sharding_pieces_grow_with_the_data_and_the_driver_does_not(spark, monkeypatch):
+    """Cuts are asked for shards only; pieces stay small, also those of a hot text."""
     asked, cuts = [], sharding.byte_cuts
     monkeypatch.setattr(sharding, "byte_cuts", lambda rows, targets, t: asked.append(len(targets)) or cuts(rows, targets, t))
-    many = spark.range(6000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
-    got = sharding.with_shards(many, 2, piece_bytes=100).collect()
-    total = sum(len(r.text) + 8 for r in got)
-    assert asked == [2 * round(total / 200) - 1] and asked[0] > 2 * 256
+    many = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot text").otherwise(
+        F.col("id").cast("string")).alias("text"))
+    got = sharding.with_shards(many, 2, piece_bytes=400).collect()
+    assert asked == [1]
     for s in range(2):
         assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    key = sharding.order_key(F.col("text"), F.col("doc_id"))
+    narrow = many.select(key.alias("__key"), (F.length("text") + 8).cast("long").alias("__size")).cache()
+    total = narrow.agg(F.sum("__size")).first()[0]
+    pieces = sharding.with_pieces(narrow, narrow, total, 400).groupBy("__piece").agg(F.sum("__size").alias("b"), F.min("__key").alias("k"))
+    sizes = [r.b for r in pieces.collect()]
+    assert sum(sizes) == total and len(sizes) > 100 and max(sizes) <= 2400
+    order = [r["__piece"] for r in sharding.with_pieces(narrow, narrow, total, 400).orderBy("__key").collect()]
+    assert order == sorted(order)
 
 
 def test_simple8b_round_trip():
