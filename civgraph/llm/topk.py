@@ -30,9 +30,9 @@ LEVELS = 32  # quantised values of a dimension in a block
 BLOCK = 4096  # vectors of one block
 GROUP = 64  # blocks whose queries meet a block in one task
 #: Shares of the postings after which members are counted.
-STOPS = (0.5, 0.65, 0.8, 1.0)
-#: Share of a block that may be left to score.
-LEFT = 1 / 16
+STOPS = (0.6, 0.8, 1.0)
+#: Share of a block that may be left to score: that costs less than going on from there.
+LEFT = 1 / 4
 HUGE = 2.0 ** 500  # components further from zero count as this
 TOP = 2 ** 63 - 1  # scores further from zero count as this
 
@@ -66,7 +66,7 @@ class Block:
         key = level + np.arange(dims)[:, None] * LEVELS
         first = np.ones(n * dims, bool)
         first[1:] = key.ravel()[1:] != key.ravel()[:-1]
-        self.postings = order.ravel().astype(np.int32)
+        self.postings = order.ravel()
         self.start = np.flatnonzero(first)
         self.stop = np.append(self.start[1:], n * dims)
         self.dim = self.start // n
