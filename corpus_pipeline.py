@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from civgraph.llm import decontaminate, jaccard, mixing, quality, simple8b
-from civgraph.llm.common import shared_folder, stored, table
+from civgraph.llm.common import forget, shared_folder, stored, table
 from civgraph.llm.queries import word_tokenizer
 
 
@@ -51,7 +51,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, written = table(spark, sf_dir, "documents"), False
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        kept = stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        if written:  # the next stage reads what this one kept
+            forget(docs)
+        docs, written = kept, True
     return STAGES[-1][1](spark, docs, sf_dir)
