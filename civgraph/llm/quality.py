@@ -19,7 +19,6 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +32,7 @@ RANK = 48
 NEIGHBOURS = 15
 SHARPNESS = 8  # votes weigh similarity to this power
 BLOCK = 256  # documents compared at a time
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 CACHE_CHARS = 8_000_000  # of the words in the cache
 _LOWER, _UPPER = re.compile("[a-zß-ÿ]+"), re.compile("[A-ZÀ-Þ]+")
 _DIGITS, _MARKS = re.compile("[0-9]+"), re.compile(r"([^\w])\1+")
@@ -45,28 +44,35 @@ def _term_ids(word: str) -> tuple[int, int]:
             WORD_BUCKETS + zlib.crc32(shape.encode()) % SHAPE_BUCKETS)
 
 
+class _Terms(dict):
+    """Both terms of a word in one number, found when first asked for."""
+
+    chars = 0
+
+    def __missing__(self, word: str) -> int:
+        of_word, of_shape = _term_ids(word)
+        self.chars += len(word)
+        found = self[word] = of_word << 32 | of_shape
+        return found
+
+
 class TermCounter:
     """Hashed term counts of whole texts; the word cache is bounded."""
 
     def __init__(self) -> None:
-        self.known: dict[str, tuple[int, int]] = {}
-        self.chars = 0
+        self.known = _Terms()
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         words = (text or "").split()
-        known = self.known
-        if len(known) > CACHE_WORDS or self.chars > CACHE_CHARS:
-            known.clear()
-            self.chars = 0
-        for w in set(words).difference(known):
-            known[w] = _term_ids(w)
-            self.chars += len(w)
-        pairs = np.array([known[w] for w in words], dtype=np.int64).reshape(-1, 2)
-        ids, counts = np.unique(pairs, return_counts=True)
+        if len(self.known) > CACHE_WORDS or self.known.chars > CACHE_CHARS:
+            self.known = _Terms()
+        both = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+        first, distinct = both >> 32, len(set(words))
+        ids, counts = np.unique(np.concatenate([first, both & 0xFFFFFFFF]), return_counts=True)
         if not words:
             return ids, counts
-        repeats = int((pairs[1:, 0] == pairs[:-1, 0]).sum())
-        signals = np.array([20 * repeats // len(words), 21 + 20 * len(set(words)) // len(words),
+        repeats = int((first[1:] == first[:-1]).sum())
+        signals = np.array([20 * repeats // len(words), 21 + 20 * distinct // len(words),
                             42 + min(21, len(words).bit_length())]) + WORD_BUCKETS + SHAPE_BUCKETS
         return np.append(ids, signals), np.append(counts, [1, 1, 1])
 
@@ -177,16 +183,16 @@ def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
     copy of this package; only the texts pass Python."""
     shared = spark.sparkContext.broadcast(vars(model))
 
-    def scored(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         count, m = TermCounter(), Model(**shared.value)
-        for texts in series:
+        for texts in batches:
             out = [np.zeros(0)]
-            for at in range(0, len(texts), BLOCK):
-                latent = [m.latent(*count(t)) for t in texts.iloc[at:at + BLOCK]]
+            for at in range(0, len(texts), BLOCK):  # so that few texts are Python strings at a time
+                latent = [m.latent(*count(t)) for t in texts.slice(at, BLOCK).to_pylist()]
                 out.append(m.scores(np.array(latent, dtype=np.float32)))
-            yield pd.Series(np.round(np.concatenate(out), 6))
+            yield pa.array(np.round(np.concatenate(out), 6), pa.float64())
 
-    return F.pandas_udf(scored, "double")
+    return F.arrow_udf(scored, "double")
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
