@@ -35,7 +35,7 @@ SLICES = 64
 MARK_BITS = 20
 SUFFIX_PARTS = 32
 PIVOTS = 4
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 BLOCK_ROWS = 1024  # members of a prefix group that meet as many others in one key
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
         0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from civgraph.llm.common import forget, stored
 
 K, M = 20, 8
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 POSITION_BITS = 24
 _ODD = 0x9E3779B97F4A7C15
 
