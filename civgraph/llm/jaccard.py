@@ -344,11 +344,15 @@ def join_digest(documents: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """Documents, one of each group of near copies; those without words stay."""
+    """Documents, one of each group of near copies, whole rows; those without
+    words stay.  Of rows equal in id and text the least by all columns stays, so
+    reruns agree.  No rows give no rows."""
     hashed = documents.withColumn("__h", F.xxhash64("text"))
     decided = near_groups(documents.select("doc_id", "text"), n, percent).where("chosen")
     keep = decided.where("size > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__t")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__t"))
-    texts = hashed.join(keep, same, "left_semi").dropDuplicates(["doc_id", "__h"])
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(documents.columns)])
+    texts = hashed.join(keep, same, "left_semi").groupBy("doc_id", "__h").agg(F.min(row).alias("__row")).select(
+        *[F.col(f"__row.c{i}").alias(c) for i, c in enumerate(documents.columns)])
     wordless = hashed.where(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
-    return texts.unionAll(wordless).select(documents.columns)
+    return texts.unionAll(wordless.select(documents.columns))

@@ -540,3 +540,13 @@ def test_minimizers_are_those_of_a_plain_search(monkeypatch):
             upper = [int(g) >> 2 for g in grams]
             want = [min(range(i, i + width), key=lambda p: (upper[p], p)) for i in range(max(0, n - substrings.K + 1))]
             assert substrings._minimizers(words)[1].tolist() == want or n < 24
+
+
+def test_one_of_rows_equal_in_id_and_text_is_always_the_same(spark):
+    rows = [(1, BASE, "en", f"s{i}", i, None) for i in range(20)] + [(2, BASE, "en", "a", 1, "x"), (3, _prose(40), None, None, None, None),
+                                                                    (None, None, "en", "s", 1, None), (4, "", "en", "s", 1, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, size string"
+    out = [sorted(map(tuple, jaccard.one_of_each_group(spark.createDataFrame(r, schema).repartition(n)).collect()), key=repr)
+           for r, n in ((rows, 1), (rows[::-1], 7))]
+    assert out[0] == out[1] and [r for r in out[0] if r[0] == 1] == [(1, BASE, "en", "s0", 0, None)]
+    assert len(out[0]) == 4 and jaccard.one_of_each_group(spark.createDataFrame([], schema)).count() == 0
