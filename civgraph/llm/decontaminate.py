@@ -7,8 +7,8 @@ items are broadcast while their size is proven small, else joined by shuffle;
 every document window looks itself up and a hit is verified word by word.
 
 Words are hashed once and windows by the hashes of their words.  A table of
-marks, one per hash slot, rules most document windows out inside their row;
-only those left become rows, each with its own words.
+marks for the first and last word of the items' windows rules most document
+windows out inside their row; only those left become rows, each with its own words.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from civgraph.llm.common import ascii_lower, set_apart, stored
 
 # Fixed value: characters between words, after lower-casing
-GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]++"
 N = 13
 BROADCAST_WINDOWS = 500_000  # rows of (hash, length, words, items): some 100 MB
 MARK_SLOTS = 1 << 20  # at least; 16 for a window, so at most 8 MB
@@ -28,7 +28,10 @@ RESULTS = ("n_words", "n_hit", "spans", "items", "contaminated")
 
 def words(text: Column) -> Column:
     """Array of words; null and wordless texts give an empty array."""
-    parts = F.split(ascii_lower(F.coalesce(text, F.lit(""))), GAP)
+    text = F.coalesce(text, F.lit(""))
+    # in a text of ASCII only, all letters are A-Z
+    low = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(ascii_lower(text))
+    parts = F.split(low, GAP)
     return F.filter(parts, lambda w: w != "")
 
 
@@ -43,69 +46,84 @@ def item_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
         "len", F.xxhash64(word_hashes("window")).alias("hash"), "window", "items")
 
 
-def word_hashes(words_: str) -> Column:
+def word_hashes(words_: Column | str) -> Column:
     return F.transform(words_, lambda w: F.xxhash64(w))
 
 
+def ends_hash(first: Column, last: Column) -> Column:
+    """Of the hashes of a window's first and last word."""
+    return first.bitwiseXOR(F.shiftrightunsigned(last, 1))
+
+
 def marks(windows: DataFrame, rows: int) -> tuple[int, Column]:
-    """Slots, a power of two, and a byte for each: 1 if a window's hash falls on it."""
+    """Slots, a power of two, and a byte for each: 1 if a window's ends fall on it."""
     slots = max(MARK_SLOTS, 1 << (16 * rows).bit_length())
     marked = bytearray(slots)
-    for r in windows.select(F.col("hash").bitwiseAND(F.lit(slots - 1)).alias("slot")).distinct().collect():
+    ends = ends_hash(F.xxhash64(F.get("window", F.lit(0))), F.xxhash64(F.element_at("window", -1)))
+    for r in windows.select(ends.bitwiseAND(F.lit(slots - 1)).alias("slot")).distinct().collect():
         marked[r.slot] = 1
     return slots, F.lit(bytes(marked))
 
 
-def hits(documents: DataFrame, windows: DataFrame) -> DataFrame:
-    """Verified occurrences: row key, start (1-based word), len, items.
+def _keyed(documents: DataFrame) -> DataFrame:
+    return documents.withColumn("__id", F.col("doc_id")).withColumn("__text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+
+
+def scanned(documents: DataFrame, windows: DataFrame) -> DataFrame:
+    """Written: per row of ``documents`` (__id, __text_hash, text) its number
+    of words and ``left``, the windows that the marks do not rule out, with their words.
 
     A document is scanned once per window length that occurs among the items
     (at most ``n`` lengths)."""
     lengths = sorted(r[0] for r in windows.select("len").distinct().collect())
-    rows = windows.count()
-    table, passes = windows.withColumnRenamed("hash", "h"), lambda h: F.lit(True)
+    rows, passes = windows.count(), lambda h: F.lit(True)
     if rows <= BROADCAST_WINDOWS:
-        table = F.broadcast(table)
         slots, marked = marks(windows, rows)
-        passes = lambda h: F.substring(marked, (h.bitwiseAND(F.lit(slots - 1)) + 1).cast("int"), F.lit(1)) == F.lit(b"\x01")
-    scanned = documents.select("__id", "__text_hash", words(F.col("text")).alias("w")).withColumn("wh", word_hashes("w"))
-    empty = F.array().cast("array<struct<len:int,at:int,h:bigint>>")
-
-    def keys(length):
-        starts = F.sequence(F.lit(1), F.size("w") - length + 1)
-        every = F.transform(starts, lambda at: F.struct(
-            F.lit(length).alias("len"), at.cast("int").alias("at"), F.xxhash64(F.slice("wh", at, length)).alias("h")))
-        return F.when(F.size("w") >= length, F.filter(every, lambda k: passes(k["h"]))).otherwise(empty)
-
-    left = F.transform(F.concat(empty, *map(keys, lengths)), lambda k: F.struct(
-        k["len"].alias("len"), k["at"].alias("at"), k["h"].alias("h"), F.slice("w", k["at"], k["len"]).alias("mine")))
-    looked = scanned.select("__id", "__text_hash", F.explode(left).alias("k")).select("__id", "__text_hash", "k.*")
+        passes = lambda h: F.substring(marked, h.bitwiseAND(F.lit(slots - 1)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01")
+    empty = F.array().cast("array<struct<len:int,at:int,h:bigint,mine:array<string>>>")
+
+    def left(w: Column, wh: Column) -> Column:
+        def of(length):
+            starts = F.sequence(F.lit(0), F.size(w) - length)
+            possible = F.filter(starts, lambda at: passes(ends_hash(F.get(wh, at), F.get(wh, at + (length - 1)))))
+            return F.when(F.size(w) >= length, F.transform(possible, lambda at: F.struct(
+                F.lit(length).alias("len"), (at + 1).alias("at"), F.xxhash64(F.slice(wh, at + 1, length)).alias("h"),
+                F.slice(w, at + 1, length).alias("mine")))).otherwise(empty)
+
+        return F.concat(empty, *map(of, lengths))
+
+    # words and their hashes as lambda variables: made once per text, not per window
+    found = _let(words(F.col("text")), lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"), _let(word_hashes(w), lambda wh: left(w, wh)).alias("left")))
+    rows_ = documents.select("__id", "__text_hash", found.alias("found"))
+    return stored(rows_.select("__id", "__text_hash", "found.n_words", "found.left"), "scanned")
+
+
+def _let(value: Column, body) -> Column:
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def hits(scan: DataFrame, windows: DataFrame) -> DataFrame:
+    """Verified occurrences: row key, n_words, start (1-based word), len, items."""
+    table = windows.withColumnRenamed("hash", "h")
+    if windows.count() <= BROADCAST_WINDOWS:
+        table = F.broadcast(table)
+    looked = scan.select("__id", "__text_hash", "n_words", F.explode("left").alias("k")).select(
+        "__id", "__text_hash", "n_words", "k.*")
     found = looked.join(table, ["len", "h"])
-    return found.where(F.col("mine") == F.col("window")).select("__id", "__text_hash", "at", "len", "items")
+    return found.where(F.col("mine") == F.col("window")).select("__id", "__text_hash", "n_words", "at", "len", "items")
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, n: int = N, percent: int = 5) -> DataFrame:
-    """All rows and columns of ``documents`` plus n_words, n_hit, spans
-    (merged hit word ranges, 0-based, end exclusive), items (ids of the items
-    with occurring windows, as sorted strings) and contaminated
-    (n_hit > 0 and 100 * n_hit >= percent * n_words).
+_NO_SPANS = "array<struct<from:int,to:int>>"
 
-    Null texts and ids are ordinary values; rows with one id are told apart by
-    their text.  Result names that clash with input columns replace them
-    (``clean_documents`` and ``without_spans`` keep those).  An item without an id
-    is hit like others but is in no list.  An empty benchmark hits nothing.
-    """
-    kept = documents.drop(*RESULTS)
-    n_words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
-    keyed = kept.withColumn("__id", F.col("doc_id")).withColumn(
-        "__text_hash", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn("n_words", n_words.cast("long"))
-    windows = stored(item_windows(benchmark, n), "windows")
-    found = hits(keyed, windows)
+
+def hit_documents(found: DataFrame) -> DataFrame:
+    """Written: per document with a hit its key, n_words, n_hit, spans and items."""
     # one row per document: its hit starts, at most one per word and length
     by_doc = found.groupBy("__id", "__text_hash").agg(
-        F.array_sort(F.collect_set(F.struct("at", "len"))).alias("at"),
+        F.max("n_words").alias("n_words"), F.array_sort(F.collect_set(F.struct("at", "len"))).alias("at"),
         F.collect_set("items").alias("item_sets"))
-    empty = F.array().cast("array<struct<from:int,to:int>>")
+    empty = F.array().cast(_NO_SPANS)
 
     # spans are gathered through a running (open span, closed spans) pair, the
     # number of closed ones staying small as neighbours merge
@@ -122,23 +140,49 @@ def contamination(documents: DataFrame, benchmark: DataFrame, n: int = N, percen
     start = F.struct(F.lit(0).alias("from"), F.lit(0).alias("to"), empty.alias("done"))
     spans = F.aggregate("at", start, merge, lambda a: F.concat(
         a["done"], F.array(F.struct(a["from"].alias("from"), a["to"].alias("to")))))
-    by_doc = by_doc.select(
-        F.col("__id").alias("__hit_id"), F.col("__text_hash").alias("__hit_text"), spans.alias("spans"),
-        F.array_sort(F.array_distinct(F.transform(F.flatten("item_sets"), lambda i: i.cast("string")))).alias("items"))
-    # written first: a document that is there very often can then be split in the join
-    by_doc = stored(by_doc, "hits")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["to"] - s["from"])
-    joined = keyed.join(by_doc, F.col("__id").eqNullSafe(F.col("__hit_id"))
-                        & (F.col("__text_hash") == F.col("__hit_text")), "left")
-    return (joined.drop("__id", "__text_hash", "__hit_id", "__hit_text")
-            .withColumn("spans", F.coalesce("spans", empty))
+    items = F.array_sort(F.array_distinct(F.transform(F.flatten("item_sets"), lambda i: i.cast("string"))))
+    # written, so that a document that is there very often can be split in the join
+    return stored(by_doc.select(
+        F.col("__id").alias("__hit_id"), F.col("__text_hash").alias("__hit_text"), F.col("n_words").alias("__n_words"),
+        spans.alias("spans"), items.alias("items")).withColumn("__n_hit", n_hit), "hits")
+
+
+def with_hits(rows: DataFrame, found: DataFrame, n_words: Column, percent: int) -> DataFrame:
+    """``rows`` (with __id and __text_hash, which go) plus the results."""
+    joined = rows.join(found, F.col("__id").eqNullSafe(F.col("__hit_id"))
+                       & (F.col("__text_hash") == F.col("__hit_text")), "left")
+    n_hit = F.coalesce("__n_hit", F.lit(0).cast("long"))
+    contaminated = F.coalesce((F.col("__n_hit") > 0) & (100 * F.col("__n_hit") >= percent * F.col("__n_words")), F.lit(False))
+    return (joined.withColumn("n_words", F.coalesce("__n_words", n_words))
+            .withColumn("spans", F.coalesce("spans", F.array().cast(_NO_SPANS)))
             .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
-            .withColumn("n_hit", n_hit)
-            .withColumn("contaminated", (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= percent * F.col("n_words"))))
+            .withColumn("n_hit", n_hit).withColumn("contaminated", contaminated)
+            .drop("__id", "__text_hash", "__hit_id", "__hit_text", "__n_words", "__n_hit"))
+
+
+def contamination(documents: DataFrame, benchmark: DataFrame, n: int = N, percent: int = 5) -> DataFrame:
+    """All rows and columns of ``documents`` plus n_words, n_hit, spans
+    (merged hit word ranges, 0-based, end exclusive), items (ids of the items
+    with occurring windows, as sorted strings) and contaminated
+    (n_hit > 0 and 100 * n_hit >= percent * n_words).
+
+    Null texts and ids are ordinary values; rows with one id are told apart by
+    their text.  Result names that clash with input columns replace them
+    (``clean_documents`` and ``without_spans`` keep those).  An item without an id
+    is hit like others but is in no list.  An empty benchmark hits nothing.
+    """
+    keyed = _keyed(documents.drop(*RESULTS))
+    windows = stored(item_windows(benchmark, n), "windows")
+    found = hit_documents(hits(scanned(keyed, windows), windows))
+    return with_hits(keyed, found, F.size(words(F.col("text"))).cast("long"), percent)
 
 
 def contamination_digest(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    found = contamination(documents.select("doc_id", "text"), benchmark)
+    windows = stored(item_windows(benchmark), "windows")
+    scan = scanned(_keyed(documents.select("doc_id", "text")), windows)
+    rows = scan.select("__id", "__text_hash", F.col("__id").alias("doc_id"), F.col("n_words").alias("__words"))
+    found = with_hits(rows, hit_documents(hits(scan, windows)), F.col("__words"), 5)
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), "contaminated")
