@@ -195,7 +195,7 @@ def _verified(sets: DataFrame, percent: int, pairs: DataFrame) -> DataFrame:
     facts = sets.where("shingles IS NOT NULL").select("v", "size", "parts").join(_vertices(pairs), "v", "left_semi").dropDuplicates(["v"])
     with_parts = pairs.join(facts.toDF("a", "size_a", "parts_a"), "a").join(facts.toDF("b", "size_b", "parts_b"), "b")
     left = stored(with_parts.where(_suffix_fits(percent)).select("a", "b"), "close")
-    whole = stored(_whole_sets(sets, _vertices(left)), "whole")
+    whole = stored(_whole_sets(sets, _vertices(left)), "whole")  # goes once the links are written
     both = left.join(whole.toDF("b", "set_b"), "b").join(whole.toDF("a", "set_a"), "a")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +209,10 @@ def _verified(sets: DataFrame, percent: int, pairs: DataFrame) -> DataFrame:
                     keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays(list(batch.columns[:2]), ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return stored(both.select("a", "b", "set_a", "set_b").mapInArrow(verify, "a long, b long"), "links")
+    links_ = stored(both.select("a", "b", "set_a", "set_b").mapInArrow(verify, "a long, b long"), "links")
+    forget(left)
+    forget(whole)
+    return links_
 
 
 def _suffix_fits(percent: int) -> F.Column:
@@ -240,7 +243,7 @@ def _grouped(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, Dat
     text_hash, size and class v; and (token, v, size, pos) of the prefix
     n-grams that more than one class has."""
     sets = stored(_sets(documents, n), "sets")
-    rows = sets.where("slice IS NULL").select("doc_id", "text_hash", "size", "v")
+    rows = stored(sets.where("slice IS NULL").select("doc_id", "text_hash", "size", "v"), "rows")
     prefixes = stored(_prefixes(sets, percent, _frequencies(sets)), "prefixes")
     # written first: a side that is still being grouped by the key forbids Spark to split a hot key
     shared = stored(prefixes.groupBy("token").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo <> hi").select(
@@ -268,7 +271,10 @@ def all_links(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, Da
     y = dealt.select(*columns, each.alias("other")).toDF("u", "b", "size_b", "pos_b", "parts_b", "l", "k")
     pairs = x.join(y, (F.col("t") == F.col("u")) & (F.col("i") == F.col("k")) & (F.col("j") == F.col("l"))
                    & (F.col("a") < F.col("b")))
-    return rows, _verified(sets, percent, stored(_possible(pairs, percent), "pairs"))
+    found = _verified(sets, percent, stored(_possible(pairs, percent), "pairs"))
+    for used in (sets, groups, dealt):
+        forget(used)
+    return rows, found
 
 
 def link_counts(documents: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
@@ -312,7 +318,10 @@ def links(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFr
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("a") < F.col("b"))
                    & (F.col("root_a") != F.col("root_b")))
     second = stored(_possible(pairs, percent).join(first, ["a", "b"], "left_anti"), "pairs")
-    return rows, found.unionAll(_verified(sets, percent, second))
+    found = found.unionAll(_verified(sets, percent, second))
+    for used in (sets, groups, open_groups, first, second):
+        forget(used)
+    return rows, found
 
 
 def near_groups(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -347,12 +356,15 @@ def one_of_each_group(documents: DataFrame, n: int = 5, percent: int = 80) -> Da
     """Documents, one of each group of near copies, whole rows; those without
     words stay.  Of rows equal in id and text the least by all columns stays, so
     reruns agree.  No rows give no rows."""
-    hashed = documents.withColumn("__h", F.xxhash64("text"))
-    decided = near_groups(documents.select("doc_id", "text"), n, percent).where("chosen")
-    keep = decided.where("size > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__t")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__t"))
+    decided = near_groups(documents.select("doc_id", "text"), n, percent).where("chosen AND size > 0")
+    keep = decided.select(F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__id"),
+                          F.col("text_hash").alias("__hash")).distinct()
+    # rows equal in id and text are merged before the one shuffle of whole rows, which the join shares
+    number = F.col("doc_id").cast("long")
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(documents.columns)])
-    texts = hashed.join(keep, same, "left_semi").groupBy("doc_id", "__h").agg(F.min(row).alias("__row")).select(
+    texts = documents.select(number.isNull().alias("__none"), F.coalesce(number, F.lit(0)).alias("__id"),
+                             F.xxhash64("text").alias("__hash"), row.alias("__row")).groupBy("__none", "__id", "__hash").agg(
+        F.min("__row").alias("__row")).join(keep, ["__none", "__id", "__hash"], "left_semi").select(
         *[F.col(f"__row.c{i}").alias(c) for i, c in enumerate(documents.columns)])
-    wordless = hashed.where(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
-    return texts.unionAll(wordless.select(documents.columns))
+    wordless = documents.where(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    return texts.unionAll(wordless)
