@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civgraph.llm.common import stored
+
 FIT_PER_CLASS = 2000  # bound of the labelled rows that are fitted, for each label
 WORD_BUCKETS = 1 << 14
 SHAPE_BUCKETS = 1 << 10
@@ -32,7 +34,7 @@ RANK = 48
 NEIGHBOURS = 15
 SHARPNESS = 8  # votes weigh similarity to this power
 BLOCK = 256  # documents compared at a time
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 CACHE_CHARS = 8_000_000  # of the words in the cache
 _LOWER, _UPPER = re.compile("[a-zß-ÿ]+"), re.compile("[A-ZÀ-Þ]+")
 _DIGITS, _MARKS = re.compile("[0-9]+"), re.compile(r"([^\w])\1+")
@@ -222,4 +224,5 @@ def good_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     their other columns are called; no rows give no rows."""
     model = fit(documents, labels.where(~held_out(F.col("doc_id"))))
     score_of = scorer(documents.sparkSession, model)
-    return documents.where(score_of(F.col("text")) >= 0.5)
+    # written here, where few texts go to Python at a time (see ``common.WRITING``)
+    return stored(documents.where(score_of(F.col("text")) >= 0.5), "good")

@@ -38,15 +38,14 @@ ALPHABETS = {
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
     "BASE36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-    "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base62": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64": "+/0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64url": "-0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz",
 }
-#: Ordinary text has runs of letters only: the least length at which the battery
+#: Ordinary text has runs of letters of one case: the least length at which the battery
 #: refuses 95 % of runs of joined words (p up to 0.01; measured on English words, 300
 #: runs a length, and on those of the corpus, where less is enough).
-WORDS_REFUSED = {"lower": 64, "upper": 64, "letters": 40}
+WORDS_REFUSED = {"lower": 64, "upper": 64}
 RUN = r"[A-Za-z0-9+/_-]{20,}"
 FALSE_DISCOVERY = 0.01
 _KINDS = [*BASE, "random"]
@@ -122,8 +121,7 @@ def random_runs(runs: DataFrame) -> DataFrame:
     limit = FALSE_DISCOVERY * F.sum("count").over(upto) / F.sum("count").over(family)
     refused = steps.withColumn("ok", F.pow(F.lit(10.0), (F.col("step") + 1) / 4) <= limit).groupBy(
         "alphabet", "length_class").agg(F.max(F.when(F.col("ok"), F.col("step"))).alias("worst"))
-    # power: measured for letters; digits among them are no ordinary words, there n symbols
-    # must give 96 bits
+    # power: measured for letters of one case; of other alphabets n symbols must give 96 bits
     measured = F.create_map(*[F.lit(x) for kv in WORDS_REFUSED.items() for x in kv])
     enough = F.coalesce(F.col("n") >= F.element_at(measured, F.col("alphabet")), F.col("n") * F.log2("m") >= 96)
     return tested.join(refused, ["alphabet", "length_class"]).where(

@@ -35,7 +35,7 @@ COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 WORD_STEP = 128
 BLOCK_IDS = 1 << 16
-CACHE_PIECES = 300_000
+CACHE_PIECES = 150_000
 LONG_PIECE = 256
 GROUP = 256  # texts encoded together
 LONE_MARK = re.compile("(?<=[a-z])([.,])(?= )")
