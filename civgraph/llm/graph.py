@@ -14,9 +14,10 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round hangs the larger neighbours of every vertex on its smallest
     one, then the smaller ones; the number of rounds grows with the logarithm
-    of the longest chain.  Minima are pre-aggregated per task, and the joins
-    have one row per vertex on one side, so that a vertex with very many links
-    can be split.  Every round is written to the shared folder.
+    of the longest chain.  Minima are pre-aggregated per task.  The joins have
+    one row per vertex on one side, but that side is still being grouped by the
+    vertex, so a vertex with very many links is not split within a round; links
+    of a star contract to one per vertex.  Every round is written to the shared folder.
     """
     edges = stored(links.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
