@@ -25,6 +25,7 @@ from civgraph.operators import relational as R
 from civgraph.plans import gold
 from civgraph.plans import silver as S
 from civgraph.plans.driver import CODE_WIDTHS, part_codes, table
+from civgraph.sources.blocks import shared_table
 from civgraph.sources.contracts import CONCESSION_SCHEMA, MARCHE_SCHEMA
 
 _RELEASE = [T.StructField("release_year", T.StringType())]
@@ -116,8 +117,9 @@ def model_contract_edges(spark, sf_dir):
 
 
 def model_contract_union(spark, sf_dir):
-    """V07 + V08 -> V19: all columns but the id."""
-    return S.ent_commande_publique(*contracts(spark, sf_dir)).drop("id")
+    """V07 + V08 -> V19: all columns but the id.  The union is written before
+    it gets keys, so that these are made by row hash and only hashes are shuffled."""
+    return S.ent_commande_publique(*contracts(spark, sf_dir), by_hash=True, staged=shared_table).drop("id")
 
 
 QUERIES = {
@@ -300,7 +302,8 @@ def subsidy_reference(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
 
 
 def model_subsidy_union(spark, sf_dir):
-    """Eight subsidy sources cleaned and conformed into one shape."""
+    """Eight subsidy sources cleaned and conformed into one
+    shape, written before it gets keys by row hash."""
     b = newest_subsidies(spark, sf_dir)
     divisions, eta = subsidy_reference(spark, sf_dir)
     kw = {"prune_files": None}  # of one release already
@@ -309,7 +312,7 @@ def model_subsidy_union(spark, sf_dir):
         S.subvention_ministere_agriculture(b["agriculture"], **kw), S.subvention_anct_ville(b["anct"], **kw),
         S.subvention_ademe(b["ademe"], **kw), S.dotation_soutien_territoire(b["dotation"], **kw),
         S.subvention_caisse_depots(b["caisse"], **kw), S.idf_subvention_association(b["idf"], **kw),
-        S.fonds_vert_subvention(b["fonds_vert"], eta, **kw), eta)
+        S.fonds_vert_subvention(b["fonds_vert"], eta, **kw), eta, by_hash=True, staged=shared_table)
     return v20.drop("id")
 
 

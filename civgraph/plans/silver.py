@@ -296,10 +296,12 @@ def contract_union(marche: DataFrame, concession: DataFrame) -> DataFrame:
     return R.conform_union([m, c]).drop("id")
 
 
-def ent_commande_publique(marche: DataFrame, concession: DataFrame, by_hash: bool = False) -> DataFrame:  # V19
+def ent_commande_publique(marche: DataFrame, concession: DataFrame, by_hash: bool = False,
+                          staged=lambda df: df) -> DataFrame:  # V19
     """The contract union with an id that only the row's own values decide;
-    ``by_hash`` for frames that read stored tables (see ``with_surrogate_key``)."""
-    return R.with_surrogate_key(contract_union(marche, concession), "id", by_hash).select(*CONTRACT_SCHEMA.fieldNames())
+    ``by_hash`` for frames that read stored tables (see ``with_surrogate_key``),
+    or for a union that ``staged`` writes."""
+    return R.with_surrogate_key(staged(contract_union(marche, concession)), "id", by_hash).select(*CONTRACT_SCHEMA.fieldNames())
 
 
 # ---------------------------------------------------------------- subsidies
@@ -536,7 +538,8 @@ def _tags(key: str) -> dict:
 def ent_subvention_publique(culture: DataFrame, divisions: DataFrame, agriculture: DataFrame,
                             anct: DataFrame, ademe: DataFrame, dotation: DataFrame, caisse: DataFrame,
                             idf: DataFrame, fonds_vert: DataFrame, etablissements: DataFrame,
-                            pad_siren: bool = False, by_hash: bool = False) -> DataFrame:  # V20
+                            pad_siren: bool = False, by_hash: bool = False,
+                            staged=lambda df: df) -> DataFrame:  # V20
     cul = R.lookup_label(culture, divisions, {"origine_credits": "type_division",
                                               "detail_origine_credits": "nom_division"},
                          {"siret": "__payer"}, bounded=True)
@@ -590,5 +593,5 @@ def ent_subvention_publique(culture: DataFrame, divisions: DataFrame, agricultur
             "siret_crediteur": F.lit(FONDS_VERT_PAYER_SIRET), "montant": "montant_engage",
             **_tags("fonds_vert")}),
     ]
-    union = R.conform_union(branches)
+    union = staged(R.conform_union(branches))
     return R.with_surrogate_key(union, "id", by_hash).select("id", *SUBSIDY_SCHEMA.fieldNames())

@@ -53,3 +53,9 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(ocols, res.fetchall())
+
+
+def test_contract_and_subsidy_unions_shuffle_no_whole_rows(spark):
+    for name in ("model_contract_union", "model_subsidy_union"):
+        plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "Scan parquet" in plan and "Exchange" not in plan and "Aggregate" not in plan, name
