@@ -500,9 +500,10 @@ def model_graph_nodes(spark, sf_dir):
 
 def model_graph_relationships(spark, sf_dir):
     """E01-E14 through ``gold.relationships``: every edge with its type and
-    the id spaces of its ends."""
+    the id spaces of its ends.  The stacked frames are written by relationship,
+    as ``build_all`` does: each type reads its part instead of joining again."""
     frames = []
-    for name, df in gold.relationships(graph_tables(spark, sf_dir)).items():
+    for name, df in gold.relationships(graph_tables(spark, sf_dir), lambda df: shared_table(df, "relationship")).items():
         start, end = df.columns
         frames.append(df.select(F.lit(name).alias("relationship"), F.lit(f"{start} {end}").alias("header"),
                                 F.col(f"`{start}`").alias("start"), F.col(f"`{end}`").alias("end")))

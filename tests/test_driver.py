@@ -59,3 +59,8 @@ def test_contract_and_subsidy_unions_shuffle_no_whole_rows(spark):
     for name in ("model_contract_union", "model_subsidy_union"):
         plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Scan parquet" in plan and "Exchange" not in plan and "Aggregate" not in plan, name
+
+
+def test_relationships_of_one_frame_are_joined_once(spark):
+    plan = E.queries()["model_graph_relationships"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "Join" not in plan
