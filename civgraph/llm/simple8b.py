@@ -19,12 +19,13 @@ the lowest bits.  Selector 0 is the escape: the data bits index ``escapes``.
 from __future__ import annotations
 
 import re
+import struct
 import sys
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +38,8 @@ WORD_STEP = 128
 BLOCK_IDS = 1 << 16
 CACHE_PIECES = 300_000
 LONG_PIECE = 256
-GROUP = 256  # texts encoded together
-LONE_MARK = re.compile("(?<=[a-z])([.,])(?= )")
+GROUP = 512  # texts encoded together
+LONE_MARKS = "([a-z\u00df-\u00f6\u00f8-\u00ff])([.,!?;:#$%&*]+) "
 LATIN = re.compile("[\x00-\u012f\u0131-\u017f]*")  # letters with a lower case of one letter in any context
 
 SCHEMA = ("part int, start long, doc_ids array<long>, doc_starts array<long>, n_ids long, "
@@ -112,7 +113,7 @@ class _PieceEncoder:
     def __init__(self, path: str, end_id: int):
         import json
 
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -122,7 +123,13 @@ class _PieceEncoder:
         first = steps[0] if steps else {}
         drops_space = first.get("behavior") == "Removed" and r"[^\s" in first["pattern"].get("Regex", "")
         self.by_piece = lowers and drops_space
-        self.end = np.array([end_id], dtype="<u4").tobytes()
+        # a run of small Latin letters is no longer changed, but for its bytes
+        self.by_model = self.by_piece and [x["type"] for x in spec["normalizer"].get("normalizers", [])] == [
+            "NFC", "Replace", "Lowercase"] and [x["type"] for x in steps[1:]] == ["ByteLevel"]
+        if self.by_model:
+            as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+            self.spelled = {c: as_bytes(chr(c))[0][0] for c in range(0x80, 0x180)}
+        self.end = end_id
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
@@ -131,47 +138,48 @@ class _PieceEncoder:
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _letters(self, pieces: list[str]) -> list[bytes]:
-        """Pieces of letters only, each one run of the pre-tokenizer: many in
-        one text, told apart by the run that each id belongs to."""
+        """Runs of small Latin letters, for which only the model is left to do."""
+        tokenize, pack_ = self.tokenizer.model.tokenize, struct.Struct
         out = []
-        for at in range(0, len(pieces), 2000):
-            some = pieces[at:at + 2000]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            runs = np.array(found.word_ids)
-            if len(runs) == 0 or runs[-1] != len(some) - 1:  # a letter that is normalised to several runs
-                out += self._ids(some)
-                continue
-            cuts = (4 * np.searchsorted(runs, np.arange(len(some) + 1))).tolist()
-            raw = np.array(found.ids, dtype="<u4").tobytes()
-            out += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        for p in pieces:
+            ids = [t.id for t in tokenize(p if p.isascii() else p.translate(self.spelled))]
+            out.append(pack_(f"<{len(ids)}I").pack(*ids))
         return out
 
     def _learn(self, new: list[str]) -> None:
-        letters = [p for p in new if p.isalpha() and len(p) <= LONG_PIECE]
-        rest = [p for p in new if not p.isalpha() or len(p) > LONG_PIECE]
-        self.known.update(zip(letters, self._letters(letters)))
+        plain = [p for p in new if self.by_model and p.isalpha() and p.islower() and len(p) <= LONG_PIECE
+                 and LATIN.fullmatch(p)]
+        rest = list(set(new).difference(plain))
+        self.known.update(zip(plain, self._letters(plain)))
         self.known.update(zip(rest, self._ids(rest)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.by_piece:
-            return [np.frombuffer(b + self.end, dtype="<u4") for b in self._ids(texts)]
+        """The ids of every text and the end id."""
+        if not self.by_piece or not texts:
+            return [np.append(np.frombuffer(b, dtype="<u4"), np.uint32(self.end)) for b in self._ids(texts)]
         # the tokenizer lower-cases each letter of a text, but not its special
-        # strings; a mark between a letter and a blank is a run of its own
-        split = [LONE_MARK.sub(r" \1", (t.lower() if LATIN.fullmatch(t) and "<|" not in t else t).replace(
-            "\n", " ")).split(" ") for t in texts]
+        # strings; marks between a letter and a blank are a run of their own
+        lower = pa.array([(t.lower() if LATIN.fullmatch(t) and "<|" not in t else t).replace("\n", " ") for t in texts],
+                         pa.large_string())
+        split = pc.split_pattern(pc.replace_substring_regex(lower, LONE_MARKS, r"\1 \2 "), " ")
+        coded = split.values.dictionary_encode()
+        pieces, places = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
         if len(self.known) > CACHE_PIECES // 2:
             self.older, self.known = self.known, {"": b""}
-        new = set().union(*split).difference(self.known)
-        again = new.intersection(self.older)
-        self.known.update((p, self.older[p]) for p in again)
-        new = list(new - again)
-        self._learn(new)
-        out = [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)) + self.end, dtype="<u4")
-               for pieces in split]
+        new = [p for p in pieces if p not in self.known]
+        self.known.update((p, self.older[p]) for p in new if p in self.older)
+        self._learn([p for p in new if p not in self.older])
+        ids = [self.known[p] for p in pieces]
         for p in new:
             if len(p) > LONG_PIECE:
                 del self.known[p]
-        return out
+        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        firsts, each = (np.cumsum(lengths) - lengths)[places], lengths[places]
+        upto = np.append(0, np.cumsum(each))
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")[
+            np.repeat(firsts - upto[:-1], each) + np.arange(upto[-1])]
+        ends = upto[split.offsets.to_numpy()]
+        return np.split(np.insert(flat, ends[1:], self.end), (ends[1:] + np.arange(1, len(ends)))[:-1])
 
 
 def _encoder(path: str, end_id: int) -> _PieceEncoder:
@@ -231,7 +239,8 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int) -
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
             ids = unpack(np.frombuffer(row["words"], dtype="<u8"), row["n_ids"],
                          np.frombuffer(row["escapes"], dtype="<u8"))
             raw, starts = ids.astype("<u4").tobytes(), row["doc_starts"]
@@ -255,13 +264,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         _documents, "doc_id long, start long, n_tokens long, ids binary")
 
 
-def _crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        crc = pa.array([zlib.crc32(b) for b in batch.column("ids").to_pylist()], pa.int64())
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], crc], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-
 def token_digest(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> DataFrame:
     write_tokens(documents, path, tokenizer, end_id)
-    return read_tokens(documents.sparkSession, path).mapInArrow(
-        _crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_tokens(documents.sparkSession, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -550,3 +551,12 @@ def test_one_of_rows_equal_in_id_and_text_is_always_the_same(spark):
            for r, n in ((rows, 1), (rows[::-1], 7))]
     assert out[0] == out[1] and [r for r in out[0] if r[0] == 1] == [(1, BASE, "en", "s0", 0, None)]
     assert len(out[0]) == 4 and jaccard.one_of_each_group(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_marks_after_words_are_pieces_of_their_own():
+    path = word_tokenizer()
+    texts = ["the!! the... the## the, the. é, t|> b", "a<|endoftext|> b. ", "İ. i̇. É. x's, ", "", "ª ŉ µ½², \n the.\nthe", "中!! ǅ,, "]
+    coder = simple8b._PieceEncoder(path, 2)
+    want = [[*coder.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert [x.tolist() for x in coder.encode(texts)] == want and coder.encode([]) == []
+    assert {"the", "!!", "...", "##"} <= coder.known.keys() and not {"the!!", "the...", "the##"} & coder.known.keys()
