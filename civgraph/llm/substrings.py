@@ -17,9 +17,11 @@ start), length and the hashes of all their edges; all but the first go.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,16 +43,19 @@ class _Known(dict):
 
 
 class WordHashes:
-    """64-bit hashes of the words of whole texts; the cache is bounded."""
+    """64-bit hashes of the words of whole texts, one text after the other, and
+    where each text starts; the cache is bounded."""
 
     def __init__(self) -> None:
         self.known = _Known()
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").split()
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        return np.fromiter(map(self.known.__getitem__, words), dtype=np.uint64, count=len(words))
+        words = [(text or "").encode("utf-8", "surrogatepass").split() for text in texts]
+        starts = np.append(0, np.cumsum([len(w) for w in words]))
+        return np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), dtype=np.uint64,
+                           count=int(starts[-1])), starts
 
 
 def _grams(words: np.ndarray, n: int, seed: int) -> np.ndarray:
@@ -58,7 +63,8 @@ def _grams(words: np.ndarray, n: int, seed: int) -> np.ndarray:
     count = len(words) - n + 1
     h = np.full(max(0, count), seed, dtype=np.uint64)
     for i in range(n if count > 0 else 0):
-        h = (h ^ words[i:count + i]) * np.uint64(_ODD)
+        h ^= words[i:count + i]
+        h *= np.uint64(_ODD)
         h ^= h >> np.uint64(29)
     return h
 
@@ -82,44 +88,65 @@ def _minimizers(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return grams, (least & low).astype(np.int64)
 
 
+def _text_minimizers(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For texts joined: the hashes of all m-mers, the positions of the k-mers
+    that lie in one text, their minimizers', and where the minimizer is a new
+    one (neighbours share minimizers, whose places only grow)."""
+    grams, places = _minimizers(words)
+    inside = np.ones(len(places), dtype=bool)
+    for end in np.unique(starts[1:-1]).tolist():  # k-mers that go over the end of a text
+        inside[max(0, end - K + 1):end] = False
+    at = np.flatnonzero(inside)
+    places = places[at]
+    return grams, at, places, np.append(True, places[1:] != places[:-1])[:len(places)]
+
+
+def _slices(batch: pa.RecordBatch, rows: int = 64, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows that are worked on together: a few, and no more than about ``size`` bytes of text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        n = max(1, min(rows, int(np.searchsorted(ends, before + size, side="right")) - at))
+        yield batch.slice(at, n)
+        at += n
+
+
 def _minimizer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
-        keys = batch.column(1).to_pylist()
-        for at in range(0, batch.num_rows, 128):
-            m, k, c = [], [], []
-            for key, text in zip(keys[at:at + 128], batch.column(0).slice(at, 128).to_pylist()):
-                words = hashes(text)
-                grams, places = _minimizers(words)
-                # neighbours share minimizers, whose places only grow
-                places = places[np.append(True, places[1:] != places[:-1])] if len(places) else places
-                found, counts = np.unique(grams[places], return_counts=True)
-                m.append(found.astype(np.int64))
-                k.append(np.full(len(found), key))
-                c.append(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (m, k, c)],
-                                             ["m", "k", "c"])
+        for some in _slices(batch):
+            words, starts = hashes(some.column(0).to_pylist())
+            grams, at, places, new = _text_minimizers(words, starts)
+            text, m = np.searchsorted(starts, at[new], side="right") - 1, grams[places[new]]
+            order = np.lexsort((m, text))
+            text, m = text[order], m[order]
+            first = np.flatnonzero(np.append(True, (m[1:] != m[:-1]) | (text[1:] != text[:-1]))[:len(m)])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(m[first].view(np.int64)), pa.array(some.column(1).to_numpy()[text[first]]),
+                pa.array(np.diff(np.append(first, len(m))))], ["m", "k", "c"])
 
 
 def _edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
-        docs, keys = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        for at in range(0, batch.num_rows, 64):
-            out = []
-            for i, text in enumerate(batch.column(0).slice(at, 64).to_pylist(), at):
-                words = hashes(text)
-                repeated = batch.column(3)[i].values.to_numpy().view(np.uint64)
-                grams, places = _minimizers(words)
-                pos = np.flatnonzero(np.isin(grams, repeated)[places])
-                near = np.full(len(words) + 2, -1, dtype=np.int32)
-                near[1:-1] = words >> np.uint64(33)
-                out.append((_grams(words, K, 2)[pos].view(np.int64), near[pos], near[pos + K + 1],
-                            np.full(len(pos), keys[i]), pos.astype(np.int32), [docs[i]] * len(pos)))
-            cols = [pa.array(np.concatenate([o[c] for o in out])) for c in range(5)]
-            yield pa.RecordBatch.from_arrays(
-                [*cols, pa.array(sum((o[5] for o in out), []), pa.int64())],
-                ["h", "left", "right", "k", "pos", "doc_id"])
+        for some in _slices(batch):
+            words, starts = hashes(some.column(0).to_pylist())
+            grams, at, places, new = _text_minimizers(words, starts)
+            # a text's minimizer that repeats is listed with each text that has it
+            repeated = some.column(3).flatten().to_numpy().view(np.uint64)
+            pos = at[np.isin(grams[places[new]], repeated)[np.cumsum(new) - 1]]
+            text = np.searchsorted(starts, pos, side="right") - 1
+            # a word next to each text's own, -1 for none
+            near = np.full(len(words) + 2, -1, dtype=np.int32)
+            near[1:-1] = words >> np.uint64(33)
+            left, right = near[pos], near[pos + K + 1]
+            left[pos == starts[text]] = -1
+            right[pos + K == starts[text + 1]] = -1
+            yield pa.RecordBatch.from_arrays([
+                pa.array(_grams(words, K, 2)[pos].view(np.int64)), pa.array(left), pa.array(right),
+                pa.array(some.column(2).to_numpy()[text]), pa.array((pos - starts[text]).astype(np.int32)),
+                some.column(1).take(pa.array(text))], ["h", "left", "right", "k", "pos", "doc_id"])
 
 
 def repeated_spans(documents: DataFrame) -> DataFrame:
@@ -177,11 +204,13 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some, out = batch.slice(at, 256), []
             for text, spans in zip(some.column(1).to_pylist(), some.column(2).to_pylist()):
                 words = (text or "").encode("utf-8", "surrogatepass").split()
-                keep = np.ones(len(words), dtype=bool)
-                for s in spans or ():
-                    keep[s["from"]:s["to"]] = False
-                kept = b" ".join(w for w, y in zip(words, keep.tolist()) if y)
-                out.append((len(words), len(words) - int(keep.sum()), kept))
+                kept = words
+                if spans:
+                    keep = bytearray(b"\x01") * len(words)
+                    for s in spans:
+                        keep[s["from"]:s["to"]] = bytes(s["to"] - s["from"])
+                    kept = list(compress(words, keep))
+                out.append((len(words), len(words) - len(kept), b" ".join(kept)))
             n, removed, kept = zip(*out)
             yield pa.RecordBatch.from_arrays([
                 some.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),

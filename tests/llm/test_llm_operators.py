@@ -560,3 +560,16 @@ def test_marks_after_words_are_pieces_of_their_own():
     want = [[*coder.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
     assert [x.tolist() for x in coder.encode(texts)] == want and coder.encode([]) == []
     assert {"the", "!!", "...", "##"} <= coder.known.keys() and not {"the!!", "the...", "the##"} & coder.known.keys()
+
+
+def test_texts_worked_on_together_share_no_window():
+    word = lambda a, n: " ".join(f"w{i}" for i in range(a, a + n))
+    texts = [None, word(0, 25), "", word(25, 19), word(44, 1), word(0, 30), " ", word(10, 20) + " x " + word(10, 20)]
+    batch = pa.record_batch([pa.array(texts, pa.string()), pa.array(range(len(texts)), pa.int64())], ["text", "k"])
+    rows = lambda some: sorted(zip(*[c.to_pylist() for c in pa.Table.from_batches(substrings._minimizer_rows(some)).columns]))
+    alone = rows(batch.slice(i, 1) for i in range(len(texts)))
+    assert rows([batch]) == alone and {k for _, k, _ in alone} == {1, 5, 7}
+    hashes = substrings.WordHashes()
+    found, starts = hashes(texts)
+    assert starts.tolist() == [0, 0, 25, 25, 44, 45, 75, 75, 116] and len(found) == 116
+    assert [len(s) for s in substrings._slices(batch, 3)] == [3, 3, 2] and len(list(substrings._slices(batch, 9, 1))) >= 5
