@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civgraph.llm.common import forget, stored
+from civgraph.llm.common import forget, give_back, stored
 from civgraph.llm.graph import components
 
 COUNTER_BITS = 21
@@ -35,35 +35,25 @@ SLICES = 64
 MARK_BITS = 20
 SUFFIX_PARTS = 32
 PIVOTS = 4
-CACHE_WORDS = 150_000
 BLOCK_ROWS = 1024  # members of a prefix group that meet as many others in one key
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
         0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)
 
 
-class _WordHashes(dict):
-    """64-bit hashes of words, each computed when first asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
 class ShingleSets:
     """Sorted distinct n-gram hashes of whole texts.
 
     A-Z are lower-cased; words part at ASCII white space.  A text of fewer
-    words than ``n`` is one n-gram; one without words has an empty set.
+    words than ``n`` is one n-gram; one without words has an empty set.  Words
+    are hashed anew each time: a cache of them is slower and holds memory.
     """
 
     def __init__(self, n: int):
-        self.n, self.known = n, _WordHashes()
+        self.n = n
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        ids = np.fromiter(map(self.known.__getitem__, words), dtype=np.uint64, count=len(words))
+        ids = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
         n = min(self.n, len(ids))
         if not n:
             return ids
@@ -96,8 +86,8 @@ def _sets(documents: DataFrame, n: int, counters: int = COUNTER_BITS) -> DataFra
                 for v, s in zip(ids, found):
                     raw.append(None if v is None or v in seen else s.tobytes())
                     seen.add(v)
-                counts += np.bincount((np.concatenate(found) >> np.uint64(64 - counters)).astype(np.int64),
-                                      minlength=len(counts)).astype(np.int32)
+                hit, times = np.unique(np.concatenate(found) >> np.uint64(64 - counters), return_counts=True)
+                counts[hit.astype(np.int64)] += times.astype(np.int32)
                 parts = [np.bincount((s & np.uint64(SUFFIX_PARTS - 1)).astype(np.int64), minlength=SUFFIX_PARTS)
                          for s in found]
                 none = pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())
@@ -110,6 +100,7 @@ def _sets(documents: DataFrame, n: int, counters: int = COUNTER_BITS) -> DataFra
                     pa.nulls(SLICES, pa.binary())]
             yield pa.RecordBatch.from_arrays([*none, pa.array(range(SLICES), pa.int32()),
                                               pa.array([p.tobytes() for p in part], pa.binary())], names)
+        give_back()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     return rows.mapInArrow(run, "doc_id long, text_hash long, size long, v long, parts array<int>, "
@@ -137,7 +128,8 @@ def _frequencies(sets: DataFrame) -> np.ndarray:
 
 def _prefixes(sets: DataFrame, percent: int, frequency: np.ndarray) -> DataFrame:
     """(token, v, size, pos) of the prefix of every set; equal sets of a task once."""
-    shared = sets.sparkSession.sparkContext.broadcast(frequency)
+    most = np.iinfo(np.int32).max  # n-grams beyond are equally frequent: still one order
+    shared = sets.sparkSession.sparkContext.broadcast(np.minimum(frequency, most).astype(np.int32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         freq, shift = shared.value, np.uint64(64 - COUNTER_BITS)
@@ -160,6 +152,7 @@ def _prefixes(sets: DataFrame, percent: int, frequency: np.ndarray) -> DataFrame
                     out, rows = [], 0
             if out:
                 yield flush(out)
+        give_back()
 
     return sets.where("shingles IS NOT NULL").select("v", "shingles").mapInArrow(
         run, "token long, v long, size long, pos long")
@@ -179,6 +172,7 @@ def _whole_sets(sets: DataFrame, vertices: DataFrame) -> DataFrame:
         marks = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
             yield batch.filter(pa.array(marks[batch.column(0).to_numpy() & low]))
+        give_back()
 
     found = sets.where("shingles IS NOT NULL").select("v", "shingles").mapInArrow(run, "v long, shingles binary")
     return found.join(vertices, "v", "left_semi").dropDuplicates(["v"])
@@ -208,6 +202,7 @@ def _verified(sets: DataFrame, percent: int, pairs: DataFrame) -> DataFrame:
                     common = len(np.intersect1d(x, y, assume_unique=True))
                     keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays(list(batch.columns[:2]), ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     links_ = stored(both.select("a", "b", "set_a", "set_b").mapInArrow(verify, "a long, b long"), "links")
     forget(left)

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civgraph.llm.common import give_back
+
 FIT_PER_CLASS = 2000  # bound of the labelled rows that are fitted, for each label
 WORD_BUCKETS = 1 << 14
 SHAPE_BUCKETS = 1 << 10
@@ -191,6 +193,7 @@ def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
                 latent = [m.latent(*count(t)) for t in texts.slice(at, BLOCK).to_pylist()]
                 out.append(m.scores(np.array(latent, dtype=np.float32)))
             yield pa.array(np.round(np.concatenate(out), 6), pa.float64())
+        give_back()
 
     return F.arrow_udf(scored, "double")
 

@@ -9,17 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from civgraph.llm import decontaminate, jaccard, mixing, quality, simple8b
-from civgraph.llm.common import forget, shared_folder, stored, table
+from civgraph.llm.common import forget, shared_folder, steady_reads, stored, table
 from civgraph.llm.queries import word_tokenizer
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: documents that it rejects go."""
+    steady_reads(spark)
     return quality.good_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join (five words, 0.8): one document of each group stays."""
+    steady_reads(spark)
     return jaccard.one_of_each_group(docs, 5, 80)
 
 

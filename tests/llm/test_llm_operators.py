@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from civgraph.llm import (chat, decontaminate, jaccard, mixing, neighbours, quality, secrets, sharding, simple8b,
                           substrings)
-from civgraph.llm.common import shared_folder
+from civgraph.llm.common import READING, shared_folder, steady_reads, stored
 from civgraph.llm.queries import word_tokenizer
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
@@ -573,3 +573,50 @@ def test_texts_worked_on_together_share_no_window():
     found, starts = hashes(texts)
     assert starts.tolist() == [0, 0, 25, 25, 44, 45, 75, 75, 116] and len(found) == 116
     assert [len(s) for s in substrings._slices(batch, 3)] == [3, 3, 2] and len(list(substrings._slices(batch, 9, 1))) >= 5
+
+
+def _direct_bytes(spark):
+    jvm = spark._jvm
+    pools = jvm.java.lang.management.ManagementFactory.getPlatformMXBeans(
+        jvm.java.lang.Class.forName("java.lang.management.BufferPoolMXBean"))
+    return {pool.getName(): pool.getMemoryUsed() for pool in pools}["direct"]
+
+
+def test_reading_a_stored_table_keeps_no_column_chunks_outside_the_heap(spark):
+    # 24 MB that do not compress, in one file
+    wide = spark.range(0, 24_000, 1, 1).select(F.expr(
+        "unhex(concat_ws('', transform(sequence(1, 32), i -> sha2(concat(id, ' ', i), 256))))").alias("raw"))
+    kept = stored(wide, "wide")
+    before = _direct_bytes(spark)
+    assert kept.agg(F.sum(F.length("raw"))).first()[0] == 24_000 * 1024
+    assert _direct_bytes(spark) - before < 8_000_000
+
+
+def test_steady_reads_leave_a_setting_of_the_session(spark):
+    (name, value), = READING.items()
+    for own, then in ((None, value), ("true", "true")):
+        spark.conf.unset(name) if own is None else spark.conf.set(name, own)
+        try:
+            steady_reads(spark)
+            assert spark.conf.get(name) == then
+        finally:
+            spark.conf.unset(name)
+
+
+def test_shingle_sets_hold_no_words(spark):
+    sets = jaccard.ShingleSets(2)
+    held = dict(vars(sets))
+    first = sets("One two three")
+    assert len(first) == 2 and (sets("one TWO three") == first).all() and len(sets(None)) == 0
+    sets(" ".join(map(str, range(1000))))
+    assert vars(sets) == held == {"n": 2}
+
+
+def test_ngram_counters_of_all_tasks(spark):
+    texts = [f"w{i % 7} w{i % 5} w{i % 3} w{i % 2}" for i in range(1300)] + [None, "", "alone"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    sets, want = jaccard.ShingleSets(2), np.zeros(1 << jaccard.COUNTER_BITS, dtype=np.int64)
+    for text in texts:
+        for h in sets(text):
+            want[int(h) >> 64 - jaccard.COUNTER_BITS] += 1
+    assert (jaccard._frequencies(stored(jaccard._sets(docs, 2), "sets")) == want).all()
