@@ -13,6 +13,8 @@ windows out inside their row; only those left become rows, each with its own wor
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ from civgraph.llm.common import ascii_lower, set_apart, stored
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]++"
 N = 13
 BROADCAST_WINDOWS = 500_000  # rows of (hash, length, words, items): some 100 MB
-MARK_SLOTS = 1 << 20  # at least; 16 for a window, so at most 8 MB
+MARK_SLOTS = 1 << 20  # at least; 16 for a window, so at most 1 MB of bits
 RESULTS = ("n_words", "n_hit", "spans", "items", "contaminated")
 
 
@@ -56,13 +58,21 @@ def ends_hash(first: Column, last: Column) -> Column:
 
 
 def marks(windows: DataFrame, rows: int) -> tuple[int, Column]:
-    """Slots, a power of two, and a byte for each: 1 if a window's ends fall on it."""
+    """Slots, a power of two, and a bit for each: 1 if a window's ends fall on
+    it.  The bits are an array of 64 each, got by a subquery: a literal's value
+    would stand in every text that the driver makes of the plan."""
     slots = max(MARK_SLOTS, 1 << (16 * rows).bit_length())
-    marked = bytearray(slots)
+    bits = np.zeros(slots >> 6, dtype=np.uint64)
     ends = ends_hash(F.xxhash64(F.get("window", F.lit(0))), F.xxhash64(F.element_at("window", -1)))
     for r in windows.select(ends.bitwiseAND(F.lit(slots - 1)).alias("slot")).distinct().collect():
-        marked[r.slot] = 1
-    return slots, F.lit(bytes(marked))
+        bits[r.slot >> 6] |= np.uint64(1 << (r.slot & 63))
+    made = pa.table({"marked": pa.array([bits.view(np.int64)], pa.list_(pa.int64()))})
+    return slots, windows.sparkSession.createDataFrame(made).scalar()
+
+
+def is_marked(marked: Column, slot: Column) -> Column:
+    some = F.get(marked, F.shiftright(slot, 6).cast("int"))
+    return F.call_function("shiftright", some, slot.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -79,7 +89,9 @@ def scanned(documents: DataFrame, windows: DataFrame) -> DataFrame:
     rows, passes = windows.count(), lambda h: F.lit(True)
     if rows <= BROADCAST_WINDOWS:
         slots, marked = marks(windows, rows)
-        passes = lambda h: F.substring(marked, h.bitwiseAND(F.lit(slots - 1)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01")
+        # a column of its own, as functions of lambdas take no subquery
+        documents = documents.withColumn("__marks", marked)
+        passes = lambda h: is_marked(F.col("__marks"), h.bitwiseAND(F.lit(slots - 1)))
     empty = F.array().cast("array<struct<len:int,at:int,h:bigint,mine:array<string>>>")
 
     def left(w: Column, wh: Column) -> Column:

@@ -527,6 +527,36 @@ def test_decontamination_of_very_long_texts(spark, monkeypatch):
         assert (got[2].n_hit, got[2].items, got[2].contaminated) == (15, [], True) and got[None].n_words == 0
 
 
+def test_decontamination_marks_stay_out_of_the_plan(spark, monkeypatch):
+    """Their value is no literal, whose text the driver would hold for every plan."""
+    words_ = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(1, " ".join(words_)), (2, "nothing of it"), (3, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([("a", " ".join(words_[10:40])), ("b", "w3 w4")], "item_id string, text string")
+    plans, write = [], decontaminate.stored
+
+    def stored(df, name):
+        plans.append(df._jdf.queryExecution().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(decontaminate, "stored", stored)
+    got = {r.doc_id: (r.n_words, r.n_hit) for r in decontaminate.contamination_digest(docs, bench).collect()}
+    assert got == {1: (60, 32), 2: (3, 0), 3: (0, 0)}
+    assert len(plans) > 2 and max(map(len, plans)) < 200_000
+
+
+def test_decontamination_marks_are_the_ends_of_the_windows(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MARK_SLOTS", 64)
+    bench = spark.createDataFrame([(str(i), f"first{i} last{i}") for i in range(300)], "item_id string, text string")
+    windows = decontaminate.item_windows(bench).cache()
+    slots, marked = decontaminate.marks(windows, windows.count())
+    ends = decontaminate.ends_hash(F.xxhash64(F.get("window", F.lit(0))), F.xxhash64(F.get("window", F.lit(1))))
+    want = {r[0] for r in windows.select(ends.bitwiseAND(F.lit(slots - 1))).collect()}
+    assert 200 < len(want) < slots and any(slot % 64 == 63 for slot in want)
+    found = spark.range(slots).withColumn("m", marked).where(decontaminate.is_marked(F.col("m"), F.col("id")))
+    assert {r.id for r in found.collect()} == want
+
+
+
 def test_minimizers_are_those_of_a_plain_search(monkeypatch):
     rng = np.random.default_rng(4)
     for n in (5, 19, 20, 21, 300):
